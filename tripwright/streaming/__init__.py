@@ -1,0 +1 @@
+"""Nothing streams in the work this library covers, so this package is empty."""
