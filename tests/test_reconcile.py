@@ -1,0 +1,148 @@
+from __future__ import annotations
+
+import pytest
+from plans_of import final
+
+from tripwright.operators import reconcile
+from tripwright.operators.summarise import speed_by_group
+
+COLUMNS = "pickup_hour int, Borough string, mean_speed_mph double, trip_count bigint"
+NAN = float("nan")
+
+
+def summary(spark, *rows):
+    return spark.createDataFrame(list(rows), COLUMNS)
+
+
+@pytest.fixture(scope="module")
+def sides(spark):
+    left = summary(
+        spark,
+        (0, None, 10.0, 5),
+        (1, "A", 10.0, 5),
+        (2, "A", 10.0, 5),
+        (3, "A", 10.0, 5),
+        (4, "A", NAN, 5),
+        (5, "A", NAN, 5),
+        (6, "A", None, 5),
+        (7, "A", None, 5),
+        (8, "A", 10.0, 5),
+        (9, "A", 10.0, 5),
+        (None, "A", 1.0, 1),
+    )
+    right = summary(
+        spark,
+        (0, None, 10.0, 5),
+        (1, "A", 10.0, 6),
+        (2, "A", 10.01, 5),
+        (3, "A", 10.02, 5),
+        (4, "A", 10.0, 5),
+        (5, "A", NAN, 5),
+        (6, "A", 10.0, 5),
+        (7, "A", None, 5),
+        (8, "A", NAN, 6),
+        (10, "A", 10.0, 5),
+        (None, "A", 1.0, 1),
+    )
+    return left, right
+
+
+def test_states(sides):
+    got = {r.pickup_hour: r.status for r in reconcile.compare_groups(*sides, 0.0101).collect()}
+    assert got == {
+        0: "ok",
+        1: "count_diff",
+        2: "ok",
+        3: "mean_diff",
+        4: "mean_diff",
+        5: "ok",
+        6: "mean_diff",
+        7: "ok",
+        8: "count_diff",
+        9: "missing_right",
+        10: "missing_left",
+        None: "ok",
+    }
+
+
+@pytest.mark.parametrize(("right", "status"), [(0.5, "ok"), (0.515625, "mean_diff")])
+def test_a_difference_equal_to_the_tolerance_passes(spark, right, status):
+    a, b = summary(spark, (1, "A", 0.25, 1)), summary(spark, (1, "A", right, 1))
+    assert reconcile.compare_groups(a, b, 0.25).head().status == status
+
+
+def test_summary_counts_every_kind(sides):
+    row = reconcile.summarise_groups(reconcile.compare_groups(*sides, 0.0101), 0.0101).head()
+    assert row.asDict() == {
+        "group_count": 12,
+        "missing_left_groups": 1,
+        "missing_right_groups": 1,
+        "count_diff_groups": 2,
+        "mean_diff_groups": 3,
+        "ok_groups": 5,
+        "differing_counts": 2,
+        "means_out_of_tolerance": 4,
+        "largest_mean_diff": pytest.approx(0.02),
+    }
+
+
+def test_keys_on_one_side_only(sides):
+    got = sorted(map(tuple, reconcile.key_difference(*sides).collect()))
+    assert got == [("left", 9, "A"), ("right", 10, "A")]
+
+
+def test_missing_columns_are_reported_and_refused(sides):
+    left, right = sides[0], sides[1].drop("trip_count")
+    got = {r.column_name: tuple(r)[1:] for r in reconcile.schema_check(left, right).collect()}
+    assert got["trip_count"] == (True, False, 11, 0)
+    assert got["Borough"] == (True, True, 10, 10)
+    with pytest.raises(ValueError, match="right summary lacks .*trip_count"):
+        reconcile.compare_groups(left, right)
+
+
+def test_every_check_is_made_whatever_another_finds(spark, sides):
+    funnel = "stage string, row_count bigint"
+    a = spark.createDataFrame([("input_rows", 5), ("cleaned_rows", 4)], funnel)
+    b = spark.createDataFrame([("input_rows", 5), ("cleaned_rows", 3)], funnel)
+    report = reconcile.report(*sides, a, b, tolerance=0.0101)
+    got = {r.check: (r.failures, r.ok) for r in report.collect()}
+    assert got == {
+        "row_counts": (1, False),
+        "columns_present": (0, True),
+        "group_keys": (2, False),
+        "trip_counts": (2, False),
+        "mean_speeds": (4, False),
+    }
+    lacking = reconcile.report(sides[0], sides[1].drop("mean_speed_mph"))
+    got = {r.check: r.ok for r in lacking.collect()}
+    assert got == {
+        "columns_present": False, "group_keys": False, "trip_counts": False, "mean_speeds": False
+    }
+
+
+def test_equal_sides_pass(spark, sides):
+    left = sides[0]
+    assert all(r.ok for r in reconcile.report(left, left, None, None).collect())
+
+
+def test_row_counts_of_a_stage_only_one_side_has(spark):
+    funnel = "stage string, row_count bigint"
+    a = spark.createDataFrame([("input_rows", 5), ("joined_rows", 4)], funnel)
+    b = spark.createDataFrame([("input_rows", 5)], funnel)
+    got = {r.stage: tuple(r)[1:] for r in reconcile.compare_row_counts(a, b).collect()}
+    assert got == {"input_rows": (5, 5, True), "joined_rows": (4, None, False)}
+
+
+def test_groups_are_matched_by_an_equi_join(sides):
+    plan = final(reconcile.compare_groups(*sides))
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_mean_skips_null_speeds_but_the_count_does_not(spark):
+    rows = spark.sql(
+        "select * from values (1, 'B', 4D), (1, 'B', null), (1, null, null), (0, 'C', 1D)"
+        " as t(pickup_hour, Borough, avg_speed_mph)"
+    )
+    assert list(map(tuple, speed_by_group(rows).collect())) == [
+        (0, "C", 1.0, 1), (1, None, None, 1), (1, "B", 4.0, 2)
+    ]

@@ -24,32 +24,46 @@ def zone_columns(zones: DataFrame) -> DataFrame:
     return zones.select("LocationID", "Borough", "Zone")
 
 
-def join_zone(trips: DataFrame, zones: DataFrame) -> DataFrame:
+def measure_zones(zones: DataFrame) -> Row:
+    """Approximate bytes and number of keys of the dimension, in one small job."""
+    text = [F.coalesce(F.octet_length(c), F.lit(0)) for c in ("Borough", "Zone")]
+    return zones.agg(
+        F.coalesce(F.sum(sum(text, F.lit(ROW_OVERHEAD_BYTES))), F.lit(0)).alias("bytes"),
+        F.approx_count_distinct("LocationID").alias("keys"),
+    ).head()
+
+
+def repeated_zone_key(zones: DataFrame) -> int | None:
+    """A key that more than one zone has, or None. Null keys match nothing and may repeat."""
+    repeated = (
+        zones.filter(F.col("LocationID").isNotNull())
+        .groupBy("LocationID")
+        .agg(F.count("*").alias("copies"))
+        .filter("copies > 1")
+        .head()
+    )
+    return None if repeated is None else repeated.LocationID
+
+
+def join_zone(
+    trips: DataFrame,
+    zones: DataFrame,
+    broadcast_limit: int = BROADCAST_LIMIT_BYTES,
+) -> DataFrame:
     """Inner join on the pickup zone. A repeated zone key multiplies rows.
 
-    No hint is given: Spark broadcasts the zones while their size stays under the session's
-    broadcast threshold and otherwise sorts and merges, splitting skewed partitions.
+    The zones are measured first. Up to the limit they are broadcast, so the trips stay where
+    they are; beyond it both sides are shuffled and merged. The side is named outright
+    because an estimate of a derived table can be far enough off to have the trips broadcast
+    instead.
     """
+    size = measure_zones(zones)
+    if size.bytes > broadcast_limit:
+        return join_zone_merge(trips, zones, size.keys)
     dim = zone_columns(zones)
-    return trips.join(dim, trips["PULocationID"] == dim["LocationID"]).drop("LocationID")
-
-
-def profile_zones(zones: DataFrame) -> Row:
-    """Rows, distinct keys and approximate bytes of the dimension, in one small job."""
-    text = F.octet_length("Borough"), F.octet_length("Zone")
-    bytes_per_row = F.lit(ROW_OVERHEAD_BYTES) + sum((F.coalesce(t, F.lit(0)) for t in text))
-    per_key = (
-        zone_columns(zones)
-        .filter(F.col("LocationID").isNotNull())
-        .groupBy("LocationID")
-        .agg(F.count("*").alias("copies"), F.sum(bytes_per_row).alias("bytes"))
+    return trips.join(F.broadcast(dim), trips["PULocationID"] == dim["LocationID"]).drop(
+        "LocationID"
     )
-    return per_key.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"),
-        F.count("*").alias("keys"),
-        F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
-        F.min(F.when(F.col("copies") > 1, F.col("LocationID"))).alias("repeated_key"),
-    ).head()
 
 
 def salts_for(keys: int, partitions: int) -> int:
@@ -57,20 +71,22 @@ def salts_for(keys: int, partitions: int) -> int:
     return max(1, math.ceil(partitions * KEYS_PER_PARTITION / max(keys, 1)))
 
 
-def join_zone_merge(trips: DataFrame, zones: DataFrame, salts: int | None = None) -> DataFrame:
+def join_zone_merge(
+    trips: DataFrame, zones: DataFrame, keys: int | None = None, salts: int | None = None
+) -> DataFrame:
     """The rows of ``join_zone`` from a shuffle and merge, for a dimension of any size.
 
     A few hundred zones would leave most shuffle partitions empty and a popular zone in one
     task, so every key is split into ``salts`` parts: a trip picks its part from a hash of
     its own values (stable when a task is run again) and the zones are repeated once per
-    part. The default is the shuffle partitions over the number of keys: many parts for a
-    short dimension, none for a long one, so the repeated zones stay a few rows per
-    partition. What skew is left after that, Spark's adaptive skew join splits.
+    part. The default follows from the number of ``keys`` (measured if not given) and of
+    shuffle partitions: many parts for a short dimension, one for a long one, so the repeated
+    zones stay a few rows per partition. What skew is left, Spark's adaptive skew join splits.
     """
     dim = zone_columns(zones)
     if salts is None:
         partitions = int(trips.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        salts = salts_for(profile_zones(dim).keys, partitions)
+        salts = salts_for(measure_zones(dim).keys if keys is None else keys, partitions)
     part = F.pmod(F.xxhash64(*trips.columns), F.lit(salts)).cast("int")
     left = trips.withColumn("_part", part)
     right = dim.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
@@ -84,17 +100,12 @@ def look_up_zone(
 ) -> DataFrame:
     """Add Borough and Zone by pickup zone; drop trips whose borough is unknown or null.
 
-    The zone key has to be unique. The dimension is measured first and broadcast only while
-    it is small; a larger one goes through the shuffle join.
+    The zone key has to be unique; that is checked before anything is joined.
     """
-    named = zone_columns(zones).filter(F.col("Borough").isNotNull())
-    profile = profile_zones(zones)
-    if profile.repeated_key is not None:
-        raise ValueError(f"zone key {profile.repeated_key} occurs more than once")
-    if profile.bytes <= broadcast_limit:
-        return join_zone(trips, F.broadcast(named))
-    partitions = int(trips.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return join_zone_merge(trips, named, salts_for(profile.keys, partitions))
+    repeated = repeated_zone_key(zones)
+    if repeated is not None:
+        raise ValueError(f"zone key {repeated} occurs more than once")
+    return join_zone(trips, zones.filter(F.col("Borough").isNotNull()), broadcast_limit)
 
 
 def add_speed(

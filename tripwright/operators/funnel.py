@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripwright.contract import GROUP_KEYS
@@ -14,6 +15,16 @@ from tripwright.operators.enrich import add_hour, zone_columns
 STAGES = ("input_rows", "cleaned_rows", "joined_rows", "agg_rows")
 
 
+def _stages(totals: DataFrame, names: Sequence[str] = STAGES) -> DataFrame:
+    cells = [F.struct(F.lit(n).alias("stage"), F.col(n).alias("row_count")) for n in names]
+    return totals.select(F.inline(F.array(*cells)))
+
+
+def recorded_funnel(metrics: DataFrame) -> DataFrame:
+    """(stage, row_count) as one run recorded it in its metrics document."""
+    return _stages(metrics)
+
+
 def row_funnel(
     trips: DataFrame, cleaned: DataFrame, zones: DataFrame, named_zones_only: bool = False
 ) -> DataFrame:
@@ -34,18 +45,13 @@ def row_funnel(
         .agg(F.sum("n").alias("n"))
     )
 
-    def stages(totals: DataFrame, names: tuple[str, ...]) -> DataFrame:
-        cells = [F.struct(F.lit(n).alias("stage"), F.col(n).alias("row_count")) for n in names]
-        return totals.select(F.inline(F.array(*cells)))
-
-    def total(column: str):
+    def total(column: str) -> Column:
         return F.coalesce(F.sum(column), F.lit(0).cast("bigint"))
 
-    return reduce(
-        DataFrame.unionByName,
-        [
-            stages(trips.agg(F.count("*").alias(STAGES[0])), STAGES[:1]),
-            stages(cells.agg(total("n").alias(STAGES[1])), STAGES[1:2]),
-            stages(groups.agg(total("n").alias(STAGES[2]), F.count("*").alias(STAGES[3])), STAGES[2:]),
-        ],
-    )
+    joined = groups.agg(total("n").alias(STAGES[2]), F.count("*").alias(STAGES[3]))
+    parts = [
+        _stages(trips.agg(F.count("*").alias(STAGES[0])), STAGES[:1]),
+        _stages(cells.agg(total("n").alias(STAGES[1])), STAGES[1:2]),
+        _stages(joined, STAGES[2:]),
+    ]
+    return reduce(DataFrame.unionByName, parts)

@@ -80,7 +80,7 @@ def match_groups(
 
 
 def _usable(mean: Column) -> Column:
-    return F.coalesce(~F.isnan(mean), F.lit(False))
+    return mean.isNotNull() & ~F.isnan(mean)
 
 
 def _means_agree(left: Column, right: Column, tolerance: float) -> Column:
@@ -129,8 +129,12 @@ def key_difference(
     left: DataFrame, right: DataFrame, keys: Sequence[str] = GROUP_KEYS
 ) -> DataFrame:
     """Keys found on one side only, with the side; nulls count as equal."""
-    tagged = left.select(*keys, F.lit(True).alias("from_left")).unionByName(
-        right.select(*keys, F.lit(False).alias("from_left"))
+    # Distinct keys per side, so that neither an order nor a repeat of the input matters.
+    tagged = (
+        left.select(*keys)
+        .distinct()
+        .withColumn("from_left", F.lit(True))
+        .unionByName(right.select(*keys).distinct().withColumn("from_left", F.lit(False)))
     )
     sides = tagged.groupBy(*keys).agg(
         F.bool_or("from_left").alias("in_left"), F.bool_or(~F.col("from_left")).alias("in_right")
