@@ -1,0 +1,31 @@
+from __future__ import annotations
+
+import pytest
+
+from tripwright import session
+
+
+class FakeSession:
+    def __init__(self, master, folder=None):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: folder)})
+
+
+def test_the_shared_folder_of_the_cluster_is_used():
+    path = session.work_dir(FakeSession("spark://host:7077", "hdfs:///shared/"), "x")
+    assert path.startswith("hdfs:///shared/x-")
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.work_dir(FakeSession("spark://host:7077"), "x")
+
+
+def test_a_local_session_may_use_a_folder_of_its_own():
+    a, b = (session.work_dir(FakeSession("local[2]"), "x") for _ in range(2))
+    assert a != b and a.rsplit("/", 1)[0] == b.rsplit("/", 1)[0]
+
+
+def test_the_setting_is_read_from_the_session(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert session.work_dir(spark, "x").startswith(folder)

@@ -53,8 +53,8 @@ def read_zones(
     """Read a zone file: delimited text with a header.
 
     Columns are found by header name, so the file may order them freely and hold others.
-    Their types are given, not inferred. Only ``null_text`` reads as null; "N/A" is a name
-    like any other.
+    Their types are given, not inferred. Empty fields and ``null_text`` read as null; "N/A"
+    is a name like any other unless given as that text.
     """
     raw = spark.read.option("header", True).option("nullValue", null_text).csv(path)
     return contract.project(raw, path)
