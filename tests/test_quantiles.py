@@ -8,56 +8,82 @@ import pytest
 from tripwright.operators import quantiles
 
 FRACTIONS = [0.0, 0.25, 0.5, 0.75, 1.0]
+SMALL_GROUPS = {
+    "one": [3],
+    "two": [1, 2],
+    "three": [5, 1, 9],
+    "same": [4] * 9,
+    None: [1, 2, 3, 10],
+    "four": [-1, 0, 0, 8],
+    "five": [5, 4, 3, 2, 1],
+}
+
+
+def large_groups():
+    rng = random.Random(7)
+    return {
+        "spread": [rng.gauss(0, 1) for _ in range(20_000)],
+        "steps": [rng.randrange(12) for _ in range(9_000)],
+        "mostly one": [5.0] * 7_000 + [rng.random() * 10 for _ in range(3_000)],
+        "long tail": [rng.random() ** -3 for _ in range(8_001)],
+    }
 
 
 def exact(values, fraction):
-    values = sorted(values)
+    values = sorted(map(float, values))
     position = fraction * (len(values) - 1)
     lo, hi = values[math.floor(position)], values[math.ceil(position)]
     return lo + (hi - lo) * (position - math.floor(position))
 
 
-def check(spark, groups, accuracy=quantiles.ACCURACY):
+def table(spark, groups):
     rows = [(k, float(v)) for k, values in groups.items() for v in values]
     random.Random(1).shuffle(rows)
-    df = spark.createDataFrame(rows, "k string, v double").repartition(4)
-    out = quantiles.exact_percentiles(df, ["k"], "v", FRACTIONS, accuracy)
+    return spark.createDataFrame(rows, "k string, v double").repartition(4)
+
+
+def check(out, groups):
     got = {r.k: r.percentiles for r in out.collect()}
     assert set(got) == set(groups)
     for key, values in groups.items():
-        want = [exact([float(v) for v in values], f) for f in FRACTIONS]
-        assert got[key] == pytest.approx(want, rel=1e-12), key
+        assert got[key] == pytest.approx([exact(values, f) for f in FRACTIONS], rel=1e-12), key
 
 
-def test_small_groups(spark):
-    check(
-        spark,
-        {"one": [3], "two": [1, 2], "three": [5, 1, 9], "same": [4] * 9, None: [1, 2, 3, 10],
-         "four": [-1, 0, 0, 8], "five": [5, 4, 3, 2, 1]},
-    )
+@pytest.mark.parametrize("limit", [0, quantiles.DISTINCT_LIMIT])
+def test_small_groups_by_either_way(spark, limit):
+    df = table(spark, SMALL_GROUPS)
+    check(quantiles.exact_percentiles(df, ["k"], "v", FRACTIONS, limit), SMALL_GROUPS)
 
 
 @pytest.mark.parametrize("accuracy", [100, 1000, quantiles.ACCURACY])
 def test_large_groups_stay_exact_with_a_coarse_first_pass(spark, accuracy):
-    rng = random.Random(7)
-    check(
-        spark,
-        {
-            "spread": [rng.gauss(0, 1) for _ in range(20_000)],
-            "steps": [rng.randrange(12) for _ in range(9_000)],
-            "mostly one": [5.0] * 7_000 + [rng.random() * 10 for _ in range(3_000)],
-            "long tail": [rng.random() ** -3 for _ in range(8_001)],
-        },
-        accuracy,
-    )
-
-
-def test_nulls_are_skipped(spark):
-    df = spark.createDataFrame([("a", 1.0), ("a", None), ("a", 3.0), ("b", None)], "k string, v double")
-    out = quantiles.exact_percentiles(df, ["k"], "v", [0.5])
+    groups = large_groups()
+    out = quantiles.bracketed_percentiles(table(spark, groups), ["k"], FRACTIONS, accuracy)
+    check(out, groups)
+
+
+def test_the_way_follows_from_the_number_of_distinct_values(spark):
+    df = table(spark, large_groups())
+    few = quantiles.exact_percentiles(df, ["k"], "v", [0.5])
+    many = quantiles.exact_percentiles(df, ["k"], "v", [0.5], distinct_limit=1000)
+    plans = [d._jdf.queryExecution().optimizedPlan().toString() for d in (few, many)]
+    assert ["Window" in p for p in plans] == [False, True]
+
+
+@pytest.mark.parametrize("limit", [0, 10])
+def test_nulls_are_skipped(spark, limit):
+    rows = [("a", 1.0), ("a", None), ("a", 3.0), ("b", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    out = quantiles.exact_percentiles(df, ["k"], "v", [0.5], limit)
     assert [tuple(r) for r in out.collect()] == [("a", [2.0])]
 
 
+def test_an_empty_table_has_no_groups(spark):
+    df = spark.createDataFrame([], "k string, v double")
+    assert quantiles.exact_percentiles(df, ["k"], "v", [0.5]).count() == 0
+
+
 def test_many_groups_take_the_shuffle_join(spark, monkeypatch):
     monkeypatch.setattr(quantiles, "BROADCAST_GROUPS", 2)
-    check(spark, {str(k): range(k, 3 * k + 2) for k in range(8)})
+    groups = {str(k): range(k, 3 * k + 2) for k in range(8)}
+    check(quantiles.bracketed_percentiles(table(spark, groups), ["k"], FRACTIONS), groups)

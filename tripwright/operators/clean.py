@@ -32,22 +32,24 @@ def drop_incomplete(df: DataFrame, required: Sequence[str] | None = None) -> Dat
     return df.filter(reduce(Column.__and__, tests))
 
 
-def add_duration(df: DataFrame) -> DataFrame:
-    """Add pickup_ts, dropoff_ts and the whole seconds between them."""
+def trip_times() -> dict[str, Column]:
+    """pickup_ts, dropoff_ts and the whole seconds between them."""
     pickup = F.col("tpep_pickup_datetime").cast("timestamp")
     dropoff = F.col("tpep_dropoff_datetime").cast("timestamp")
-    return df.withColumns(
-        {
-            "pickup_ts": pickup,
-            "dropoff_ts": dropoff,
-            "trip_duration_s": elapsed_seconds(pickup, dropoff),
-        }
-    )
+    return {
+        "pickup_ts": pickup,
+        "dropoff_ts": dropoff,
+        "trip_duration_s": elapsed_seconds(pickup, dropoff),
+    }
+
+
+def add_duration(df: DataFrame) -> DataFrame:
+    return df.withColumns(trip_times())
 
 
 def keep_plausible(df: DataFrame) -> DataFrame:
     """Keep a positive distance and a duration strictly between zero and the maximum."""
-    seconds = F.col("trip_duration_s")
+    seconds = trip_times()["trip_duration_s"]
     return df.filter((F.col("trip_distance") > 0) & (seconds > 0) & (seconds < MAX_DURATION_S))
 
 
@@ -91,11 +93,9 @@ def clean(trips: DataFrame) -> DataFrame:
     removed: rows that would be dropped are never shuffled. Derived columns are added after
     the shuffle for the same reason.
     """
-    plausible = trips.transform(drop_incomplete).transform(add_duration).transform(keep_plausible)
-    return plausible.select(trips.columns).transform(drop_copies).transform(add_duration)
+    return add_duration(drop_copies(keep_plausible(drop_incomplete(trips))))
 
 
 def clean_by_key(trips: DataFrame) -> DataFrame:
     """The same, with one trip per key instead of one per full row."""
-    plausible = trips.transform(drop_incomplete).transform(add_duration).transform(keep_plausible)
-    return plausible.select(trips.columns).transform(drop_copies_by_key).transform(add_duration)
+    return add_duration(drop_copies_by_key(keep_plausible(drop_incomplete(trips))))

@@ -1,4 +1,4 @@
-"""Exact percentiles of groups too large for one task."""
+"""Exact percentiles per group, whatever the size of a group."""
 
 from __future__ import annotations
 
@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Rank error of the first, approximate pass is one part in this many.
+# Distinct values of one group that a single task may hold at once (tens of megabytes).
+DISTINCT_LIMIT = 500_000
+# Rank error of the approximate first pass is one part in this many.
 ACCURACY = 10_000
 # The bracket around each rank, in units of that error.
 SLACK = 4
@@ -21,41 +23,51 @@ def exact_percentiles(
     keys: Sequence[str],
     value: str,
     fractions: Sequence[float],
-    accuracy: int = ACCURACY,
+    distinct_limit: int = DISTINCT_LIMIT,
 ) -> DataFrame:
     """Per group, an array ``percentiles`` of exact, linearly interpolated percentiles.
 
-    ``percentile`` would hold a whole group's values in one task. Here a mergeable sketch
-    first gives each group a narrow bracket around every wanted rank. A second pass counts
-    values: inside a bracket each value stays on its own, everything between two brackets
-    falls into one row that keeps its count, least and greatest value. Map tasks combine
-    both, so what is then ranked per group is a small part of its distinct values, and the
-    ranks are exact because nothing is left out. Should a bracket ever miss its rank the
-    query fails rather than answer wrongly.
-
-    The first pass runs at once, because how many groups there are decides the join.
+    Spark's own percentile keeps one counter per distinct value of a group in one task. The
+    distinct values are therefore estimated first, in a pass that runs at once, and groups
+    with more of them than a task should hold are ranked in narrow brackets instead.
     """
     fractions = sorted(fractions)
+    filled = df.select(*keys, F.col(value).cast("double").alias("v")).filter("v is not null")
+    per_group = filled.groupBy(*keys).agg(F.approx_count_distinct("v").alias("values"))
+    most = per_group.agg(F.max("values").alias("most")).head().most or 0
+    if most <= distinct_limit:
+        return filled.groupBy(*keys).agg(F.percentile("v", fractions).alias("percentiles"))
+    return bracketed_percentiles(filled, keys, fractions)
+
+
+def bracketed_percentiles(
+    filled: DataFrame, keys: Sequence[str], fractions: Sequence[float], accuracy: int = ACCURACY
+) -> DataFrame:
+    """The same for groups with any number of distinct values in column ``v``.
+
+    A mergeable sketch first gives each group a narrow bracket around every wanted rank. A
+    second pass counts values: inside a bracket each value stays on its own, everything
+    between two brackets falls into one row that keeps its count, least and greatest value.
+    Map tasks combine both, so what is then ranked per group is a small part of its distinct
+    values, and the ranks are exact because nothing is left out. Should a bracket ever miss
+    its rank the query fails rather than answer wrongly.
+    """
     slack = SLACK / accuracy
     lows = [max(0.0, f - slack) for f in fractions]
     highs = [min(1.0, f + slack) for f in fractions]
-    filled = df.select(*keys, F.col(value).cast("double").alias("v")).filter("v is not null")
     brackets = filled.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
         F.percentile_approx("v", lows, accuracy).alias("low"),
         F.percentile_approx("v", highs, accuracy).alias("high"),
         F.count("*").alias("total"),
     )
-    brackets = _broadcast_if_few(brackets)
     same_group = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     v = F.col("v")
-    spots = range(len(fractions))
-    inside = F.lit(False)
-    passed = F.lit(0)
-    for i in spots:
+    inside, passed = F.lit(False), F.lit(0)
+    for i in range(len(fractions)):
         inside = inside | v.between(F.col("low")[i], F.col("high")[i])
         passed = passed + (v > F.col("high")[i]).cast("int")
     counted = (
-        filled.join(brackets, same_group)
+        filled.join(_broadcast_if_few(brackets), same_group)
         .select(*keys, "total", "v", F.when(inside, v).alias("kept"), passed.alias("passed"))
         .groupBy(*keys, "total", "passed", "kept")
         .agg(F.count("*").alias("n"), F.min("v").alias("least"), F.max("v").alias("greatest"))
@@ -68,35 +80,33 @@ def exact_percentiles(
     ranked = counted.withColumn("end", F.sum("n").over(upto)).withColumn(
         "start", F.col("end") - F.col("n")
     )
-
-    def at(rank: Column) -> Column:
-        """The value at a zero-based rank, from the one row whose span holds it."""
-        found = (
-            F.when(rank == F.col("start"), F.col("least"))
-            .when(rank == F.col("end") - 1, F.col("greatest"))
-            .when(F.col("least") == F.col("greatest"), F.col("least"))
-            .otherwise(F.raise_error(F.lit("percentile bracket missed its rank")).cast("double"))
-        )
-        return F.max(F.when((rank >= F.col("start")) & (rank < F.col("end")), found))
-
     ends = {}
     for i, f in enumerate(fractions):
         position = F.lit(f) * (F.col("total") - 1)
-        ends[f"lo{i}"] = at(F.floor(position))
-        ends[f"hi{i}"] = at(F.ceil(position))
+        ends[f"lo{i}"] = _value_at(F.floor(position))
+        ends[f"hi{i}"] = _value_at(F.ceil(position))
     picked = ranked.groupBy(*keys).agg(
         F.max("total").alias("total"), *[c.alias(n) for n, c in ends.items()]
     )
 
-    def between(i: int, f: float) -> Column:
-        share = F.lit(f) * (F.col("total") - 1)
-        share = share - F.floor(share)
+    def interpolated(i: int, f: float) -> Column:
+        position = F.lit(f) * (F.col("total") - 1)
         lo, hi = F.col(f"lo{i}"), F.col(f"hi{i}")
-        return F.when(lo == hi, lo).otherwise(lo + (hi - lo) * share)
+        return F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (position - F.floor(position)))
+
+    percentiles = F.array(*[interpolated(i, f) for i, f in enumerate(fractions)])
+    return picked.select(*keys, percentiles.alias("percentiles"))
+
 
-    return picked.select(
-        *keys, F.array(*[between(i, f) for i, f in enumerate(fractions)]).alias("percentiles")
+def _value_at(rank: Column) -> Column:
+    """The value at a zero-based rank, from the one ranked row whose span holds it."""
+    found = (
+        F.when(rank == F.col("start"), F.col("least"))
+        .when(rank == F.col("end") - 1, F.col("greatest"))
+        .when(F.col("least") == F.col("greatest"), F.col("least"))
+        .otherwise(F.raise_error(F.lit("percentile bracket missed its rank")).cast("double"))
     )
+    return F.max(F.when((rank >= F.col("start")) & (rank < F.col("end")), found))
 
 
 def _broadcast_if_few(brackets: DataFrame) -> DataFrame:

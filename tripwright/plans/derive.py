@@ -40,50 +40,41 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
     number parsed from its properties travels with the sign, since what an expansion yields
     is worked out once, where a plain column would be parsed anew in every later filter.
     """
-    k = F.get_json_object("props", "$.k").try_cast("int")
-    once, refund = (F.struct(k.alias("k"), F.lit(sign).alias("sign")) for sign in (1, -1))
-    event = F.col("event_id")
-    rows = (
-        F.when(event % 10 == 0, F.array(once, once))
-        .when(event % 20 == 5, F.array(once, refund))
-        .otherwise(F.array(once))
+    k = "try_cast(get_json_object(props, '$.k') as int) as k"
+    once, refund = f"struct(1 as sign, {k})", f"struct(-1 as sign, {k})"
+    events = table(spark, folder, "events").selectExpr(
+        "cast(ts as timestamp) as pickup",
+        "timestamp_micros(unix_micros(cast(ts as timestamp))"
+        " + cast(floor(value * 60000000) as bigint)) as dropoff",
+        "user_id",
+        "event_type",
+        "value",
+        f"""inline(case when event_id % 10 = 0 then array({once}, {once})
+                       when event_id % 20 = 5 then array({once}, {refund})
+                       else array({once}) end)""",
     )
-    events = table(spark, folder, "events").select(
-        "ts", "user_id", "event_type", "value", F.inline(rows)
+    # A refund is a difference, not a product, so that nothing is not a negative zero.
+    return events.selectExpr(
+        "1 + user_id % 2 as VendorID",
+        "if(k = 7, null, pickup) as tpep_pickup_datetime",
+        "dropoff as tpep_dropoff_datetime",
+        "cast(if(k % 5 = 0, null, 1 + k % 5) as double) as passenger_count",
+        "cast(if(k = 13, null, k) as double) as trip_distance",
+        "user_id % 30 as PULocationID",
+        "if(k = 17, null, user_id % 25) as DOLocationID",
+        "cast(length(event_type) as bigint) as payment_type",
+        "if(sign > 0, value, 0D - value) as fare_amount",
+        "if(sign > 0, value + 1D, 0D - (value + 1D)) as total_amount",
     )
-    pickup = F.col("ts").cast("timestamp")
-    duration_us = F.floor(F.col("value") * 60_000_000).cast("bigint")
-    k, user = F.col("k"), F.col("user_id")
-    return events.select(
-        (1 + user % 2).cast("bigint").alias("VendorID"),
-        _unless(k == 7, pickup).alias("tpep_pickup_datetime"),
-        F.timestamp_micros(F.unix_micros(pickup) + duration_us).alias("tpep_dropoff_datetime"),
-        _unless(k % 5 == 0, 1 + k % 5).cast("double").alias("passenger_count"),
-        _unless(k == 13, k).cast("double").alias("trip_distance"),
-        (user % 30).cast("bigint").alias("PULocationID"),
-        _unless(k == 17, user % 25).cast("bigint").alias("DOLocationID"),
-        F.length("event_type").cast("bigint").alias("payment_type"),
-        _signed(F.col("value")).alias("fare_amount"),
-        _signed(F.col("value") + 1.0).alias("total_amount"),
-    )
-
-
-def _unless(condition: Column, value: Column) -> Column:
-    return F.when(condition, None).otherwise(value)
-
-
-def _signed(amount: Column) -> Column:
-    # A difference, not a product, so that a refund of nothing is not a negative zero.
-    return F.when(F.col("sign") > 0, amount).otherwise(F.lit(0.0) - amount)
 
 
 def zones(spark: SparkSession, folder: str) -> DataFrame:
     """Every nation as a zone of its region; nation 24 has no borough."""
     nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
-    return nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).select(
-        F.col("n_nationkey").cast("bigint").alias("LocationID"),
-        F.when(F.col("n_nationkey") != 24, F.col("r_name")).alias("Borough"),
-        F.col("n_name").alias("Zone"),
+    return nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).selectExpr(
+        "cast(n_nationkey as bigint) as LocationID",
+        "if(n_nationkey = 24, null, r_name) as Borough",
+        "n_name as Zone",
     )
 
 
