@@ -96,12 +96,53 @@ def test_salts_spread_few_keys_and_leave_many_alone():
     assert enrich.salts_for(keys=0, partitions=8) == 32
 
 
-def test_merge_form_splits_a_hot_zone(trips, zones):
-    plan = enrich.join_zone_merge(trips, zones, salts=16)
-    parts = plan.select("PULocationID", F.spark_partition_id().alias("p"))
-    spread = parts.filter("PULocationID = 1").select("p").distinct()
-    assert "hashpartitioning(PULocationID" in final(plan)
-    assert spread.count() >= 1
+@pytest.fixture
+def settings(spark):
+    """Set session settings for one test."""
+    before = {}
+
+    def put(key, value):
+        before.setdefault(key, spark.conf.get(key, None))
+        spark.conf.set(key, value)
+
+    yield put
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_merge_form_splits_a_hot_zone(settings, trips, zones):
+    settings("spark.sql.adaptive.coalescePartitions.enabled", "false")
+
+    def largest_task(salts):
+        joined = enrich.join_zone_merge(trips, zones, salts=salts)
+        hot = joined.filter("PULocationID = 1").groupBy(F.spark_partition_id()).count()
+        return hot.agg(F.max("count")).head()[0]
+
+    hot = trips.filter("PULocationID = 1").count()
+    assert largest_task(1) == hot
+    assert largest_task(16) < hot / 2
+
+
+def test_merge_form_splits_copies_of_one_trip(settings, spark, zones):
+    settings("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    copies = spark.range(0, 8_000, 1, 64).selectExpr("7L as id", "1L as PULocationID")
+    joined = enrich.join_zone_merge(copies, zones, salts=16)
+    per_task = joined.groupBy(F.spark_partition_id()).count()
+    assert joined.count() == 8_000
+    assert per_task.agg(F.max("count")).head()[0] < 4_000
+
+
+def test_adaptive_skew_join_splits_what_is_left(settings, spark, zones):
+    settings("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    settings("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20KB")
+    settings("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
+    settings("spark.sql.adaptive.advisoryPartitionSizeInBytes", "10KB")
+    trips = spark.range(0, 20_000, 1, 16).selectExpr(
+        "sha2(cast(id as string), 256) as id", "if(id % 3 = 0, 1L, id % 1000) as PULocationID"
+    )
+    joined = enrich.join_zone_merge(trips, zones, salts=1)
+    assert "SortMergeJoin(skew=true)" in final(joined)
+    assert joined.count() == trips.filter("PULocationID between 1 and 4").count()
 
 
 @pytest.fixture(scope="module")
@@ -122,21 +163,20 @@ def test_speed_forms_are_bit_equal(timed):
 
 @pytest.mark.parametrize(
     ("form", "node"),
-    [(speed_mph, None), (speed_mph_by_row, "BatchEvalPython"), (speed_mph_by_batch, "ArrowEvalPython")],
+    [
+        (speed_mph, None),
+        (speed_mph_by_row, "BatchEvalPython"),
+        (speed_mph_by_batch, "ArrowEvalPython"),
+    ],
 )
 def test_speed_forms_run_where_they_say(timed, form, node):
     plan = formatted(enrich.add_speed(timed.repartition(2), form))
     assert node is None and "Python" not in plan or node in plan
 
 
-def test_row_form_stays_row_wise_under_any_session_default(spark, timed):
-    key = "spark.sql.execution.pythonUDF.arrow.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "true")
-    try:
-        plan = formatted(enrich.add_speed(timed.repartition(2), speed_mph_by_row))
-    finally:
-        spark.conf.set(key, before)
+def test_row_form_stays_row_wise_under_any_session_default(settings, timed):
+    settings("spark.sql.execution.pythonUDF.arrow.enabled", "true")
+    plan = formatted(enrich.add_speed(timed.repartition(2), speed_mph_by_row))
     assert "BatchEvalPython" in plan
 
 

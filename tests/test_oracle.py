@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 
 import duckdb
 import pytest
@@ -11,6 +12,7 @@ from conftest import TESTDATA
 import __spark_entry__ as entry_points
 from tripwright.plans.derive import TABLES
 
+FOLDER = TESTDATA / os.environ.get("ORACLE_SF", "sf0.01")
 QUERIES = entry_points.queries()
 ORACLE = entry_points.oracle_sql()
 SPARK_TYPES = {
@@ -38,7 +40,7 @@ def in_order(names, rows):
 def duck():
     connection = duckdb.connect()
     for table in TABLES:
-        path = TESTDATA / "sf0.01" / f"{table}.parquet"
+        path = FOLDER / f"{table}.parquet"
         connection.sql(f"create view {table} as select * from '{path}'")
     yield connection
     connection.close()
@@ -50,7 +52,7 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    got = QUERIES[name](spark, str(TESTDATA / "sf0.01"))
+    got = QUERIES[name](spark, str(FOLDER))
     want = duck.sql(ORACLE[name])
     types = {f.name: SPARK_TYPES[f.dataType.simpleString()] for f in got.schema}
     assert types == dict(zip(want.columns, map(str, want.types), strict=True))
@@ -63,3 +65,28 @@ def test_entry_runs(spark):
     result = entry_points.entry(spark)
     assert result.columns == ["pickup_hour", "Borough", "mean_speed_mph", "trip_count"]
     assert result.count() == 120
+
+
+@pytest.mark.parametrize(
+    ("key", "value"),
+    [
+        ("spark.sql.session.timeZone", "America/New_York"),
+        ("spark.sql.ansi.enabled", "false"),
+        ("spark.sql.adaptive.enabled", "false"),
+        ("spark.sql.autoBroadcastJoinThreshold", "-1"),
+        ("spark.sql.caseSensitive", "true"),
+    ],
+)
+@pytest.mark.parametrize(
+    "name", ["speed_by_hour_borough_keyed", "pipeline_funnel", "scan_normalized"]
+)
+def test_results_do_not_hang_on_session_settings(spark, duck, name, key, value):
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        got = QUERIES[name](spark, str(FOLDER))
+        rows = in_order(got.columns, got.collect())
+    finally:
+        spark.conf.set(key, before)
+    want = duck.sql(ORACLE[name])
+    assert rows == in_order(want.columns, want.fetchall())

@@ -56,5 +56,6 @@ def test_log_lines_of_both_systems(spark, tmp_path):
         1704103200, 1704103202
     ]
     assert samples.filter("cpu_pct is null and mem_mb is null").count() == 1
-    got = {r.label: (round(r.peak_cpu, 6), r.peak_mem_mb) for r in runs.resource_peaks(samples).collect()}
+    peaks = runs.resource_peaks(samples).collect()
+    got = {r.label: (round(r.peak_cpu, 6), r.peak_mem_mb) for r in peaks}
     assert got == {"linux": (50.0, 1234.0), "mac": (15.5, 15360.0)}

@@ -20,12 +20,18 @@ def part(spark, root, name, select):
     return path
 
 
+VARIANTS = {
+    "a": "1 as Id, 2 as Place, 3D as Guests, timestamp'2024-01-01' as At",
+    "b": "2L as Id, 2L as Place, 4L as Guests, timestamp_ntz'2024-01-02' as At",
+    "c": "3L as ID, 2L as PLACE, 5L as GUESTS, timestamp'2024-01-03' as AT, 'x' as more",
+    "d": "4L as Id, 2L as Place, timestamp'2024-01-04' as At",
+}
+
+
 @pytest.fixture
 def drifting(spark, tmp_path):
-    part(spark, tmp_path, "a", "select 1 as Id, 2 as Place, 3D as Guests, timestamp'2024-01-01' as At")
-    part(spark, tmp_path, "b", "select 2L as Id, 2L as Place, 4L as Guests, timestamp_ntz'2024-01-02' as At")
-    part(spark, tmp_path, "c", "select 3L as ID, 2L as PLACE, 5L as GUESTS, timestamp'2024-01-03' as AT, 'x' as more")
-    part(spark, tmp_path, "d", "select 4L as Id, 2L as Place, timestamp'2024-01-04' as At")
+    for name, columns in VARIANTS.items():
+        part(spark, tmp_path, name, f"select {columns}")
     return tmp_path
 
 
@@ -33,12 +39,14 @@ def test_drifting_files_read_as_one_table(spark, drifting):
     df = tables.read_normalized(spark, str(drifting / "*"), SMALL)
     assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.type) for f in SMALL.fields]
     got = df.select("Id", "Place", "Guests", F.dayofmonth("At")).orderBy("Id").collect()
-    assert list(map(tuple, got)) == [(1, 2, 3.0, 1), (2, 2, 4.0, 2), (3, 2, 5.0, 3), (4, 2, None, 4)]
+    assert list(map(tuple, got)) == [
+        (1, 2, 3.0, 1), (2, 2, 4.0, 2), (3, 2, 5.0, 3), (4, 2, None, 4)
+    ]
 
 
 def test_files_stored_alike_share_a_scan(spark, drifting):
     for i in range(5):
-        part(spark, drifting, f"more{i}", f"select {10 + i}L as Id, 2L as Place, 4L as Guests, timestamp_ntz'2024-01-02' as At")
+        part(spark, drifting, f"more{i}", f"select {VARIANTS['b']}")
     df = tables.read_normalized(spark, str(drifting / "*"), SMALL)
     assert df.count() == 9
     assert formatted(df).split("(1) Scan")[0].count("Scan parquet") == 4
@@ -127,7 +135,8 @@ def test_zone_text(spark, tmp_path):
     assert df.schema["LocationID"].dataType == T.LongType()
     got = sorted(map(tuple, df.collect()), key=repr)
     assert got == sorted(
-        [(1, "EWR", "Newark, NJ"), (264, "N/A", "NV"), (265, None, None), (None, "Q", "z")], key=repr
+        [(1, "EWR", "Newark, NJ"), (264, "N/A", "NV"), (265, None, None), (None, "Q", "z")],
+        key=repr,
     )
     named = tables.read_zones(spark, str(tmp_path / "zones.csv"), null_text="N/A")
     assert named.filter("LocationID = 264").head().Borough is None
@@ -153,7 +162,8 @@ def test_source_volume_counts_files_bytes_and_rows(spark, tmp_path):
 
 def test_metrics_documents_in_both_layouts(spark, tmp_path):
     (tmp_path / "one.json").write_text(
-        '{\n "framework": "a",\n "agg_rows": 3,\n "phases": {\n  "join_s": 1.5,\n  "total_s": 9\n }\n}'
+        '{\n "framework": "a",\n "agg_rows": 3,\n'
+        ' "phases": {\n  "join_s": 1.5,\n  "total_s": 9\n }\n}'
     )
     (tmp_path / "lines").mkdir()
     (tmp_path / "lines" / "x.json").write_text(

@@ -77,17 +77,20 @@ def join_zone_merge(
     """The rows of ``join_zone`` from a shuffle and merge, for a dimension of any size.
 
     A few hundred zones would leave most shuffle partitions empty and a popular zone in one
-    task, so every key is split into ``salts`` parts: a trip picks its part from a hash of
-    its own values (stable when a task is run again) and the zones are repeated once per
-    part. The default follows from the number of ``keys`` (measured if not given) and of
-    shuffle partitions: many parts for a short dimension, one for a long one, so the repeated
-    zones stay a few rows per partition. What skew is left, Spark's adaptive skew join splits.
+    task, so every key is split into ``salts`` parts and the zones are repeated once per
+    part. A trip's part comes from a hash of its values and of the partition it is in: copies
+    of one trip spread as well, and a task that is run again sends every trip to the same
+    part as before, which a random number would not. The default follows from the number of
+    ``keys`` (measured if not given) and of shuffle partitions: many parts for a short
+    dimension, one for a long one, so the repeated zones stay a few rows per partition. What
+    skew is left, Spark's adaptive skew join splits.
     """
     dim = zone_columns(zones)
     if salts is None:
         partitions = int(trips.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         salts = salts_for(measure_zones(dim).keys if keys is None else keys, partitions)
-    part = F.pmod(F.xxhash64(*trips.columns), F.lit(salts)).cast("int")
+    spread = F.xxhash64(*trips.columns, F.spark_partition_id())
+    part = F.pmod(spread, F.lit(salts)).cast("int")
     left = trips.withColumn("_part", part)
     right = dim.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     on = (left["PULocationID"] == right["LocationID"]) & (left["_part"] == right["_part"])

@@ -188,7 +188,8 @@ STATEMENTS = {
             select pickup_hour, Borough from agg except select pickup_hour, Borough from agg_keyed)
         union all
         select 'right' as side, * from (
-            select pickup_hour, Borough from agg_keyed except select pickup_hour, Borough from agg)""",
+            select pickup_hour, Borough from agg_keyed
+            except select pickup_hour, Borough from agg)""",
     "reconcile_schema": f"""
         select column_name, true as in_left, true as in_right, left_filled, right_filled
         from ({_filled("left", "agg")}) l join ({_filled("right", "agg_keyed")}) r
