@@ -2,15 +2,18 @@ from __future__ import annotations
 
 import csv
 import json
+from dataclasses import replace
 
 import pytest
 from conftest import TESTDATA
 from plans_of import final, formatted
 
 from tripwright import __main__ as command
+from tripwright.operators.enrich import join_zone_merge
 from tripwright.operators.funnel import recorded_funnel, row_funnel
 from tripwright.operators.runs import phases_long
 from tripwright.plans import derive
+from tripwright.plans import pipeline as pipelines
 from tripwright.plans.pipeline import KEYED, STRICT, run, time_stages
 from tripwright.sinks import files as sinks
 from tripwright.sources.records import read_run_metrics
@@ -41,6 +44,15 @@ def test_run_writes_rows_summary_and_metrics(spark, inputs, tmp_path, pipeline,
     assert doc.phases["total_s"] >= doc.phases["export_s"] > 0
 
 
+def test_cleaned_rows_are_counted_apart_from_a_shuffle_join(spark, inputs, tmp_path, monkeypatch):
+    monkeypatch.setattr(pipelines, "BROADCAST_LIMIT_BYTES", 0)
+    merged = replace(STRICT, join=join_zone_merge)
+    rows, summary, metrics = (f"{tmp_path}/{n}" for n in ("rows", "summary", "metrics"))
+    run(spark, *inputs, rows, summary, metrics, merged)
+    (doc,) = read_run_metrics(spark, metrics).collect()
+    assert (doc.cleaned_rows, doc.joined_rows, doc.agg_rows) == (1002, 1002, 120)
+
+
 def test_a_second_run_replaces_results_and_adds_metrics(spark, inputs, tmp_path):
     paths = [f"{tmp_path}/{n}" for n in ("rows", "summary", "metrics")]
     for _ in range(2):

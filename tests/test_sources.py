@@ -156,6 +156,7 @@ def test_source_volume_counts_files_bytes_and_rows(spark, tmp_path):
     row = files.source_volume(spark, {"t": str(path)}).head()
     size = sum(f.stat().st_size for f in path.glob("*.parquet"))
     assert (row.table_name, row.files, row.bytes, row.row_count) == ("t", 3, size, 100)
+    assert "ReadSchema: struct<>" in formatted(files.source_volume(spark, {"t": str(path)}))
     with pytest.raises(files.NoInputError):
         files.source_volume(spark, {})
 

@@ -7,14 +7,21 @@ import socket
 import time
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripwright.operators.clean import clean, clean_by_key
-from tripwright.operators.enrich import add_hour, add_speed, join_zone, look_up_zone
+from tripwright.operators.enrich import (
+    BROADCAST_LIMIT_BYTES,
+    add_hour,
+    add_speed,
+    join_zone,
+    look_up_zone,
+    measure_zones,
+)
 from tripwright.operators.summarise import export_rows, speed_by_group
 from tripwright.session import use_utc
 from tripwright.sinks.files import write_rows, write_run_metrics, write_summary
@@ -93,20 +100,20 @@ def run(
 
     The trips go through the heavy part once: the summary is taken from the rows as written,
     of which it reads three columns, so nothing large is cached and a lost executor costs
-    only its own tasks. With a metrics path the row counts are recorded as well; they come
-    from the written results and from a counter placed on the cleaned rows. ``timed`` adds
+    only its own tasks. With a metrics path the row counts are recorded as well, from the
+    written results and from a counter placed on the cleaned rows. The counter is exact only
+    where no shuffle follows it (a map task that is run again counts twice), so with zones
+    too large to broadcast the cleaned rows are counted in a job of their own. ``timed`` adds
     seconds per stage and runs the stages again to get them. Returns the summary as written.
     """
     start = time.perf_counter()
     use_utc(spark)
     trips = read_normalized(spark, trips_path)
     zones = read_zones(spark, zones_path)
-    counter = Observation("cleaned")
-    counted = pipeline
-    if metrics_path is not None:
-        counted = Pipeline(
-            pipeline.name, partial(_clean_counted, pipeline.clean, counter), pipeline.join
-        )
+    counter, counted = None, pipeline
+    if metrics_path is not None and measure_zones(zones).bytes <= BROADCAST_LIMIT_BYTES:
+        counter = Observation("cleaned")
+        counted = replace(pipeline, clean=partial(_clean_counted, pipeline.clean, counter))
     before_export = time.perf_counter()
     write_rows(counted.enriched(trips, zones), rows_path)
     written = spark.read.parquet(rows_path)
@@ -119,7 +126,7 @@ def run(
         phases["total_s"] = time.perf_counter() - start
         counts = {
             "input_rows": trips.count(),
-            "cleaned_rows": counter.get["n"],
+            "cleaned_rows": counter.get["n"] if counter else pipeline.clean(trips).count(),
             "joined_rows": written.count(),
             "agg_rows": summary.count(),
         }
