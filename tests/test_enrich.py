@@ -57,6 +57,14 @@ def test_a_repeated_key_multiplies_rows(spark, trips, zones):
     )
 
 
+def test_a_column_of_the_trips_named_like_the_zone_key_stays(trips, zones):
+    named = trips.withColumn("LocationID", F.lit("mine"))
+    for join in (enrich.join_zone, enrich.join_zone_merge, enrich.look_up_zone):
+        out = join(named, zones)
+        assert out.columns == ["id", "PULocationID", "LocationID", "Borough", "Zone"]
+        assert out.select("LocationID").distinct().head()[0] == "mine"
+
+
 def test_lookup_refuses_a_repeated_key(trips, zones):
     with pytest.raises(ValueError, match="zone key 1 "):
         enrich.look_up_zone(trips, zones.union(zones.filter("LocationID = 1")))

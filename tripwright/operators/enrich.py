@@ -61,9 +61,8 @@ def join_zone(
     if size.bytes > broadcast_limit:
         return join_zone_merge(trips, zones, size.keys)
     dim = zone_columns(zones)
-    return trips.join(F.broadcast(dim), trips["PULocationID"] == dim["LocationID"]).drop(
-        "LocationID"
-    )
+    on = trips["PULocationID"] == dim["LocationID"]
+    return trips.join(F.broadcast(dim), on).drop(dim["LocationID"])
 
 
 def salts_for(keys: int, partitions: int) -> int:
