@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 
 def use_utc(spark: SparkSession) -> None:
@@ -21,19 +18,15 @@ def use_utc(spark: SparkSession) -> None:
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder path every executor can reach, for tables written on the way.
 
-    It lies under the shared folder the cluster names in ``spark.checkpoint.dir``. Only a
-    local session, where driver and executors are one process, may do without that setting.
+    It lies under the shared folder the cluster names in ``spark.checkpoint.dir``, else under
+    the session's warehouse, which is shared as well. The file system it lies on deletes it
+    when the session's JVM ends.
     """
-    shared = spark.conf.get(CHECKPOINT_DIR, None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by the cluster")
-        shared = _local_folder()
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
-@cache
-def _local_folder() -> str:
-    folder = tempfile.mkdtemp(prefix="tripwright-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    shared = spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get(WAREHOUSE_DIR)
+    folder = f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
     return folder
