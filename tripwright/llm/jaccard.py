@@ -28,6 +28,8 @@ PIVOTS, LEAF = 8, 96
 #: Distance from a block's pivot is cut into this many rings.
 RINGS = 20
 _FLUSH = 1 << 22
+#: Tasks that share the postings of one frequent shingle.
+_SALTS = 16
 
 
 def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
@@ -239,9 +241,10 @@ def _post(size: int, percent: int, buckets: int, frequent):
                     hot_keys += own[often[order]].view(np.int64).tolist()
                     hot_owners += [cls] * len(order)
             if hot_keys:
+                salted = [(k + 7919 * (c[0] % _SALTS)) % buckets for k, c in zip(hot_keys, hot_owners)]
                 none = [None] * len(hot_keys)
                 yield pa.RecordBatch.from_pydict(
-                    {"bucket": none, "payload": none, "key": hot_keys, "cls": hot_owners},
+                    {"bucket": salted, "payload": none, "key": hot_keys, "cls": hot_owners},
                     schema=_POSTINGS,
                 )
             if held > _FLUSH // 2:
@@ -253,15 +256,30 @@ def _post(size: int, percent: int, buckets: int, frequent):
     return run
 
 
-_EDGES = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+_EDGES = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("key", pa.int64())])
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """An edge from each class posted under a rare shingle to the smallest class there."""
+    """An edge from each class posted under a shingle to one class there.
+
+    Under a rare shingle that is the smallest class. Under a frequent one it is the first that
+    comes by in this task, which is also given out with the shingle, to meet those of others.
+    """
     by_bucket: dict[int, list[bytes]] = {}
+    heads: dict[int, bytes] = {}
     for batch in batches:
-        for bucket, data in zip(*(batch.column(c).to_pylist() for c in ("bucket", "payload"))):
-            by_bucket.setdefault(bucket, []).append(data)
+        a, b = [], []
+        for bucket, data, key, cls in zip(*(batch.column(c).to_pylist() for c in _POSTINGS.names)):
+            if data is not None:
+                by_bucket.setdefault(bucket, []).append(data)
+            elif heads.setdefault(key, cls) != cls:
+                a.append(cls)
+                b.append(heads[key])
+        if a:
+            yield pa.RecordBatch.from_pydict({"a": a, "b": b, "key": [None] * len(a)}, schema=_EDGES)
+    if heads:
+        firsts = list(heads.values())
+        yield pa.RecordBatch.from_pydict({"a": firsts, "b": firsts, "key": list(heads)}, schema=_EDGES)
     for parts in by_bucket.values():
         sizes = [len(p) // 24 for p in parts]
         keys = np.concatenate([np.frombuffer(p, np.uint64, n) for p, n in zip(parts, sizes)])
@@ -285,19 +303,22 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw = pairs.astype(">u8").tobytes()
         ends = range(0, len(raw), 32)
         yield pa.RecordBatch.from_pydict(
-            {"a": [raw[i : i + 16] for i in ends], "b": [raw[i + 16 : i + 32] for i in ends]},
+            {
+                "a": [raw[i : i + 16] for i in ends],
+                "b": [raw[i + 16 : i + 32] for i in ends],
+                "key": [None] * len(ends),
+            },
             schema=_EDGES,
         )
 
 
 def _candidates(postings: DataFrame) -> DataFrame:
-    """Edges that hold together all classes which share a posting."""
-    packed = spread(postings.filter("bucket is not null").select("bucket", "payload"), "bucket")
-    rare = packed.mapInArrow(_meet, "a binary, b binary")
-    hot = postings.filter("key is not null").select("key", "cls")
-    least = hot.groupBy("key").agg(F.min("cls").alias("b"))
-    often = hot.join(least, "key").filter("cls <> b").select(F.col("cls").alias("a"), "b")
-    return rare.union(often).distinct()
+    """Edges that hold together all classes which share a posting; written."""
+    met = written(spread(postings, "bucket").mapInArrow(_meet, "a binary, b binary, key long"), "met")
+    heads = met.filter("key is not null").select("key", "a")
+    least = heads.groupBy("key").agg(F.min("a").alias("b"))
+    often = heads.join(least, "key").select("a", "b")
+    return met.filter("key is null").select("a", "b").union(often)
 
 
 def _filter_of(ids: DataFrame, bits: int) -> np.ndarray:
@@ -575,9 +596,8 @@ def jaccard_join(
         rows.mapInArrow(_survey(size, buckets), "doc_id long, n long, cls binary, bucket int, payload binary"), "survey"
     )
     frequent = spark.sparkContext.broadcast(_frequent(survey, frequent_limit))
-    postings = written(
-        rows.select("text").mapInArrow(_post(size, percent, buckets, frequent), "bucket int, payload binary, key long, cls binary"),
-        "postings",
+    postings = rows.select("text").mapInArrow(
+        _post(size, percent, buckets, frequent), "bucket int, payload binary, key long, cls binary"
     )
     blocks = written(components(_candidates(postings), "blocks"), "blocks").withColumnsRenamed({"v": "cls", "root": "block"})
     classes = survey.filter("bucket is null").select("doc_id", "n", "cls")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from tripwright.session import work_dir
 
 #: Rows handled at a time inside a task, so that its arrays follow the texts of these rows only.
 ROWS = 256
+PIECE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,9 +34,18 @@ def partitions(spark: SparkSession) -> int:
 
 
 def pieces(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
+    """Slices of ``rows`` rows or PIECE_BYTES of text at most, of one row at least."""
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        at, n = 0, batch.num_rows
+        sizes = np.zeros(n, np.int64)
+        if "text" in batch.schema.names and n:
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes)
+        while at < n:
+            full = ends[at] - sizes[at] + PIECE_BYTES
+            stop = min(at + rows, max(at + 1, int(np.searchsorted(ends, full, "right"))))
+            yield batch.slice(at, stop - at)
+            at = stop
 
 
 def texts(column: pa.Array) -> list[str]:
