@@ -3,16 +3,57 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tripwright.llm import langid, quality
+from tripwright.llm.decontaminate import DECONTAMINATE_SQL, find_passages
 from tripwright.llm.jaccard import jaccard_join
+from tripwright.llm.linededup import LINE_DEDUP_SQL, drop_shared_lines
 from tripwright.llm.tables import table
 
 
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return langid.identify(docs, langid.train(docs))
+
+
+def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "quality")
+    return quality.score_quality(docs, quality.train(docs, labels))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     joined = jaccard_join(table(spark, folder, "documents").select("doc_id", "text"))
     return joined.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
-QUERIES = [op5_ngram_jaccard_join]
+def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = drop_shared_lines(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = [
+    op2_language_id,
+    op4_quality_classifier,
+    op5_ngram_jaccard_join,
+    op8_benchmark_decontamination,
+    op9_line_dedup,
+]
 REGISTRY = {query.__name__: query for query in QUERIES}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_benchmark_decontamination": DECONTAMINATE_SQL,
+    "op9_line_dedup": LINE_DEDUP_SQL,
+}

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +51,15 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.R
             at = stop
 
 
+def carried(spark: SparkSession, value: object) -> Broadcast:
+    """A broadcast of any object of this package; ``unpacked`` gives it back in a task."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def unpacked(parcel: Broadcast) -> object:
+    return pickle.loads(parcel.value)
+
+
 def texts(column: pa.Array) -> list[str]:
     return ["" if x is None else x for x in column.to_pylist()]
 
