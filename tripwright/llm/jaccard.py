@@ -177,8 +177,16 @@ def _frequent(survey: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 _POSTINGS = pa.schema(
-    [("bucket", pa.int32()), ("payload", pa.binary()), ("key", pa.int64()), ("cls", pa.binary())]
+    [("bucket", pa.int32()), ("payload", pa.binary()), ("key", pa.int64()), ("id", pa.int64()), ("n", pa.int64())]
 )
+_POSTINGS_DDL = "bucket int, payload binary, key long, id long, n long"
+#: A packed posting: shingle, short id of the class, twice its size, plus one if ``early``.
+_PACKED = np.dtype([("key", "<u8"), ("id", "<i8"), ("n", "<u4")])
+
+
+def _short(cls: bytes) -> int:
+    """The class's id among candidates; classes that share one are only compared in vain."""
+    return int.from_bytes(cls[:8], "big", signed=True)
 
 
 def _post(size: int, percent: int, buckets: int, frequent):
@@ -186,44 +194,38 @@ def _post(size: int, percent: int, buckets: int, frequent):
 
     All classes order shingles alike, the frequent ones last. A class is posted under its
     first n - needed + 1: of two linked sets, the smallest common shingle is among these in
-    both. Copies inside a task are posted once. Postings under frequent shingles are rows;
-    the others, of which none is very common, travel packed.
+    both, and in the smaller set it is ``early``, where the rest still holds all that two sets
+    of its size would share. Copies inside a task are posted once. Postings under frequent
+    shingles are rows; the others, of which none is very common, travel packed.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, levels = frequent.value
         seen: set[bytes] = set()
         rare: list[np.ndarray] = []
-        owners: list[bytes] = []
         held = 0
         bits = np.zeros(1 << 24, bool)
         bits[common >> 8] = True
 
         def rare_out() -> pa.RecordBatch:
-            keys = np.concatenate(rare)
-            of = np.repeat(np.frombuffer(b"".join(owners), "V16"), [len(r) for r in rare])
-            order = np.argsort(keys, kind="stable")
-            keys, of = keys[order], of[order]
-            cuts = _cuts((keys >> np.uint64(32)).astype(np.uint32), buckets)
+            postings = np.concatenate(rare)
+            postings = postings[np.argsort(postings["key"], kind="stable")]
+            cuts = _cuts((postings["key"] >> np.uint64(32)).astype(np.uint32), buckets)
             filled = [k for k in range(buckets) if cuts[k + 1] > cuts[k]]
-            payload = [
-                keys[cuts[k] : cuts[k + 1]].tobytes() + of[cuts[k] : cuts[k + 1]].tobytes()
-                for k in filled
-            ]
+            payload = [postings[cuts[k] : cuts[k + 1]].tobytes() for k in filled]
             none = [None] * len(filled)
-            return pa.RecordBatch.from_pydict(
-                {"bucket": filled, "payload": payload, "key": none, "cls": none}, schema=_POSTINGS
-            )
+            columns = [filled, payload, none, none, none]
+            return pa.RecordBatch.from_pydict(dict(zip(_POSTINGS.names, columns)), schema=_POSTINGS)
 
         for piece in pieces(batches):
-            hot_keys: list[int] = []
-            hot_owners: list[bytes] = []
+            hot: list[tuple] = []
             for own in shingle_sets(piece.column("text"), size):
                 n = len(own)
                 if not n or (cls := digest(own)) in seen:
                     continue
                 seen.add(cls)
                 take = n - needed(n, percent) + 1
+                early = n - -(-2 * percent * n // (100 + percent)) + 1
                 short = (own >> np.uint64(32)).astype(np.uint32)
                 maybe = np.flatnonzero(bits[short >> 8])
                 level = np.zeros(n, np.uint8)
@@ -232,93 +234,104 @@ def _post(size: int, percent: int, buckets: int, frequent):
                     level[maybe] = np.where(common[at] == short[maybe], levels[at], 0)
                 first = own[level == 0][:take]
                 if len(first):
-                    rare.append(first)
-                    owners.append(cls)
+                    postings = np.empty(len(first), _PACKED)
+                    postings["key"], postings["id"] = first, _short(cls)
+                    postings["n"] = 2 * n + (np.arange(len(first)) < early)
+                    rare.append(postings)
                     held += len(first)
                 if len(first) < take:
                     often = np.flatnonzero(level)
                     order = np.lexsort((own[often], level[often]))[: take - len(first)]
-                    hot_keys += own[often[order]].view(np.int64).tolist()
-                    hot_owners += [cls] * len(order)
-            if hot_keys:
-                salted = [(k + 7919 * (c[0] % _SALTS)) % buckets for k, c in zip(hot_keys, hot_owners)]
-                none = [None] * len(hot_keys)
-                yield pa.RecordBatch.from_pydict(
-                    {"bucket": salted, "payload": none, "key": hot_keys, "cls": hot_owners},
-                    schema=_POSTINGS,
-                )
+                    keys = own[often[order]].view(np.int64).tolist()
+                    hot += [((k + 7919 * (cls[0] % _SALTS)) % buckets, None, k, _short(cls), n) for k in keys]
+            if hot:
+                yield pa.RecordBatch.from_pydict(dict(zip(_POSTINGS.names, zip(*hot))), schema=_POSTINGS)
             if held > _FLUSH // 2:
                 yield rare_out()
-                rare, owners, held = [], [], 0
+                rare, held = [], 0
         if held:
             yield rare_out()
 
     return run
 
 
-_EDGES = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("key", pa.int64())])
+_EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("band", pa.int64())])
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """An edge from each class posted under a shingle to one class there.
+def _chained(postings: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs of classes, next to each other by size under a shingle, that links may run through.
 
-    Under a rare shingle that is the smallest class. Under a frequent one it is the first that
-    comes by in this task, which is also given out with the shingle, to meet those of others.
+    Two classes can only link if the smaller has the shingle early and the larger is not too
+    large for it. Where no class reaches the next larger one, the chain is cut.
+    """
+    postings = postings[np.argsort(postings["key"], kind="stable")]
+    same = postings["key"][1:] == postings["key"][:-1]
+    shared = np.zeros(len(postings), bool)
+    shared[1:] |= same
+    shared[:-1] |= same
+    postings = postings[shared]
+    size = (postings["n"] >> 1).astype(np.int64)
+    # Of equal sizes, early ones first: they reach the others.
+    order = np.lexsort((postings["id"], 1 - (postings["n"] & 1), size, postings["key"]))
+    postings, size = postings[order], size[order]
+    if len(postings) < 2:
+        return np.zeros((0, 2), np.int64)
+    last_early = np.maximum.accumulate(np.where(postings["n"] & 1, np.arange(len(postings)), -1))
+    before = last_early[:-1]
+    reached = (before >= 0) & (postings["key"][1:] == postings["key"][before])
+    reached &= 100 * size[before] >= percent * size[1:]
+    pairs = np.stack((postings["id"][1:][reached], postings["id"][before[reached]]), 1)
+    return np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
+
+
+def _meet(percent: int):
+    """Edges that hold together all classes which may link through a shingle.
+
+    Rare shingles chain classes by size. Under a frequent one, each class hangs on the first
+    of its band of sizes that comes by in this task, which is given out to meet those of other
+    tasks and bands; linked classes are in the same band or in neighbouring ones.
     """
-    by_bucket: dict[int, list[bytes]] = {}
-    heads: dict[int, bytes] = {}
-    for batch in batches:
-        a, b = [], []
-        for bucket, data, key, cls in zip(*(batch.column(c).to_pylist() for c in _POSTINGS.names)):
-            if data is not None:
-                by_bucket.setdefault(bucket, []).append(data)
-            elif heads.setdefault(key, cls) != cls:
-                a.append(cls)
-                b.append(heads[key])
-        if a:
-            yield pa.RecordBatch.from_pydict({"a": a, "b": b, "key": [None] * len(a)}, schema=_EDGES)
-    if heads:
-        firsts = list(heads.values())
-        yield pa.RecordBatch.from_pydict({"a": firsts, "b": firsts, "key": list(heads)}, schema=_EDGES)
-    for parts in by_bucket.values():
-        sizes = [len(p) // 24 for p in parts]
-        keys = np.concatenate([np.frombuffer(p, np.uint64, n) for p, n in zip(parts, sizes)])
-        owners = np.concatenate([np.frombuffer(p, ">u8", 2 * n, 8 * n).reshape(n, 2) for p, n in zip(parts, sizes)])
-        owners = owners.astype(np.uint64)
-        order = np.argsort(keys, kind="stable")
-        keys, owners = keys[order], owners[order]
-        same = keys[1:] == keys[:-1]
-        shared = np.zeros(len(keys), bool)
-        shared[1:] |= same
-        shared[:-1] |= same
-        keys, owners = keys[shared], owners[shared]
-        if not len(keys):
-            continue
-        order = np.lexsort((owners[:, 1], owners[:, 0], keys))
-        keys, owners = keys[order], owners[order]
-        begin = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-        least = np.repeat(owners[begin], np.diff(np.append(begin, len(keys))), axis=0)
-        pairs = np.unique(np.hstack((owners, least)), axis=0)
-        pairs = pairs[(pairs[:, 0] != pairs[:, 2]) | (pairs[:, 1] != pairs[:, 3])]
-        raw = pairs.astype(">u8").tobytes()
-        ends = range(0, len(raw), 32)
-        yield pa.RecordBatch.from_pydict(
-            {
-                "a": [raw[i : i + 16] for i in ends],
-                "b": [raw[i + 16 : i + 32] for i in ends],
-                "key": [None] * len(ends),
-            },
-            schema=_EDGES,
-        )
 
+    def edges(pairs: np.ndarray) -> pa.RecordBatch:
+        none = pa.nulls(len(pairs), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), none, none], schema=_EDGES)
 
-def _candidates(postings: DataFrame) -> DataFrame:
-    """Edges that hold together all classes which share a posting; written."""
-    met = written(spread(postings, "bucket").mapInArrow(_meet, "a binary, b binary, key long"), "met")
-    heads = met.filter("key is not null").select("key", "a")
-    least = heads.groupBy("key").agg(F.min("a").alias("b"))
-    often = heads.join(least, "key").select("a", "b")
-    return met.filter("key is null").select("a", "b").union(often)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_bucket: dict[int, list[np.ndarray]] = {}
+        heads: dict[tuple[int, int], int] = {}
+        for batch in batches:
+            pairs = []
+            for bucket, data, key, own, n in zip(*(batch.column(c).to_pylist() for c in _POSTINGS.names)):
+                if data is not None:
+                    by_bucket.setdefault(bucket, []).append(np.frombuffer(data, _PACKED))
+                    continue
+                band = int(np.log(n) / np.log(100 / percent) + 1e-9)
+                if heads.setdefault((key, band), own) != own:
+                    pairs.append((own, heads[key, band]))
+            if pairs:
+                yield edges(np.array(pairs, np.int64))
+        if heads:
+            firsts, keys = list(heads.values()), list(heads)
+            columns = [firsts, firsts, [k for k, _ in keys], [b for _, b in keys]]
+            yield pa.RecordBatch.from_pydict(dict(zip(_EDGES.names, columns)), schema=_EDGES)
+        for parts in by_bucket.values():
+            pairs = _chained(np.concatenate(parts), percent)
+            if len(pairs):
+                yield edges(pairs)
+
+    return run
+
+
+def _candidates(postings: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) between short ids; written."""
+    met = spread(postings, "bucket").mapInArrow(_meet(percent), "a long, b long, key long, band long")
+    met = written(met, "met")
+    heads = met.filter("key is not null").select("key", "band", "a")
+    least = heads.groupBy("key", "band").agg(F.min("a").alias("b"))
+    often = heads.join(least, ["key", "band"]).select("a", "b")
+    above = least.select("key", (F.col("band") - 1).alias("band"), F.col("b").alias("a"))
+    across = least.join(above, ["key", "band"]).select("a", "b")
+    return met.filter("key is null").select("a", "b").union(often).union(across)
 
 
 def _filter_of(ids: DataFrame, bits: int) -> np.ndarray:
@@ -342,26 +355,22 @@ def _filter_of(ids: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-_SETS = pa.schema([("cls", pa.binary()), ("n", pa.int64()), ("own", pa.binary())])
+_SETS = pa.schema([("of", pa.int64()), ("cls", pa.binary()), ("own", pa.binary())])
 
 
 def _load(size: int, wanted):
-    """(cls, n, own) of the documents that the filter lets through."""
+    """(doc_id, cls, own) of the documents that the filter lets through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = wanted.value
-        seen: set[bytes] = set()
         for piece in pieces(batches):
             at = piece.column("at").to_numpy(zero_copy_only=False)
-            keep = (bits[at >> 3] >> (7 - (at & 7))) & 1
+            keep = ((bits[at >> 3] >> (7 - (at & 7))) & 1).astype(bool)
             if keep.any():
-                sets = shingle_sets(piece.column("text").filter(pa.array(keep.astype(bool))), size)
-                named = {c: s for s in sets if len(s) and (c := digest(s)) not in seen}
-                seen.update(named)
-                yield pa.RecordBatch.from_pydict(
-                    {"cls": list(named), "n": [len(s) for s in named.values()], "own": [s.tobytes() for s in named.values()]},
-                    schema=_SETS,
-                )
+                chosen = pa.array(keep)
+                sets = shingle_sets(piece.column("text").filter(chosen), size)
+                columns = [piece.column("doc_id").filter(chosen), [digest(s) for s in sets], [s.tobytes() for s in sets]]
+                yield pa.RecordBatch.from_pydict(dict(zip(_SETS.names, columns)), schema=_SETS)
 
     return run
 
@@ -454,6 +463,7 @@ def _join_blocks(percent: int):
     """The local join over rows (block, side, cls, own) that come sorted by block."""
 
     def work(rows: list[tuple]) -> pa.RecordBatch:
+        rows = list({r[2]: r for r in rows}.values())
         names = [r[2] for r in rows]
         local = _Local([np.frombuffer(r[3], np.uint64) for r in rows], [r[1] for r in rows], percent)
         local.run()
@@ -486,7 +496,7 @@ def _local_join(rows: DataFrame, percent: int) -> DataFrame:
 
 def _distances(percent: int):
     schema = pa.schema(
-        [("block", pa.binary()), ("cls", pa.binary()), ("n", pa.int64()), ("own", pa.binary()),
+        [("block", pa.int64()), ("cls", pa.binary()), ("n", pa.int64()), ("own", pa.binary()),
          ("pivot", pa.binary()), ("ring", pa.int32()), ("linked", pa.bool_())]
     )
 
@@ -518,7 +528,7 @@ def _large(sets: DataFrame, percent: int) -> DataFrame:
     pivots = sets.groupBy("block").agg(F.min_by("own", "cls").alias("pivot_own"), F.min("cls").alias("pivot"))
     rung = sets.join(pivots, "block").mapInArrow(
         _distances(percent),
-        "block binary, cls binary, n long, own binary, pivot binary, ring int, linked boolean",
+        "block long, cls binary, n long, own binary, pivot binary, ring int, linked boolean",
     )
     rung = written(rung, "rings")
     rings = rung.groupBy("block", "ring").agg(
@@ -537,7 +547,7 @@ def _large(sets: DataFrame, percent: int) -> DataFrame:
         & (F.col("ring2") - F.col("ring") <= window)
         & ~_certain("ring", "ring2", percent)
     )
-    pair = F.concat_ws("/", F.hex("block"), "ring", "part", "ring2", "part2").cast("binary")
+    pair = F.xxhash64("block", "ring", "part", "ring2", "part2")
     alone = (F.col("ring") == F.col("ring2")) & (F.col("part") == F.col("part2"))
     sides = met.select(
         F.col("block").alias("of"), pair.alias("block"), "ring", "part",
@@ -596,20 +606,22 @@ def jaccard_join(
         rows.mapInArrow(_survey(size, buckets), "doc_id long, n long, cls binary, bucket int, payload binary"), "survey"
     )
     frequent = spark.sparkContext.broadcast(_frequent(survey, frequent_limit))
-    postings = rows.select("text").mapInArrow(
-        _post(size, percent, buckets, frequent), "bucket int, payload binary, key long, cls binary"
-    )
-    blocks = written(components(_candidates(postings), "blocks"), "blocks").withColumnsRenamed({"v": "cls", "root": "block"})
+    postings = rows.select("text").mapInArrow(_post(size, percent, buckets, frequent), _POSTINGS_DDL)
+    blocks = components(_candidates(postings, percent), "blocks").withColumnsRenamed({"v": "id", "root": "block"})
     classes = survey.filter("bucket is null").select("doc_id", "n", "cls")
-    sets = _sets_of(rows, classes, blocks, size)
-    total = sets.groupBy("block").agg(F.count("*").alias("classes"), F.sum("n").alias("shingles"))
+    members = _members(classes, blocks)
+    total = members.groupBy("block").agg(F.count("*").alias("classes"), F.sum("n").alias("shingles"))
     too_large = (F.col("classes") > block_classes) | (F.col("shingles") > block_shingles)
-    total = total.withColumn("large", too_large)
-    small = sets.join(total.filter("not large").select("block"), "block").withColumn("side", F.lit(-1))
-    found = _local_join(small, percent)
-    if not total.filter("large").isEmpty():
-        rest = sets.join(total.filter("large").select("block"), "block")
-        joined = written(found.union(_large(rest, percent)), "joined")
+    # At most one in so many classes, or in so many shingles.
+    large = written(total.filter(too_large).select("block"), "large")
+    sets = _sets_of(rows, members, size)
+    if large.isEmpty():
+        found = _local_join(sets.withColumn("side", F.lit(-1)), percent)
+    else:
+        sets = written(sets, "sets")
+        small = sets.join(F.broadcast(large), "block", "left_anti").withColumn("side", F.lit(-1))
+        rest = sets.join(F.broadcast(large), "block").dropDuplicates(["cls"])
+        joined = written(_local_join(small, percent).union(_large(rest, percent)), "joined")
         merged = components(joined.select(F.col("cls").alias("a"), F.col("root").alias("b")), "links")
         links = joined.groupBy("cls").agg(F.sum("links").alias("links"))
         found = merged.withColumnRenamed("v", "cls").join(links, "cls")
@@ -625,17 +637,27 @@ def jaccard_join(
     )
 
 
-def _sets_of(rows: DataFrame, classes: DataFrame, blocks: DataFrame, size: int) -> DataFrame:
-    """(block, cls, n, own) of every class in a block, from one more scan of the texts."""
+def _members(classes: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(block, cls, n, doc_id) of every class in a block, with one of its documents; written."""
+    short = F.conv(F.substring(F.hex("cls"), 1, 16), 16, -10).cast("long")
+    named = classes.filter("n > 0").withColumn("id", short).join(blocks, "id")
+    one = named.groupBy("block", "cls").agg(F.first("n").alias("n"), F.min("doc_id").alias("doc_id"))
+    return written(one, "members")
+
+
+def _sets_of(rows: DataFrame, members: DataFrame, size: int) -> DataFrame:
+    """(block, cls, n, own) of the members, from one more scan of the texts.
+
+    A document that is repeated may give its class more than once.
+    """
     spark = rows.sparkSession
-    members = blocks.join(classes, "cls").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
     bits = 1 << 16
     wanted = 16 * max(1, members.count())
     while bits < min(wanted, FILTER_BITS):
         bits <<= 1
     wanted = spark.sparkContext.broadcast(_filter_of(members, bits))
-    loaded = rows.select(F.pmod(F.hash("doc_id"), F.lit(bits)).alias("at"), "text").mapInArrow(
-        _load(size, wanted), "cls binary, n long, own binary"
+    loaded = rows.select("doc_id", F.pmod(F.hash("doc_id"), F.lit(bits)).alias("at"), "text").mapInArrow(
+        _load(size, wanted), "of long, cls binary, own binary"
     )
-    one = loaded.join(blocks, "cls").groupBy("block", "cls").agg(F.first("n").alias("n"), F.first("own").alias("own"))
-    return written(one, "sets")
+    same = (loaded.cls == members.cls) & loaded.of.eqNullSafe(members.doc_id)
+    return loaded.join(members, same).select("block", members.cls, "n", "own")
