@@ -5,11 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwright.llm import langid, quality
+from tripwright.llm import chat, langid, mixing, quality, tokenids
 from tripwright.llm.decontaminate import DECONTAMINATE_SQL, find_passages
 from tripwright.llm.jaccard import jaccard_join
+from tripwright.llm.licenses import LICENSE_SQL, scan_licenses
 from tripwright.llm.linededup import LINE_DEDUP_SQL, drop_shared_lines
-from tripwright.llm.tables import table
+from tripwright.llm.merkle import fingerprint_documents
+from tripwright.llm.sample import held_out
+from tripwright.llm.tables import table, written
+
+
+def op1_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    segments = written(tokenids.encode_documents(table(spark, folder, "documents")), "segments")
+    return tokenids.describe(segments)
 
 
 def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -17,6 +25,10 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(docs, langid.train(docs))
 
 
+def op3_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint_documents(table(spark, folder, "documents"))
+
+
 def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     labels = table(spark, folder, "labels").select("doc_id", "quality")
@@ -28,6 +40,16 @@ def op5_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return joined.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
+def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "source")
+    mixed = mixing.mix(docs, mixing.tempered(mixing.source_counts(docs)))
+    return mixed.select("doc_id", F.col("mix_source").alias("source"), "mix_block", "mix_slot", "mix_place")
+
+
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(table(spark, folder, "documents"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(
@@ -45,15 +67,28 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations")
+    parsed = chat.parse_roles(turns, chat.train(turns))
+    return parsed.select("conv_id", "turn", held_out("conv_id").alias("held_out"), "role_pred", "rendered")
+
+
 QUERIES = [
+    op1_token_ids,
     op2_language_id,
+    op3_document_fingerprints,
     op4_quality_classifier,
     op5_ngram_jaccard_join,
+    op6_mix_sources,
+    op7_license_scan,
     op8_benchmark_decontamination,
     op9_line_dedup,
+    op10_chat_formatting,
 ]
 REGISTRY = {query.__name__: query for query in QUERIES}
 ORACLE_SQL: dict[str, str] = {
+    "op6_mix_sources": mixing.MIX_SQL,
+    "op7_license_scan": LICENSE_SQL,
     "op8_benchmark_decontamination": DECONTAMINATE_SQL,
     "op9_line_dedup": LINE_DEDUP_SQL,
 }
