@@ -5,13 +5,14 @@ from __future__ import annotations
 import re
 import sys
 import uuid
+from collections.abc import Callable
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripwright.llm.tables import per_batch, texts
+from tripwright.llm.tables import per_batch, pieces, texts
 
 WINDOW = 10
 #: The automaton stands in every Python worker, so the benchmark must be small.
@@ -87,6 +88,25 @@ def original(text: str, spans: list[list[int]]) -> list[list[int]]:
     return [[at[a][0], at[b - 1][1]] for a, b in spans]
 
 
+def _windows(benchmark: DataFrame, window: int, limit: int) -> Callable[[], Windows]:
+    """What gives a task the windows: they are built once in each Python worker."""
+    size = benchmark.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    if size > limit:
+        raise ValueError(f"a benchmark of {size} bytes exceeds {limit}")
+    rows = benchmark.filter("text is not null").select(F.col("item_id").cast("string"), "text").collect()
+    items = benchmark.sparkSession.sparkContext.broadcast([(r[0] or "", r[1]) for r in rows])
+    name = uuid.uuid4().hex
+
+    def build() -> Windows:
+        kept = sys.modules.setdefault("_tripwright_windows", {})
+        if name not in kept:
+            kept.clear()
+            kept[name] = Windows(items.value, window)
+        return kept[name]
+
+    return build
+
+
 _SCHEMA = pa.schema(
     [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()),
      ("items", pa.list_(pa.string())), ("spans", pa.list_(pa.list_(pa.int64())))]
@@ -108,20 +128,10 @@ def find_passages(
     benchmark hits nothing. A benchmark of more than ``limit`` bytes is an error: it would not
     fit each worker. The documents are read once and nothing is shuffled.
     """
-    size = benchmark.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    if size > limit:
-        raise ValueError(f"a benchmark of {size} bytes exceeds {limit}")
-    rows = benchmark.filter("text is not null").select(F.col("item_id").cast("string"), "text").collect()
-    items = docs.sparkSession.sparkContext.broadcast([(r[0] or "", r[1]) for r in rows])
-    name = uuid.uuid4().hex
+    windows_of = _windows(benchmark, window, limit)
 
     def make():
-        kept = sys.modules.setdefault("_tripwright_windows", {})
-        key = (name, window)
-        if key not in kept:
-            kept.clear()
-            kept[key] = Windows(items.value, window)
-        windows = kept[key]
+        windows = windows_of()
 
         def work(piece: pa.RecordBatch) -> dict:
             out: dict = {c: [] for c in _SCHEMA.names}
@@ -143,6 +153,19 @@ def find_passages(
     )
 
 
+def without_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: int = BENCHMARK_BYTES) -> DataFrame:
+    """The rows of ``docs`` that hold no window of the benchmark, with all their columns."""
+    windows_of = _windows(benchmark, window, limit)
+
+    def run(batches):
+        windows = windows_of()
+        for piece in pieces(batches):
+            clean = [not windows.scan(normal_words(t))[0] for t in texts(piece.column("text"))]
+            yield piece.filter(pa.array(clean, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 DECONTAMINATE_SQL = """
 with lowered as (
     select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

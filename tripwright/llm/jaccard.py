@@ -70,7 +70,7 @@ def _unpack(data: bytes) -> np.ndarray:
 
 _SURVEY = pa.schema(
     [
-        ("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.binary()),
+        ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("cls", pa.binary()),
         ("bucket", pa.int32()), ("payload", pa.binary()),
     ]
 )
@@ -86,7 +86,7 @@ def _survey(size: int, buckets: int):
         none = [None] * len(filled)
         packed = [_pack(keys[cuts[k] : cuts[k + 1]]) for k in filled]
         return pa.RecordBatch.from_arrays(
-            [pa.array(x, t) for x, t in zip((none, none, none, filled, packed), _SURVEY.types)],
+            [pa.array(x, t) for x, t in zip((none, none, none, none, filled, packed), _SURVEY.types)],
             schema=_SURVEY,
         )
 
@@ -98,7 +98,8 @@ def _survey(size: int, buckets: int):
             n = len(sets)
             yield pa.RecordBatch.from_arrays(
                 [
-                    piece.column("doc_id").cast(pa.int64()),
+                    piece.column("doc_id"),
+                    piece.column("text_hash"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([digest(s) for s in sets], pa.binary()),
                     pa.nulls(n, pa.int32()),
@@ -588,27 +589,33 @@ def jaccard_join(
     block_classes: int = BLOCK_CLASSES,
     block_shingles: int = BLOCK_SHINGLES,
 ) -> DataFrame:
-    """(doc_id, cls, n_shingles, component_id, n_links) per row of ``docs`` (doc_id, text).
+    """(doc_id, text_hash, component, n_shingles, component_id, n_links) per row of ``docs``.
 
     Two documents link when 100 * |A and B| >= percent * |A or B| over their distinct shingles
     of ``size`` words. Texts with equal sets form a class; ``component_id`` is the smallest
     doc_id that links lead to, ``n_links`` the number of different sets linked to this one.
     The result is exact: shingles are 64-bit hashes, classes 128-bit ones.
 
-    Null and empty texts have no shingles, a null class and no links; their component is their
-    own id. Equal ids are separate rows. A null id is never a component's smallest; a component
+    ``docs`` has doc_id and text. ``component`` is a digest that all documents of a component
+    share, ``text_hash`` Spark's xxhash64 of the text.
+
+    Null and empty texts have no shingles, no component and no links; their ``component_id``
+    is their own id. Equal ids are separate rows. A null id is never a component's smallest; a component
     without any id has a null one. Other columns are ignored. An empty table gives no rows.
     """
     spark = docs.sparkSession
     buckets = partitions(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     survey = written(
-        rows.mapInArrow(_survey(size, buckets), "doc_id long, n long, cls binary, bucket int, payload binary"), "survey"
+        rows.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+            _survey(size, buckets), "doc_id long, text_hash long, n long, cls binary, bucket int, payload binary"
+        ),
+        "survey",
     )
     frequent = spark.sparkContext.broadcast(_frequent(survey, frequent_limit))
     postings = rows.select("text").mapInArrow(_post(size, percent, buckets, frequent), _POSTINGS_DDL)
     blocks = components(_candidates(postings, percent), "blocks").withColumnsRenamed({"v": "id", "root": "block"})
-    classes = survey.filter("bucket is null").select("doc_id", "n", "cls")
+    classes = survey.filter("bucket is null").select("doc_id", "text_hash", "n", "cls")
     members = _members(classes, blocks)
     total = members.groupBy("block").agg(F.count("*").alias("classes"), F.sum("n").alias("shingles"))
     too_large = (F.col("classes") > block_classes) | (F.col("shingles") > block_shingles)
@@ -630,7 +637,8 @@ def jaccard_join(
     least = named.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
     return named.join(least.filter("least is not null"), "root", "left").select(
         "doc_id",
-        F.when(F.col("n") > 0, F.col("cls")).alias("cls"),
+        "text_hash",
+        F.when(F.col("n") > 0, F.col("root")).alias("component"),
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
         F.coalesce("links", F.lit(0)).alias("n_links"),
@@ -661,3 +669,25 @@ def _sets_of(rows: DataFrame, members: DataFrame, size: int) -> DataFrame:
     )
     same = (loaded.cls == members.cls) & loaded.of.eqNullSafe(members.doc_id)
     return loaded.join(members, same).select("block", members.cls, "n", "own")
+
+
+def one_of_each(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each component: the smallest id, then the smallest text hash.
+
+    Rows without shingles all stay. Of repeated rows one stays.
+    """
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
+    groups = written(jaccard_join(rows.select("doc_id", "text"), size, percent), "groups")
+    key = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("id"), F.col("text_hash").alias("print"))
+    first = groups.filter("n_shingles > 0").groupBy("component").agg(F.min(key).alias("first"))
+    loose = groups.filter("n_shingles = 0").select("doc_id", "text_hash").distinct()
+    stays = first.select("first.id", "first.print", F.lit(True).alias("single")).union(
+        loose.withColumn("single", F.lit(False))
+    )
+    own = rows.select("row", F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
+    kept = own.join(stays, own.doc_id.eqNullSafe(stays.id) & (own.text_hash == stays["print"]))
+    repeated = groups.filter("n_shingles > 0").groupBy("doc_id", "text_hash").count().filter("count > 1")
+    if not repeated.isEmpty():
+        single = kept.filter("single").dropDuplicates(["doc_id", "text_hash"])
+        kept = kept.filter("not single").union(single)
+    return kept.select("row.*")

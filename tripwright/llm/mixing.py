@@ -80,46 +80,57 @@ def source_counts(docs: DataFrame, limit: int = MAX_SOURCES) -> dict[str, int]:
 
 
 def mix(docs: DataFrame, weights: Mapping[str, float], block: int = BLOCK, period: int = PERIOD) -> DataFrame:
-    """``docs`` (doc_id, source, ...) with where each row stands in the mixture.
+    """Every row of ``docs`` (doc_id, source, ...) with where it stands in the mixture.
 
-    Adds ``mix_block`` (number of the row's block in its source), ``mix_slot`` (slot of that
-    block) and ``mix_place`` (a number by which rows are in the order of the mixture). Within
-    a source rows are in the order of the md5 of their id, then the id, then ``tie`` columns
-    that Spark hashes from the whole row. No row is lost: when a source runs dry its slots
-    stay empty and the others go on in their order; sources without a positive weight come
-    after all others, in order of their names. A null source is the source named "".
+    (row, source, key, mix_block, mix_slot, mix_place): ``row`` is the whole row as a struct,
+    ``mix_block`` the number of its block in its source, ``mix_slot`` the slot of that block,
+    ``mix_place`` a number by which rows are in the order of the mixture. Within a source rows
+    are in the order of ``key``, the md5 of their id, then of the id, then of the hash of the
+    row; equal rows are alike in any order. A null source is the source named "".
+
+    No row is lost: when a source runs dry its slots stay empty and the others go on in their
+    order; rows of sources without a positive weight have no slot and no place and belong
+    after all others. An empty table gives no rows. Input columns may have any names.
 
     Sources are numbered by way of hash ranges, so that a source which holds a third of the
     rows is spread over tasks. The schedule of one period is broadcast: ``period`` rows.
     """
     spark = docs.sparkSession
     slots = shares(weights, period)
-    plan = spark.createDataFrame(schedule(slots), "mix_source string, mix_k long, mix_offset long")
-    taken = spark.createDataFrame(sorted(slots.items()) or [("", 0)], "mix_source string, mix_share long")
+    plan = spark.createDataFrame(schedule(slots), "source string, k long, offset long")
+    taken = spark.createDataFrame(sorted(slots.items()), "source string, share long")
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    rows = docs.withColumns(
-        {
-            "mix_source": F.coalesce("source", F.lit("")),
-            "mix_key": key,
-            "mix_cut": F.conv(F.substring(key, 1, 2), 16, 10).cast("int"),
-            "mix_tie": F.xxhash64(*[F.col(c) for c in docs.columns]),
-        }
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.coalesce("source", F.lit("")).alias("source"),
+        F.col("doc_id").alias("id"),
+        key.alias("key"),
+        F.conv(F.substring(key, 1, 2), 16, 10).cast("int").alias("cut"),
+        F.xxhash64(*docs.columns).alias("tie"),
+    )
+    sizes = rows.groupBy("source", "cut").agg(F.count("*").alias("n"))
+    ahead = Window.partitionBy("source").orderBy("cut").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.select("source", "cut", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("base"))
+    inside = Window.partitionBy("source", "cut").orderBy("key", "id", "tie")
+    numbered = rows.withColumn("at", F.row_number().over(inside) - 1)
+    # At most MAX_SOURCES * CUTS rows of counts.
+    numbered = numbered.join(F.broadcast(bases), ["source", "cut"]).withColumn("at", F.col("base") + F.col("at"))
+    shared = numbered.join(F.broadcast(taken), "source", "left").withColumns(
+        {"mix_block": F.floor(F.col("at") / F.lit(block)), "inner": F.col("at") % F.lit(block)}
+    )
+    shared = shared.withColumn("k", F.col("mix_block") % F.col("share"))
+    planned = shared.join(F.broadcast(plan), ["source", "k"], "left")
+    slot = F.floor(F.col("mix_block") / F.col("share")) * F.lit(sum(slots.values())) + F.col("offset")
+    return planned.withColumn("mix_slot", slot).select(
+        "row", "source", "key", "mix_block", "mix_slot", (F.col("mix_slot") * F.lit(block) + F.col("inner")).alias("mix_place")
     )
-    sizes = rows.groupBy("mix_source", "mix_cut").agg(F.count("*").alias("n"))
-    ahead = Window.partitionBy("mix_source").orderBy("mix_cut").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.select("mix_source", "mix_cut", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("mix_base"))
-    inside = Window.partitionBy("mix_source", "mix_cut").orderBy("mix_key", "doc_id", "mix_tie")
-    numbered = rows.withColumn("mix_row", F.row_number().over(inside) - 1)
-    numbered = numbered.join(F.broadcast(bases), ["mix_source", "mix_cut"])
-    at = F.col("mix_base") + F.col("mix_row")
-    numbered = numbered.withColumns({"mix_block": F.floor(at / F.lit(block)), "mix_in": at % F.lit(block)})
-    shared = numbered.join(F.broadcast(taken), "mix_source", "left")
-    shared = shared.withColumn("mix_k", F.col("mix_block") % F.nullif("mix_share", F.lit(0)))
-    planned = shared.join(F.broadcast(plan), ["mix_source", "mix_k"], "left")
-    slot = F.floor(F.col("mix_block") / F.col("mix_share")) * F.lit(sum(slots.values())) + F.col("mix_offset")
-    return planned.withColumn("mix_slot", slot).withColumn(
-        "mix_place", F.col("mix_slot") * F.lit(block) + F.col("mix_in")
-    ).select(*docs.columns, "mix_source", "mix_block", "mix_slot", "mix_place", "mix_key")
+
+
+def in_order(docs: DataFrame, weights: Mapping[str, float]) -> DataFrame:
+    """The same rows, sorted into the order of the mixture."""
+    mixed = mix(docs, weights)
+    order = [F.asc_nulls_last("mix_place"), "source", "key", F.xxhash64("row")]
+    return mixed.orderBy(*order).select("row.*")
 
 
 MIX_SQL = f"""

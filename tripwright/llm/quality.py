@@ -244,3 +244,16 @@ def score_quality(docs: DataFrame, model: Model | None) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text")
     )
     return rows.mapInArrow(per_batch(make, _SCHEMA), "doc_id long, held_out boolean, score double, predicted int")
+
+
+def keep_good(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows of ``docs`` whose text is predicted good, with all their columns."""
+    known = carried(docs.sparkSession, model)
+
+    def run(batches):
+        own = unpacked(known)
+        for piece in pieces(batches):
+            scores = own.score(texts(piece.column("text"))) if own is not None else np.full(piece.num_rows, 0.5)
+            yield piece.filter(pa.array(scores >= 0.5))
+
+    return docs.mapInArrow(run, docs.schema)

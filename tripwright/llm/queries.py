@@ -43,7 +43,7 @@ def op5_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source")
     mixed = mixing.mix(docs, mixing.tempered(mixing.source_counts(docs)))
-    return mixed.select("doc_id", F.col("mix_source").alias("source"), "mix_block", "mix_slot", "mix_place")
+    return mixed.select("row.doc_id", "source", "mix_block", "mix_slot", "mix_place")
 
 
 def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -184,5 +185,19 @@ def describe(segments: DataFrame) -> DataFrame:
     )
 
 
+def encode_as_filed(docs: DataFrame) -> DataFrame:
+    """Segments of ``docs`` in the order in which its files hold the rows.
+
+    Files are in the order of their part numbers. Rows that come from no file go by doc_id.
+    """
+    rows = docs.select("doc_id", "text")
+    try:
+        part = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long")
+        filed = docs.select("doc_id", "text", (part * F.lit(1 << 36) + F.col("_metadata.row_index")).alias("place"))
+    except AnalysisException:
+        filed = rows.withColumn("place", F.col("doc_id").cast("long"))
+    return encode_documents(filed, order="place")
+
+
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SEGMENTS_DDL).parquet(path)
