@@ -19,6 +19,8 @@ def bounds(df: DataFrame, column: str, parts: int) -> list[float]:
 
 def with_range(df: DataFrame, column: str, name: str, inner: list[float]) -> DataFrame:
     """Adds ``name``: the number of the range, ascending; nulls are in a range before the first."""
+    if not inner:
+        return df.withColumn(name, F.when(F.col(column).isNull(), -1).otherwise(0).cast("long"))
     number = Bucketizer(
         splits=[float("-inf"), *inner, float("inf")], inputCol="_place", outputCol="_range", handleInvalid="keep"
     )
