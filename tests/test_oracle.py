@@ -11,10 +11,12 @@ from conftest import TESTDATA
 
 import __spark_entry__ as entry_points
 from tripwright.plans.derive import TABLES
+from tripwright.plans.queries import REGISTRY
 
 FOLDER = TESTDATA / os.environ.get("ORACLE_SF", "sf0.01")
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+# Queries of the subpackage that may be absent are tested with it.
+QUERIES = {n: q for n, q in entry_points.queries().items() if n in REGISTRY}
+ORACLE = {n: s for n, s in entry_points.oracle_sql().items() if n in REGISTRY}
 SPARK_TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",

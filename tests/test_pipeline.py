@@ -17,6 +17,7 @@ from tripwright.plans import pipeline as pipelines
 from tripwright.plans.pipeline import KEYED, STRICT, run, time_stages
 from tripwright.sinks import files as sinks
 from tripwright.sources.records import read_run_metrics
+from tripwright.sources.tables import read_zones
 
 SMALL = str(TESTDATA / "sf0.001")
 
@@ -41,7 +42,7 @@ def test_run_writes_rows_summary_and_metrics(spark, inputs, tmp_path, pipeline,
     assert (doc.input_rows, doc.cleaned_rows, doc.joined_rows, doc.agg_rows) == (
         1150, cleaned, cleaned, 120
     )
-    assert doc.phases["total_s"] >= doc.phases["export_s"] > 0
+    assert list(doc.phases) == ["total_s"] and doc.phases["total_s"] > 0
 
 
 def test_cleaned_rows_are_counted_apart_from_a_shuffle_join(spark, inputs, tmp_path, monkeypatch):
@@ -91,9 +92,57 @@ def test_a_run_over_trips_that_are_all_dropped_ends(spark, inputs, tmp_path):
 
 
 def test_stage_times_are_those_of_the_stages(spark):
-    seconds = time_stages(STRICT, derive.trips(spark, SMALL), derive.zones(spark, SMALL))
-    assert list(seconds) == ["ingestion_s", "cleansing_s", "join_s", "udf_s", "aggregate_s"]
-    assert all(s >= 0 for s in seconds.values())
+    timer = time_stages(STRICT, derive.trips(spark, SMALL), derive.zones(spark, SMALL))
+    assert list(timer.seconds) == ["ingestion_s", "cleansing_s", "join_s", "udf_s"]
+    assert all(s >= 0 for s in timer.seconds.values())
+    assert sum(timer.seconds.values()) >= timer.whole
+
+
+def test_the_total_leaves_out_the_timing(spark, inputs, tmp_path):
+    def phases(timed):
+        paths = [f"{tmp_path}/{timed}/{n}" for n in ("rows", "summary", "metrics")]
+        run(spark, *inputs, *paths, timed=timed)
+        return read_run_metrics(spark, paths[2]).head().phases
+
+    phases(False)
+    plain, timed = phases(False), phases(True)
+    assert set(timed) == {
+        "ingestion_s", "cleansing_s", "join_s", "udf_s", "aggregate_s", "export_s", "total_s"
+    }
+    assert timed["total_s"] < 3 * plain["total_s"] and timed["export_s"] <= timed["total_s"]
+
+
+@pytest.mark.parametrize("pipeline", [STRICT, KEYED])
+@pytest.mark.parametrize("zones", ["LocationID,Borough,Zone\n", "LocationID,Borough,Zone\n1,,x\n"])
+def test_a_run_without_usable_zones_records_its_counts(spark, inputs, tmp_path, pipeline, zones):
+    (tmp_path / "zones.csv").write_text(zones)
+    paths = [f"{tmp_path}/{n}" for n in ("rows", "summary", "metrics")]
+    out = run(spark, inputs[0], str(tmp_path / "zones.csv"), *paths, pipeline)
+    (doc,) = read_run_metrics(spark, paths[2]).collect()
+    cleaned = pipeline.clean(derive.trips(spark, SMALL)).count()
+    joined = pipeline.joined(derive.trips(spark, SMALL), read_zones(spark, str(tmp_path / "zones.csv"))).count()
+    assert (doc.input_rows, doc.cleaned_rows, doc.joined_rows, doc.agg_rows) == (
+        1150, cleaned, joined, out.count()
+    )
+
+
+def test_one_run_of_several_is_named(spark, inputs, tmp_path):
+    paths = [f"{tmp_path}/{n}" for n in ("rows", "summary", "metrics")]
+    for _ in range(2):
+        run(spark, *inputs, *paths)
+    metrics = read_run_metrics(spark, paths[2])
+    with pytest.raises(ValueError, match="several runs"):
+        recorded_funnel(metrics)
+    with pytest.raises(ValueError, match="no runs named"):
+        recorded_funnel(metrics, "none")
+    assert recorded_funnel(metrics, metrics.head().run_id).count() == 4
+
+
+def test_a_keyed_funnel_refuses_repeated_zones(spark):
+    trips = derive.trips(spark, SMALL)
+    zones = derive.zones(spark, SMALL)
+    with pytest.raises(ValueError, match="more than once"):
+        row_funnel(trips, trips, zones.union(zones), named_zones_only=True)
 
 
 @pytest.mark.parametrize("pipeline", [STRICT, KEYED])
@@ -146,7 +195,8 @@ def test_commands(spark, inputs, tmp_path, capsys):
     ) == 1
     said = dict(line.split(None, 1) for line in capsys.readouterr().out.splitlines())
     assert said == {
-        "row_counts": "2 differ", "columns_present": "ok", "group_keys": "ok",
+        "row_counts": "2 differ", "columns_present": "ok", "repeated_keys": "ok",
+        "group_counts": "ok", "group_keys": "ok",
         "trip_counts": "38 differ", "mean_speeds": said["mean_speeds"],
     }
     with pytest.raises(SystemExit):

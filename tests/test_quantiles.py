@@ -49,25 +49,52 @@ def check(out, groups):
         assert got[key] == pytest.approx([exact(values, f) for f in FRACTIONS], rel=1e-12), key
 
 
-@pytest.mark.parametrize("limit", [0, quantiles.DISTINCT_LIMIT])
-def test_small_groups_by_either_way(spark, limit):
+@pytest.mark.parametrize("limit", [0, 5, quantiles.SLICE_LIMIT])
+def test_small_groups_however_often_they_are_cut(spark, limit):
     df = table(spark, SMALL_GROUPS)
     check(quantiles.exact_percentiles(df, ["k"], "v", FRACTIONS, limit), SMALL_GROUPS)
 
 
-@pytest.mark.parametrize("accuracy", [100, 1000, quantiles.ACCURACY])
-def test_large_groups_stay_exact_with_a_coarse_first_pass(spark, accuracy):
+@pytest.mark.parametrize("limit", [20, quantiles.SLICE_LIMIT])
+def test_large_groups_are_exact(spark, limit):
     groups = large_groups()
-    out = quantiles.bracketed_percentiles(table(spark, groups), ["k"], FRACTIONS, accuracy)
-    check(out, groups)
+    check(quantiles.exact_percentiles(table(spark, groups), ["k"], "v", FRACTIONS, limit), groups)
 
 
-def test_the_way_follows_from_the_number_of_distinct_values(spark):
-    df = table(spark, large_groups())
-    few = quantiles.exact_percentiles(df, ["k"], "v", [0.5])
-    many = quantiles.exact_percentiles(df, ["k"], "v", [0.5], distinct_limit=1000)
-    plans = [d._jdf.queryExecution().optimizedPlan().toString() for d in (few, many)]
-    assert ["Window" in p for p in plans] == [False, True]
+ODD = {
+    "infinite": [-math.inf, 1.0],
+    "both ends": [-math.inf, math.inf],
+    "far apart": [1e308, -1e308],
+    "uneven": [0.1, 0.7, 0.3, 1.9],
+    "nan": [math.nan, 1.0, 2.0],
+}
+
+
+@pytest.mark.parametrize("limit", [0, quantiles.SLICE_LIMIT])
+def test_results_are_those_of_sparks_percentile_to_the_bit(spark, limit):
+    from pyspark.sql import functions as F
+
+    fractions = [0.0, 0.1, 1 / 3, 0.5, 0.9, 1.0]
+    df = table(spark, ODD | large_groups())
+    want = {r.k: r.p for r in df.groupBy("k").agg(F.percentile("v", fractions).alias("p")).collect()}
+    got = {r.k: r.percentiles for r in quantiles.exact_percentiles(df, ["k"], "v", fractions, limit).collect()}
+    assert {k: repr(v) for k, v in got.items()} == {k: repr(v) for k, v in want.items()}
+
+
+def test_no_window_spans_a_whole_group(spark):
+    groups = large_groups()
+    values, wanted = (
+        table(spark, groups).selectExpr("k as _key0", "'' as _slice", "v as _v", "1L as _n").distinct(),
+        spark.createDataFrame([("spread", "", 0, 9_999)], "_key0 string, _slice string, _i int, _rank long"),
+    )
+    kept, ranks, _ = quantiles._cut(values, wanted, ["_key0"])
+    assert kept.count() < 20_000 / 30 and ranks.count() == 1
+
+
+def test_key_columns_may_have_any_name(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4, 5.0)], "v int, low int, total int, _slice int, x double")
+    (row,) = quantiles.exact_percentiles(df, ["v", "low", "total", "_slice"], "x", [0.5]).collect()
+    assert tuple(row) == (1, 2, 3, 4, [5.0])
 
 
 @pytest.mark.parametrize("limit", [0, 10])
@@ -81,9 +108,3 @@ def test_nulls_are_skipped(spark, limit):
 def test_an_empty_table_has_no_groups(spark):
     df = spark.createDataFrame([], "k string, v double")
     assert quantiles.exact_percentiles(df, ["k"], "v", [0.5]).count() == 0
-
-
-def test_many_groups_take_the_shuffle_join(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "BROADCAST_GROUPS", 2)
-    groups = {str(k): range(k, 3 * k + 2) for k in range(8)}
-    check(quantiles.bracketed_percentiles(table(spark, groups), ["k"], FRACTIONS), groups)

@@ -109,6 +109,8 @@ def test_every_check_is_made_whatever_another_finds(spark, sides):
     assert got == {
         "row_counts": (1, False),
         "columns_present": (0, True),
+        "repeated_keys": (0, True),
+        "group_counts": (0, True),
         "group_keys": (2, False),
         "trip_counts": (2, False),
         "mean_speeds": (4, False),
@@ -116,7 +118,8 @@ def test_every_check_is_made_whatever_another_finds(spark, sides):
     lacking = reconcile.report(sides[0], sides[1].drop("mean_speed_mph"))
     got = {r.check: r.ok for r in lacking.collect()}
     assert got == {
-        "columns_present": False, "group_keys": False, "trip_counts": False, "mean_speeds": False
+        "columns_present": False, "repeated_keys": True, "group_counts": True,
+        "group_keys": False, "trip_counts": False, "mean_speeds": False,
     }
 
 
@@ -146,3 +149,9 @@ def test_mean_skips_null_speeds_but_the_count_does_not(spark):
     assert list(map(tuple, speed_by_group(rows).collect())) == [
         (0, "C", 1.0, 1), (1, None, None, 1), (1, "B", 4.0, 2)
     ]
+
+
+def test_a_repeated_group_is_reported(spark, sides):
+    left, _ = sides
+    checks = {r.check: r.failures for r in reconcile.report(left.union(left.limit(1)), left).collect()}
+    assert checks["repeated_keys"] == 1 and checks["group_counts"] == 1

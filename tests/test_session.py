@@ -1,31 +1,47 @@
 from __future__ import annotations
 
-import pytest
-
 from tripwright import session
 
 
-class FakeSession:
-    def __init__(self, master, folder=None):
-        self.sparkContext = type("Context", (), {"master": master})
-        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: folder)})
-
+class Settings:
+    """A session whose settings are given, on the real session's JVM."""
 
-def test_the_shared_folder_of_the_cluster_is_used():
-    path = session.work_dir(FakeSession("spark://host:7077", "hdfs:///shared/"), "x")
-    assert path.startswith("hdfs:///shared/x-")
+    def __init__(self, spark, settings):
+        self.sparkContext = spark.sparkContext
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, *default: settings.get(key, *default))})
 
 
-def test_a_cluster_without_a_shared_folder_is_an_error():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.work_dir(FakeSession("spark://host:7077"), "x")
+def test_the_shared_folder_of_the_cluster_is_used(spark, tmp_path):
+    shared = f"file://{tmp_path}/shared/"
+    path = session.work_dir(Settings(spark, {"spark.checkpoint.dir": shared}), "x")
+    assert path.startswith(f"file://{tmp_path}/shared/x-") and (tmp_path / "shared").is_dir()
 
 
-def test_a_local_session_may_use_a_folder_of_its_own():
-    a, b = (session.work_dir(FakeSession("local[2]"), "x") for _ in range(2))
-    assert a != b and a.rsplit("/", 1)[0] == b.rsplit("/", 1)[0]
+def test_without_that_setting_the_warehouse_is_used(spark, tmp_path):
+    given = Settings(spark, {"spark.sql.warehouse.dir": str(tmp_path)})
+    a, b = (session.work_dir(given, "x") for _ in range(2))
+    assert a != b and all(p.startswith(f"{tmp_path}/x-") for p in (a, b))
 
 
 def test_the_setting_is_read_from_the_session(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert session.work_dir(spark, "x").startswith(folder)
+
+
+def test_nothing_is_left_when_the_session_ends(tmp_path):
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = f"""
+import sys; sys.path.insert(0, {str(Path(__file__).parent.parent)!r})
+from pyspark.sql import SparkSession
+from tripwright.session import work_dir
+spark = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", {str(tmp_path)!r}).getOrCreate())
+spark.range(3).write.parquet(work_dir(spark, "x") + "/rows")
+import os; assert os.listdir({str(tmp_path)!r})
+spark.stop()
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120, capture_output=True)
+    assert not any(p.name.startswith("x-") for p in tmp_path.iterdir())

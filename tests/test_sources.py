@@ -78,19 +78,48 @@ def test_names_clashing_by_case_are_an_error(spark, drifting):
 
 
 def test_no_files_is_an_error(spark, tmp_path):
-    with pytest.raises(files.NoInputError, match="no parquet files"):
+    with pytest.raises(files.NoInputError, match="no files"):
         tables.read_normalized(spark, str(tmp_path))
     with pytest.raises(files.NoInputError):
-        files.list_parquet(spark, [])
+        files.list_files(spark, [])
     with pytest.raises(ValueError, match="nothing"):
         tables.union_by_name([])
 
 
-def test_listing_is_sorted_and_skips_other_files(spark, tmp_path):
-    for name in ("b.parquet", "a b.parquet", "c.csv"):
+def test_listing_is_sorted_and_goes_deep_whatever_the_names(spark, tmp_path):
+    (tmp_path / "x" / "y").mkdir(parents=True)
+    for name in ("b.parquet", "a b.parquet", "x/y/c.parq", "x/d", "_SUCCESS", ".hidden"):
         (tmp_path / name).write_bytes(b"")
-    found = files.list_parquet(spark, str(tmp_path))
-    assert [f.rsplit("/", 1)[1] for f in found] == ["a b.parquet", "b.parquet"]
+    found = files.list_files(spark, str(tmp_path))
+    assert [f.split(tmp_path.name + "/")[1] for f in found] == ["a b.parquet", "b.parquet", "x/d", "x/y/c.parq"]
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.select("Id", "Place", "Guests").collect()))
+
+
+@pytest.mark.parametrize("column", ["Guests", "Place"])
+def test_columns_in_folder_names_are_read(spark, tmp_path, column):
+    df = spark.sql("select id as Id, id % 3 as Place, cast(id % 2 as double) as Guests from range(30)")
+    df.write.partitionBy(column).parquet(str(tmp_path / "t"))
+    df.write.parquet(str(tmp_path / "u"))
+    got = tables.read_normalized(spark, str(tmp_path), SMALL)
+    assert rows_of(got) == sorted(rows_of(df) * 2)
+    assert rows_of(got) == sorted(rows_of(spark.read.parquet(str(tmp_path / "t"))) * 2)
+
+
+def test_names_with_pattern_characters_are_read(spark, tmp_path):
+    part(spark, tmp_path, "m[1]{a,b}", "select 1L as Id, 2L as Place")
+    (tmp_path / "deep").mkdir()
+    (source,) = (tmp_path / "m[1]{a,b}").glob("*.parquet")
+    (tmp_path / "deep" / "x[2].parq").write_bytes(source.read_bytes())
+    assert tables.read_normalized(spark, str(tmp_path), SMALL).count() == 2
+
+
+def test_a_file_that_is_no_parquet_is_an_error(spark, drifting):
+    (drifting / "notes.txt").write_text("no parquet")
+    with pytest.raises(files.NotParquetError, match="notes.txt"):
+        tables.read_normalized(spark, str(drifting), SMALL)
 
 
 def test_paths_with_spaces_are_read(spark, tmp_path):
@@ -99,24 +128,25 @@ def test_paths_with_spaces_are_read(spark, tmp_path):
 
 
 def test_footers_out_of_reach_are_left_to_spark(spark, drifting, monkeypatch):
-    unreachable = files.footers
-
-    def without_columns(session, paths):
-        return unreachable(session, paths).withColumn(
-            "columns", F.lit(None).cast("array<struct<name: string, type: string>>")
-        )
+    import inspect
 
     before = tables.read_normalized(spark, str(drifting / "*"), SMALL).orderBy("Id").collect()
-    monkeypatch.setattr(files, "footers", without_columns)
+    out_of_reach = inspect.getsource(files.file_facts).replace('scheme == "file"', 'scheme == "none"')
+    out_of_reach = out_of_reach.replace("fs.FileSystem.from_uri(path)", "open('/none')")
+    space = dict(vars(files))
+    exec("from __future__ import annotations\n" + out_of_reach, space)
+    monkeypatch.setattr(tables, "file_facts", space["file_facts"])
     after = tables.read_normalized(spark, str(drifting / "*"), SMALL).orderBy("Id").collect()
     assert before == after
 
 
-def test_footers_are_read_in_tasks_of_many_files(spark, drifting):
-    paths = files.list_parquet(spark, str(drifting / "*"))
-    df = files.footers(spark, paths)
-    assert df.count() == len(paths) == 4
-    assert df.rdd.getNumPartitions() == 1
+def test_what_reaches_the_driver_does_not_grow_with_other_columns(spark, tmp_path):
+    part(spark, tmp_path, "few", "select 1L as Id, 2L as Place")
+    more = ", ".join(f"{k} as extra{k}" for k in range(300))
+    part(spark, tmp_path, "many", f"select 1L as Id, 2L as Place, {more}")
+    paths = files.list_files(spark, str(tmp_path))
+    few, many = files.file_facts(spark, paths, SMALL.names, SMALL.required)
+    assert few.layout == many.layout and len(repr(few)) == len(repr(many)) - 1
 
 
 def test_union_refuses_a_part_that_lacks_a_column(spark):
@@ -171,11 +201,27 @@ def test_metrics_documents_in_both_layouts(spark, tmp_path):
         '{"run_id": "r1", "framework": "b", "phases": {"join_s": 2.0}}\n'
         '{"run_id": "r2", "framework": "b", "phases": {"join_s": 4.0}}\n'
     )
-    (one,) = records.read_run_metrics(spark, str(tmp_path / "one.json"), True).collect()
+    (one,) = records.read_run_metrics(spark, str(tmp_path / "one.json")).collect()
     assert (one.framework, one.agg_rows, one.phases) == ("a", 3, {"join_s": 1.5, "total_s": 9.0})
     assert one.run_id.endswith("one.json") and one.input_rows is None
     many = records.read_run_metrics(spark, str(tmp_path / "lines")).collect()
     assert sorted((m.run_id, m.phases["join_s"]) for m in many) == [("r1", 2.0), ("r2", 4.0)]
+    (tmp_path / "lines" / "y.json").write_text('{\n "framework": "c",\n "row_groups": 7\n}\n')
+    mixed = {m.framework: m for m in records.read_run_metrics(spark, str(tmp_path / "lines")).collect()}
+    assert len(mixed) == 2 and mixed["c"].extra == {"row_groups": "7"} and mixed["b"].extra == {}
+
+
+def test_a_malformed_metrics_document_is_an_error(spark, tmp_path):
+    from pyspark.errors import PySparkException
+
+    (tmp_path / "bad.json").write_text('{\n "framework": "a",\n')
+    with pytest.raises(PySparkException, match="malformed metrics document"):
+        records.read_run_metrics(spark, str(tmp_path / "bad.json")).select("framework").collect()
+
+
+def test_log_paths_come_as_they_are_named(spark, tmp_path):
+    (tmp_path / "top_run one+%41.log").write_text("[t] x")
+    assert records.read_log_lines(spark, str(tmp_path)).head().path.endswith("/top_run one+%41.log")
 
 
 def test_the_trip_contract_is_complete():

@@ -39,7 +39,8 @@ def arguments(given: list[str] | None) -> argparse.Namespace:
     c = commands.add_parser("reconcile")
     for name in ("left", "right"):
         c.add_argument(f"--{name}", required=True)
-        c.add_argument(f"--{name}-metrics", help="metrics of that run alone")
+        c.add_argument(f"--{name}-metrics", help="metrics, of that run alone or with --run")
+        c.add_argument(f"--{name}-run", help="which run of the metrics")
     c.add_argument("--tolerance", type=float, default=reconcile.SPEED_TOLERANCE)
 
     c = commands.add_parser("compare")
@@ -60,8 +61,8 @@ def session(master: str | None) -> SparkSession:
 
 
 def reconciled(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    recorded = (args.left_metrics, args.right_metrics)
-    funnels = [recorded_funnel(read_run_metrics(spark, p)) for p in recorded if p]
+    recorded = ((args.left_metrics, args.left_run), (args.right_metrics, args.right_run))
+    funnels = [recorded_funnel(read_run_metrics(spark, p), run_id) for p, run_id in recorded if p]
     if len(funnels) == 1:
         raise SystemExit("give the metrics of both runs, or of neither")
     return reconcile.report(
@@ -88,7 +89,7 @@ def main(given: list[str] | None = None) -> int:
         )
         return 0
     if args.command == "reconcile":
-        # At most five rows, one per check.
+        # A handful of rows, one per check.
         checks = reconciled(spark, args).collect()
         for check in checks:
             print(f"{check.check:16} {'ok' if check.ok else f'{check.failures} differ'}")

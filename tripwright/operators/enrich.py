@@ -25,30 +25,31 @@ def zone_columns(zones: DataFrame) -> DataFrame:
 
 
 def measure_zones(zones: DataFrame) -> Row:
-    """Approximate bytes and number of keys of the dimension, in one small job."""
+    """Approximate bytes, number of keys, and a key that several zones have, in one small job.
+
+    Null keys match nothing: they count neither as keys nor as repeated.
+    """
     text = [F.coalesce(F.octet_length(c), F.lit(0)) for c in ("Borough", "Zone")]
-    return zones.agg(
-        F.coalesce(F.sum(sum(text, F.lit(ROW_OVERHEAD_BYTES))), F.lit(0)).alias("bytes"),
-        F.approx_count_distinct("LocationID").alias("keys"),
+    per_key = zones.groupBy("LocationID").agg(
+        F.sum(sum(text, F.lit(ROW_OVERHEAD_BYTES))).alias("bytes"), F.count("*").alias("copies")
+    )
+    return per_key.agg(
+        F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
+        F.count("LocationID").alias("keys"),
+        F.max(F.when(F.col("copies") > 1, F.col("LocationID"))).alias("repeated"),
     ).head()
 
 
-def repeated_zone_key(zones: DataFrame) -> int | None:
-    """A key that more than one zone has, or None. Null keys match nothing and may repeat."""
-    repeated = (
-        zones.filter(F.col("LocationID").isNotNull())
-        .groupBy("LocationID")
-        .agg(F.count("*").alias("copies"))
-        .filter("copies > 1")
-        .head()
-    )
-    return None if repeated is None else repeated.LocationID
+def refuse_repeated(facts: Row) -> None:
+    if facts.repeated is not None:
+        raise ValueError(f"zone key {facts.repeated} occurs more than once")
 
 
 def join_zone(
     trips: DataFrame,
     zones: DataFrame,
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
+    facts: Row | None = None,
 ) -> DataFrame:
     """Inner join on the pickup zone. A repeated zone key multiplies rows.
 
@@ -57,7 +58,7 @@ def join_zone(
     because an estimate of a derived table can be far enough off to have the trips broadcast
     instead.
     """
-    size = measure_zones(zones)
+    size = measure_zones(zones) if facts is None else facts
     if size.bytes > broadcast_limit:
         return join_zone_merge(trips, zones, size.keys)
     dim = zone_columns(zones)
@@ -104,10 +105,9 @@ def look_up_zone(
 
     The zone key has to be unique; that is checked before anything is joined.
     """
-    repeated = repeated_zone_key(zones)
-    if repeated is not None:
-        raise ValueError(f"zone key {repeated} occurs more than once")
-    return join_zone(trips, zones.filter(F.col("Borough").isNotNull()), broadcast_limit)
+    facts = measure_zones(zones)
+    refuse_repeated(facts)
+    return join_zone(trips, zones.filter(F.col("Borough").isNotNull()), broadcast_limit, facts)
 
 
 def add_speed(

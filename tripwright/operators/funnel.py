@@ -9,7 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripwright.contract import GROUP_KEYS
-from tripwright.operators.enrich import add_hour, zone_columns
+from tripwright.operators.enrich import (
+    BROADCAST_LIMIT_BYTES,
+    add_hour,
+    measure_zones,
+    refuse_repeated,
+    zone_columns,
+)
 
 # Stage names, as they stand in run metrics.
 STAGES = ("input_rows", "cleaned_rows", "joined_rows", "agg_rows")
@@ -20,9 +26,14 @@ def _stages(totals: DataFrame, names: Sequence[str] = STAGES) -> DataFrame:
     return totals.select(F.inline(F.array(*cells)))
 
 
-def recorded_funnel(metrics: DataFrame) -> DataFrame:
-    """(stage, row_count) as one run recorded it in its metrics document."""
-    return _stages(metrics)
+def recorded_funnel(metrics: DataFrame, run_id: str | None = None) -> DataFrame:
+    """(stage, row_count) as one run recorded it: the run named, else the only one there is."""
+    chosen = metrics if run_id is None else metrics.filter(F.col("run_id") == run_id)
+    runs = chosen.select("run_id").limit(2).collect()
+    if len(runs) != 1:
+        which = "runs" if run_id is None else f"runs named {run_id!r}"
+        raise ValueError(f"{'no' if not runs else 'several'} {which} in the metrics")
+    return _stages(chosen)
 
 
 def row_funnel(
@@ -33,14 +44,20 @@ def row_funnel(
     The cleaned trips are counted per hour and pickup zone first. Everything further down
     is worked out from those few cells, so cleaning runs once however many stages are asked
     for: both uses of the cells read one shuffle. ``named_zones_only`` leaves out zones
-    without a borough, as the lookup join does.
+    without a borough and refuses a repeated zone key, as the lookup join does. The zones are
+    measured before they are broadcast.
     """
     zones = zone_columns(zones)
+    facts = measure_zones(zones)
     if named_zones_only:
+        refuse_repeated(facts)
         zones = zones.filter(F.col("Borough").isNotNull())
     cells = add_hour(cleaned).groupBy("pickup_hour", "PULocationID").agg(F.count("*").alias("n"))
     groups = (
-        cells.join(zones, cells["PULocationID"] == zones["LocationID"])
+        cells.join(
+            F.broadcast(zones) if facts.bytes <= BROADCAST_LIMIT_BYTES else zones,
+            cells["PULocationID"] == zones["LocationID"],
+        )
         .groupBy(*GROUP_KEYS)
         .agg(F.sum("n").alias("n"))
     )

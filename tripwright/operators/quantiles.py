@@ -8,14 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Distinct values of one group that a single task may hold at once (tens of megabytes).
-DISTINCT_LIMIT = 500_000
-# Rank error of the approximate first pass is one part in this many.
-ACCURACY = 10_000
-# The bracket around each rank, in units of that error.
-SLACK = 4
-# Brackets of up to this many groups are broadcast; beyond it they are joined by a shuffle.
-BROADCAST_GROUPS = 20_000
+# Slices that a group is cut into at a time, by a sketch of its distinct values.
+SLICES = 64
+# Distinct values that one task may rank; a slice with more is cut again.
+SLICE_LIMIT = 1_000_000
+# Parts that a group's values are spread over where they meet the group's bounds.
+SALTS = 32
 
 
 def exact_percentiles(
@@ -23,94 +21,137 @@ def exact_percentiles(
     keys: Sequence[str],
     value: str,
     fractions: Sequence[float],
-    distinct_limit: int = DISTINCT_LIMIT,
+    slice_limit: int = SLICE_LIMIT,
 ) -> DataFrame:
     """Per group, an array ``percentiles`` of exact, linearly interpolated percentiles.
 
-    Spark's own percentile keeps one counter per distinct value of a group in one task. The
-    distinct values are therefore estimated first, in a pass that runs at once, and groups
-    with more of them than a task should hold are ranked in narrow brackets instead.
+    Spark's own percentile keeps one counter per distinct value of a group in one task; the
+    result here is the same to the bit. Values are counted once, with map tasks combining. A
+    mergeable sketch of the distinct values cuts each group into slices, counts per slice tell
+    which slice holds a wanted rank, and only the values of those slices are ranked one by
+    one. A slice that is still too large for a task is cut again in the same way, so no task
+    ranks a fixed share of a group. The sketch decides how much is ranked where, never what
+    comes out.
     """
     fractions = sorted(fractions)
-    filled = df.select(*keys, F.col(value).cast("double").alias("v")).filter("v is not null")
-    per_group = filled.groupBy(*keys).agg(F.approx_count_distinct("v").alias("values"))
-    most = per_group.agg(F.max("values").alias("most")).head().most or 0
-    if most <= distinct_limit:
-        return filled.groupBy(*keys).agg(F.percentile("v", fractions).alias("percentiles"))
-    return bracketed_percentiles(filled, keys, fractions)
-
-
-def bracketed_percentiles(
-    filled: DataFrame, keys: Sequence[str], fractions: Sequence[float], accuracy: int = ACCURACY
-) -> DataFrame:
-    """The same for groups with any number of distinct values in column ``v``.
-
-    A mergeable sketch first gives each group a narrow bracket around every wanted rank. A
-    second pass counts values: inside a bracket each value stays on its own, everything
-    between two brackets falls into one row that keeps its count, least and greatest value.
-    Map tasks combine both, so what is then ranked per group is a small part of its distinct
-    values, and the ranks are exact because nothing is left out. Should a bracket ever miss
-    its rank the query fails rather than answer wrongly.
-    """
-    slack = SLACK / accuracy
-    lows = [max(0.0, f - slack) for f in fractions]
-    highs = [min(1.0, f + slack) for f in fractions]
-    brackets = filled.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
-        F.percentile_approx("v", lows, accuracy).alias("low"),
-        F.percentile_approx("v", highs, accuracy).alias("high"),
-        F.count("*").alias("total"),
-    )
-    same_group = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    v = F.col("v")
-    inside, passed = F.lit(False), F.lit(0)
-    for i in range(len(fractions)):
-        inside = inside | v.between(F.col("low")[i], F.col("high")[i])
-        passed = passed + (v > F.col("high")[i]).cast("int")
-    counted = (
-        filled.join(_broadcast_if_few(brackets), same_group)
-        .select(*keys, "total", "v", F.when(inside, v).alias("kept"), passed.alias("passed"))
-        .groupBy(*keys, "total", "passed", "kept")
-        .agg(F.count("*").alias("n"), F.min("v").alias("least"), F.max("v").alias("greatest"))
+    names = [f"_key{i}" for i in range(len(keys))]
+    group = [*names, "_slice"]
+    filled = df.select(
+        *[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)],
+        F.col(value).cast("double").alias("_v"),
+        F.lit("").alias("_slice"),
+    ).filter("_v is not null")
+    values = filled.groupBy(*group, "_v").agg(F.count("*").alias("_n"))
+    totals = values.groupBy(*names).agg(F.sum("_n").alias("_total"))
+    wanted = totals.select(*names, F.lit("").alias("_slice"), F.inline(_ranks(fractions)))
+    found: DataFrame | None = None
+    most, before = slice_limit + 1, None
+    # Cutting ends when slices are small, or would no longer get smaller.
+    while most > slice_limit and most != before:
+        values, wanted, settled = _cut(values, wanted, names)
+        found = settled if found is None else found.unionByName(settled)
+        sizes = values.groupBy(*group).agg(F.count("*").alias("_values"))
+        before, most = most, sizes.agg(F.max("_values")).head()[0] or 0
+    found = found.unionByName(_ranked(values, wanted, names))
+    at = found.groupBy(*names).agg(
+        F.map_from_entries(F.collect_list(F.struct("_i", "_v"))).alias("_at")
     )
-    upto = (
-        Window.partitionBy(*keys)
-        .orderBy("greatest")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = at.alias("a").join(totals.alias("b"), _same("a", "b", names))
+    return both.select(
+        *[F.col(f"a.{n}").alias(k) for k, n in zip(keys, names, strict=True)],
+        F.array(*[_between(i, f) for i, f in enumerate(fractions)]).alias("percentiles"),
     )
-    ranked = counted.withColumn("end", F.sum("n").over(upto)).withColumn(
-        "start", F.col("end") - F.col("n")
-    )
-    ends = {}
+
+
+def _position(fraction: float) -> Column:
+    return F.lit(float(fraction)) * (F.col("_total") - 1)
+
+
+def _ranks(fractions: Sequence[float]) -> Column:
+    """Per fraction, the two zero-based ranks whose values it lies between."""
+    cells = []
     for i, f in enumerate(fractions):
-        position = F.lit(f) * (F.col("total") - 1)
-        ends[f"lo{i}"] = _value_at(F.floor(position))
-        ends[f"hi{i}"] = _value_at(F.ceil(position))
-    picked = ranked.groupBy(*keys).agg(
-        F.max("total").alias("total"), *[c.alias(n) for n, c in ends.items()]
-    )
+        for j, rank in enumerate((F.floor(_position(f)), F.ceil(_position(f)))):
+            cells.append(F.struct(F.lit(2 * i + j).alias("_i"), rank.alias("_rank")))
+    return F.array(*cells)
+
+
+def _between(i: int, fraction: float) -> Column:
+    """The value at a fractional rank, worked out as Spark's percentile does."""
+    position = _position(fraction)
+    lower, upper = F.floor(position), F.ceil(position)
+    low, high = F.col("_at")[2 * i], F.col("_at")[2 * i + 1]
+    mixed = (upper - position) * low + (position - lower) * high
+    return F.when((lower == upper) | (low == high), low).otherwise(mixed)
+
 
-    def interpolated(i: int, f: float) -> Column:
-        position = F.lit(f) * (F.col("total") - 1)
-        lo, hi = F.col(f"lo{i}"), F.col(f"hi{i}")
-        return F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (position - F.floor(position)))
+def _same(a: str, b: str, columns: Sequence[str]) -> Column:
+    on = F.lit(True)
+    for c in columns:
+        on = on & F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}"))
+    return on
 
-    percentiles = F.array(*[interpolated(i, f) for i, f in enumerate(fractions)])
-    return picked.select(*keys, percentiles.alias("percentiles"))
 
+def _cut(
+    values: DataFrame, wanted: DataFrame, names: Sequence[str]
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Cut every group into slices and keep those that hold a wanted rank.
 
-def _value_at(rank: Column) -> Column:
-    """The value at a zero-based rank, from the one ranked row whose span holds it."""
-    found = (
-        F.when(rank == F.col("start"), F.col("least"))
-        .when(rank == F.col("end") - 1, F.col("greatest"))
-        .when(F.col("least") == F.col("greatest"), F.col("least"))
-        .otherwise(F.raise_error(F.lit("percentile bracket missed its rank")).cast("double"))
+    Returns their values, the ranks counted from the beginning of the slice, and the ranks
+    that are settled because their slice is one value.
+    """
+    group = [*names, "_slice"]
+    grid = [k / SLICES for k in range(1, SLICES)]
+    sketch = F.percentile_approx("_v", grid)
+    bounds = values.groupBy(*group).agg(F.array_distinct(sketch).alias("_bounds"))
+    # A large group meets its bounds in many tasks.
+    salted = values.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(SALTS)))
+    salts = F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")
+    copies = bounds.withColumn("_salt", F.explode(salts))
+    met = salted.alias("a").join(copies.alias("b"), _same("a", "b", [*group, "_salt"]))
+    v = F.col("a._v")
+    sliced = met.select(
+        *[F.col(f"a.{c}").alias(c) for c in group],
+        "_v",
+        "_n",
+        F.size(F.filter("_bounds", lambda b: b < v)).alias("_part"),
+    )
+    sizes = sliced.groupBy(*group, "_part").agg(
+        F.sum("_n").alias("_size"), F.min("_v").alias("_least"), F.max("_v").alias("_most")
+    )
+    # At most SLICES rows per group.
+    ordered = Window.partitionBy(*group).orderBy("_part")
+    upto = F.sum("_size").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    spans = sizes.withColumn("_end", upto).withColumn("_start", F.col("_end") - F.col("_size"))
+    inside = (F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_end"))
+    held = wanted.alias("a").join(spans.alias("b"), _same("a", "b", group)).filter(inside)
+    held = held.select(
+        *[F.col(f"a.{c}").alias(c) for c in group],
+        "_part",
+        "_i",
+        (F.col("_rank") - F.col("_start")).alias("_rank"),
+        "_least",
+        "_most",
+    )
+    one = F.col("_least") == F.col("_most")
+    settled = held.filter(one).select(*names, "_i", F.col("_least").alias("_v"))
+    open_ranks = held.filter(~one)
+    slices = open_ranks.select(*group, "_part").distinct()
+    kept = sliced.alias("a").join(slices.alias("b"), _same("a", "b", [*group, "_part"]), "left_semi")
+    name = F.concat("_slice", F.lit("/"), F.col("_part").cast("string")).alias("_slice")
+    return (
+        kept.select(*names, name, "_v", "_n"),
+        open_ranks.select(*names, name, "_i", "_rank"),
+        settled,
     )
-    return F.max(F.when((rank >= F.col("start")) & (rank < F.col("end")), found))
 
 
-def _broadcast_if_few(brackets: DataFrame) -> DataFrame:
-    rows = brackets.limit(BROADCAST_GROUPS + 1).collect()
-    if len(rows) > BROADCAST_GROUPS:
-        return brackets
-    return F.broadcast(brackets.sparkSession.createDataFrame(rows, brackets.schema))
+def _ranked(values: DataFrame, wanted: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(names, _i, _v): the value at each wanted rank, from the values of its slice."""
+    group = [*names, "_slice"]
+    ordered = Window.partitionBy(*group).orderBy("_v")
+    upto = F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    spans = values.withColumn("_end", upto).withColumn("_start", F.col("_end") - F.col("_n"))
+    inside = (F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_end"))
+    held = wanted.alias("a").join(spans.alias("b"), _same("a", "b", group)).filter(inside)
+    return held.select(*[F.col(f"a.{n}").alias(n) for n in names], "_i", "_v")

@@ -144,6 +144,16 @@ def key_difference(
     )
 
 
+def repeated_keys(left: DataFrame, right: DataFrame, keys: Sequence[str] = GROUP_KEYS) -> DataFrame:
+    """Keys that occur more than once on a side, with the side and how often."""
+
+    def of(df: DataFrame, side: str) -> DataFrame:
+        often = df.groupBy(*keys).agg(F.count("*").alias("copies")).filter("copies > 1")
+        return often.select(F.lit(side).alias("side"), *keys, "copies")
+
+    return of(left, "left").unionByName(of(right, "right"))
+
+
 def compare_row_counts(left: DataFrame, right: DataFrame) -> DataFrame:
     """Per stage: the rows of both funnels and whether they are equal."""
     a, b = left.alias("a"), right.alias("b")
@@ -164,6 +174,9 @@ def report(
 ) -> DataFrame:
     """One row per check (check, failures, ok) over two summaries and, if given, two funnels.
 
+    Groups are matched as if each key occurred once per side; whether it does is a check of
+    its own, as is whether both sides have as many groups.
+
     A column missing on one side fails its own check and is compared as null elsewhere.
     """
 
@@ -183,11 +196,15 @@ def report(
               for c in SUMMARY_COLUMNS]
         )
 
+    a, b = padded(left), padded(right)
+    repeated = repeated_keys(a, b).agg(F.count("*").alias("repeated_keys"))
+    sizes = a.select(F.lit(1).alias("n")).union(b.select(F.lit(-1)))
+    sizes = sizes.agg(F.coalesce(F.abs(F.sum("n")), F.lit(0).cast("bigint")).alias("group_counts"))
     schema = schema_check(left, right).agg(
         F.count_if(~(F.col("in_left") & F.col("in_right"))).alias("columns_present")
     )
     summary = summarise_groups(
-        compare_groups(padded(left), padded(right), tolerance), tolerance
+        compare_groups(a, b, tolerance), tolerance
     ).select(
         (F.col("missing_left_groups") + F.col("missing_right_groups")).alias("group_keys"),
         F.col("differing_counts").alias("trip_counts"),
@@ -195,6 +212,8 @@ def report(
     )
     parts = [
         checks(schema, ["columns_present"]),
+        checks(repeated, ["repeated_keys"]),
+        checks(sizes, ["group_counts"]),
         checks(summary, ["group_keys", "trip_counts", "mean_speeds"]),
     ]
     if left_funnel is not None and right_funnel is not None:

@@ -69,10 +69,12 @@ def _add_variants() -> None:
                cast(hour(pickup_ts) as int) as pickup_hour
         from joined{suffix}"""
     for suffix in ("", "_keyed"):
-        RELATIONS[f"agg{suffix}"] = f"""
-        select pickup_hour, Borough, round(avg(avg_speed_mph), 6) as mean_speed_mph,
+        RELATIONS[f"exact{suffix}"] = f"""
+        select pickup_hour, Borough, avg(avg_speed_mph) as mean_speed_mph,
                count(*) as trip_count
         from enriched{suffix} group by 1, 2"""
+        RELATIONS[f"agg{suffix}"] = f"""
+        select * replace (round(mean_speed_mph, 6) as mean_speed_mph) from exact{suffix}"""
     for suffix in ("", "_keyed"):
         RELATIONS[f"funnel{suffix}"] = f"""
         select 'input_rows' as stage, count(*) as row_count from trips
@@ -97,7 +99,7 @@ RELATIONS["matched"] = """
                     when isnan(a.mean_speed_mph) then 'ok'
                     when abs(a.mean_speed_mph - b.mean_speed_mph) > 0.01 then 'mean_diff'
                     else 'ok' end as status
-        from agg a full outer join agg_keyed b
+        from exact a full outer join exact_keyed b
           on a.pickup_hour = b.pickup_hour and a.Borough is not distinct from b.Borough"""
 RELATIONS["matched_counts"] = """
         select count(*) as group_count,
@@ -144,6 +146,7 @@ STATEMENTS = {
     "scan_csv_dimension": "select * from zones",
     "sink_roundtrip": "select * from enriched",
     "sink_summary_roundtrip": "select * from agg",
+    "sink_append": "select * from enriched",
     "source_volume": " union all ".join(
         f"select '{t}' as table_name, cast(1 as bigint) as files, count(*) as row_count from {t}"
         for t in TABLES
@@ -198,6 +201,13 @@ STATEMENTS = {
         select *, failures = 0 as ok from (
             select 'columns_present' as "check", cast(0 as bigint) as failures
             union all
+            select 'repeated_keys', count(*) from (
+                select 1 from exact group by pickup_hour, Borough having count(*) > 1
+                union all
+                select 1 from exact_keyed group by pickup_hour, Borough having count(*) > 1)
+            union all
+            select 'group_counts', abs((select count(*) from exact) - (select count(*) from exact_keyed))
+            union all
             select 'row_counts', count(*) filter (where a.row_count <> b.row_count)
             from funnel a join funnel_keyed b using (stage)
             union all
@@ -226,6 +236,7 @@ STATEMENTS = {
         from phase_seconds group by 1, 2""",
     "resource_peaks": _peaks(),
 }
+STATEMENTS["sink_comparison"] = STATEMENTS["run_metrics_compare"]
 
 
 def oracle_sql() -> dict[str, str]:

@@ -10,6 +10,8 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 from functools import partial
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,26 +66,38 @@ class StageTimer:
 
     def __init__(self) -> None:
         self.seconds: dict[str, float] = {}
-        self._before = 0.0
+        self.whole = 0.0
 
     def run(self, stage: str, df: DataFrame) -> DataFrame:
         start = time.perf_counter()
         df.write.format("noop").mode("overwrite").save()
         elapsed = time.perf_counter() - start
-        self.seconds[stage] = max(0.0, elapsed - self._before)
-        self._before = elapsed
+        self.seconds[stage] = max(0.0, elapsed - self.whole)
+        self.whole = elapsed
         return df
 
 
-def time_stages(pipeline: Pipeline, trips: DataFrame, zones: DataFrame) -> dict[str, float]:
-    """Seconds per stage of one pipeline, over whole inputs."""
+def time_stages(pipeline: Pipeline, trips: DataFrame, zones: DataFrame) -> StageTimer:
+    """Seconds per stage of one pipeline, over whole inputs, and of its rows to nowhere."""
     timer = StageTimer()
     timer.run("ingestion_s", trips)
     cleaned = timer.run("cleansing_s", pipeline.clean(trips))
     joined = timer.run("join_s", pipeline.join(cleaned, zones))
-    enriched = timer.run("udf_s", joined.transform(add_speed).transform(add_hour))
-    timer.run("aggregate_s", speed_by_group(enriched))
-    return timer.seconds
+    timer.run("udf_s", joined.transform(add_speed).transform(add_hour).transform(export_rows))
+    return timer
+
+
+def stage_seconds(
+    pipeline: Pipeline, trips: DataFrame, zones: DataFrame, rows: DataFrame, spent: float
+) -> dict[str, float]:
+    """Seconds per recorded stage. ``rows`` are the rows as written, and writing them and the
+    summary took ``spent``: what exceeds the same plans run to nowhere is the export."""
+    timer = time_stages(pipeline, trips, zones)
+    to_nowhere = timer.whole
+    timer.whole = 0.0
+    timer.run("aggregate_s", speed_by_group(rows))
+    export = max(0.0, spent - to_nowhere - timer.seconds["aggregate_s"])
+    return timer.seconds | {"export_s": export}
 
 
 def run(
@@ -103,30 +117,36 @@ def run(
     only its own tasks. With a metrics path the row counts are recorded as well, from the
     written results and from a counter placed on the cleaned rows. The counter is exact only
     where no shuffle follows it (a map task that is run again counts twice), so with zones
-    too large to broadcast the cleaned rows are counted in a job of their own. ``timed`` adds
-    seconds per stage and runs the stages again to get them. Returns the summary as written.
+    too large to broadcast the cleaned rows are counted in a job of their own. So they are
+    where the optimizer has removed the counter, as it may if nothing can come out. ``timed``
+    adds seconds per stage and runs the stages again to get them, after the total is taken.
+    Returns the summary as written.
     """
     start = time.perf_counter()
     use_utc(spark)
     trips = read_normalized(spark, trips_path)
     zones = read_zones(spark, zones_path)
     counter, counted = None, pipeline
-    if metrics_path is not None and measure_zones(zones).bytes <= BROADCAST_LIMIT_BYTES:
-        counter = Observation("cleaned")
-        counted = replace(pipeline, clean=partial(_clean_counted, pipeline.clean, counter))
+    if metrics_path is not None:
+        used = zones.filter(F.col("Borough").isNotNull()) if pipeline.named_zones_only else zones
+        facts = measure_zones(used)
+        if facts.keys and facts.bytes <= BROADCAST_LIMIT_BYTES:
+            counter = Observation("cleaned")
+            counted = replace(pipeline, clean=partial(_clean_counted, pipeline.clean, counter))
     before_export = time.perf_counter()
     write_rows(counted.enriched(trips, zones), rows_path)
     written = spark.read.parquet(rows_path)
     write_summary(speed_by_group(written), summary_path)
+    spent = time.perf_counter() - before_export
     summary = spark.read.parquet(summary_path)
     if metrics_path is not None:
-        phases = {"export_s": time.perf_counter() - before_export}
+        phases = {"total_s": time.perf_counter() - start}
         if timed:
-            phases |= time_stages(pipeline, trips, zones)
-        phases["total_s"] = time.perf_counter() - start
+            phases |= stage_seconds(pipeline, trips, zones, written, spent)
+        cleaned = _observed(counter)
         counts = {
             "input_rows": trips.count(),
-            "cleaned_rows": counter.get["n"] if counter else pipeline.clean(trips).count(),
+            "cleaned_rows": pipeline.clean(trips).count() if cleaned is None else cleaned,
             "joined_rows": written.count(),
             "agg_rows": summary.count(),
         }
@@ -135,6 +155,16 @@ def run(
     return summary
 
 
+def _observed(counter: Observation | None) -> int | None:
+    """What the counter counted, or None if there is none or it was not part of the plan."""
+    if counter is None:
+        return None
+    try:
+        return counter.get["n"]
+    except (Py4JError, PySparkException):
+        return None
+
+
 def _clean_counted(
     clean_step: Callable[[DataFrame], DataFrame], counter: Observation, trips: DataFrame
 ) -> DataFrame:

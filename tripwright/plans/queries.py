@@ -19,7 +19,8 @@ from tripwright.operators.funnel import row_funnel
 from tripwright.plans import derive
 from tripwright.plans.pipeline import KEYED, STRICT, Pipeline
 from tripwright.session import use_utc, work_dir
-from tripwright.sinks.files import write_rows, write_run_metrics, write_summary
+from tripwright.operators.summarise import speed_by_group_unsorted
+from tripwright.sinks.files import write_comparison, write_rows, write_run_metrics, write_summary
 from tripwright.sources import files, records, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,14 +47,19 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
+Inputs = tuple[DataFrame, DataFrame]
+
+
+def inputs(spark: SparkSession, folder: str) -> Inputs:
+    return derive.trips(spark, folder), derive.zones(spark, folder)
+
+
 def summary_of(pipeline: Pipeline, spark: SparkSession, folder: str) -> DataFrame:
-    summary = pipeline.summary(derive.trips(spark, folder), derive.zones(spark, folder))
-    return rounded(summary, "mean_speed_mph")
+    return rounded(pipeline.summary(*inputs(spark, folder)), "mean_speed_mph")
 
 
-def funnel_of(pipeline: Pipeline, spark: SparkSession, folder: str) -> DataFrame:
-    trips = derive.trips(spark, folder)
-    zones = derive.zones(spark, folder)
+def funnel_of(pipeline: Pipeline, given: Inputs) -> DataFrame:
+    trips, zones = given
     return row_funnel(trips, pipeline.clean(trips), zones, pipeline.named_zones_only)
 
 
@@ -73,10 +79,25 @@ def scan_normalized(spark: SparkSession, folder: str) -> DataFrame:
         for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime")
     }
     trips.filter(kind < 5).withColumns(narrow).write.parquet(f"{root}/a")
-    trips.filter(kind == 5).withColumns(whole | local).write.parquet(f"{root}/b")
+    # One layout holds a column in the names of its folders, one lies deeper, and its files,
+    # copied under other names, have no suffix.
+    by_kind = trips.filter(kind == 5).withColumns(whole | local)
+    by_kind.write.partitionBy("payment_type").parquet(f"{root}/b")
     cased = trips.filter(kind > 5)
-    cased.toDF(*[c.upper() for c in cased.columns]).write.parquet(f"{root}/c")
-    return tables.read_normalized(spark, f"{root}/*")
+    cased.toDF(*[c.upper() for c in cased.columns]).write.parquet(f"{root}/c/2024/[01]")
+    without_suffix(spark, f"{root}/c/2024/[01]")
+    return tables.read_normalized(spark, root)
+
+
+def without_suffix(spark: SparkSession, folder: str) -> None:
+    """Take the suffix off the names of a folder's parquet files."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for file in store.listStatus(path):
+        name = file.getPath().getName()
+        if name.endswith(".parquet"):
+            store.rename(file.getPath(), jvm.org.apache.hadoop.fs.Path(path, name.split(".")[0]))
 
 
 @query
@@ -100,14 +121,37 @@ def scan_csv_dimension(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def sink_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """Enriched rows written twice over the same place, then read back."""
-    enriched = STRICT.enriched(derive.trips(spark, folder), derive.zones(spark, folder))
+    """Enriched rows written once, and from there twice over the same place, then read back."""
     root = work_dir(spark, "rows")
-    write_rows(enriched, root)
-    write_rows(enriched, root)
+    write_rows(STRICT.enriched(*inputs(spark, folder)), f"{root}/once")
+    once = tables.read_directory(spark, f"{root}/once")
+    write_rows(once, f"{root}/twice")
+    write_rows(once, f"{root}/twice")
+    return tables.read_directory(spark, f"{root}/twice")
+
+
+@query
+def sink_append(spark: SparkSession, folder: str) -> DataFrame:
+    """Enriched rows of either vendor written one after the other to one place."""
+    trips, zones = inputs(spark, folder)
+    root = work_dir(spark, "appended")
+    first = F.col("VendorID") == 1
+    write_rows(STRICT.enriched(trips.filter(first), zones), root, append=True)
+    write_rows(STRICT.enriched(trips.filter(~first), zones), root, append=True)
     return tables.read_directory(spark, root)
 
 
+@query
+def sink_comparison(spark: SparkSession, folder: str) -> DataFrame:
+    """The comparison of phases by way of the delimited file it is written to."""
+    root = work_dir(spark, "comparison")
+    compared = runs.compare_runs(derive.phase_seconds(spark, folder), "left", "right")
+    write_comparison(runs.name_phases(compared), root)
+    read = spark.read.option("header", True).csv(root)
+    numbers = ("left_s", "right_s", "ratio")
+    return read.select("phase", *[F.round(F.col(c).cast("double"), 6).alias(c) for c in numbers])
+
+
 @query
 def sink_summary_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """The speed summary taken from written rows, written as one file and read back."""
@@ -254,7 +298,7 @@ def speed_by_hour_borough_keyed(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def pipeline_funnel(spark: SparkSession, folder: str) -> DataFrame:
-    return funnel_of(STRICT, spark, folder)
+    return funnel_of(STRICT, inputs(spark, folder))
 
 
 # --- reconciling the two pipelines ---
@@ -262,43 +306,43 @@ def pipeline_funnel(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def reconcile_row_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return reconcile.compare_row_counts(
-        funnel_of(STRICT, spark, folder), funnel_of(KEYED, spark, folder)
-    )
+    given = inputs(spark, folder)
+    return reconcile.compare_row_counts(funnel_of(STRICT, given), funnel_of(KEYED, given))
 
 
-def both_summaries(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    return summary_of(STRICT, spark, folder), summary_of(KEYED, spark, folder)
+def both_summaries(given: Inputs) -> tuple[DataFrame, DataFrame]:
+    """Both pipelines' summaries, exact and in no order: nothing shows or writes them."""
+    strict, keyed = (speed_by_group_unsorted(p.enriched(*given)) for p in (STRICT, KEYED))
+    return strict, keyed
 
 
 @query
 def reconcile_groups(spark: SparkSession, folder: str) -> DataFrame:
-    compared = reconcile.compare_groups(*both_summaries(spark, folder))
+    compared = reconcile.compare_groups(*both_summaries(inputs(spark, folder)))
     return compared.select("pickup_hour", "Borough", "left_count", "right_count", "status")
 
 
 @query
 def reconcile_summary(spark: SparkSession, folder: str) -> DataFrame:
-    compared = reconcile.compare_groups(*both_summaries(spark, folder))
+    compared = reconcile.compare_groups(*both_summaries(inputs(spark, folder)))
     return rounded(reconcile.summarise_groups(compared), "largest_mean_diff")
 
 
 @query
 def reconcile_key_diff(spark: SparkSession, folder: str) -> DataFrame:
-    return reconcile.key_difference(*both_summaries(spark, folder))
+    return reconcile.key_difference(*both_summaries(inputs(spark, folder)))
 
 
 @query
 def reconcile_schema(spark: SparkSession, folder: str) -> DataFrame:
-    return reconcile.schema_check(*both_summaries(spark, folder))
+    return reconcile.schema_check(*both_summaries(inputs(spark, folder)))
 
 
 @query
 def reconcile_report(spark: SparkSession, folder: str) -> DataFrame:
+    given = inputs(spark, folder)
     return reconcile.report(
-        *both_summaries(spark, folder),
-        funnel_of(STRICT, spark, folder),
-        funnel_of(KEYED, spark, folder),
+        *both_summaries(given), funnel_of(STRICT, given), funnel_of(KEYED, given)
     )
 
 

@@ -29,4 +29,4 @@ def work_dir(spark: SparkSession, label: str) -> str:
     files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     files.mkdirs(path)
     files.deleteOnExit(path)
-    return folder
+    return f"{folder}/files"

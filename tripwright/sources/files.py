@@ -2,50 +2,104 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import hashlib
+from collections.abc import Callable, Collection, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FOOTER_COLUMNS = "path string, columns array<struct<name: string, type: string>>"
-# Files per footer task: each costs one or two small reads.
+LAYOUT_COLUMNS = "path string, layout string, clash array<string>, absent array<string>, reached boolean"
+# Footers per task: each costs one or two small reads.
 FILES_PER_TASK = 64
+# Footers that Spark reads at a time where the tasks cannot.
+CONCURRENT_READS = 16
 
 
 class NoInputError(FileNotFoundError):
     """There is nothing to read where input was expected."""
 
 
-def list_parquet(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
-    """Sorted paths of the parquet files under folders, files or globs.
+class NotParquetError(ValueError):
+    """A file among the input is not parquet."""
+
+
+def list_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
+    """Sorted paths of all files under folders, files or globs, at any depth and by any name.
 
     Spark does the listing, so any file system it can read will do, and for long listings it
-    works in parallel. Only names come back; no file is opened.
+    works in parallel. Names that begin with ``_`` or ``.`` are not data. Only names come
+    back; no file is opened.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     found: list[str] = []
     if paths:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(paths)
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
         found = sorted(unquote(uri) for uri in files.inputFiles())
     if not found:
-        raise NoInputError(f"no parquet files under {paths}")
+        raise NoInputError(f"no files under {paths}")
     return found
 
 
-def footers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(path, columns) per file: column names and physical types, read from file footers.
+def literal_path(path: str) -> str:
+    """The path with the characters escaped that would make it a pattern."""
+    return "".join(f"\\{c}" if c in "[]{}*?\\" else c for c in path)
+
+
+def folder_columns(path: str) -> tuple[str, list[str]]:
+    """The folder above a file's ``name=value`` folders, and their names."""
+    parts = path.split("/")
+    first = len(parts) - 1
+    while first > 0 and "=" in parts[first - 1]:
+        first -= 1
+    return "/".join(parts[:first]), [p.split("=", 1)[0] for p in parts[first:-1]]
+
+
+def _facts(columns: Sequence[tuple[str, str]], folders: Sequence[str], wanted: Collection[str], required: Sequence[str]):
+    """Layout of the wanted columns, names that clash by case, and required names not there."""
+    seen: dict[str, str] = {}
+    clash: list[str] = []
+    for name in [n for n, _ in columns] + [f for f in folders if f not in {n for n, _ in columns}]:
+        other = seen.setdefault(name.lower(), name)
+        if other != name and not clash:
+            clash = [other, name]
+    held = sorted((n, t) for n, t in columns if n.lower() in wanted)
+    layout = hashlib.sha256(repr((held, list(folders))).encode()).hexdigest()
+    return layout, clash, [n for n in required if n.lower() not in seen]
+
 
-    Files are spread over tasks, so a hundred thousand of them is still one short job. A
-    file on a store the Python side cannot open has null columns.
+@dataclass(frozen=True)
+class FileFacts:
+    path: str
+    layout: str
+    clash: list[str]
+    absent: list[str]
+
+
+def file_facts(
+    spark: SparkSession, paths: Sequence[str], wanted: Sequence[str], required: Sequence[str]
+) -> list[FileFacts]:
+    """How each file stores the ``wanted`` columns, and what is wrong with its names.
+
+    Footers are read and judged in tasks, so a hundred thousand files are one short job and
+    what comes to the driver is a digest per file, however many columns it has. Where Python
+    cannot open the store, Spark reads the footers, several at a time. Columns may also stand
+    in the names of folders. A file that is no parquet is an error.
     """
+    lowered = frozenset(w.lower() for w in wanted)
+    required = list(required)
+    judge: Callable = _facts
+    split: Callable = folder_columns
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow as pa
         import pyarrow.parquet as pq
         from pyarrow import fs
 
-        def columns(path: str) -> list[dict] | None:
+        def one(path: str) -> tuple:
             scheme, _, rest = path.partition(":")
             try:
                 if scheme == "file":
@@ -54,32 +108,34 @@ def footers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
                     store, inner = fs.FileSystem.from_uri(path)
                     source = store.open_input_file(inner)
             except (ValueError, OSError, ImportError):
-                return None
+                return path, None, [], [], False
             with source:
-                return [{"name": f.name, "type": str(f.type)} for f in pq.read_schema(source)]
+                try:
+                    columns = [(f.name, str(f.type)) for f in pq.read_schema(source)]
+                except pa.ArrowInvalid:
+                    return path, None, [], [], True
+            return path, *judge(columns, split(path)[1], lowered, required), True
 
         for batch in batches:
-            yield pd.DataFrame({"path": batch["path"], "columns": batch["path"].map(columns)})
+            rows = [one(p) for p in batch["path"]]
+            yield pd.DataFrame(rows, columns=["path", "layout", "clash", "absent", "reached"])
 
     listing = spark.createDataFrame([(p,) for p in paths], "path string")
     tasks = -(-len(paths) // FILES_PER_TASK)
-    return listing.repartition(tasks, "path").mapInPandas(read, FOOTER_COLUMNS)
-
-
-def schemas(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[tuple[str, str]]]:
-    """Names and types of the columns of each file.
-
-    What comes to the driver is metadata, a few names per file, like the listing itself.
-    Files whose footers Python could not reach are left to Spark, one at a time.
-    """
-    result: dict[str, list[tuple[str, str]]] = {}
-    for row in footers(spark, paths).collect():
-        if row.columns is None:
-            fields = spark.read.parquet(row.path).schema
-            result[row.path] = [(f.name, f.dataType.simpleString()) for f in fields]
-        else:
-            result[row.path] = [(c.name, c.type) for c in row.columns]
-    return result
+    judged = listing.repartition(tasks, "path").mapInPandas(read, LAYOUT_COLUMNS).collect()
+    broken = sorted(r.path for r in judged if r.reached and r.layout is None)
+    if broken:
+        raise NotParquetError(f"not a parquet file: {broken[0]}")
+
+    def fall_back(path: str) -> FileFacts:
+        fields = spark.read.parquet(literal_path(path)).schema
+        columns = [(f.name, f.dataType.simpleString()) for f in fields]
+        return FileFacts(path, *_facts(columns, folder_columns(path)[1], lowered, required))
+
+    with ThreadPoolExecutor(CONCURRENT_READS) as pool:
+        unreached = list(pool.map(fall_back, [r.path for r in judged if not r.reached]))
+    reached = [FileFacts(r.path, r.layout, r.clash, r.absent) for r in judged if r.reached]
+    return sorted(reached + unreached, key=lambda f: f.path)
 
 
 def source_volume(spark: SparkSession, sources: dict[str, str]) -> DataFrame:

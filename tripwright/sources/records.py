@@ -16,14 +16,32 @@ METRICS_SCHEMA = (
 )
 
 
-def read_run_metrics(
-    spark: SparkSession, paths: str | Sequence[str], one_per_file: bool = False
-) -> DataFrame:
-    """Read metrics documents: one per line, or one spread over the lines of each file."""
-    docs = spark.read.schema(METRICS_SCHEMA).option("multiLine", one_per_file).json(paths)
-    return docs.withColumn("run_id", F.coalesce("run_id", "_metadata.file_path"))
+_FIELDS = [f.split(" ")[0] for f in METRICS_SCHEMA.replace("map<string, double>", "map").split(", ")]
+_OBJECT = "map<string, string>"
+
+
+def read_run_metrics(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Read metrics documents: one per line, or one spread over the lines of each file.
+
+    A file whose first line is a whole document has one on every line, any other file is one
+    document. Fields beyond METRICS_SCHEMA are kept as text in ``extra``. A document that
+    cannot be read is an error, whichever columns are asked for.
+    """
+    files = spark.read.text(paths, wholetext=True).select("value", "_metadata.file_path")
+    whole = F.regexp_replace("value", r"^\s+|\s+$", "")
+    lines = F.filter(F.split(whole, r"\r?\n"), lambda line: F.trim(line) != "")
+    by_line = F.from_json(F.get(lines, F.lit(0)), _OBJECT).isNotNull()
+    docs = files.select("file_path", F.explode(F.when(by_line, lines).otherwise(F.array(whole))).alias("doc"))
+    docs = docs.withColumns({"fields": F.from_json("doc", _OBJECT), "read": F.from_json("doc", METRICS_SCHEMA)})
+    stop = F.raise_error(F.concat(F.lit("malformed metrics document in "), "file_path")).cast("boolean")
+    return docs.filter(F.when(F.col("fields").isNull(), stop).otherwise(True)).select(
+        F.coalesce("read.run_id", "file_path").alias("run_id"),
+        *[F.col(f"read.{name}").alias(name) for name in _FIELDS if name != "run_id"],
+        F.map_filter("fields", lambda k, _: ~k.isin(_FIELDS)).alias("extra"),
+    )
 
 
 def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(value, path): the lines of log files and the file each comes from."""
-    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"))
+    """(value, path): the lines of log files and the file each comes from, as it is named."""
+    named = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+    return spark.read.text(path).select("value", named.alias("path"))

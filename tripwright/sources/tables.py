@@ -7,8 +7,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripwright.contract import TRIPS, ZONES, Contract
-from tripwright.sources.files import list_parquet, schemas
+from tripwright.contract import TRIPS, ZONES, Contract, ContractError
+from tripwright.sources.files import file_facts, folder_columns, list_files, literal_path
+
 
 def read_normalized(
     spark: SparkSession, paths: str | Sequence[str], contract: Contract = TRIPS
@@ -19,20 +20,26 @@ def read_normalized(
     integer here and as double there. So files are grouped by how they store the contract's
     columns, each group is read by one scan and projected to the contract, and the scans are
     put together by name. There are as many scans as variants, however many files there are,
-    and filters and column choice still reach each of them.
+    and filters and column choice still reach each of them. Files may lie at any depth and
+    bear any name; columns that stand in ``name=value`` folders are columns like others.
     """
-    wanted = {n.lower() for n in contract.names}
     variants: dict[tuple, list[str]] = {}
-    for path, columns in sorted(schemas(spark, list_parquet(spark, paths)).items()):
-        contract.check_columns([name for name, _ in columns], path)
-        layout = tuple(sorted(c for c in columns if c[0].lower() in wanted))
-        variants.setdefault(layout, []).append(path)
-    return union_by_name(
-        [
-            contract.project(spark.read.option("mergeSchema", False).parquet(*files), files[0])
-            for files in variants.values()
-        ]
-    )
+    for file in file_facts(spark, list_files(spark, paths), contract.names, contract.required):
+        if file.clash:
+            first, second = file.clash
+            raise ContractError(f"{file.path}: columns {first!r} and {second!r} differ only by case")
+        if file.absent:
+            raise ContractError(f"{file.path}: required columns are missing: {file.absent}")
+        base, names = folder_columns(file.path)
+        # Files without such columns need no common folder and may share a scan.
+        variants.setdefault((file.layout, base if names else None), []).append(file.path)
+    scans = []
+    for (_, base), files in variants.items():
+        reader = spark.read.option("mergeSchema", False)
+        if base is not None:
+            reader = reader.option("basePath", base)
+        scans.append(contract.project(reader.parquet(*map(literal_path, files)), files[0]))
+    return union_by_name(scans)
 
 
 def union_by_name(parts: Sequence[DataFrame]) -> DataFrame:
