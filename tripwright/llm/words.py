@@ -90,10 +90,10 @@ def shingles(hashed: np.ndarray, per_row: np.ndarray, size: int) -> tuple[np.nda
     A row with fewer words, but any, has one shingle: its whole sequence.
     """
     total = len(hashed)
-    joined = np.zeros(max(0, total), np.uint64)
+    joined = np.zeros(total, np.uint64)
     for k in range(size):
         step = np.uint64((2 * k + 3) * _BASE % (1 << 64) | 1)
-        joined[: total - k] += hashed[k:] * step
+        joined[: max(0, total - k)] += hashed[k:] * step
     joined = mix(joined)
     out, counts, at = [], np.zeros(len(per_row), np.int64), 0
     for row, n in enumerate(per_row.tolist()):
