@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripwright.llm.ranges import bounds, with_range
+from tripwright.llm.ranges import apart, bounds, with_range
 from tripwright.llm.tables import partitions, pieces, texts
 
 #: A piece is a sentence, or some two dozen characters of one to the end of a word.
@@ -190,7 +190,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     copies = ranged.select(
         "doc_id", "text", "place", F.explode(F.when(F.col("lent_to").isNull(), one).otherwise(two)).alias("at")
     ).select("doc_id", "text", "place", "at.part", "at.borrowed")
-    ordered = copies.repartition(parts, "part").sortWithinPartitions("part", "borrowed", F.desc("place"), "text")
+    ordered = apart(copies, "part", parts).sortWithinPartitions("part", "borrowed", F.desc("place"), "text")
     return ordered.select("part", "borrowed", "doc_id", "text").mapInArrow(
         _fingerprints,
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "

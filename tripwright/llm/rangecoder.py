@@ -51,11 +51,16 @@ class _Model:
         top = np.arange(1, max(2, alphabet + 2), dtype=np.uint32)
         self.width = (np.floor(np.log2(top)) + 1e-9).astype(np.int64)
         self.contexts1 = _OWN + self.classes + 1
+        # Whole numbers below 2 ** 24, which float32 holds exactly and multiplies fast.
         self.counts = [
-            np.ones((lanes, self.symbols), np.int32),
-            np.ones((lanes * self.contexts1, self.symbols), np.int32),
-            np.ones((lanes * 16, self.symbols), np.int32),
+            np.ones((lanes, self.symbols), np.float32),
+            np.ones((lanes * self.contexts1, self.symbols), np.float32),
+            np.ones((lanes * 16, self.symbols), np.float32),
         ]
+        self.flat = [c.reshape(-1) for c in self.counts]
+        self.upto = np.triu(np.ones((self.symbols, self.symbols), np.float32))
+        self.each = np.ones(self.symbols, np.float32)
+        self.row = self.lanes * self.symbols
         self.totals = [np.full(len(c), self.symbols, np.int32) for c in self.counts]
         self.guess2 = np.full(lanes * _SLOTS2, _NONE)
         self.guess1 = np.full(lanes * _SLOTS1, _NONE)
@@ -64,27 +69,32 @@ class _Model:
         self.before = np.zeros(lanes, np.uint32)
         self.earlier = np.zeros(lanes, np.uint32)
 
-    def look(self) -> np.ndarray:
-        """Mixed frequencies of the symbols in each block."""
+    def look(self) -> tuple[np.ndarray, np.ndarray]:
+        """Mixed frequencies of the symbols in each block, and their running sums."""
         mixed = self.before * np.uint32(2654435761) ^ self.earlier * np.uint32(2246822519)
         self.at2 = self.lanes * _SLOTS2 + (mixed >> np.uint32(20))
         self.at1 = self.lanes * _SLOTS1 + ((self.before * np.uint32(2654435761)) >> np.uint32(21))
-        self.says2, self.says1 = self.guess2[self.at2], self.guess1[self.at1]
-        self.sure2, self.sure1 = self.trust2[self.at2], self.trust1[self.at1]
-        own = np.where(self.before < _OWN, self.before, _OWN + self.width[self.before])
+        self.says2, self.says1 = self.guess2.take(self.at2), self.guess1.take(self.at1)
+        self.sure2, self.sure1 = self.trust2.take(self.at2), self.trust1.take(self.at1)
+        own = np.where(self.before < _OWN, self.before, _OWN + self.width.take(self.before))
         trust = self.sure2.astype(np.int64) * 4 + self.sure1
         self.where = [self.lanes, self.lanes * self.contexts1 + own, self.lanes * 16 + trust]
         a, b, c = self.counts
-        return a + b[self.where[1]] + c[self.where[2]]
+        frequency = a + b.take(self.where[1], 0)
+        frequency += c.take(self.where[2], 0)
+        return frequency, frequency @ self.upto
+
+    def pick(self, table: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        return table.reshape(-1).take(self.row + symbol).astype(np.uint64)
 
     def learn(self, symbol: np.ndarray, rank: np.ndarray) -> None:
-        for counts, totals, at, step in zip(self.counts, self.totals, self.where, _STEPS):
-            counts[at, symbol] += step
-            grown = totals[at] + step
+        for counts, flat, totals, at, step in zip(self.counts, self.flat, self.totals, self.where, _STEPS):
+            flat[at * self.symbols + symbol] += step
+            grown = totals.take(at) + step
             totals[at] = grown
             if grown.max() > _LIMIT:
                 full = at[grown > _LIMIT]
-                half = (counts[full] >> 1) | 1
+                half = np.maximum(np.floor(counts[full] / 2), 1)
                 counts[full] = half
                 totals[full] = half.sum(1)
         for guess, trust, at, says, sure in (
@@ -108,13 +118,12 @@ def _encode_lanes(ranks: np.ndarray, alphabet: int) -> list[bytes]:
     row = model.lanes
     for t in range(steps):
         rank = ranks[:, t]
-        frequency = model.look()
-        width = model.width[rank]
+        frequency, ends = model.look()
+        width = model.width.take(rank)
         symbol = np.where(rank == model.says2, 0, np.where(rank == model.says1, 1, 2 + width))
-        ends = np.cumsum(frequency, 1)
-        own = frequency[row, symbol].astype(np.uint64)
+        own = model.pick(frequency, symbol)
         unit = span // ends[:, -1].astype(np.uint64)
-        low += unit * (ends[row, symbol].astype(np.uint64) - own)
+        low += unit * (model.pick(ends, symbol) - own)
         span = unit * own
         bits = np.where(symbol < 2, 0, width).astype(np.uint64)
         rest = (rank.astype(np.uint64) + np.uint64(1)) & ((np.uint64(1) << bits) - np.uint64(1))
@@ -153,17 +162,15 @@ def _decode_lanes(blocks: list[bytes], steps: int, alphabet: int) -> np.ndarray:
     coming = ((words[:, 1:-1] & np.uint64(1)) << np.uint64(31)) | (words[:, 2:] >> np.uint64(1))
     used = np.zeros(lanes, np.int64)
     span = np.full(lanes, _TOP)
-    row = model.lanes
     out = np.zeros((lanes, steps), np.uint32)
     for t in range(steps):
-        frequency = model.look()
-        ends = np.cumsum(frequency, 1)
+        frequency, ends = model.look()
         total = ends[:, -1]
         unit = span // total.astype(np.uint64)
-        value = np.minimum((code // unit).astype(np.int64), total - 1)
-        symbol = (ends <= value[:, None]).sum(1)
-        own = frequency[row, symbol].astype(np.uint64)
-        code -= unit * (ends[row, symbol].astype(np.uint64) - own)
+        value = np.minimum((code // unit).astype(np.float32), total - 1)
+        symbol = ((ends <= value[:, None]).astype(np.float32) @ model.each).astype(np.int64)
+        own = model.pick(frequency, symbol)
+        code -= unit * (model.pick(ends, symbol) - own)
         span = unit * own
         bits = np.where(symbol < 2, 0, symbol - 2).astype(np.uint64)
         span >>= bits

@@ -30,5 +30,10 @@ def with_range(df: DataFrame, column: str, name: str, inner: list[float]) -> Dat
 
 
 def dealt(df: DataFrame, column: str, name: str, parts: int) -> DataFrame:
-    """Rows with their range, each range in one partition."""
-    return with_range(df, column, name, bounds(df, column, parts)).repartition(parts, name)
+    """Rows with their range, each range in a partition of its own."""
+    return apart(with_range(df, column, name, bounds(df, column, parts)), name, parts)
+
+
+def apart(df: DataFrame, name: str, parts: int) -> DataFrame:
+    """Each of ``parts`` ranges, and that of nulls, in a partition of its own."""
+    return df.repartitionById(parts + 1, (F.col(name) + 1).cast("int"))

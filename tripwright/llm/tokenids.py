@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import sys
 import zlib
 from collections.abc import Iterator
@@ -54,8 +55,9 @@ class Tokens:
             new = list(wanted)
         for at in range(0, len(new), 4096):
             own = new[at : at + 4096]
-            for text, found in zip(own, self.tokenizer.encode_batch([lead + w for w in own], add_special_tokens=False)):
-                memory[text] = np.array(found.ids, "<u4").tobytes()
+            coded = self.tokenizer.encode_batch_fast([lead + w for w in own], add_special_tokens=False)
+            for text, ids in zip(own, [c.ids for c in coded]):
+                memory[text] = struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, rows: list[str]) -> list[np.ndarray]:
         split = [None if _TOGETHER.search(t) else t.split(" ") for t in rows]
