@@ -167,48 +167,68 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     )
 
 
+#: Set in a mask where the key phrase stands; the other bits are words of the template.
+_KEY_BIT = 1 << 62
+
+
 def _by_index(rows: DataFrame) -> DataFrame:
-    """(of, of_print, found, share) of texts that share an offset with a template."""
+    """(of, of_print, found, share) of texts that share an offset with a template.
+
+    A text gives a row for each rare word and each key phrase in it. Rows that agree on the
+    template's offset are put together as bits, in the map tasks first; words do not move.
+    """
     postings = index()
     rare = sorted({p.word for p in postings})
-    table = F.explode(F.array(*[F.struct(F.lit(p.word).alias("word"), F.lit(p.template).alias("template"), F.lit(p.at).alias("at"), F.lit(p.weight).alias("weight")) for p in postings]))
-    listed = rows.sparkSession.range(1).select(table.alias("p")).select("p.*")
-    texts = rows.filter(F.col("text").rlike("(?i)" + "|".join(anchors()))).select("doc_id", "print", _words(F.col("text")).alias("words"))
-    keys = F.array(*[_key_at(t) for t in TEMPLATES])
-    tokens = texts.select("doc_id", "print", F.posexplode("words").alias("place", "word")).filter(F.col("word").isin(rare))
-    met = tokens.select("doc_id", "print", "place", "word").join(F.broadcast(listed), "word")
-    votes = met.select("doc_id", "print", "template", (F.col("place") - F.col("at")).alias("offset"), "at", "weight")
-    shares = (
-        votes.distinct().groupBy("doc_id", "print", "template", "offset").agg(F.round(F.sum("weight"), 6).alias("share"))
-    )
-    best = shares.filter(F.col("share") >= ENOUGH).groupBy("doc_id", "print").agg(
-        F.collect_set(F.struct("template", "offset")).alias("offsets")
+    cells = [
+        F.struct(F.lit(p.word).alias("rare"), F.lit(p.template).alias("template"), F.lit(p.at).alias("at"))
+        for p in postings
+    ]
+    listed = rows.sparkSession.range(1).select(F.inline(F.array(*cells)))
+    texts = rows.filter(F.col("text").rlike("(?i)" + "|".join(anchors())))
+    texts = texts.select("doc_id", "print", _words(F.col("text")).alias("words"))
+    numbered = F.transform("words", lambda w, k: F.struct(w.alias("word"), F.lit(None).cast("int").alias("key"), k.alias("place")))
+    tokens = F.filter(numbered, lambda t: t["word"].isin(rare))
+    keys = [_keys_of(k, template) for k, template in enumerate(TEMPLATES)]
+    seen = texts.select("doc_id", "print", F.inline(F.concat(tokens, *keys)))
+    met = seen.join(F.broadcast(listed), F.col("word") == F.col("rare"), "left")
+    bit = F.when(F.col("key").isNotNull(), F.lit(_KEY_BIT)).otherwise(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("at")))
+    votes = met.select(
+        "doc_id",
+        "print",
+        F.coalesce("key", "template").alias("template"),
+        (F.col("place") - F.coalesce("at", F.lit(0))).alias("offset"),
+        bit.alias("bit"),
     )
-    top = shares.groupBy("doc_id", "print").agg(F.max("share").alias("share"))
-    checked = texts.dropDuplicates(["doc_id", "print"]).join(
-        best.select(F.col("doc_id").alias("b_id"), F.col("print").alias("b_print"), "offsets"),
-        F.col("doc_id").eqNullSafe(F.col("b_id")) & (F.col("print") == F.col("b_print")),
+    masks = votes.groupBy("doc_id", "print", "template", "offset").agg(F.bit_or("bit").alias("mask"))
+    own = F.get(_weights(postings), F.col("template"))
+    held = F.transform(own, lambda w: F.when(F.col("mask").bitwiseAND(w["bit"]) != 0, w["weight"]).otherwise(0.0))
+    share = F.round(F.aggregate(held, F.lit(0.0), lambda total, w: total + w), 6)
+    label = F.get(F.array(*[F.lit(name) for name, _, _ in TEMPLATES]), F.col("template"))
+    named = (F.col("share") >= ENOUGH) & (F.col("mask").bitwiseAND(F.lit(_KEY_BIT)) != 0)
+    best = masks.withColumn("share", share).groupBy("doc_id", "print").agg(
+        F.max("share").alias("share"), F.collect_set(F.when(named, label)).alias("found")
     )
-    label = F.array(*[F.lit(name) for name, _, _ in TEMPLATES])
+    return best.select(F.col("doc_id").alias("of"), F.col("print").alias("of_print"), "found", "share")
 
-    def holds(o: Column) -> Column:
-        key = F.get(keys, o["template"])
-        begin = o["offset"] + key["at"]
-        return (begin >= 0) & (F.slice(F.col("words"), F.greatest(begin, F.lit(0)) + 1, F.size(key["words"])) == key["words"])
 
-    found = F.array_distinct(F.transform(F.filter("offsets", holds), lambda o: F.get(label, o["template"])))
-    named = checked.select(F.col("doc_id").alias("n_id"), F.col("print").alias("n_print"), found.alias("found"))
-    joined = top.join(
-        named, F.col("doc_id").eqNullSafe(F.col("n_id")) & (F.col("print") == F.col("n_print")), "left"
-    )
-    return joined.select(F.col("doc_id").alias("of"), F.col("print").alias("of_print"), "found", "share")
+def _weights(postings: list[Posting]) -> Column:
+    """Per template, the bits of its rare words and what they weigh."""
+    per_template = []
+    for k in range(len(TEMPLATES)):
+        own = [F.struct(F.lit(1 << p.at).cast("bigint").alias("bit"), F.lit(p.weight).alias("weight")) for p in postings if p.template == k]
+        per_template.append(F.array(*own))
+    return F.array(*per_template)
 
 
-def _key_at(template: tuple[str, str, str]) -> Column:
-    """Where the key phrase begins in its template, and its words."""
+def _keys_of(number: int, template: tuple[str, str, str]) -> Column:
+    """Where a template would begin, for each place of its key phrase in the words."""
     words, key = template[1].split(), template[2].split()
     at = next(k for k in range(len(words)) if words[k : k + len(key)] == key)
-    return F.struct(F.lit(at).alias("at"), F.array(*[F.lit(w) for w in key]).alias("words"))
+    none = F.lit(None).cast("string")
+    return F.transform(
+        _starts(F.col("words"), template[2]),
+        lambda s: F.struct(none.alias("word"), F.lit(number).alias("key"), (s - at).alias("place")),
+    )
 
 
 def _license_sql() -> str:
