@@ -8,6 +8,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from tests.llm.conftest import by_id
 from tripwright.llm import rangecoder
@@ -51,6 +52,16 @@ def test_stretches_give_the_same_ids_as_whole_texts():
     assert [x.tolist() for x in tokens.encode(texts)] == [w.ids for w in whole]
 
 
+def test_ids_are_those_of_the_untouched_tokenizer():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokens, untouched = Tokens(path), Tokenizer.from_file(path)
+    draw = random.Random(4)
+    parts = [" ", "a", "word", "\n", "!", "<|endoftext|>", "<|endof", "text|>"]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 12))) for _ in range(2000)]
+    texts += ["a <|endoftext|> b", "\n <|endoftext|> \n", "<|endoftext|>"]
+    assert [x.tolist() for x in tokens.encode(texts)] == [untouched.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_segments_describe_every_document(make_docs):
     texts = {5: "one two", 3: None, 9: "", 7: "x" * 5000, 8: "one two"}
     docs = make_docs([*texts.items()], extra={"shard": 1, "place": "x"})

@@ -36,7 +36,8 @@ class Tokens:
 
     The vocabulary's rule for splitting a text always parts it before a space that follows
     something else than white space, so such stretches can be encoded one by one and looked
-    up when they come again. Texts in which spaces meet other white space are encoded whole.
+    up when they come again. Texts in which spaces meet other white space, and texts that hold
+    a token added to the vocabulary, are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -44,7 +45,7 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
 
@@ -60,7 +61,7 @@ class Tokens:
                 memory[text] = struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, rows: list[str]) -> list[np.ndarray]:
-        split = [None if _TOGETHER.search(t) else t.split(" ") for t in rows]
+        split = [None if _TOGETHER.search(t) or any(s in t for s in self.special) else t.split(" ") for t in rows]
         self._remember(self.first, {s[0] for s in split if s}, "")
         wanted: set[str] = set()
         for s in split:
