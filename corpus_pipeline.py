@@ -33,7 +33,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order that interleaves sources by the roots of their sizes."""
-    return mixing.in_order(docs, mixing.tempered(mixing.source_counts(docs)))
+    return mixing.in_order(docs, mixing.targets(docs))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

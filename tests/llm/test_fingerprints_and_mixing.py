@@ -98,6 +98,31 @@ def test_a_mixture_keeps_every_row_and_the_weights(make_docs):
     assert [r.doc_id for r in ordered.collect()] == want
 
 
+def test_no_source_drifts_off_its_weight_over_many_slots():
+    weights = [7, *[1 + k / 37 for k in range(19)]]
+    total, got = sum(Fraction(w) for w in weights), [0] * 20
+    exact = [Fraction(w) / total for w in weights]
+    for slot, (c, member, k, at) in enumerate(mixing.slots_of([(w, 1 << 40, 1) for w in weights])):
+        assert (member, k, at) == (0, got[c], slot)
+        got[c] += 1
+        if slot % 97 == 0 or slot % 1000 > 990:
+            assert all(abs(g - w * (slot + 1)) < 1 for g, w in zip(got, exact))
+        if slot == 60_000:
+            break
+
+
+def test_a_mixture_follows_weights_that_are_no_whole_slots(make_docs):
+    weights = {"a": 2004, "b": 2004, "c": 2004, "d": 2004, "e": 1984}
+    docs = make_docs([(k, "x", None, "abcde"[k % 5]) for k in range(30_000)])
+    placed = sorted((r.mix_slot, r.source) for r in mixing.mix(docs, weights, block=1).collect())
+    got = dict.fromkeys(weights, 0)
+    for slot, (at, source) in enumerate(placed):
+        got[source] += 1
+        assert at == slot and all(abs(got[s] - Fraction(w * (slot + 1), 10_000)) < 1 for s, w in weights.items())
+        if 6000 in got.values():
+            break
+
+
 def test_mixing_nothing(make_docs):
     empty = make_docs([])
     assert mixing.mix(empty, mixing.tempered(mixing.source_counts(empty))).count() == 0

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,10 +14,14 @@ from pyspark.sql import functions as F
 BLOCK = 16
 #: Slots of one period, in which every source gets its share exactly.
 PERIOD = 1000
-#: Weights and one period of the schedule are held by the driver and broadcast.
+#: With a period, weights and one period of the schedule are held by the driver and broadcast.
 MAX_SOURCES = 1000
 #: Each source is cut into so many hash ranges to be numbered without one task per source.
 CUTS = 256
+#: Slots beyond which none is left empty any more, so that places are whole numbers of 64 bits.
+FAR = 1 << 58
+#: Rows of the schedule that are given at a time.
+PLANNED = 1 << 14
 
 
 def shares(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]:
@@ -79,7 +84,98 @@ def source_counts(docs: DataFrame, limit: int = MAX_SOURCES) -> dict[str, int]:
     return {r.source: r.n for r in found}
 
 
-def mix(docs: DataFrame, weights: Mapping[str, float], block: int = BLOCK, period: int = PERIOD) -> DataFrame:
+def slots_of(classes: Iterable[tuple[float, int, int]]) -> Iterator[tuple[int, int, int, int]]:
+    """(class, member, block, slot) of all blocks, slot by slot, earliest deadline first.
+
+    A class (weight, blocks, members) is sources with equal weights and numbers of blocks.
+    With w the exact share of one source, its block k is released at floor(k / w) and due at
+    ceil((k + 1) / w); nothing is rounded to slots of a period. Each slot takes the released
+    block that is due first, ties by class and member, so all deadlines are met and each source
+    is within one block of its weight while it has blocks. A slot with no released block stays
+    empty. What is held is a few numbers per class.
+    """
+    exact = [(Fraction(w), blocks, members) for w, blocks, members in classes]
+    scale = max((w.denominator for w, _, _ in exact), default=1)  # all are powers of two
+    shares = [int(w * scale) for w, _, _ in exact]
+    total = sum(w * members for w, (_, _, members) in zip(shares, exact))
+    waiting = [(0, c, 0) for c in range(len(exact))]
+    ready: list[tuple[int, int, int, int]] = []
+    slot = 0
+    while waiting or ready:
+        if not ready and waiting[0][0] > slot:
+            slot = max(slot, min(waiting[0][0], FAR))
+        while waiting and (waiting[0][0] <= slot or (slot >= FAR and not ready)):
+            _, c, k = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(k + 1) * total // shares[c]), c, k, 0))
+            if k + 1 < exact[c][1]:
+                heapq.heappush(waiting, ((k + 1) * total // shares[c], c, k + 1))
+        due, c, k, member = ready[0]
+        if due < slot + 1:
+            raise AssertionError("a deadline is missed")
+        if member + 1 < exact[c][2]:
+            heapq.heapreplace(ready, (due, c, k, member + 1))
+        else:
+            heapq.heappop(ready)
+        yield c, member, k, slot
+        slot += 1
+
+
+_PLAN = pa.schema(
+    [("of_weight", pa.float64()), ("of_blocks", pa.int64()), ("of_member", pa.int64()), ("of_block", pa.int64()),
+     ("mix_slot", pa.int64())]
+)
+
+
+def _planned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    classes = sorted(row for b in batches for row in zip(*[c.to_pylist() for c in b.columns]))
+    held: list[tuple] = []
+
+    def full() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), _PLAN.types)], schema=_PLAN)
+
+    for c, member, k, slot in slots_of(classes):
+        held.append((*classes[c][:2], member, k, slot))
+        if len(held) == PLANNED:
+            yield full()
+            held = []
+    if held:
+        yield full()
+
+
+def targets(docs: DataFrame) -> DataFrame:
+    """(source, weight) of every source, as ``tempered`` with the power 0.5; stays in Spark."""
+    counts = docs.groupBy(F.coalesce("source", F.lit("")).alias("source")).agg(F.count("*").alias("n"))
+    return counts.select("source", F.sqrt("n").alias("weight"))
+
+
+def _numbered(df: DataFrame, group: list[str], order: list[str], small: bool = False) -> DataFrame:
+    """Adds ``at``: the number of a row in its group, by ``cut`` and ``order``, from 0 on."""
+    sizes = df.groupBy(*group, "cut").agg(F.count("*").alias("n"))
+    ahead = Window.partitionBy(*group).orderBy("cut").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.select(*group, "cut", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("base"))
+    inside = Window.partitionBy(*group, "cut").orderBy(*order)
+    counted = df.withColumn("at", F.row_number().over(inside) - 1)
+    joined = counted.join(F.broadcast(bases) if small else bases, [*group, "cut"])
+    return joined.withColumn("at", F.col("base") + F.col("at")).drop("base")
+
+
+def _exact_slots(rows: DataFrame, weights: DataFrame, block: int) -> DataFrame:
+    """(of_source, of_block, mix_slot) of every block of a source with a positive weight."""
+    given = weights.select(F.coalesce("source", F.lit("")).alias("source"), F.col("weight").cast("double").alias("weight"))
+    counts = rows.groupBy("source").agg(F.ceil(F.count("*") / F.lit(block)).alias("blocks"))
+    sources = counts.join(given.filter("weight > 0"), "source").withColumn("cut", F.pmod(F.xxhash64("source"), F.lit(CUTS)))
+    members = _numbered(sources, ["weight", "blocks"], ["source"])
+    classes = sources.groupBy("weight", "blocks").agg(F.count("*").alias("members"))
+    plan = classes.coalesce(1).mapInArrow(
+        _planned, "of_weight double, of_blocks long, of_member long, of_block long, mix_slot long"
+    )
+    same = (F.col("weight") == F.col("of_weight")) & (F.col("blocks") == F.col("of_blocks")) & (F.col("at") == F.col("of_member"))
+    return plan.join(members, same).select(F.col("source").alias("of_source"), "of_block", "mix_slot")
+
+
+def mix(
+    docs: DataFrame, weights: Mapping[str, float] | DataFrame, block: int = BLOCK, period: int | None = None
+) -> DataFrame:
     """Every row of ``docs`` (doc_id, source, ...) with where it stands in the mixture.
 
     (row, source, key, mix_block, mix_slot, mix_place): ``row`` is the whole row as a struct,
@@ -88,17 +184,22 @@ def mix(docs: DataFrame, weights: Mapping[str, float], block: int = BLOCK, perio
     are in the order of ``key``, the md5 of their id, then of the id, then of the hash of the
     row; equal rows are alike in any order. A null source is the source named "".
 
-    No row is lost: when a source runs dry its slots stay empty and the others go on in their
-    order; rows of sources without a positive weight have no slot and no place and belong
-    after all others. An empty table gives no rows. Input columns may have any names.
+    ``weights`` is a mapping or a table (source, weight), one row a source. They are held
+    exactly over the whole run (see ``slots_of``), and any number of sources is taken. One task
+    plans all blocks one after the other; it holds a few numbers for each distinct pair of a
+    weight and a number of blocks. With a ``period`` weights are instead rounded to whole slots
+    of it, one at least, and its schedule repeats, which is off by up to a slot a source and
+    period; at most MAX_SOURCES sources, as a mapping.
+
+    No row is lost: when a source runs dry its slots are left to blocks that are released, or
+    stay empty, and with a period they stay empty; rows of sources without a positive weight
+    have no slot and no place and belong after all others. An empty table gives no rows. Input
+    columns may have any names.
 
     Sources are numbered by way of hash ranges, so that a source which holds a third of the
-    rows is spread over tasks. The schedule of one period is broadcast: ``period`` rows.
+    rows is spread over tasks.
     """
     spark = docs.sparkSession
-    slots = shares(weights, period)
-    plan = spark.createDataFrame(schedule(slots), "source string, k long, offset long")
-    taken = spark.createDataFrame(sorted(slots.items()), "source string, share long")
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     rows = docs.select(
         F.struct(*docs.columns).alias("row"),
@@ -108,25 +209,29 @@ def mix(docs: DataFrame, weights: Mapping[str, float], block: int = BLOCK, perio
         F.conv(F.substring(key, 1, 2), 16, 10).cast("int").alias("cut"),
         F.xxhash64(*docs.columns).alias("tie"),
     )
-    sizes = rows.groupBy("source", "cut").agg(F.count("*").alias("n"))
-    ahead = Window.partitionBy("source").orderBy("cut").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.select("source", "cut", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("source", "cut").orderBy("key", "id", "tie")
-    numbered = rows.withColumn("at", F.row_number().over(inside) - 1)
-    # At most MAX_SOURCES * CUTS rows of counts.
-    numbered = numbered.join(F.broadcast(bases), ["source", "cut"]).withColumn("at", F.col("base") + F.col("at"))
-    shared = numbered.join(F.broadcast(taken), "source", "left").withColumns(
-        {"mix_block": F.floor(F.col("at") / F.lit(block)), "inner": F.col("at") % F.lit(block)}
-    )
-    shared = shared.withColumn("k", F.col("mix_block") % F.col("share"))
-    planned = shared.join(F.broadcast(plan), ["source", "k"], "left")
-    slot = F.floor(F.col("mix_block") / F.col("share")) * F.lit(sum(slots.values())) + F.col("offset")
-    return planned.withColumn("mix_slot", slot).select(
+    # With a period at most MAX_SOURCES * CUTS rows of counts.
+    numbered = _numbered(rows, ["source"], ["key", "id", "tie"], small=period is not None)
+    numbered = numbered.withColumns({"mix_block": F.floor(F.col("at") / F.lit(block)), "inner": F.col("at") % F.lit(block)})
+    if period is None:
+        if not isinstance(weights, DataFrame):
+            named = [(s, float(w)) for s, w in sorted(weights.items())]
+            weights = spark.createDataFrame(named, "source string, weight double")
+        slots = _exact_slots(rows, weights, block)
+        own = (F.col("source") == F.col("of_source")) & (F.col("mix_block") == F.col("of_block"))
+        placed = numbered.join(slots, own, "left")
+    else:
+        share = shares(weights, period)
+        plan = spark.createDataFrame(schedule(share), "source string, k long, offset long")
+        taken = spark.createDataFrame(sorted(share.items()), "source string, share long")
+        shared = numbered.join(F.broadcast(taken), "source", "left").withColumn("k", F.col("mix_block") % F.col("share"))
+        slot = F.floor(F.col("mix_block") / F.col("share")) * F.lit(sum(share.values())) + F.col("offset")
+        placed = shared.join(F.broadcast(plan), ["source", "k"], "left").withColumn("mix_slot", slot)
+    return placed.select(
         "row", "source", "key", "mix_block", "mix_slot", (F.col("mix_slot") * F.lit(block) + F.col("inner")).alias("mix_place")
     )
 
 
-def in_order(docs: DataFrame, weights: Mapping[str, float]) -> DataFrame:
+def in_order(docs: DataFrame, weights: Mapping[str, float] | DataFrame) -> DataFrame:
     """The same rows, sorted into the order of the mixture."""
     mixed = mix(docs, weights)
     order = [F.asc_nulls_last("mix_place"), "source", "key", F.xxhash64("row")]
