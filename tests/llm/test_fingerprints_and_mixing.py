@@ -7,6 +7,7 @@ import pytest
 
 from tests.llm.conftest import by_id
 from tripwright.llm import merkle, mixing
+from tripwright.llm.queries import op6_mix_sources
 
 TEXT = "\n".join(f"Paragraph {k} says something. It has two sentences of its own {k}." for k in range(40))
 
@@ -123,6 +124,26 @@ def test_a_mixture_follows_weights_that_are_no_whole_slots(make_docs):
             break
 
 
+def test_every_source_keeps_a_slot_of_a_period():
+    for weights in ({"big": 490, **{f"s{k}": 1 for k in range(980)}}, {f"s{k}": k**-1.2 for k in range(1, 901)}):
+        slots = mixing.shares(weights)
+        assert min(slots.values()) >= 1 and sum(slots.values()) == 1000
+        assert len(mixing.schedule(slots)) == 1000
+
+
+@pytest.mark.parametrize("small", [995, 1100])
+def test_many_sources_are_mixed_whole(spark, make_docs, tmp_path, small):
+    rows = [(k, "x", None, f"s{k}") for k in range(small)] + [(small + k, "x", None, "big") for k in range(40_000)]
+    make_docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    placed = op6_mix_sources(spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in placed) == list(range(len(rows)))
+    assert len({r.mix_place for r in placed}) == len(rows) and None not in {r.mix_place for r in placed}
+    total = small + 200
+    for r in placed:
+        if r.source == "big":
+            assert r.mix_block * total // 200 <= r.mix_slot < -(-(r.mix_block + 1) * total // 200)
+
+
 def test_mixing_nothing(make_docs):
     empty = make_docs([])
     assert mixing.mix(empty, mixing.tempered(mixing.source_counts(empty))).count() == 0

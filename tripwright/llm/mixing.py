@@ -40,7 +40,7 @@ def shares(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]
             if sum(slots.values()) < period:
                 slots[s] += 1
     while sum(slots.values()) > period:
-        most = max(slots, key=lambda s: (slots[s] - exact[s] if slots[s] > 1 else -1, s))
+        most = max((s for s in slots if slots[s] > 1), key=lambda s: (slots[s] - exact[s], s))
         slots[most] -= 1
     return slots
 
@@ -231,6 +231,20 @@ def mix(
     )
 
 
+def mix_as_stated(docs: DataFrame) -> DataFrame:
+    """``mix`` by the roots of the sources' sizes, in the period that MIX_SQL states.
+
+    With more sources than a period or a broadcast can take, or where one slot at least for
+    each leaves too few for the others, there is no such period: then weights are held exactly.
+    """
+    weights = targets(docs)
+    found = weights.limit(MAX_SOURCES + 1).collect()
+    total = sum(Fraction(r.weight) for r in found)
+    if len(found) <= MAX_SOURCES and sum(max(1, int(Fraction(r.weight) / total * PERIOD)) for r in found) <= PERIOD:
+        return mix(docs, {r.source: r.weight for r in found}, period=PERIOD)
+    return mix(docs, weights)
+
+
 def in_order(docs: DataFrame, weights: Mapping[str, float] | DataFrame) -> DataFrame:
     """The same rows, sorted into the order of the mixture."""
     mixed = mix(docs, weights)
