@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import os
 import sys
 from pathlib import Path
 
@@ -10,8 +9,6 @@ from pyspark.sql import SparkSession
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 
-TESTDATA = Path(os.environ.get("TESTDATA_DIR", "/root/testdata"))
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):

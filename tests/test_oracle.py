@@ -7,7 +7,7 @@ import os
 
 import duckdb
 import pytest
-from conftest import TESTDATA
+from given import TESTDATA
 
 import __spark_entry__ as entry_points
 from tripwright.plans.derive import TABLES

@@ -5,7 +5,7 @@ import json
 from dataclasses import replace
 
 import pytest
-from conftest import TESTDATA
+from given import TESTDATA
 from plans_of import final, formatted
 
 from tripwright import __main__ as command
