@@ -33,14 +33,14 @@ def plain(rows):
 def test_query_matches_oracle(spark, name):
     got = REGISTRY[name](spark, FOLDER)
     with duckdb.connect() as connection:
-        for t in ("documents", "benchmark"):
+        for t in ("documents", "benchmark", "embeddings"):
             connection.sql(f"create view {t} as select * from '{FOLDER}/{t}.parquet'")
         want = connection.sql(f"select {', '.join(got.columns)} from ({ORACLE_SQL[name]})")
         assert plain(got.collect()) == plain(want.fetchall())
 
 
 def test_all_queries_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in REGISTRY}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in REGISTRY}
     assert set(REGISTRY) | {"pipeline"} <= set(entry_points.queries())
 
 

@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from tripwright.llm import chat, langid, mixing, quality, tokenids
 from tripwright.llm.decontaminate import DECONTAMINATE_SQL, find_passages
+from tripwright.llm.divergence import DIVERGENCE_SQL, audit_sources
 from tripwright.llm.jaccard import jaccard_join
 from tripwright.llm.licenses import LICENSE_SQL, scan_licenses
 from tripwright.llm.linededup import LINE_DEDUP_SQL, drop_shared_lines
 from tripwright.llm.merkle import fingerprint_documents
+from tripwright.llm.ranking import RANK_SQL, rank_documents
 from tripwright.llm.sample import held_out
 from tripwright.llm.tables import table, written
+from tripwright.llm.vectors import NEAR_VECTORS_SQL, near_vectors
 
 
 def op1_token_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -73,6 +76,18 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return parsed.select("conv_id", "turn", held_out("conv_id").alias("held_out"), "role_pred", "rendered")
 
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return rank_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return audit_sources(table(spark, folder, "documents"))
+
+
+def op13_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(table(spark, folder, "embeddings"))
+
+
 QUERIES = [
     op1_token_ids,
     op2_language_id,
@@ -84,6 +99,9 @@ QUERIES = [
     op8_benchmark_decontamination,
     op9_line_dedup,
     op10_chat_formatting,
+    op11_ranked_search,
+    op12_source_divergence,
+    op13_embedding_near_dedup,
 ]
 REGISTRY = {query.__name__: query for query in QUERIES}
 ORACLE_SQL: dict[str, str] = {
@@ -91,4 +109,7 @@ ORACLE_SQL: dict[str, str] = {
     "op7_license_scan": LICENSE_SQL,
     "op8_benchmark_decontamination": DECONTAMINATE_SQL,
     "op9_line_dedup": LINE_DEDUP_SQL,
+    "op11_ranked_search": RANK_SQL,
+    "op12_source_divergence": DIVERGENCE_SQL,
+    "op13_embedding_near_dedup": NEAR_VECTORS_SQL,
 }
