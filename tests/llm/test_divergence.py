@@ -71,7 +71,7 @@ def test_equals_plain_counting(make_docs, seed, min_docs):
 def test_blocks_tiles_and_flushes_change_nothing(make_docs, monkeypatch):
     draw = random.Random(5)
     rows = [(d, " ".join(f"t{chr(97 + draw.randrange(26))}" for _ in range(9)), "en", f"s{draw.randrange(9)}") for d in range(200)]
-    for name, value in {"SOURCE_BLOCK": 2, "TERM_TILE": 5, "HELD": 8, "FIRST_LEVEL": 1}.items():
+    for name, value in {"SOURCE_BLOCK": 2, "TERM_TILE": 5, "HELD": 8, "WAITING": 9, "FIRST_LEVEL": 1}.items():
         monkeypatch.setattr(divergence, name, value)
     assert audited(make_docs(rows), min_docs=3) == brute(rows, 3)
 

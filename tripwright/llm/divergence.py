@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,9 +17,9 @@ from tripwright.llm.terms import LETTERS, stretches
 MIN_DOCS = 30
 TOP_TERMS = 50
 #: Bytes of a prefix on the first level; each level doubles them.
-FIRST_LEVEL = 4
-#: Counters that a task holds before it passes them on, and keys whose filter answer it remembers.
-HELD = 1 << 18
+FIRST_LEVEL = 6
+#: Different terms, and (source, term) counters, that a task holds before it passes them on.
+HELD, WAITING = 1 << 19, 1 << 22
 #: Sources and kept terms that meet in one block of pairs.
 SOURCE_BLOCK, TERM_TILE = 64, 1024
 SCALE, PRIOR = 1_000_000_000, 5
@@ -30,26 +29,43 @@ def key_of(lang: str, term: bytes) -> bytes:
     return lang.encode("utf-8", "surrogatepass") + b"\0" + term
 
 
-class _Filter:
-    """Answers of a Bloom filter for (lang, prefix), remembered for a bounded number of keys."""
+class _Numbers(dict):
+    """Numbers things in the order in which they are first asked for."""
 
-    def __init__(self, parcel: Broadcast | None):
-        self.bits = unpacked(parcel) if parcel is not None else None
-        self.known: dict[str, dict[bytes, bool]] = {}
-        self.held = 0
+    def __init__(self):
+        super().__init__()
+        self.things: list = []
 
-    def passing(self, lang: str, prefixes: set[bytes]) -> set[bytes]:
-        if self.bits is None:
-            return prefixes
-        known = self.known.setdefault(lang, {})
-        new = [p for p in prefixes if p not in known]
-        if self.held + len(new) > HELD:
-            self.known = {lang: (known := {})}
-            self.held, new = 0, list(prefixes)
-        for p in new:
-            known[p] = holds(self.bits, key_of(lang, p))
-        self.held += len(new)
-        return {p for p in prefixes if known[p]}
+    def __missing__(self, thing):
+        self[thing] = number = len(self.things)
+        self.things.append(thing)
+        return number
+
+
+class _Language:
+    """What a task holds of one language: terms by number, and for each the number of what is
+    counted for it, or -1; ``choose`` says what that is, once for a term, not for each of its
+    occurrences."""
+
+    def __init__(self, choose: Callable[[bytes], object]):
+        self.choose = choose
+        self.terms = _Numbers()
+        self.counted = _Numbers()
+        self.counted_of = np.zeros(0, np.int64)
+        self.counts = np.zeros(0, np.int64)
+
+    def numbers(self, text: str | None) -> list[np.ndarray]:
+        """The numbers of a text's terms, per stretch."""
+        get = self.terms.__getitem__
+        return [np.fromiter(map(get, own), np.int64, len(own)) for own in stretches(text, LETTERS)]
+
+    def counting(self, terms: np.ndarray) -> np.ndarray:
+        """What is counted for each of these terms, or -1."""
+        new = self.terms.things[len(self.counted_of) :]
+        if new:
+            wanted = [-1 if (c := self.choose(t)) is None else self.counted[c] for t in new]
+            self.counted_of = np.concatenate((self.counted_of, np.array(wanted, np.int64)))
+        return self.counted_of[terms]
 
 
 _LEVEL = pa.schema([("lang", pa.string()), ("prefix", pa.binary()), ("open", pa.bool_()), ("n", pa.int64())])
@@ -63,36 +79,54 @@ def _extend(length: int, before: int, parcel: Broadcast | None):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = _Filter(parcel)
-        counts: dict[str, tuple[Counter, Counter]] = {}
-        held = 0
+        bits = unpacked(parcel) if parcel is not None else None
+        languages: dict[str, _Language] = {}
+
+        def chosen_in(lang: str):
+            known: dict[bytes, bool] = {}
 
-        def flush() -> pa.RecordBatch:
-            rows = [(lang, p, i == 1, n) for lang, both in counts.items() for i, c in enumerate(both) for p, n in c.items()]
-            columns = list(zip(*rows)) or [()] * 4
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _LEVEL.types)], schema=_LEVEL)
+            def choose(term: bytes) -> tuple[bytes, bool] | None:
+                if before:
+                    if len(term) <= before:
+                        return None
+                    lead = term[:before]
+                    if lead not in known:
+                        known[lead] = holds(bits, key_of(lang, lead))
+                    if not known[lead]:
+                        return None
+                return term[:length], len(term) > length
+
+            return choose
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for lang, own in languages.items():
+                held = np.flatnonzero(own.counts)
+                things = own.counted.things
+                columns = [[lang] * len(held), [things[k][0] for k in held.tolist()], [things[k][1] for k in held.tolist()],
+                           own.counts[held]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _LEVEL.types)], schema=_LEVEL)
 
         for piece in pieces(batches):
+            seen: dict[str, list[np.ndarray]] = {}
             for lang, text in zip(piece.column("lang").to_pylist(), piece.column("text").to_pylist()):
-                terms: set[bytes] = set()
-                for own in stretches(text, LETTERS):
-                    terms.update(own)
-                if before:
-                    terms = {t for t in terms if len(t) > before}
-                    good = kept.passing(lang, {t[:before] for t in terms})
-                    terms = {t for t in terms if t[:before] in good}
-                whole = {t for t in terms if len(t) <= length}
-                longer = {t[:length] for t in terms if len(t) > length}
-                complete, extending = counts.setdefault(lang, (Counter(), Counter()))
-                held -= len(complete) + len(extending)
-                complete.update(whole)
-                extending.update(longer)
-                held += len(complete) + len(extending)
-                if held >= HELD:
-                    yield flush()
-                    counts, held = {}, 0
-        if held:
-            yield flush()
+                if lang not in languages:
+                    languages[lang] = _Language(chosen_in(lang))
+                own = languages[lang].numbers(text)
+                if own:
+                    seen.setdefault(lang, []).append(own[0] if len(own) == 1 else np.concatenate([np.unique(x) for x in own]))
+            for lang, docs in seen.items():
+                own = languages[lang]
+                doc = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+                counted = own.counting(np.concatenate(docs))
+                good = counted >= 0
+                once = np.unique((doc[good] << 40) | counted[good]) & ((1 << 40) - 1)
+                counts = np.bincount(once, minlength=len(own.counted))
+                counts[: len(own.counts)] += own.counts
+                own.counts = counts
+            if sum(len(x.terms) for x in languages.values()) >= HELD:
+                yield from flush()
+                languages = {}
+        yield from flush()
 
     return run
 
@@ -100,7 +134,7 @@ def _extend(length: int, before: int, parcel: Broadcast | None):
 def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(lang, term, key): the terms, as bytes, that ``min_docs`` documents of a language hold.
 
-    Byte prefixes are extended level by level, to 4, 8, 16 ... bytes. On every level each task
+    Byte prefixes are extended level by level, to 6, 12, 24 ... bytes. On every level each task
     counts a document once for each of its prefixes and passes one number per prefix; those
     found in too few documents go, and none of their extensions is counted again. What goes on
     is held in a Bloom filter of bounded size, which lets some prefixes through that are
@@ -128,35 +162,66 @@ def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 _COUNTS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.binary()), ("n", pa.int64())])
 
 
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    flat, number = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(flat, kind="stable")
+    flat, number = flat[order], number[order]
+    starts = np.flatnonzero(np.diff(flat, prepend=-1))
+    return flat[starts], np.add.reduceat(number, starts) if len(starts) else number
+
+
 def _occurrences(parcel: Broadcast):
     """Per task, how often each term that may be kept occurs in each (lang, source)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = _Filter(parcel)
-        counts: dict[tuple[str, str], Counter] = {}
-        held = 0
-
-        def flush() -> pa.RecordBatch:
-            rows = [(*group, t, n) for group, c in counts.items() for t, n in c.items()]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _COUNTS.types)], schema=_COUNTS)
-
+        bits = unpacked(parcel)
+        languages: dict[str, _Language] = {}
+        sources = _Numbers()
+        held: dict[str, tuple[list, list]] = {}
+
+        def chosen_in(lang: str):
+            return lambda term: term if holds(bits, key_of(lang, term)) else None
+
+        def squeeze() -> int:
+            for lang in held:
+                keys, counts = _summed(*held[lang])
+                held[lang] = [keys], [counts]
+            return sum(len(k[0]) for k, _ in held.values())
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            squeeze()
+            names = pa.array(sources.things, pa.string())
+            for lang, ([keys], [counts]) in held.items():
+                terms = pa.array(languages[lang].counted.things, pa.binary())
+                columns = [pa.array([lang] * len(keys), pa.string()), names.take(pa.array(keys >> 32)),
+                           terms.take(pa.array(keys & 0xFFFFFFFF)), pa.array(counts)]
+                yield pa.RecordBatch.from_arrays(columns, schema=_COUNTS)
+
+        waiting = 0
         for piece in pieces(batches):
+            found: dict[str, list[tuple[int, np.ndarray]]] = {}
             columns = (piece.column(c).to_pylist() for c in ("lang", "source", "text"))
             for lang, source, text in zip(*columns):
-                own: Counter = Counter()
-                for stretch in stretches(text, LETTERS):
-                    own.update(stretch)
-                good = kept.passing(lang, own.keys())
-                total = counts.setdefault((lang, source), Counter())
-                held -= len(total)
-                for t in good:
-                    total[t] += own[t]
-                held += len(total)
-                if held >= HELD:
-                    yield flush()
-                    counts, held = {}, 0
-        if held:
-            yield flush()
+                if lang not in languages:
+                    languages[lang] = _Language(chosen_in(lang))
+                for own in languages[lang].numbers(text):
+                    found.setdefault(lang, []).append((sources[source], own))
+            for lang, parts in found.items():
+                lead = np.repeat([k for k, _ in parts], [len(own) for _, own in parts])
+                counted = languages[lang].counting(np.concatenate([own for _, own in parts]))
+                good = counted >= 0
+                flat, number = np.unique((lead[good] << 32) | counted[good], return_counts=True)
+                mine = held.setdefault(lang, ([], []))
+                mine[0].append(flat)
+                mine[1].append(number)
+                waiting += len(flat)
+            if waiting >= WAITING:
+                waiting = 0
+                full = squeeze() >= WAITING
+                if full or sum(len(x.terms) for x in languages.values()) >= HELD:
+                    yield from flush()
+                    languages, held, sources = {}, {}, _Numbers()
+        yield from flush()
 
     return run
 
