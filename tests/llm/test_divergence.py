@@ -6,9 +6,10 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
-from tripwright.llm import divergence
+from tripwright.llm import divergence, terms
 from tripwright.llm.bloom import filter_of, holds
 from tripwright.llm.divergence import audit_sources, kept_terms
 
@@ -97,6 +98,21 @@ def test_counts_beyond_64_bits(spark):
     assert row.p == 1 + (10**9 * (3 * 10**13 + 5)) // (7 * 10**14 + 5 * 10**9)
 
 
+def test_terms_of_many_texts_at_once(monkeypatch):
+    draw = random.Random(9)
+    letters = ["a", "Z", "é", "日", " ", "1", "\n", "b", "c"]
+    texts = ["".join(draw.choice(letters) for _ in range(draw.randrange(80))) for _ in range(200)]
+    texts += [None, "", "x" * 15 + "A", "x" * 16 + "a", "x" * 17, "y" * 8 + "z" + "y" * 8, "y" * 8 + "w" + "y" * 8]
+    for size, longer in ((1 << 20, 0), (40, 0), (40, 2), (1 << 20, 8)):
+        monkeypatch.setattr(terms, "STRETCH", size)
+        got = [Counter() for _ in texts]
+        for distinct, which, row in terms.letter_terms(pa.array(texts), longer):
+            assert len(set(distinct)) == len(distinct)
+            for w, r in zip(which.tolist(), row.tolist()):
+                got[r][distinct[w].decode()] += 1
+        assert got == [Counter(t for t in words(x) if len(t.encode()) > longer) for x in texts]
+
+
 def test_empty_table_and_one_long_term(make_docs):
     assert audited(make_docs([])) == []
     rows = [(d, "q" * 3_000_000 + " w", "en", f"s{d}") for d in range(2)]

@@ -6,16 +6,19 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripwright.llm.bloom import filter_of, holds
 from tripwright.llm.tables import carried, pieces, unpacked, written
-from tripwright.llm.terms import LETTERS, stretches
+from tripwright.llm.terms import letter_terms
 
 MIN_DOCS = 30
 TOP_TERMS = 50
+#: Rows handled at a time, if their texts are short.
+ROWS = 1024
 #: Bytes of a prefix on the first level; each level doubles them.
 FIRST_LEVEL = 6
 #: Different terms, and (source, term) counters, that a task holds before it passes them on.
@@ -54,18 +57,20 @@ class _Language:
         self.counted_of = np.zeros(0, np.int64)
         self.counts = np.zeros(0, np.int64)
 
-    def numbers(self, text: str | None) -> list[np.ndarray]:
-        """The numbers of a text's terms, per stretch."""
-        get = self.terms.__getitem__
-        return [np.fromiter(map(get, own), np.int64, len(own)) for own in stretches(text, LETTERS)]
-
-    def counting(self, terms: np.ndarray) -> np.ndarray:
+    def counting(self, terms: list[bytes]) -> np.ndarray:
         """What is counted for each of these terms, or -1."""
+        get = self.terms.__getitem__
+        known = np.fromiter(map(get, terms), np.int64, len(terms))
         new = self.terms.things[len(self.counted_of) :]
         if new:
             wanted = [-1 if (c := self.choose(t)) is None else self.counted[c] for t in new]
             self.counted_of = np.concatenate((self.counted_of, np.array(wanted, np.int64)))
-        return self.counted_of[terms]
+        return self.counted_of[known]
+
+
+def _by_language(piece: pa.RecordBatch) -> Iterator[tuple[str, pa.RecordBatch]]:
+    for lang in pc.unique(piece.column("lang")).to_pylist():
+        yield lang, piece.filter(pc.equal(piece.column("lang"), lang))
 
 
 _LEVEL = pa.schema([("lang", pa.string()), ("prefix", pa.binary()), ("open", pa.bool_()), ("n", pa.int64())])
@@ -106,20 +111,17 @@ def _extend(length: int, before: int, parcel: Broadcast | None):
                            own.counts[held]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _LEVEL.types)], schema=_LEVEL)
 
-        for piece in pieces(batches):
-            seen: dict[str, list[np.ndarray]] = {}
-            for lang, text in zip(piece.column("lang").to_pylist(), piece.column("text").to_pylist()):
+        for piece in pieces(batches, ROWS):
+            for lang, rows in _by_language(piece):
                 if lang not in languages:
                     languages[lang] = _Language(chosen_in(lang))
-                own = languages[lang].numbers(text)
-                if own:
-                    seen.setdefault(lang, []).append(own[0] if len(own) == 1 else np.concatenate([np.unique(x) for x in own]))
-            for lang, docs in seen.items():
                 own = languages[lang]
-                doc = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
-                counted = own.counting(np.concatenate(docs))
-                good = counted >= 0
-                once = np.unique((doc[good] << 40) | counted[good]) & ((1 << 40) - 1)
+                seen = [np.zeros(0, np.int64)]
+                for terms, which, row in letter_terms(rows.column("text"), before):
+                    counted = own.counting(terms)[which]
+                    good = counted >= 0
+                    seen.append(np.unique((row[good] << 40) | counted[good]))
+                once = (seen[1] if len(seen) == 2 else np.unique(np.concatenate(seen))) & ((1 << 40) - 1)
                 counts = np.bincount(once, minlength=len(own.counted))
                 counts[: len(own.counts)] += own.counts
                 own.counts = counts
@@ -198,19 +200,17 @@ def _occurrences(parcel: Broadcast):
                 yield pa.RecordBatch.from_arrays(columns, schema=_COUNTS)
 
         waiting = 0
-        for piece in pieces(batches):
-            found: dict[str, list[tuple[int, np.ndarray]]] = {}
-            columns = (piece.column(c).to_pylist() for c in ("lang", "source", "text"))
-            for lang, source, text in zip(*columns):
+        for piece in pieces(batches, ROWS):
+            for lang, rows in _by_language(piece):
                 if lang not in languages:
                     languages[lang] = _Language(chosen_in(lang))
-                for own in languages[lang].numbers(text):
-                    found.setdefault(lang, []).append((sources[source], own))
-            for lang, parts in found.items():
-                lead = np.repeat([k for k, _ in parts], [len(own) for _, own in parts])
-                counted = languages[lang].counting(np.concatenate([own for _, own in parts]))
-                good = counted >= 0
-                flat, number = np.unique((lead[good] << 32) | counted[good], return_counts=True)
+                lead = np.array([sources[s] for s in rows.column("source").to_pylist()], np.int64) << 32
+                parts = []
+                for terms, which, row in letter_terms(rows.column("text")):
+                    counted = languages[lang].counting(terms)[which]
+                    good = counted >= 0
+                    parts.append(lead[row[good]] | counted[good])
+                flat, number = np.unique(np.concatenate(parts), return_counts=True)
                 mine = held.setdefault(lang, ([], []))
                 mine[0].append(flat)
                 mine[1].append(number)

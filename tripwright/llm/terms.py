@@ -5,6 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+
+from tripwright.llm.words import LOWER, hashes, mix, per_row, spans, text_bytes
+
 #: Bytes of a text that are split at a time; a stretch ends where no term does.
 STRETCH = 1 << 20
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -28,3 +33,57 @@ def stretches(text: str | None, kind: re.Pattern, size: int = STRETCH) -> Iterat
             end = gap.start() if gap else end
         yield kind.findall(raw, at, end)
         at = end
+
+
+IS_LETTER = np.zeros(256, bool)
+IS_LETTER[[*range(0x61, 0x7B), *range(0x80, 0x100)]] = True
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def _codes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """What tells terms apart: their first and last eight bytes and length, and a hash if longer."""
+    padded = np.concatenate((raw, np.zeros(8, np.uint8)))
+    eight = np.ndarray((len(raw) + 1,), "<u8", padded.data, strides=(1,))
+    n = ends - starts
+    first = eight[starts] & _FIRST_BYTES[np.minimum(n, 8)]
+    last = np.where(n > 8, eight[np.maximum(ends - 8, 0)], np.uint64(0))
+    inner = np.zeros(len(n), np.uint64)
+    long = np.flatnonzero(n > 16)
+    inner[long] = hashes(raw, starts[long], ends[long])
+    return [first, last, inner, n.astype(np.uint64)]
+
+
+def letter_terms(column: pa.Array, longer_than: int = 0) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
+    """The terms of many texts at once: distinct terms, and per occurrence its term and its row.
+
+    Terms are those of ``stretches`` with LETTERS; only those of more than ``longer_than``
+    bytes are given. Texts of up to STRETCH bytes come first, together, as arrays; longer ones
+    follow a stretch at a time.
+    """
+    raw, offsets = text_bytes(column)
+    sizes = np.diff(offsets)
+    large = np.flatnonzero(sizes > STRETCH)
+    if len(large):
+        small = column.take(pa.array(np.flatnonzero(sizes <= STRETCH)))
+        rows = np.flatnonzero(sizes <= STRETCH)
+        for terms, which, row in letter_terms(small, longer_than):
+            yield terms, which, rows[row]
+        for k in large.tolist():
+            for own in stretches(column[k].as_py(), LETTERS):
+                number: dict[bytes, int] = {}
+                which = np.array([number.setdefault(t, len(number)) for t in own if len(t) > longer_than], np.int64)
+                yield list(number), which, np.full(len(which), k)
+        return
+    raw = LOWER[raw]
+    starts, ends = spans(raw, offsets, IS_LETTER)
+    row = np.repeat(np.arange(len(sizes)), per_row(starts, offsets))
+    wanted = ends - starts > longer_than
+    starts, ends, row = starts[wanted], ends[wanted], row[wanted]
+    codes = _codes(raw, starts, ends)
+    first, last, inner, n = codes
+    key = mix(first ^ mix(last ^ mix(inner + n)))
+    _, at, which = np.unique(key, return_index=True, return_inverse=True)
+    if any((c != c[at][which]).any() for c in codes):  # two terms with one key: number them by their bytes
+        at, which = np.unique(np.stack(codes), axis=1, return_index=True, return_inverse=True)[1:]
+    data = raw.tobytes()
+    yield [data[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())], which, row
