@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,21 +9,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tripwright.llm.tables import spread
+from tripwright.llm.words import mix
 
 #: Bits for each key, and the bounds of a filter: 8 KiB and 64 MiB. Beyond that more keys pass.
 BITS_PER_KEY, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 29
 PART_BITS = 1 << 16
 
 
-def places(key: bytes, bits: int) -> tuple[int, int]:
-    """The two bits of a key; ``bits`` is a power of two."""
-    whole = int.from_bytes(hashlib.blake2b(key, digest_size=16).digest(), "little")
-    return whole & (bits - 1), (whole >> 64) & (bits - 1)
+def places(keys: np.ndarray, bits: int) -> np.ndarray:
+    """The two bits of each 64-bit key, one after the other; ``bits`` is a power of two."""
+    ends = np.uint64(bits - 1)
+    return np.concatenate((mix(keys) & ends, mix(keys ^ np.uint64(0xA5A5A5A5A5A5A5A5)) & ends)).astype(np.int64)
 
 
-def holds(filter_: np.ndarray, key: bytes) -> bool:
-    a, b = places(key, len(filter_) << 3)
-    return bool(filter_[a >> 3] >> (a & 7) & 1) and bool(filter_[b >> 3] >> (b & 7) & 1)
+def holds(filter_: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Per key whether the filter lets it through."""
+    at = places(keys, len(filter_) << 3)
+    hit = (filter_[at >> 3] >> (at & 7) & 1).astype(bool)
+    return hit[: len(keys)] & hit[len(keys) :]
 
 
 def _fill(bits: int):
@@ -32,13 +34,12 @@ def _fill(bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.unique([p for key in batch.column(0).to_pylist() for p in places(key, bits)])
+            at = np.unique(places(batch.column(0).to_numpy().view(np.uint64), bits))
             part = at // PART_BITS
             edges = np.flatnonzero(np.diff(part, prepend=-1, append=-1)) if len(at) else np.zeros(1, np.int64)
             cells = [(at[a:b] % PART_BITS).astype("<u4").tobytes() for a, b in zip(edges[:-1], edges[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part[edges[:-1]] if len(at) else [], pa.int32()), pa.array(cells, pa.binary())], schema=schema
-            )
+            parts = part[edges[:-1]] if len(at) else []
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(cells, pa.binary())], schema=schema)
 
     return run
 
@@ -57,7 +58,7 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def filter_of(keys: DataFrame, count: int) -> np.ndarray:
-    """The packed filter of the one binary column of ``keys``; ``count`` keys, about.
+    """The packed filter of the one column of 64-bit ``keys``; ``count`` of them, about.
 
     Its size follows the count up to MOST_BITS, so what comes to the driver is bounded. It
     holds every key; what else it lets through its user has to sort out.

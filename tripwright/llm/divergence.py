@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tripwright.llm.bloom import filter_of, holds
 from tripwright.llm.tables import carried, pieces, unpacked, written
-from tripwright.llm.terms import letter_terms
+from tripwright.llm.terms import MORE, letter_terms, term_keys
 
 MIN_DOCS = 30
 TOP_TERMS = 50
@@ -28,8 +29,37 @@ SOURCE_BLOCK, TERM_TILE = 64, 1024
 SCALE, PRIOR = 1_000_000_000, 5
 
 
-def key_of(lang: str, term: bytes) -> bytes:
-    return lang.encode("utf-8", "surrogatepass") + b"\0" + term
+def _salt(lang: str) -> np.uint64:
+    return np.uint64(int.from_bytes(hashlib.blake2b(lang.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little"))
+
+
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A hash of each (lang, prefix), the same that ``_passing`` finds in texts."""
+    for batch in batches:
+        prefixes = batch.column("prefix").to_pylist()
+        raw, ends = np.frombuffer(b"".join(prefixes), np.uint8), np.cumsum([len(p) for p in prefixes], dtype=np.int64)
+        starts = np.concatenate((np.zeros(1, np.int64), ends))[: len(ends)]
+        salts = np.array([_salt(lang) for lang in batch.column("lang").to_pylist()], np.uint64)
+        keys = (term_keys(raw, starts, ends) ^ salts).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(keys)], names=["key"])
+
+
+def _filter(prefixes: DataFrame) -> Broadcast:
+    """The Bloom filter of a table (lang, prefix), in the tasks' hands."""
+    keys = prefixes.select("lang", "prefix").mapInArrow(_keys, "key long")
+    return carried(prefixes.sparkSession, filter_of(keys, prefixes.count()))
+
+
+def _passing(bits: np.ndarray | None, lang: str, length: int | None) -> Callable | None:
+    """Which terms of a text the filter lets through, by their first ``length`` bytes or whole."""
+    if bits is None:
+        return None
+    salt = _salt(lang)
+
+    def passing(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return holds(bits, term_keys(raw, starts, ends if length is None else np.minimum(ends, starts + length)) ^ salt)
+
+    return passing
 
 
 class _Numbers(dict):
@@ -44,29 +74,18 @@ class _Numbers(dict):
         self.things.append(thing)
         return number
 
+    def of(self, things: list) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, things), np.int64, len(things))
+
 
 class _Language:
-    """What a task holds of one language: terms by number, and for each the number of what is
-    counted for it, or -1; ``choose`` says what that is, once for a term, not for each of its
-    occurrences."""
+    """What a task holds of one language: numbered terms or prefixes, and counts of them."""
 
-    def __init__(self, choose: Callable[[bytes], object]):
-        self.choose = choose
+    def __init__(self, passing: Callable | None):
+        self.passing = passing
         self.terms = _Numbers()
-        self.counted = _Numbers()
-        self.counted_of = np.zeros(0, np.int64)
         self.counts = np.zeros(0, np.int64)
 
-    def counting(self, terms: list[bytes]) -> np.ndarray:
-        """What is counted for each of these terms, or -1."""
-        get = self.terms.__getitem__
-        known = np.fromiter(map(get, terms), np.int64, len(terms))
-        new = self.terms.things[len(self.counted_of) :]
-        if new:
-            wanted = [-1 if (c := self.choose(t)) is None else self.counted[c] for t in new]
-            self.counted_of = np.concatenate((self.counted_of, np.array(wanted, np.int64)))
-        return self.counted_of[known]
-
 
 def _by_language(piece: pa.RecordBatch) -> Iterator[tuple[str, pa.RecordBatch]]:
     for lang in pc.unique(piece.column("lang")).to_pylist():
@@ -87,42 +106,21 @@ def _extend(length: int, before: int, parcel: Broadcast | None):
         bits = unpacked(parcel) if parcel is not None else None
         languages: dict[str, _Language] = {}
 
-        def chosen_in(lang: str):
-            known: dict[bytes, bool] = {}
-
-            def choose(term: bytes) -> tuple[bytes, bool] | None:
-                if before:
-                    if len(term) <= before:
-                        return None
-                    lead = term[:before]
-                    if lead not in known:
-                        known[lead] = holds(bits, key_of(lang, lead))
-                    if not known[lead]:
-                        return None
-                return term[:length], len(term) > length
-
-            return choose
-
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, own in languages.items():
-                held = np.flatnonzero(own.counts)
-                things = own.counted.things
-                columns = [[lang] * len(held), [things[k][0] for k in held.tolist()], [things[k][1] for k in held.tolist()],
-                           own.counts[held]]
+                things = own.terms.things
+                more = [t.endswith(MORE) for t in things]
+                columns = [[lang] * len(things), [t.removesuffix(MORE) for t in things], more, own.counts]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _LEVEL.types)], schema=_LEVEL)
 
         for piece in pieces(batches, ROWS):
             for lang, rows in _by_language(piece):
-                if lang not in languages:
-                    languages[lang] = _Language(chosen_in(lang))
-                own = languages[lang]
+                own = languages.setdefault(lang, _Language(_passing(bits, lang, before)))
                 seen = [np.zeros(0, np.int64)]
-                for terms, which, row in letter_terms(rows.column("text"), before):
-                    counted = own.counting(terms)[which]
-                    good = counted >= 0
-                    seen.append(np.unique((row[good] << 40) | counted[good]))
+                for terms, which, row in letter_terms(rows.column("text"), before, length, own.passing):
+                    seen.append(np.unique((row << 40) | own.terms.of(terms)[which]))
                 once = (seen[1] if len(seen) == 2 else np.unique(np.concatenate(seen))) & ((1 << 40) - 1)
-                counts = np.bincount(once, minlength=len(own.counted))
+                counts = np.bincount(once, minlength=len(own.terms))
                 counts[: len(own.counts)] += own.counts
                 own.counts = counts
             if sum(len(x.terms) for x in languages.values()) >= HELD:
@@ -134,7 +132,7 @@ def _extend(length: int, before: int, parcel: Broadcast | None):
 
 
 def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(lang, term, key): the terms, as bytes, that ``min_docs`` documents of a language hold.
+    """(lang, term): the terms, as bytes, that ``min_docs`` documents of a language hold.
 
     Byte prefixes are extended level by level, to 6, 12, 24 ... bytes. On every level each task
     counts a document once for each of its prefixes and passes one number per prefix; those
@@ -149,15 +147,13 @@ def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
             _extend(length, before, parcel), "lang string, prefix binary, open boolean, n long"
         )
         sums = counted.groupBy("lang", "prefix", "open").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_docs)
-        key = F.concat(F.col("lang").cast("binary"), F.lit(b"\0"), "prefix").alias("key")
-        level = written(sums.select("lang", "prefix", "open", key), "prefixes")
-        complete = level.filter(~F.col("open")).select("lang", F.col("prefix").alias("term"), "key")
+        level = written(sums.select("lang", "prefix", "open"), "prefixes")
+        complete = level.filter(~F.col("open")).select("lang", F.col("prefix").alias("term"))
         found = complete if found is None else found.unionByName(complete)
         still_open = level.filter("open")
-        n = still_open.count()
-        if n == 0:
+        if still_open.isEmpty():
             return found
-        parcel = carried(docs.sparkSession, filter_of(still_open.select("key"), n))
+        parcel = _filter(still_open)
         before, length = length, 2 * length
 
 
@@ -181,9 +177,6 @@ def _occurrences(parcel: Broadcast):
         sources = _Numbers()
         held: dict[str, tuple[list, list]] = {}
 
-        def chosen_in(lang: str):
-            return lambda term: term if holds(bits, key_of(lang, term)) else None
-
         def squeeze() -> int:
             for lang in held:
                 keys, counts = _summed(*held[lang])
@@ -194,7 +187,7 @@ def _occurrences(parcel: Broadcast):
             squeeze()
             names = pa.array(sources.things, pa.string())
             for lang, ([keys], [counts]) in held.items():
-                terms = pa.array(languages[lang].counted.things, pa.binary())
+                terms = pa.array(languages[lang].terms.things, pa.binary())
                 columns = [pa.array([lang] * len(keys), pa.string()), names.take(pa.array(keys >> 32)),
                            terms.take(pa.array(keys & 0xFFFFFFFF)), pa.array(counts)]
                 yield pa.RecordBatch.from_arrays(columns, schema=_COUNTS)
@@ -202,14 +195,11 @@ def _occurrences(parcel: Broadcast):
         waiting = 0
         for piece in pieces(batches, ROWS):
             for lang, rows in _by_language(piece):
-                if lang not in languages:
-                    languages[lang] = _Language(chosen_in(lang))
-                lead = np.array([sources[s] for s in rows.column("source").to_pylist()], np.int64) << 32
+                own = languages.setdefault(lang, _Language(_passing(bits, lang, None)))
+                lead = sources.of(rows.column("source").to_pylist()) << 32
                 parts = []
-                for terms, which, row in letter_terms(rows.column("text")):
-                    counted = languages[lang].counting(terms)[which]
-                    good = counted >= 0
-                    parts.append(lead[row[good]] | counted[good])
+                for terms, which, row in letter_terms(rows.column("text"), passing=own.passing):
+                    parts.append(lead[row] | own.terms.of(terms)[which])
                 flat, number = np.unique(np.concatenate(parts), return_counts=True)
                 mine = held.setdefault(lang, ([], []))
                 mine[0].append(flat)
@@ -324,10 +314,10 @@ def audit_sources(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERM
     """
     rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
     terms = written(kept_terms(rows, min_docs), "kept")
-    parcel = carried(docs.sparkSession, filter_of(terms.select("key"), terms.count()))
+    parcel = _filter(terms.withColumnRenamed("term", "prefix"))
     counted = rows.mapInArrow(_occurrences(parcel), "lang string, source string, term binary, n long")
     summed = counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
-    counts = written(summed.join(terms.select("lang", "term"), ["lang", "term"]), "counts")
+    counts = written(summed.join(terms, ["lang", "term"]), "counts")
 
     kept = terms.groupBy("lang").agg(F.count("*").alias("kept"))
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))

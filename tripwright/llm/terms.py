@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,37 +53,60 @@ def _codes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.nda
     return [first, last, inner, n.astype(np.uint64)]
 
 
-def letter_terms(column: pa.Array, longer_than: int = 0) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
+def term_keys(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of bytes."""
+    first, last, inner, n = _codes(raw, starts, ends)
+    return mix(first ^ mix(last ^ mix(inner + n)))
+
+
+#: Marks a prefix of a longer term; no term holds it.
+MORE = b"+"
+
+
+def letter_terms(
+    column: pa.Array, longer_than: int = 0, cut: int | None = None, passing: Callable | None = None
+) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
     """The terms of many texts at once: distinct terms, and per occurrence its term and its row.
 
     Terms are those of ``stretches`` with LETTERS; only those of more than ``longer_than``
-    bytes are given. Texts of up to STRETCH bytes come first, together, as arrays; longer ones
-    follow a stretch at a time.
+    bytes are given. With ``cut`` a longer term is its first ``cut`` bytes and MORE. ``passing``
+    (bytes, starts, ends) may say which terms are of interest; others may be left out. Texts of
+    up to STRETCH bytes come first, together, as arrays; longer ones follow a stretch at a time.
     """
     raw, offsets = text_bytes(column)
     sizes = np.diff(offsets)
     large = np.flatnonzero(sizes > STRETCH)
     if len(large):
-        small = column.take(pa.array(np.flatnonzero(sizes <= STRETCH)))
         rows = np.flatnonzero(sizes <= STRETCH)
-        for terms, which, row in letter_terms(small, longer_than):
+        for terms, which, row in letter_terms(column.take(pa.array(rows)), longer_than, cut, passing):
             yield terms, which, rows[row]
         for k in large.tolist():
             for own in stretches(column[k].as_py(), LETTERS):
                 number: dict[bytes, int] = {}
-                which = np.array([number.setdefault(t, len(number)) for t in own if len(t) > longer_than], np.int64)
+                shown = [t if cut is None or len(t) <= cut else t[:cut] + MORE for t in own if len(t) > longer_than]
+                which = np.array([number.setdefault(t, len(number)) for t in shown], np.int64)
                 yield list(number), which, np.full(len(which), k)
         return
     raw = LOWER[raw]
     starts, ends = spans(raw, offsets, IS_LETTER)
     row = np.repeat(np.arange(len(sizes)), per_row(starts, offsets))
-    wanted = ends - starts > longer_than
-    starts, ends, row = starts[wanted], ends[wanted], row[wanted]
-    codes = _codes(raw, starts, ends)
-    first, last, inner, n = codes
-    key = mix(first ^ mix(last ^ mix(inner + n)))
+    if longer_than:
+        wanted = ends - starts > longer_than
+        starts, ends, row = starts[wanted], ends[wanted], row[wanted]
+    if passing is not None:
+        wanted = passing(raw, starts, ends)
+        starts, ends, row = starts[wanted], ends[wanted], row[wanted]
+    more = np.zeros(len(starts), np.uint64)
+    if cut is not None:
+        more = (ends - starts > cut).astype(np.uint64)
+        ends = np.minimum(ends, starts + cut)
+    codes = [*_codes(raw, starts, ends), more]
+    first, last, inner, n, _ = codes
+    key = mix(first ^ mix(last ^ mix(inner + n))) ^ more
     _, at, which = np.unique(key, return_index=True, return_inverse=True)
-    if any((c != c[at][which]).any() for c in codes):  # two terms with one key: number them by their bytes
+    if any((c != c[at][which]).any() for c in codes):  # two terms with one key: number them by all that tells them apart
         at, which = np.unique(np.stack(codes), axis=1, return_index=True, return_inverse=True)[1:]
     data = raw.tobytes()
-    yield [data[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())], which, row
+    marks = [b"", MORE]
+    distinct = [data[a:b] + marks[m] for a, b, m in zip(starts[at].tolist(), ends[at].tolist(), more[at].tolist())]
+    yield distinct, which, row
