@@ -8,8 +8,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripwright.llm.graph import components
 from tripwright.llm.tables import spread, written
@@ -30,6 +32,8 @@ LEFT = 0.47
 MISSED, SHORT = 1e-5, 2e-4
 #: Rows of a cell that one task compares with one another, and pairs counted at a time.
 BLOCK, PAIRS = 4096, 1 << 16
+#: Large cells up to this number are broadcast: a megabyte.
+FEW = 1 << 15
 SEED = 13
 
 
@@ -80,46 +84,48 @@ def plan_of(n: int) -> tuple[int, int]:
     return depth, max(1, math.ceil(math.log(MISSED) / math.log1p(-p)))
 
 
-_ROWS = pa.schema([("vec_id", pa.int64()), ("key", pa.binary()), ("team", pa.string()), ("unit", pa.binary())])
+_ROWS = pa.schema([("vec_id", pa.int64()), ("key", pa.binary()), ("team", pa.string()), ("given", pa.binary())])
 
 
-def _unit(value: list | None) -> np.ndarray | None:
-    """The vector at length one, in double precision; None for what links with nothing."""
-    if not value or None in value:
-        return None
-    x = np.array(value, np.float64)
-    top = np.abs(x).max()
-    if not np.isfinite(top) or top == 0:
-        return None
-    x = x / top
-    return x / math.sqrt(float(x @ x)) + 0.0
+def _units(given: np.ndarray) -> np.ndarray:
+    """Vectors, one a row, at length one in double precision."""
+    x = given.astype(np.float64)
+    x /= np.abs(x).max(1, keepdims=True)
+    return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _matrix(column: pa.Array, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
+
+
+def _keyed(kind: str):
     """Equal vectors of equal labels get equal keys; rows that link with nothing get none."""
-    for batch in batches:
-        keys, teams, units = [], [], []
-        for label, value in zip(batch.column("label").to_pylist(), batch.column("embedding").to_pylist()):
-            unit = _unit(value) if label is not None else None
-            if unit is None:
-                keys.append(None), teams.append(None), units.append(None)
-                continue
-            team = f"{len(unit)}/{label}"
-            data = np.array(value, np.float64) + 0.0
-            keys.append(hashlib.blake2b(data.tobytes() + team.encode("utf-8", "surrogatepass"), digest_size=16).digest())
-            teams.append(team)
-            units.append(unit.tobytes())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("vec_id"), pa.array(keys, pa.binary()), pa.array(teams, pa.string()), pa.array(units, pa.binary())],
-            schema=_ROWS,
-        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, teams, given = [], [], []
+            for label, value in zip(batch.column("label").to_pylist(), batch.column("embedding").to_pylist()):
+                x = np.array(value, kind) + 0.0 if label is not None and value and None not in value else np.zeros(1)
+                if not np.isfinite(x).all() or not x.any():
+                    keys.append(None), teams.append(None), given.append(None)
+                    continue
+                team = f"{len(x)}/{label}"
+                keys.append(hashlib.blake2b(x.tobytes() + team.encode("utf-8", "surrogatepass"), digest_size=16).digest())
+                teams.append(team)
+                given.append(x.tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("vec_id"), pa.array(keys, pa.binary()), pa.array(teams, pa.string()), pa.array(given, pa.binary())],
+                schema=_ROWS,
+            )
+
+    return run
 
 
 _PLACED = pa.schema(
-    [("cell", pa.int64()), ("table", pa.int32()), ("key", pa.binary()), ("unit", pa.binary()),
+    [("cell", pa.int64()), ("table", pa.int32()), ("key", pa.binary()), ("given", pa.binary()),
      ("sight", pa.binary()), ("cells", pa.binary()), ("copies", pa.int64())]
 )
-_PLACED_DDL = "cell long, table int, key binary, unit binary, sight binary, cells binary, copies long"
+_PLACED_DDL = "cell long, table int, key binary, given binary, sight binary, cells binary, copies long"
 
 
 def _cells(units: np.ndarray, team: str, n: int) -> np.ndarray:
@@ -138,32 +144,47 @@ def _cells(units: np.ndarray, team: str, n: int) -> np.ndarray:
     return out
 
 
-def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each distinct vector once for each table, with its projections and all of its cells."""
+def _teams(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Distinct vectors of one team at a time, at length one, with their cells in each table."""
     for batch in batches:
         for at in range(0, batch.num_rows, 1024):
             piece = batch.slice(at, 1024)
-            columns = [piece.column(c).to_pylist() for c in ("team", "n", "unit", "key", "copies")]
-            teams: dict[tuple[str, int], list[tuple]] = {}
-            for team, n, *rest in zip(*columns):
-                teams.setdefault((team, n), []).append(rest)
-            for (team, n), rows in teams.items():
-                units = np.frombuffer(b"".join(r[0] for r in rows)).reshape(len(rows), -1)
-                sight = (units @ directions(units.shape[1], DIRECTIONS, 0).T).astype(np.float32)
-                cells = _cells(units, team, n)
-                for t in range(cells.shape[1]):
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(cells[:, t]),
-                            pa.array([t] * len(rows), pa.int32()),
-                            pa.array([r[1] for r in rows], pa.binary()),
-                            pa.array([r[0] for r in rows], pa.binary()),
-                            pa.array([x.tobytes() for x in sight], pa.binary()),
-                            pa.array([x.tobytes() for x in cells[:, : t + 1]], pa.binary()),
-                            pa.array([r[2] for r in rows], pa.int64()),
-                        ],
-                        schema=_PLACED,
-                    )
+            for team in pc.unique(piece.column("team")).to_pylist():
+                rows = piece.filter(pc.equal(piece.column("team"), team))
+                units = _units(_matrix(rows.column("given"), kind))
+                yield rows, units, _cells(units, team, rows.column("n")[0].as_py())
+
+
+def _place(kind: str):
+    """Each distinct vector once for each table, with its projections and its cells so far."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, units, cells in _teams(batches, kind):
+            sight = (units @ directions(units.shape[1], DIRECTIONS, 0).T).astype(np.float32)
+            seen = pa.array([x.tobytes() for x in sight], pa.binary())
+            for t in range(cells.shape[1]):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cells[:, t]), pa.array([t] * len(units), pa.int32()), rows.column("key"), rows.column("given"),
+                     seen, pa.array([x.tobytes() for x in cells[:, : t + 1]], pa.binary()), rows.column("copies")],
+                    schema=_PLACED,
+                )
+
+    return run
+
+
+_SIZES = pa.schema([("table", pa.int32()), ("cell", pa.int64()), ("n", pa.int64())])
+
+
+def _sizes(kind: str):
+    """Per piece, the rows of each cell."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, cells in _teams(batches, kind):
+            for t in range(cells.shape[1]):
+                own, n = np.unique(cells[:, t], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([t] * len(own), pa.int32()), pa.array(own), pa.array(n)], schema=_SIZES)
+
+    return run
 
 
 def _unite(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -188,17 +209,14 @@ _LINKS = pa.schema([("key", pa.binary()), ("n", pa.int64()), ("head", pa.binary(
 class _List:
     """The vectors of a cell, or of two blocks of a large one, sorted along one direction."""
 
-    def __init__(self, table: int, rows: pa.Table, cosine: float):
-        def matrix(name: str, kind: type) -> np.ndarray:
-            return np.frombuffer(b"".join(rows.column(name).to_pylist()), kind).reshape(rows.num_rows, -1)
-
-        units = matrix("unit", np.float64)
-        sight = matrix("sight", np.float32)
+    def __init__(self, table: int, rows: pa.Table, cosine: float, kind: str):
+        units = _units(_matrix(rows.column("given"), kind))
+        sight = _matrix(rows.column("sight"), "float32")
         along = sight[:, table % DIRECTIONS]
         order = np.argsort(along, kind="stable")
         self.table, self.cosine = table, cosine
         self.units, self.sight, self.along = units[order], sight[order], along[order]
-        self.cells = matrix("cells", np.int64)[order]
+        self.cells = _matrix(rows.column("cells"), "int64")[order]
         self.side = np.array(rows.column("side").to_pylist(), np.int8)[order]
         self.copies = np.array(rows.column("copies").to_pylist(), np.int64)[order]
         self.keys = [rows.column("key")[i].as_py() for i in order.tolist()]
@@ -270,13 +288,13 @@ def _runs(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator
 _MEETING = ("table", "cell", "a", "b")
 
 
-def _meet(cosine: float):
+def _meet(cosine: float, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         needed: dict[int, int] = {}
         for rows in _runs(batches, _MEETING):
             if rows.num_rows < 2:
                 continue
-            own = _List(rows.column("table")[0].as_py(), rows, cosine)
+            own = _List(rows.column("table")[0].as_py(), rows, cosine, kind)
             dimension = own.units.shape[1]
             if dimension not in needed:
                 needed[dimension] = count_needed(dimension, cosine)
@@ -293,15 +311,17 @@ def _meet(cosine: float):
     return run
 
 
-def _meetings(placed: DataFrame, block: int) -> DataFrame:
+def _meetings(placed: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
     """Rows with the blocks (a, b) of their cell in which they meet others, and their side there.
 
     A cell of more than ``block`` rows is dealt into blocks, and every two of them meet in a
-    task of their own, so no task holds more than two.
+    task of their own, so no task holds more than two. ``sizes`` (table, cell, n) has the rows
+    of cells, piece by piece; the large cells are broadcast if they are few.
     """
-    sizes = placed.groupBy("table", "cell").agg(F.count("*").alias("rows")).filter(F.col("rows") > block)
-    blocks = sizes.select("table", "cell", F.ceil(F.col("rows") / F.lit(block // 2)).cast("int").alias("blocks"))
-    joined = placed.join(blocks, ["table", "cell"], "left")
+    large = sizes.groupBy("table", "cell").agg(F.sum("n").alias("n")).filter(F.col("n") > block)
+    blocks = written(large.select("table", "cell", F.ceil(F.col("n") / F.lit(block // 2)).cast("int").alias("blocks")), "blocks")
+    few = blocks.count() <= FEW
+    joined = placed.join(F.broadcast(blocks) if few else blocks, ["table", "cell"], "left")
     own = F.coalesce(F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"), F.lit(0))
     others = F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)
     met = joined.withColumn("own", own).withColumn("other", F.explode(others))
@@ -333,15 +353,18 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK)
     rows. Other columns are ignored.
     """
     chosen = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", F.col("label").cast("string").alias("label"))
-    keyed = chosen.mapInArrow(_keyed, "vec_id long, key binary, team string, unit binary")
+    kind = "float32" if chosen.schema["embedding"].dataType.elementType == T.FloatType() else "float64"
+    keyed = chosen.mapInArrow(_keyed(kind), "vec_id long, key binary, team string, given binary")
     classes = keyed.filter("key is not null").groupBy("key").agg(
-        F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.min("team").alias("team"), F.min("unit").alias("unit")
+        F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.min("team").alias("team"), F.min("given").alias("given")
     )
     classes = written(classes, "classes")
     sizes = classes.groupBy("team").agg(F.count("*").alias("n"))
-    placed = classes.join(sizes, "team").select("team", "n", "unit", "key", "copies").mapInArrow(_place, _PLACED_DDL)
-    dealt = spread(_meetings(written(placed, "placed"), block), *_MEETING).sortWithinPartitions(*_MEETING)
-    links = written(dealt.mapInArrow(_meet(cosine), "key binary, n long, head binary"), "links")
+    sized = classes.join(sizes, "team").select("team", "n", "given", "key", "copies")
+    placed = sized.mapInArrow(_place(kind), _PLACED_DDL)
+    cells = sized.select("team", "n", "given").mapInArrow(_sizes(kind), "table int, cell long, n long")
+    dealt = spread(_meetings(placed, cells, block), *_MEETING).sortWithinPartitions(*_MEETING)
+    links = written(dealt.mapInArrow(_meet(cosine, kind), "key binary, n long, head binary"), "links")
 
     roots = components(links.filter("key <> head").select(F.col("key").alias("a"), F.col("head").alias("b")), "vectors")
     counts = links.groupBy("key").agg(F.sum("n").alias("n"))
@@ -351,8 +374,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK)
     heads = found.groupBy("root").agg(F.min("least").alias("component_id"))
     n_links = F.coalesce("n", F.lit(0)) + F.col("copies") - 1
     known = written(found.join(heads, "root").select("key", n_links.alias("n_links"), "component_id"), "known")
-    ids = chosen.mapInArrow(_keyed, "vec_id long, key binary, team string, unit binary").select("vec_id", "key")
-    linked = ids.join(known, "key", "left").select(
+    linked = keyed.select("vec_id", "key").join(known, "key", "left").select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.when(F.col("key").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id"),
