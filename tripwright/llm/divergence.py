@@ -23,7 +23,9 @@ ROWS = 1024
 #: Bytes of a prefix on the first level; each level doubles them.
 FIRST_LEVEL = 6
 #: Different terms, and (source, term) counters, that a task holds before it passes them on.
-HELD, WAITING = 1 << 19, 1 << 22
+HELD, WAITING = 1 << 18, 1 << 20
+#: Rows that a task passes on at a time.
+GIVEN = 1 << 15
 #: Sources and kept terms that meet in one block of pairs.
 SOURCE_BLOCK, TERM_TILE = 64, 1024
 SCALE, PRIOR = 1_000_000_000, 5
@@ -108,10 +110,11 @@ def _extend(length: int, before: int, parcel: Broadcast | None):
 
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, own in languages.items():
-                things = own.terms.things
-                more = [t.endswith(MORE) for t in things]
-                columns = [[lang] * len(things), [t.removesuffix(MORE) for t in things], more, own.counts]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _LEVEL.types)], schema=_LEVEL)
+                for at in range(0, len(own.terms.things), GIVEN):
+                    things = own.terms.things[at : at + GIVEN]
+                    more = [t.endswith(MORE) for t in things]
+                    columns = [[lang] * len(things), [t.removesuffix(MORE) for t in things], more, own.counts[at : at + GIVEN]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _LEVEL.types)], schema=_LEVEL)
 
         for piece in pieces(batches, ROWS):
             for lang, rows in _by_language(piece):
@@ -188,9 +191,11 @@ def _occurrences(parcel: Broadcast):
             names = pa.array(sources.things, pa.string())
             for lang, ([keys], [counts]) in held.items():
                 terms = pa.array(languages[lang].terms.things, pa.binary())
-                columns = [pa.array([lang] * len(keys), pa.string()), names.take(pa.array(keys >> 32)),
-                           terms.take(pa.array(keys & 0xFFFFFFFF)), pa.array(counts)]
-                yield pa.RecordBatch.from_arrays(columns, schema=_COUNTS)
+                for at in range(0, len(keys), GIVEN):
+                    own = keys[at : at + GIVEN]
+                    columns = [pa.array([lang] * len(own), pa.string()), names.take(pa.array(own >> 32)),
+                               terms.take(pa.array(own & 0xFFFFFFFF)), pa.array(counts[at : at + GIVEN])]
+                    yield pa.RecordBatch.from_arrays(columns, schema=_COUNTS)
 
         waiting = 0
         for piece in pieces(batches, ROWS):

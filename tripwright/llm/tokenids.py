@@ -23,9 +23,9 @@ from tripwright.llm.tables import partitions, pieces, texts
 VOCABULARY = "byte_bpe_50k.json"
 END = 0
 #: Ids of a segment, from which on it is closed after the document at hand.
-SEGMENT = 1 << 22
-#: Pieces of text whose ids a worker remembers.
-REMEMBERED = 400_000
+SEGMENT = 1 << 21
+#: Bytes that a task spends on remembering the ids of stretches, and what one costs besides its text and ids.
+REMEMBERED, ENTRY = 24 << 20, 200
 #: White space before a space before white space or the end: there a split at the space could
 #: part what the tokenizer takes together.
 _TOGETHER = re.compile(r"\s (?:\s|\Z)")
@@ -46,21 +46,25 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.forget()
+
+    def forget(self) -> None:
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
+        self.held = 0
 
     def _remember(self, memory: dict[str, bytes], wanted: set[str], lead: str) -> None:
         new = [w for w in wanted if w not in memory]
-        if len(memory) + len(new) > REMEMBERED:
-            memory.clear()
-            new = list(wanted)
         for at in range(0, len(new), 4096):
             own = new[at : at + 4096]
             coded = self.tokenizer.encode_batch_fast([lead + w for w in own], add_special_tokens=False)
             for text, ids in zip(own, [c.ids for c in coded]):
                 memory[text] = struct.pack(f"<{len(ids)}I", *ids)
+                self.held += len(text) + 4 * len(ids) + ENTRY
 
     def encode(self, rows: list[str]) -> list[np.ndarray]:
+        if self.held > REMEMBERED:
+            self.forget()
         split = [None if _TOGETHER.search(t) or any(s in t for s in self.special) else t.split(" ") for t in rows]
         self._remember(self.first, {s[0] for s in split if s}, "")
         wanted: set[str] = set()
@@ -120,6 +124,7 @@ def _pack(path: str, end: int, segment_ids: int):
                 ids.append(np.concatenate((own, tail)))
                 doc_ids.append(doc_id)
                 held += len(own) + 1
+        tokens.forget()
         if ids:
             yield close()
 

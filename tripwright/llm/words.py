@@ -32,15 +32,24 @@ _BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 
 
 def _power(base: int, n: int) -> np.ndarray:
-    """base ** 0, 1, ... n - 1 modulo 2 ** 64; kept while the Python worker lives."""
+    """base ** 0, 1, ... n - 1 modulo 2 ** 64 for n up to CHUNK; kept while the Python worker lives."""
     kept = sys.modules.setdefault("_tripwright_powers", {})
-    if base not in kept or len(kept[base]) < n:
-        steps = np.full(max(n, CHUNK + 4096), base, np.uint64)
+    if base not in kept:
+        steps = np.full(CHUNK, base, np.uint64)
         steps[0] = 1
         kept[base] = np.multiply.accumulate(steps)
     return kept[base][:n]
 
 
+def _long_sum(raw: np.ndarray) -> int:
+    """The polynomial of one span of any length, a chunk at a time."""
+    total = 0
+    for at in range(0, len(raw), CHUNK):
+        own = raw[at : at + CHUNK]
+        total += int((_BYTE_VALUES[own] * _power(_BASE, len(own))).sum(dtype=np.uint64)) * pow(_BASE, at, 1 << 64)
+    return total % (1 << 64)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a text column and the n + 1 offsets of its rows; null is empty."""
     column = column.cast(pa.large_string()).fill_null("")
@@ -74,7 +83,11 @@ def hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     i = 0
     while i < len(starts):
         first = starts[i]
-        j = max(i + 1, int(np.searchsorted(ends, first + CHUNK, "right")))
+        if ends[i] - first > CHUNK:
+            out[i] = _long_sum(raw[first : ends[i]])
+            i += 1
+            continue
+        j = int(np.searchsorted(ends, first + CHUNK, "right"))
         n = int(ends[j - 1] - first)
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(values[raw[first : first + n]] * _power(_BASE, n), out=sums[1:])
