@@ -131,22 +131,92 @@ def test_footers_out_of_reach_are_left_to_spark(spark, drifting, monkeypatch):
     import inspect
 
     before = tables.read_normalized(spark, str(drifting / "*"), SMALL).orderBy("Id").collect()
-    out_of_reach = inspect.getsource(files.file_facts).replace('scheme == "file"', 'scheme == "none"')
+    out_of_reach = inspect.getsource(files.manifest).replace('scheme == "file"', 'scheme == "none"')
     out_of_reach = out_of_reach.replace("fs.FileSystem.from_uri(path)", "open('/none')")
     space = dict(vars(files))
     exec("from __future__ import annotations\n" + out_of_reach, space)
-    monkeypatch.setattr(tables, "file_facts", space["file_facts"])
+    monkeypatch.setattr(tables, "manifest", space["manifest"])
     after = tables.read_normalized(spark, str(drifting / "*"), SMALL).orderBy("Id").collect()
     assert before == after
 
 
-def test_what_reaches_the_driver_does_not_grow_with_other_columns(spark, tmp_path):
+def test_other_columns_make_no_layout_of_their_own(spark, tmp_path):
     part(spark, tmp_path, "few", "select 1L as Id, 2L as Place")
     more = ", ".join(f"{k} as extra{k}" for k in range(300))
     part(spark, tmp_path, "many", f"select 1L as Id, 2L as Place, {more}")
-    paths = files.list_files(spark, str(tmp_path))
-    few, many = files.file_facts(spark, paths, SMALL.names, SMALL.required)
-    assert few.layout == many.layout and len(repr(few)) == len(repr(many)) - 1
+    manifest = files.manifest(spark, str(tmp_path), SMALL.names, SMALL.required)
+    assert manifest.count() == 2 and [r.files for r in files.layout_runs(manifest)] == [2]
+
+
+def side_by_side(spark, root, kinds):
+    """One file per kind (how Guests is stored), named in order, in one folder."""
+    root.mkdir()
+    for k, kind in enumerate(kinds):
+        path = part(spark, root, f"../made{k}", f"select {k}L as Id, {k % 5}L as Place, cast({k} as {kind}) as Guests")
+        (file,) = (root.parent / f"made{k}").glob("*.parquet")
+        file.rename(root / f"{k:03}.parquet")
+        assert path
+    return str(root)
+
+
+def test_layouts_side_by_side_are_told_apart_by_ranges_of_names(spark, tmp_path, monkeypatch):
+    """Types that cannot be read as one another: a file in the wrong scan would be an error."""
+    kinds = ["int", "int", "double", "string", "string", "int", "double", "double", "string"]
+    folder = side_by_side(spark, tmp_path / "mixed", kinds)
+    want = [(k, k % 5, float(k)) for k in range(len(kinds))]
+    df = tables.read_normalized(spark, folder, SMALL)
+    assert rows_of(df) == want
+    assert formatted(df).split("(1) Scan")[0].count("Scan parquet") == 3
+    assert rows_of(df.filter("Place = 1 and Guests > 1")) == [(6, 1, 6.0)]
+    monkeypatch.setattr(tables, "RANGES_PER_SCAN", 1)
+    assert rows_of(tables.read_normalized(spark, folder, SMALL)) == want
+
+
+def test_only_the_files_asked_for_are_read(spark, tmp_path):
+    side_by_side(spark, tmp_path / "mixed", ["int", "int", "double", "double"])
+    df = tables.read_normalized(spark, [f"{tmp_path}/mixed/000.parquet", f"{tmp_path}/mixed/00[23].parquet"], SMALL)
+    assert [r[0] for r in rows_of(df)] == [0, 2, 3]
+
+
+def test_values_in_folder_names_keep_their_characters(spark, tmp_path):
+    places = Contract.of({"Id": T.LongType(), "Name": T.StringType()}, required=["Id", "Name"])
+    names = ["a b", "c+d", "e%f", "g/h", "i=j", "007", "ü", None]
+    df = spark.createDataFrame(list(enumerate(names)), "Id long, Name string")
+    df.write.partitionBy("Name").parquet(str(tmp_path / "t"))
+    got = tables.read_normalized(spark, str(tmp_path / "t"), places)
+    assert dict(map(tuple, got.collect())) == dict(enumerate(names))
+
+
+def test_a_hundred_thousand_files_bring_a_few_rows_to_the_driver(spark, tmp_path, monkeypatch):
+    """Names, layouts and faults stay in Spark: the driver gets a row per change of layout."""
+    import os
+
+    from pyspark.sql import DataFrame
+
+    for k, kind in enumerate(("bigint", "double")):
+        path = part(spark, tmp_path, f"one{k}", f"select 1L as Id, 2L as Place, cast(1 as {kind}) as Guests")
+        (source,) = (tmp_path / f"one{k}").glob("*.parquet")
+        for folder in range(10):
+            own = tmp_path / "many" / f"{k}" / f"f{folder}"
+            own.mkdir(parents=True)
+            for n in range(5000):
+                os.link(source, own / f"{n}.parquet")
+        assert path
+    brought = []
+    for name in ("collect", "toLocalIterator"):
+        plain = getattr(DataFrame, name)
+
+        def counted(self, *args, plain=plain, **more):
+            rows = list(plain(self, *args, **more))
+            brought.append(len(rows))
+            return iter(rows) if plain.__name__ == "toLocalIterator" else rows
+
+        monkeypatch.setattr(DataFrame, name, counted)
+    df = tables.read_normalized(spark, str(tmp_path / "many"), SMALL)
+    assert sum(brought) <= 2 + 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.undo()
+    assert formatted(df).split("(1) Scan")[0].count("Scan parquet") == 2
+    assert "file_path" not in formatted(df)
 
 
 def test_union_refuses_a_part_that_lacks_a_column(spark):

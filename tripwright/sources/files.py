@@ -5,14 +5,21 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Collection, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LAYOUT_COLUMNS = "path string, layout string, clash array<string>, absent array<string>, reached boolean"
+from tripwright.session import work_dir
+
+MANIFEST_NAMES = ["path", "layout", "folders", "clash", "absent", "reached"]
+MANIFEST_COLUMNS = (
+    "path string, layout string, folders array<string>, clash array<string>, absent array<string>, reached boolean"
+)
+RUN_NAMES = ["layout", "folders", "first_path", "last_path", "files"]
+RUN_COLUMNS = "layout string, folders array<string>, first_path string, last_path string, files long"
 # Footers per task: each costs one or two small reads.
 FILES_PER_TASK = 64
 # Footers that Spark reads at a time where the tasks cannot.
@@ -37,8 +44,7 @@ def list_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
     paths = [paths] if isinstance(paths, str) else list(paths)
     found: list[str] = []
     if paths:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-        found = sorted(unquote(uri) for uri in files.inputFiles())
+        found = sorted(unquote(uri) for uri in _binary(spark, paths).inputFiles())
     if not found:
         raise NoInputError(f"no files under {paths}")
     return found
@@ -71,23 +77,40 @@ def _facts(columns: Sequence[tuple[str, str]], folders: Sequence[str], wanted: C
     return layout, clash, [n for n in required if n.lower() not in seen]
 
 
-@dataclass(frozen=True)
-class FileFacts:
-    path: str
-    layout: str
-    clash: list[str]
-    absent: list[str]
+def listed(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(path) of all files under folders, files or globs, as Spark names them (as URIs).
+
+    Names go from Spark's listing into a table without passing through Python; no file is opened.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    if not paths:
+        raise NoInputError("no paths")
+    files = _binary(spark, paths)
+    n = _count_files(files)
+    if not n:
+        raise NoInputError(f"no files under {paths}")
+    return files.select(F.col("_metadata.file_path").alias("path")).repartition(-(-n // FILES_PER_TASK))
 
 
-def file_facts(
-    spark: SparkSession, paths: Sequence[str], wanted: Sequence[str], required: Sequence[str]
-) -> list[FileFacts]:
-    """How each file stores the ``wanted`` columns, and what is wrong with its names.
+def _binary(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
 
-    Footers are read and judged in tasks, so a hundred thousand files are one short job and
-    what comes to the driver is a digest per file, however many columns it has. Where Python
-    cannot open the store, Spark reads the footers, several at a time. Columns may also stand
-    in the names of folders. A file that is no parquet is an error.
+
+def _count_files(df: DataFrame) -> int:
+    """How many files a scan has, told by Spark's listing; their names stay there."""
+    return len(df._jdf.inputFiles())
+
+
+def manifest(
+    spark: SparkSession, paths: str | Sequence[str], wanted: Sequence[str], required: Sequence[str]
+) -> DataFrame:
+    """One row per file: (path, layout, folders, clash, absent), written to the shared folder.
+
+    ``layout`` digests how the file stores the ``wanted`` columns and is null if it is no
+    parquet, ``folders`` names the columns that stand in ``name=value`` folders above it,
+    ``clash`` two names that differ only by case, ``absent`` the required columns not there.
+    Footers are read and judged in tasks, so a hundred thousand files are one short job. Files
+    in a store that Python cannot open are judged by Spark, one by one.
     """
     lowered = frozenset(w.lower() for w in wanted)
     required = list(required)
@@ -99,8 +122,10 @@ def file_facts(
         import pyarrow.parquet as pq
         from pyarrow import fs
 
-        def one(path: str) -> tuple:
+        def one(uri: str) -> tuple:
+            path = unquote(uri)
             scheme, _, rest = path.partition(":")
+            folders = split(path)[1]
             try:
                 if scheme == "file":
                     source = fs.LocalFileSystem().open_input_file("/" + rest.lstrip("/"))
@@ -108,34 +133,117 @@ def file_facts(
                     store, inner = fs.FileSystem.from_uri(path)
                     source = store.open_input_file(inner)
             except (ValueError, OSError, ImportError):
-                return path, None, [], [], False
+                return uri, None, folders, [], [], False
             with source:
                 try:
                     columns = [(f.name, str(f.type)) for f in pq.read_schema(source)]
                 except pa.ArrowInvalid:
-                    return path, None, [], [], True
-            return path, *judge(columns, split(path)[1], lowered, required), True
+                    return uri, None, folders, [], [], True
+            layout, clash, absent = judge(columns, folders, lowered, required)
+            return uri, layout, folders, clash, absent, True
 
         for batch in batches:
-            rows = [one(p) for p in batch["path"]]
-            yield pd.DataFrame(rows, columns=["path", "layout", "clash", "absent", "reached"])
+            yield pd.DataFrame([one(p) for p in batch["path"]], columns=MANIFEST_NAMES)
 
-    listing = spark.createDataFrame([(p,) for p in paths], "path string")
-    tasks = -(-len(paths) // FILES_PER_TASK)
-    judged = listing.repartition(tasks, "path").mapInPandas(read, LAYOUT_COLUMNS).collect()
-    broken = sorted(r.path for r in judged if r.reached and r.layout is None)
-    if broken:
-        raise NotParquetError(f"not a parquet file: {broken[0]}")
+    root = work_dir(spark, "manifest")
+    listed(spark, paths).mapInPandas(read, MANIFEST_COLUMNS).write.parquet(f"{root}/judged")
+    judged = spark.read.schema(MANIFEST_COLUMNS).parquet(f"{root}/judged")
+    reached = judged.filter("reached").drop("reached")
 
-    def fall_back(path: str) -> FileFacts:
+    def by_spark(uri: str) -> tuple:
+        path = unquote(uri)
+        folders = folder_columns(path)[1]
         fields = spark.read.parquet(literal_path(path)).schema
-        columns = [(f.name, f.dataType.simpleString()) for f in fields]
-        return FileFacts(path, *_facts(columns, folder_columns(path)[1], lowered, required))
+        layout, clash, absent = _facts([(f.name, f.dataType.simpleString()) for f in fields], folders, lowered, required)
+        return uri, layout, folders, clash, absent
 
+    unreached = [r.path for r in judged.filter("not reached").select("path").toLocalIterator()]
+    if not unreached:
+        return reached
     with ThreadPoolExecutor(CONCURRENT_READS) as pool:
-        unreached = list(pool.map(fall_back, [r.path for r in judged if not r.reached]))
-    reached = [FileFacts(r.path, r.layout, r.clash, r.absent) for r in judged if r.reached]
-    return sorted(reached + unreached, key=lambda f: f.path)
+        rows = list(pool.map(by_spark, unreached))
+    return reached.unionByName(spark.createDataFrame(rows, reached.schema))
+
+
+@dataclass(frozen=True)
+class Fault:
+    """The first file, by name, of those that cannot be read as they should, and why."""
+
+    path: str
+    no_parquet: bool
+    clash: list[str]
+    absent: list[str]
+
+
+def first_fault(files: DataFrame) -> Fault | None:
+    wrong = files.filter("layout is null or size(clash) > 0 or size(absent) > 0")
+    rows = wrong.orderBy(F.col("layout").isNotNull(), "path").limit(1).collect()
+    return Fault(unquote(rows[0].path), rows[0].layout is None, rows[0].clash, rows[0].absent) if rows else None
+
+
+@dataclass(frozen=True)
+class Run:
+    """Files that follow each other by name and are laid out alike."""
+
+    layout: str
+    folders: tuple[str, ...]
+    first: str
+    last: str
+    files: int
+
+
+def layout_runs(files: DataFrame) -> list[Run]:
+    """The runs of a manifest, in order of names.
+
+    Names are sorted and cut into runs in tasks: what comes to the driver is a row per change
+    of layout in the order of names, and one per task, however many files there are.
+    """
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list | None = None
+        for batch in batches:
+            rows = []
+            for path, layout, folders in zip(batch["path"], batch["layout"], batch["folders"]):
+                if held is not None and (held[0], held[1]) == (layout, list(folders)):
+                    held[3], held[4] = path, held[4] + 1
+                    continue
+                if held is not None:
+                    rows.append(held)
+                held = [layout, list(folders), path, path, 1]
+            yield pd.DataFrame(rows, columns=RUN_NAMES)
+        if held is not None:
+            yield pd.DataFrame([held], columns=RUN_NAMES)
+
+    spark = files.sparkSession
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 64)
+    ordered = files.repartitionByRange(parts, "path").sortWithinPartitions("path")
+    found = ordered.select("path", "layout", "folders").mapInPandas(cut, RUN_COLUMNS).collect()
+    runs: list[Run] = []
+    for r in sorted(found, key=lambda r: r.first_path.encode()):
+        own = Run(r.layout, tuple(r.folders), r.first_path, r.last_path, r.files)
+        if runs and (runs[-1].layout, runs[-1].folders) == (own.layout, own.folders):
+            before = runs.pop()
+            own = replace(own, first=before.first, files=before.files + own.files)
+        runs.append(own)
+    return runs
+
+
+def whole_folders(spark: SparkSession, runs: Sequence[Run], own: Sequence[Run]) -> list[str]:
+    """Folders that hold the files of these runs out of ``runs`` and nothing else; else none."""
+    at = {run: k for k, run in enumerate(runs)}
+    out = []
+    for run in own:
+        folder = run.first[: run.first.rindex("/") + 1]
+        while not run.last.startswith(folder) and folder.count("/") > 1:
+            folder = folder[: folder.rindex("/", 0, -1) + 1]
+        k = at[run]
+        neighbours = [r.last for r in runs[max(0, k - 1) : k]] + [r.first for r in runs[k + 1 : k + 2]]
+        at_root = "/" not in folder.rstrip("/")
+        if at_root or not run.last.startswith(folder) or any(n.startswith(folder) for n in neighbours):
+            return []
+        out.append((literal_path(unquote(folder.rstrip("/"))), run.files))
+    # What was asked for may be less than what the folders hold.
+    return [p for p, _ in out] if all(_count_files(_binary(spark, p)) == n for p, n in out) else []
 
 
 def source_volume(spark: SparkSession, sources: dict[str, str]) -> DataFrame:
