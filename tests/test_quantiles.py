@@ -91,6 +91,23 @@ def test_no_window_spans_a_whole_group(spark):
     assert kept.count() < 20_000 / 30 and ranks.count() == 1
 
 
+@pytest.mark.parametrize("limit", [0, 50, quantiles.SLICE_LIMIT])
+def test_the_input_is_read_once(spark, tmp_path, limit):
+    """What is left to run reads written counts and open slices, not the input."""
+    from plans_of import formatted
+
+    table(spark, large_groups()).write.parquet(f"{tmp_path}/timings")
+    out = quantiles.exact_percentiles(spark.read.parquet(f"{tmp_path}/timings"), ["k"], "v", FRACTIONS, limit)
+    assert "/timings" not in formatted(out)
+    if limit == quantiles.SLICE_LIMIT:
+        assert formatted(out).split("(1) Scan")[0].count("Exchange") == 1
+
+
+def test_small_and_large_groups_side_by_side(spark):
+    groups = SMALL_GROUPS | large_groups()
+    check(quantiles.exact_percentiles(table(spark, groups), ["k"], "v", FRACTIONS, 100), groups)
+
+
 def test_key_columns_may_have_any_name(spark):
     df = spark.createDataFrame([(1, 2, 3, 4, 5.0)], "v int, low int, total int, _slice int, x double")
     (row,) = quantiles.exact_percentiles(df, ["v", "low", "total", "_slice"], "x", [0.5]).collect()

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tripwright.session import work_dir
+
 # Slices that a group is cut into at a time, by a sketch of its distinct values.
 SLICES = 64
 # Distinct values that one task may rank; a slice with more is cut again.
@@ -26,54 +28,92 @@ def exact_percentiles(
     """Per group, an array ``percentiles`` of exact, linearly interpolated percentiles.
 
     Spark's own percentile keeps one counter per distinct value of a group in one task; the
-    result here is the same to the bit. Values are counted once, with map tasks combining. A
-    mergeable sketch of the distinct values cuts each group into slices, counts per slice tell
-    which slice holds a wanted rank, and only the values of those slices are ranked one by
-    one. A slice that is still too large for a task is cut again in the same way, so no task
-    ranks a fixed share of a group. The sketch decides how much is ranked where, never what
-    comes out.
+    result here is the same to the bit. The input is read once: values are counted, with map
+    tasks combining, and the counts are written. Groups with up to ``slice_limit`` distinct
+    values are ranked as they are, in one pass. A larger group is cut into slices by a
+    mergeable sketch of its distinct values, counts per slice tell which slice holds a wanted
+    rank, and only those slices stay open; they are written and, if still too large for a
+    task, cut again. The sketch decides how much is ranked where, never what comes out.
     """
     fractions = sorted(fractions)
     names = [f"_key{i}" for i in range(len(keys))]
-    group = [*names, "_slice"]
     filled = df.select(
         *[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)],
         F.col(value).cast("double").alias("_v"),
-        F.lit("").alias("_slice"),
     ).filter("_v is not null")
-    values = filled.groupBy(*group, "_v").agg(F.count("*").alias("_n"))
-    totals = values.groupBy(*names).agg(F.sum("_n").alias("_total"))
-    wanted = totals.select(*names, F.lit("").alias("_slice"), F.inline(_ranks(fractions)))
+    values = _kept(filled.groupBy(*names, "_v").agg(F.count("*").alias("_n")), "values")
+    sizes = values.groupBy(*names).agg(F.sum("_n").alias("_total"), F.count("*").alias("_values"))
+    at = _ranked_whole(values, names, fractions)
+    if (sizes.agg(F.max("_values")).head()[0] or 0) > slice_limit:
+        sizes = _kept(sizes, "sizes")
+        small = sizes.filter(F.col("_values") <= slice_limit)
+        large = sizes.filter(F.col("_values") > slice_limit)
+        at = _ranked_whole(_of(values, small, names), names, fractions)
+        found = _by_cutting(_of(values, large, names), large, names, fractions, slice_limit)
+        cells = F.map_from_entries(F.collect_list(F.struct("_i", "_v"))).alias("_at")
+        by_group = found.groupBy(*names).agg(cells)
+        both = by_group.alias("a").join(large.alias("b"), _same("a", "b", names))
+        at = at.unionByName(both.select(*[F.col(f"a.{n}").alias(n) for n in names], "_total", "_at"))
+    return at.select(
+        *[F.col(n).alias(k) for k, n in zip(keys, names, strict=True)],
+        F.array(*[_between(i, f) for i, f in enumerate(fractions)]).alias("percentiles"),
+    )
+
+
+def _kept(df: DataFrame, label: str) -> DataFrame:
+    """The same rows, written to the shared folder and read from there."""
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _of(values: DataFrame, groups: DataFrame, names: Sequence[str]) -> DataFrame:
+    return values.alias("a").join(groups.alias("b"), _same("a", "b", names), "left_semi")
+
+
+def _ranked_whole(values: DataFrame, names: Sequence[str], fractions: Sequence[float]) -> DataFrame:
+    """(names, _total, _at): per group its size and the values at the wanted ranks, by index.
+
+    One shuffle: sizes, running sums and what is picked by them all go by the group.
+    """
+    group = Window.partitionBy(*names)
+    ordered = group.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = values.withColumns({"_end": F.sum("_n").over(ordered), "_total": F.sum("_n").over(group)})
+    start = F.col("_end") - F.col("_n")
+    picked = []
+    for i, rank in enumerate(_rank_columns(fractions)):
+        inside = (rank >= start) & (rank < F.col("_end"))
+        picked.append((F.lit(i), F.max(F.when(inside, F.col("_v")))))
+    return placed.groupBy(*names).agg(
+        F.max("_total").alias("_total"), F.create_map(*[c for pair in picked for c in pair]).alias("_at")
+    )
+
+
+def _by_cutting(
+    values: DataFrame, sizes: DataFrame, names: Sequence[str], fractions: Sequence[float], slice_limit: int
+) -> DataFrame:
+    """(names, _i, _v): the value at each wanted rank of large groups."""
+    values = values.withColumn("_slice", F.lit(""))
+    cells = [F.struct(F.lit(i).alias("_i"), r.alias("_rank")) for i, r in enumerate(_rank_columns(fractions))]
+    wanted = sizes.select(*names, F.lit("").alias("_slice"), F.inline(F.array(*cells)))
     found: DataFrame | None = None
     most, before = slice_limit + 1, None
     # Cutting ends when slices are small, or would no longer get smaller.
     while most > slice_limit and most != before:
-        values, wanted, settled = _cut(values, wanted, names)
+        values, wanted, settled = (_kept(x, "open") for x in _cut(values, wanted, names))
         found = settled if found is None else found.unionByName(settled)
-        sizes = values.groupBy(*group).agg(F.count("*").alias("_values"))
-        before, most = most, sizes.agg(F.max("_values")).head()[0] or 0
-    found = found.unionByName(_ranked(values, wanted, names))
-    at = found.groupBy(*names).agg(
-        F.map_from_entries(F.collect_list(F.struct("_i", "_v"))).alias("_at")
-    )
-    both = at.alias("a").join(totals.alias("b"), _same("a", "b", names))
-    return both.select(
-        *[F.col(f"a.{n}").alias(k) for k, n in zip(keys, names, strict=True)],
-        F.array(*[_between(i, f) for i, f in enumerate(fractions)]).alias("percentiles"),
-    )
+        open_slices = values.groupBy(*names, "_slice").agg(F.count("*").alias("_values"))
+        before, most = most, open_slices.agg(F.max("_values")).head()[0] or 0
+    return found.unionByName(_ranked(values, wanted, names))
 
 
 def _position(fraction: float) -> Column:
     return F.lit(float(fraction)) * (F.col("_total") - 1)
 
 
-def _ranks(fractions: Sequence[float]) -> Column:
+def _rank_columns(fractions: Sequence[float]) -> list[Column]:
     """Per fraction, the two zero-based ranks whose values it lies between."""
-    cells = []
-    for i, f in enumerate(fractions):
-        for j, rank in enumerate((F.floor(_position(f)), F.ceil(_position(f)))):
-            cells.append(F.struct(F.lit(2 * i + j).alias("_i"), rank.alias("_rank")))
-    return F.array(*cells)
+    return [rank(_position(f)) for f in fractions for rank in (F.floor, F.ceil)]
 
 
 def _between(i: int, fraction: float) -> Column:
