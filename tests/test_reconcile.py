@@ -155,3 +155,36 @@ def test_a_repeated_group_is_reported(spark, sides):
     left, _ = sides
     checks = {r.check: r.failures for r in reconcile.report(left.union(left.limit(1)), left).collect()}
     assert checks["repeated_keys"] == 1 and checks["group_counts"] == 1
+
+
+@pytest.mark.parametrize(("one", "other", "copies"), [("STRICT", "KEYED", 1), ("STRICT", "STRICT", 2), ("KEYED", "STRICT", 1)])
+def test_a_report_on_pipelines_is_the_report_on_their_results(spark, one, other, copies):
+    """The same checks, from two cleanings instead of from summaries and funnels of their own."""
+    from given import TESTDATA
+
+    from tripwright.operators.funnel import row_funnel
+    from tripwright.plans import derive, pipeline
+
+    folder = str(TESTDATA / "sf0.01")
+    trips, zones = derive.trips(spark, folder), derive.zones(spark, folder)
+    for _ in range(copies - 1):
+        zones = zones.unionByName(zones.filter("LocationID < 5"))
+    sides = [getattr(pipeline, name) for name in (one, other)]
+    want = reconcile.report(
+        *[p.summary(trips, zones) for p in sides],
+        *[row_funnel(trips, p.clean(trips), zones, p.named_zones_only) for p in sides],
+    )
+    got = pipeline.compare(*sides, trips, zones)
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()}
+
+
+def test_a_report_on_pipelines_scans_once_per_cleaning(spark):
+    from given import TESTDATA
+    from plans_of import final
+
+    from tripwright.plans import derive, pipeline
+
+    folder = str(TESTDATA / "sf0.001")
+    plan = final(pipeline.compare(pipeline.STRICT, pipeline.KEYED, derive.trips(spark, folder), derive.zones(spark, folder)))
+    # One scan for each way of cleaning, and one that counts what goes in.
+    assert plan.count("events.parquet") == 3

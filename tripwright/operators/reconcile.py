@@ -165,6 +165,31 @@ def compare_row_counts(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
+# The checks of a report, in its order.
+CHECKS = ("row_counts", "columns_present", "repeated_keys", "group_counts", "group_keys", "trip_counts", "mean_speeds")
+
+
+def _listed(totals: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(check, failures, ok): a row per check out of one row with a column per check."""
+    cells = [F.struct(F.lit(n).alias("check"), F.col(n).cast("bigint").alias("failures")) for n in names]
+    return totals.select(F.inline(F.array(*cells))).withColumn("ok", F.col("failures") == 0)
+
+
+def _group_checks(per_key: DataFrame, tolerance: float) -> dict[str, Column]:
+    """Failures per check over one row per key with rows, count and mean of either side."""
+    left, right = F.col("left_copies"), F.col("right_copies")
+    both = (left > 0) & (right > 0)
+    agree = _means_agree(F.col("left_mean"), F.col("right_mean"), tolerance)
+    rows = F.coalesce(F.sum(left), F.lit(0)) - F.coalesce(F.sum(right), F.lit(0))
+    return {
+        "repeated_keys": F.count_if(left > 1) + F.count_if(right > 1),
+        "group_counts": F.abs(rows),
+        "group_keys": F.count_if((left == 0) != (right == 0)),
+        "trip_counts": F.count_if(both & ~F.col("left_count").eqNullSafe(F.col("right_count"))),
+        "mean_speeds": F.count_if(both & ~agree),
+    }
+
+
 def report(
     left: DataFrame,
     right: DataFrame,
@@ -174,51 +199,106 @@ def report(
 ) -> DataFrame:
     """One row per check (check, failures, ok) over two summaries and, if given, two funnels.
 
-    Groups are matched as if each key occurred once per side; whether it does is a check of
-    its own, as is whether both sides have as many groups.
+    Both summaries go into one table with the side as a column, one aggregation by key puts
+    the sides next to each other, and every check is an aggregate of that. A key that occurs
+    more than once on a side is a failure of its own and elsewhere counts with its largest
+    values. A column missing on one side fails its own check and is null elsewhere.
+    """
+    types = {
+        **dict.fromkeys(SUMMARY_COLUMNS, T.StringType()),
+        "pickup_hour": T.IntegerType(),
+        "mean_speed_mph": T.DoubleType(),
+        "trip_count": T.LongType(),
+    }
+
+    def sided(df: DataFrame, is_right: bool) -> DataFrame:
+        held = [F.col(c) if c in df.columns else F.lit(None).cast(types[c]).alias(c) for c in SUMMARY_COLUMNS]
+        return df.select(*held, F.lit(is_right).alias("_right"))
+
+    right_side = F.col("_right")
+    of = {"left": ~right_side, "right": right_side}
+    sides = []
+    for side, here in of.items():
+        sides += [
+            F.count_if(here).alias(f"{side}_copies"),
+            F.max(F.when(here, F.col("trip_count"))).alias(f"{side}_count"),
+            F.max(F.when(here, F.col("mean_speed_mph"))).alias(f"{side}_mean"),
+        ]
+    per_key = sided(left, False).unionByName(sided(right, True)).groupBy(*GROUP_KEYS).agg(*sides)
+    absent = sum(c not in left.columns or c not in right.columns for c in SUMMARY_COLUMNS)
+    failures = {"columns_present": F.lit(absent)} | _group_checks(per_key, tolerance)
+    checks = _listed(per_key.agg(*[v.alias(k) for k, v in failures.items()]), CHECKS[1:])
+    if left_funnel is None or right_funnel is None:
+        return checks
+    rows = compare_row_counts(left_funnel, right_funnel).agg(
+        F.count_if(~F.col("is_equal")).alias(CHECKS[0])
+    )
+    return _listed(rows, CHECKS[:1]).unionByName(checks)
 
-    A column missing on one side fails its own check and is compared as null elsewhere.
+
+def speed_cells(timed: DataFrame) -> DataFrame:
+    """(pickup_hour, PULocationID, n, speeds, miles_an_hour): what checks need of cleaned trips.
+
+    A row per hour and pickup zone, with the number of trips, of speeds, and their sum.
     """
+    return timed.groupBy("pickup_hour", "PULocationID").agg(
+        F.count("*").alias("n"),
+        F.count("avg_speed_mph").alias("speeds"),
+        F.sum("avg_speed_mph").alias("miles_an_hour"),
+    )
 
-    def checks(failed: DataFrame, names: Sequence[str]) -> DataFrame:
-        cells = [F.struct(F.lit(n).alias("check"), F.col(n).alias("failures")) for n in names]
-        return failed.select(F.inline(F.array(*cells)))
-
-    def padded(df: DataFrame) -> DataFrame:
-        types = {
-            **dict.fromkeys(SUMMARY_COLUMNS, T.StringType()),
-            "pickup_hour": T.IntegerType(),
-            "mean_speed_mph": T.DoubleType(),
-            "trip_count": T.LongType(),
-        }
-        return df.select(
-            *[F.col(c) if c in df.columns else F.lit(None).cast(types[c]).alias(c)
-              for c in SUMMARY_COLUMNS]
-        )
-
-    a, b = padded(left), padded(right)
-    repeated = repeated_keys(a, b).agg(F.count("*").alias("repeated_keys"))
-    sizes = a.select(F.lit(1).alias("n")).union(b.select(F.lit(-1)))
-    sizes = sizes.agg(F.coalesce(F.abs(F.sum("n")), F.lit(0).cast("bigint")).alias("group_counts"))
-    schema = schema_check(left, right).agg(
-        F.count_if(~(F.col("in_left") & F.col("in_right"))).alias("columns_present")
+
+def report_on_cells(
+    cells: dict[str, DataFrame],
+    inputs: DataFrame,
+    zones: DataFrame,
+    named_only: dict[str, bool],
+    small_zones: bool,
+    tolerance: float = SPEED_TOLERANCE,
+) -> DataFrame:
+    """The report on two ways of cleaning, straight from the ``speed_cells`` of either side.
+
+    ``cells`` and ``named_only`` have the sides "left" and "right"; ``inputs`` is one row with
+    the rows that went in, left_input and right_input. Cells of both sides meet their zones
+    together: a zone key that occurs several times repeats its cells, and a side that wants
+    named zones only drops the others. What is cleaned once is also read once: the counts of
+    all stages and every check come from the one table of keys.
+    """
+    tagged = reduce(
+        DataFrame.unionByName, [df.withColumn("side", F.lit(side)) for side, df in cells.items()]
     )
-    summary = summarise_groups(
-        compare_groups(a, b, tolerance), tolerance
-    ).select(
-        (F.col("missing_left_groups") + F.col("missing_right_groups")).alias("group_keys"),
-        F.col("differing_counts").alias("trip_counts"),
-        F.col("means_out_of_tolerance").alias("mean_speeds"),
+    by_key = zones.groupBy("LocationID").agg(F.collect_list(F.struct("Borough")).alias("found"))
+    met = tagged.join(
+        F.broadcast(by_key) if small_zones else by_key, F.col("PULocationID") == F.col("LocationID"), "left"
     )
-    parts = [
-        checks(schema, ["columns_present"]),
-        checks(repeated, ["repeated_keys"]),
-        checks(sizes, ["group_counts"]),
-        checks(summary, ["group_keys", "trip_counts", "mean_speeds"]),
-    ]
-    if left_funnel is not None and right_funnel is not None:
-        rows = compare_row_counts(left_funnel, right_funnel).agg(
-            F.count_if(~F.col("is_equal")).alias("row_counts")
-        )
-        parts.insert(0, checks(rows, ["row_counts"]))
-    return reduce(DataFrame.unionByName, parts).withColumn("ok", F.col("failures") == 0)
+    spelled = met.select("*", F.posexplode_outer("found").alias("at", "zone"))
+    is_side = {side: F.col("side") == side for side in cells}
+    per_side = []
+    for side, here in is_side.items():
+        kept = here & F.col("at").isNotNull()
+        if named_only[side]:
+            kept = kept & F.col("zone.Borough").isNotNull()
+
+        def total(column: str, where: Column = kept) -> Column:
+            return F.sum(F.when(where, F.col(column)))
+
+        first = here & (F.coalesce("at", F.lit(0)) == 0)
+        per_side += [
+            F.count_if(kept).alias(f"{side}_cells"),
+            F.coalesce(total("n", first), F.lit(0)).alias(f"{side}_cleaned"),
+            F.coalesce(total("n"), F.lit(0)).alias(f"{side}_count"),
+            F.try_divide(total("miles_an_hour"), total("speeds")).alias(f"{side}_mean"),
+        ]
+    keys = [F.col("pickup_hour"), F.col("zone.Borough").alias("Borough"), F.col("at").isNotNull().alias("met")]
+    per_key = spelled.groupBy(*keys).agg(*per_side)
+    per_key = per_key.withColumns({f"{s}_copies": (F.col(f"{s}_cells") > 0).cast("int") for s in cells})
+
+    def differ(stage: str) -> Column:
+        return F.sum(f"left_{stage}") != F.sum(f"right_{stage}")
+
+    failures = {"columns_present": F.lit(0)} | _group_checks(per_key, tolerance)
+    stages = [differ(s) for s in ("cleaned", "count", "copies")]
+    failures["later_counts"] = sum((F.coalesce(d, F.lit(False)).cast("int") for d in stages), F.lit(0))
+    totals = per_key.agg(*[v.alias(k) for k, v in failures.items()]).crossJoin(inputs)
+    first_differs = (F.col("left_input") != F.col("right_input")).cast("int")
+    return _listed(totals.withColumn("row_counts", F.col("later_counts") + first_differs), CHECKS)
