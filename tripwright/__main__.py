@@ -1,5 +1,6 @@
 """Command line: run a pipeline, reconcile two results, compare recorded runs.
 
+python -m tripwright run --trips DIR --zones FILE --result DIR
 python -m tripwright run --trips DIR --zones FILE --rows DIR --summary DIR --metrics DIR
 python -m tripwright reconcile --left DIR --right DIR --left-metrics DIR --right-metrics DIR
 python -m tripwright compare --metrics DIR [DIR ...] --left NAME --right NAME --table DIR
@@ -15,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripwright.operators import reconcile, runs
 from tripwright.operators.funnel import recorded_funnel
-from tripwright.plans.pipeline import KEYED, STRICT, run
+from tripwright.plans.pipeline import KEYED, STRICT, run, run_published
 from tripwright.session import use_utc
+from tripwright.sinks import published
 from tripwright.sinks.files import write_comparison
 from tripwright.sources.records import read_run_metrics
 from tripwright.sources.tables import read_directory
@@ -30,9 +32,12 @@ def arguments(given: list[str] | None) -> argparse.Namespace:
     commands = parser.add_subparsers(dest="command", required=True)
 
     c = commands.add_parser("run")
-    for name in ("trips", "zones", "rows", "summary"):
+    for name in ("trips", "zones"):
         c.add_argument(f"--{name}", required=True)
-    c.add_argument("--metrics")
+    c.add_argument("--result", help="folder in which rows, summary and metrics are published together")
+    c.add_argument("--append", action="store_true", help="keep the published rows beside the new ones")
+    for name in ("rows", "summary", "metrics"):
+        c.add_argument(f"--{name}")
     c.add_argument("--pipeline", choices=sorted(PIPELINES), default=STRICT.name)
     c.add_argument("--timed", action="store_true", help="also record seconds per stage")
 
@@ -60,14 +65,23 @@ def session(master: str | None) -> SparkSession:
     return spark
 
 
+def _summary(spark: SparkSession, path: str) -> DataFrame:
+    """A summary by itself, or that of a result folder's last published run."""
+    if published.is_result(spark, path):
+        return published.read_summary(spark, path)
+    return read_directory(spark, path)
+
+
 def reconciled(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     recorded = ((args.left_metrics, args.left_run), (args.right_metrics, args.right_run))
     funnels = [recorded_funnel(read_run_metrics(spark, p), run_id) for p, run_id in recorded if p]
     if len(funnels) == 1:
         raise SystemExit("give the metrics of both runs, or of neither")
+    if not funnels and all(published.is_result(spark, p) for p in (args.left, args.right)):
+        funnels = [recorded_funnel(published.read_metrics(spark, p)) for p in (args.left, args.right)]
     return reconcile.report(
-        read_directory(spark, args.left),
-        read_directory(spark, args.right),
+        _summary(spark, args.left),
+        _summary(spark, args.right),
         *(funnels or [None, None]),
         tolerance=args.tolerance,
     )
@@ -76,7 +90,14 @@ def reconciled(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 def main(given: list[str] | None = None) -> int:
     args = arguments(given)
     spark = session(args.master)
+    if args.command == "run" and args.result:
+        run_published(
+            spark, args.trips, args.zones, args.result, PIPELINES[args.pipeline], args.timed, args.append
+        )
+        return 0
     if args.command == "run":
+        if not (args.rows and args.summary):
+            raise SystemExit("give --result, or --rows and --summary")
         run(
             spark,
             args.trips,

@@ -147,6 +147,7 @@ STATEMENTS = {
     "sink_roundtrip": "select * from enriched",
     "sink_summary_roundtrip": "select * from agg",
     "sink_append": "select * from enriched",
+    "sink_published": "select * from enriched",
     "source_volume": " union all ".join(
         f"select '{t}' as table_name, cast(1 as bigint) as files, count(*) as row_count from {t}"
         for t in TABLES

@@ -15,6 +15,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tripwright.operators import reconcile
 from tripwright.operators.clean import clean, clean_by_key
 from tripwright.operators.enrich import (
     BROADCAST_LIMIT_BYTES,
@@ -23,9 +24,12 @@ from tripwright.operators.enrich import (
     join_zone,
     look_up_zone,
     measure_zones,
+    refuse_repeated,
+    zone_columns,
 )
 from tripwright.operators.summarise import export_rows, speed_by_group
 from tripwright.session import use_utc
+from tripwright.sinks import published
 from tripwright.sinks.files import write_rows, write_run_metrics, write_summary
 from tripwright.sources.records import METRICS_SCHEMA
 from tripwright.sources.tables import read_normalized, read_zones
@@ -57,6 +61,26 @@ STRICT = Pipeline("strict", clean, join_zone)
 KEYED = Pipeline("keyed", clean_by_key, look_up_zone, named_zones_only=True)
 
 
+def compare(left: Pipeline, right: Pipeline, trips: DataFrame, zones: DataFrame) -> DataFrame:
+    """The report on two pipelines over the same trips: each cleans once, and nothing is written."""
+    facts = measure_zones(zones)
+    sides = {"left": left, "right": right}
+    if any(p.named_zones_only for p in sides.values()):
+        refuse_repeated(facts)
+    cells = {
+        side: reconcile.speed_cells(p.clean(trips).transform(add_speed).transform(add_hour))
+        for side, p in sides.items()
+    }
+    counted = trips.agg(F.count("*").alias("left_input"))
+    return reconcile.report_on_cells(
+        cells,
+        counted.withColumn("right_input", F.col("left_input")),
+        zone_columns(zones),
+        {side: p.named_zones_only for side, p in sides.items()},
+        facts.bytes <= BROADCAST_LIMIT_BYTES,
+    )
+
+
 class StageTimer:
     """Seconds per stage, by running each stage's plan to its end without keeping the rows.
 
@@ -155,6 +179,30 @@ def run(
     return summary
 
 
+def run_published(
+    spark: SparkSession,
+    trips_path: str,
+    zones_path: str,
+    result: str,
+    pipeline: Pipeline = STRICT,
+    timed: bool = False,
+    append: bool = False,
+) -> published.Version:
+    """``run`` into a result folder, where rows, summary and metrics appear together or not at all.
+
+    Everything is written to a folder of the run's own; one rename at the end publishes it, so
+    a run that ends early leaves the state before. With ``append`` the rows of that state stay
+    and the summary covers all of them. Of two runs at a time the second to end is refused.
+    """
+    own = published.draft(spark, result)
+    paths = [f"{own.folder}/{part}" for part in ("rows", "summary", "metrics")]
+    run(spark, trips_path, zones_path, *paths, pipeline, timed)
+    if append and own.before:
+        rows = published.read_rows(spark, result, own.before).unionByName(spark.read.parquet(paths[0]))
+        write_summary(speed_by_group(rows), paths[1])
+    return published.publish(spark, own, append)
+
+
 def _observed(counter: Observation | None) -> int | None:
     """What the counter counted, or None if there is none or it was not part of the plan."""
     if counter is None:

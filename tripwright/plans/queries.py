@@ -17,9 +17,10 @@ from tripwright.functions.speed import speed_mph, speed_mph_by_batch, speed_mph_
 from tripwright.operators import clean, enrich, reconcile, runs, summarise
 from tripwright.operators.funnel import row_funnel
 from tripwright.plans import derive
-from tripwright.plans.pipeline import KEYED, STRICT, Pipeline
+from tripwright.plans.pipeline import KEYED, STRICT, Pipeline, compare
 from tripwright.session import use_utc, work_dir
 from tripwright.operators.summarise import speed_by_group_unsorted
+from tripwright.sinks import published
 from tripwright.sinks.files import write_comparison, write_rows, write_run_metrics, write_summary
 from tripwright.sources import files, records, tables
 
@@ -141,6 +142,26 @@ def sink_append(spark: SparkSession, folder: str) -> DataFrame:
     return tables.read_directory(spark, root)
 
 
+@query
+def sink_published(spark: SparkSession, folder: str) -> DataFrame:
+    """Enriched rows as readers of a result folder see them, after one run was replaced by
+    another, the rows of a third were added, and a fourth never came to be published."""
+    trips, zones = inputs(spark, folder)
+    root = work_dir(spark, "published")
+    first = F.col("VendorID") == 1
+
+    def draft(part: DataFrame) -> published.Draft:
+        own = published.draft(spark, root)
+        write_rows(STRICT.enriched(part, zones), f"{own.folder}/rows")
+        return own
+
+    published.publish(spark, draft(trips))
+    published.publish(spark, draft(trips.filter(first)))
+    published.publish(spark, draft(trips.filter(~first)), append=True)
+    draft(trips)
+    return published.read_rows(spark, root)
+
+
 @query
 def sink_comparison(spark: SparkSession, folder: str) -> DataFrame:
     """The comparison of phases by way of the delimited file it is written to."""
@@ -340,10 +361,7 @@ def reconcile_schema(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def reconcile_report(spark: SparkSession, folder: str) -> DataFrame:
-    given = inputs(spark, folder)
-    return reconcile.report(
-        *both_summaries(given), funnel_of(STRICT, given), funnel_of(KEYED, given)
-    )
+    return compare(STRICT, KEYED, *inputs(spark, folder))
 
 
 # --- run metrics and resource logs ---
