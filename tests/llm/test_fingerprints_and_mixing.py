@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import by_id
 from tripwright.llm import merkle, mixing
@@ -61,32 +63,64 @@ def test_repeated_and_nameless_rows_keep_their_place(make_docs):
     assert merkle.fingerprint_documents(make_docs([])).count() == 0
 
 
-@pytest.mark.parametrize("slots", [{"a": 1}, {"a": 1, "b": 999}, {"a": 333, "b": 333, "c": 334}, {f"s{k}": k + 1 for k in range(25)}])
-def test_every_source_stays_within_one_block_of_its_weight(slots):
-    period, got = sum(slots.values()), dict.fromkeys(slots, 0)
-    plan = mixing.schedule(slots)
-    assert [p[2] for p in plan] == list(range(period))
-    for source, k, slot in plan:
-        assert k == got[source]
-        got[source] += 1
-        assert all(abs(got[s] - Fraction(n * (slot + 1), period)) < 1 for s, n in slots.items())
-    assert got == slots
+def walk(classes, periods):
+    """All (class, member, block, slot) of the first periods, one period after the other."""
+    schedule = mixing.Schedule(classes)
+    return [x for j in range(periods) for x in schedule.planned(j)], schedule
+
+
+WEIGHTS = [
+    [(1, 1)], [(1, 1), (999, 1)], [(333, 2), (334, 1)], [(k + 1, 1) for k in range(25)], [(7, 1), *[(1 + k / 37, 1) for k in range(19)]],
+    [(0.3, 3), (0.001, 90), (0.01, 1)], [(0.18, 5), (0.001, 100)], [(3**0.5, 4), (2**0.5, 7), (0.1, 3)], [(1, 1), (1e-4, 2)], [(5, 40)],
+]
+
+
+@pytest.mark.parametrize("weights", WEIGHTS)
+@pytest.mark.parametrize("period", [4, 64])
+def test_every_source_stays_within_one_block_across_periods(monkeypatch, weights, period):
+    """Periods are planned apart, and still no source is ever a block off its weight."""
+    monkeypatch.setattr(mixing, "PERIOD", period)
+    plan, schedule = walk([(w, 1 << 40, m) for w, m in weights], 40)
+    total = sum(Fraction(w) * m for w, m in weights)
+    exact = [Fraction(w) / total for w, m in weights for _ in range(m)]
+    start = [sum(m for _, m in weights[:c]) for c in range(len(weights))]
+    got = [0] * len(exact)
+    assert [p[3] for p in plan] == list(range(40 * schedule.period))
+    for n, (c, member, k, slot) in enumerate(plan):
+        assert k == got[start[c] + member]
+        got[start[c] + member] += 1
+        if n < 3000 or n % 101 == 0 or slot % schedule.period in (0, schedule.period - 1):
+            assert all(abs(g - w * (slot + 1)) < 1 for g, w in zip(got, exact))
+
+
+def test_periods_meet_for_random_weights(monkeypatch):
+    draw = random.Random(4)
+    monkeypatch.setattr(mixing, "LOOK", 7)
+    for _ in range(60):
+        monkeypatch.setattr(mixing, "PERIOD", draw.choice([2, 8, 32]))
+        weights = [(draw.choice([draw.random(), draw.random() ** 4 + 0.01, 1.0, 0.5]), draw.randint(1, 4)) for _ in range(draw.randint(1, 7))]
+        plan, schedule = walk([(w, 1 << 40, m) for w, m in weights], 6)
+        total = sum(Fraction(w) * m for w, m in weights)
+        got = {}
+        assert [p[3] for p in plan] == list(range(6 * schedule.period))
+        for c, member, k, slot in plan:
+            assert got.get((c, member), 0) == k
+            got[c, member] = k + 1
+            w = Fraction(weights[c][0]) / total
+            assert abs(k + 1 - w * (slot + 1)) < 1 and k <= w * (slot + 1)
 
 
-def test_shares_follow_the_weights():
-    assert mixing.shares({"a": 1, "b": 3, "c": 0}, 100) == {"a": 25, "b": 75}
-    assert mixing.shares({"a": 1e-9, "b": 1}, 10) == {"a": 1, "b": 9}
-    assert sum(mixing.shares({str(k): 1 / 3 for k in range(7)}, 1000).values()) == 1000
-    assert mixing.shares({}) == {}
-    with pytest.raises(ValueError):
-        mixing.shares({"a": 1, "b": 1}, 1)
+def test_weights_far_apart_end_within_64_bits():
+    plan, schedule = walk([(1e-300, 3, 1), (1.0, 5, 2)], 1)
+    assert schedule.period is None and len(plan) == 13
+    assert len({p[3] for p in plan}) == 13 and max(p[3] for p in plan) < 1 << 59
 
 
 def test_a_mixture_keeps_every_row_and_the_weights(make_docs):
     rows = [(k, f"t{k}", None, "ab"[k % 4 == 0]) for k in range(800)] + [(900, "x", None, None), (901, "y", None, "never")]
     docs = make_docs(rows, extra={"mix_slot": 1, "row": 2, "key": 3, "share": 4})
     weights = {"a": 1, "b": 1, "": 0.2}
-    placed = mixing.mix(docs, weights, block=4, period=100).collect()
+    placed = mixing.mix(docs, weights, block=4).collect()
     assert sorted(r["row"].doc_id for r in placed) == sorted(r[0] for r in rows)
     named = [r for r in placed if r.mix_place is not None]
     assert len({r.mix_place for r in named}) == len(named) == len(rows) - 1
@@ -99,17 +133,27 @@ def test_a_mixture_keeps_every_row_and_the_weights(make_docs):
     assert [r.doc_id for r in ordered.collect()] == want
 
 
-def test_no_source_drifts_off_its_weight_over_many_slots():
-    weights = [7, *[1 + k / 37 for k in range(19)]]
-    total, got = sum(Fraction(w) for w in weights), [0] * 20
-    exact = [Fraction(w) / total for w in weights]
-    for slot, (c, member, k, at) in enumerate(mixing.slots_of([(w, 1 << 40, 1) for w in weights])):
-        assert (member, k, at) == (0, got[c], slot)
-        got[c] += 1
-        if slot % 97 == 0 or slot % 1000 > 990:
-            assert all(abs(g - w * (slot + 1)) < 1 for g, w in zip(got, exact))
-        if slot == 60_000:
-            break
+def test_the_query_holds_uneven_weights_over_many_slots(spark, make_docs, tmp_path, monkeypatch):
+    """Blocks of one row: over 10^5 slots of the query no source is a block off while all last."""
+    monkeypatch.setattr(mixing.mix, "__defaults__", (1,))
+    counts = [60_000, *[2_000 + 317 * k for k in range(19)]]
+    spark.sql("select 1 as x").select(
+        F.posexplode(F.array(*[F.lit(n) for n in counts])).alias("s", "n")
+    ).select("s", F.explode(F.sequence(F.lit(1), "n")).alias("k")).selectExpr(
+        "cast(k * 100 + s as long) as doc_id", "'x' as text", "cast(null as string) as lang", "concat('s', s) as source", "1L as n_chars"
+    ).write.parquet(f"{tmp_path}/documents.parquet")
+    placed = op6_mix_sources(spark, str(tmp_path)).select("mix_slot", "source", "mix_block").toPandas().sort_values("mix_slot")
+    assert len(placed) == sum(counts) > 100_000 and placed.mix_slot.is_unique
+    total = sum(Fraction(n**0.5) for n in counts)
+    last = min(int(Fraction(n) * total / Fraction(n**0.5)) for n in counts)
+    first_dry = int((placed.mix_slot < last).sum())
+    assert first_dry == last and list(placed.mix_slot[:last]) == list(range(last))
+    for s, n in enumerate(counts):
+        own = placed[placed.source == f"s{s}"]
+        w = float(Fraction(n**0.5) / total)
+        behind = own.mix_slot.to_numpy() * w - own.mix_block.to_numpy()
+        # Block k stands in a slot from k / w on, and its slot ends before (k + 1) / w.
+        assert (behind + w > -1e-6).all() and (behind + w < 1 + w + 1e-6).all()
 
 
 def test_a_mixture_follows_weights_that_are_no_whole_slots(make_docs):
@@ -124,13 +168,6 @@ def test_a_mixture_follows_weights_that_are_no_whole_slots(make_docs):
             break
 
 
-def test_every_source_keeps_a_slot_of_a_period():
-    for weights in ({"big": 490, **{f"s{k}": 1 for k in range(980)}}, {f"s{k}": k**-1.2 for k in range(1, 901)}):
-        slots = mixing.shares(weights)
-        assert min(slots.values()) >= 1 and sum(slots.values()) == 1000
-        assert len(mixing.schedule(slots)) == 1000
-
-
 @pytest.mark.parametrize("small", [995, 1100])
 def test_many_sources_are_mixed_whole(spark, make_docs, tmp_path, small):
     rows = [(k, "x", None, f"s{k}") for k in range(small)] + [(small + k, "x", None, "big") for k in range(40_000)]
@@ -138,14 +175,13 @@ def test_many_sources_are_mixed_whole(spark, make_docs, tmp_path, small):
     placed = op6_mix_sources(spark, str(tmp_path)).collect()
     assert sorted(r.doc_id for r in placed) == list(range(len(rows)))
     assert len({r.mix_place for r in placed}) == len(rows) and None not in {r.mix_place for r in placed}
-    total = small + 200
+    total = small + Fraction(200.0)  # roots of 1 and of 40,000
     for r in placed:
-        if r.source == "big":
-            assert r.mix_block * total // 200 <= r.mix_slot < -(-(r.mix_block + 1) * total // 200)
+        w = Fraction(200) / total if r.source == "big" else 1 / total
+        assert r.mix_block / w - 1 < r.mix_slot < (r.mix_block + 1) / w + 1
 
 
 def test_mixing_nothing(make_docs):
     empty = make_docs([])
-    assert mixing.mix(empty, mixing.tempered(mixing.source_counts(empty))).count() == 0
-    with pytest.raises(ValueError, match="more than 1"):
-        mixing.source_counts(make_docs([(1, "x", None, "a"), (2, "x", None, "b")]), 1)
+    assert mixing.mix(empty, mixing.targets(empty)).count() == 0
+    assert mixing.mix(empty, {"a": 1.0}).count() == 0 and mixing.Schedule([]).periods() == 0

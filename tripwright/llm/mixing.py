@@ -5,119 +5,158 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterable, Iterator, Mapping
 from fractions import Fraction
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripwright.llm.tables import partitions
+
 #: Documents of one source that are scheduled together.
 BLOCK = 16
-#: Slots of one period, in which every source gets its share exactly.
-PERIOD = 1000
-#: With a period, weights and one period of the schedule are held by the driver and broadcast.
-MAX_SOURCES = 1000
-#: Each source is cut into so many hash ranges to be numbered without one task per source.
-CUTS = 256
-#: Slots beyond which none is left empty any more, so that places are whole numbers of 64 bits.
-FAR = 1 << 58
+#: Slots of a period, at least: each is planned by itself, in a task of the many.
+PERIOD = 1 << 16
+#: Release times looked at together where a period begins.
+LOOK = 1 << 18
+#: Rows of one source that are numbered together, about.
+CUT_ROWS = 1 << 17
+#: Ranges that the keys of a source are cut into at most: sixteen bits of the key.
+MOST_CUTS = 1 << 16
+#: Windows longer than this are planned as one period, and slots end here: from then on none stays
+#: empty, so that places are whole numbers of 64 bits whatever the weights.
+LONGEST, FAR = 1 << 40, 1 << 58
 #: Rows of the schedule that are given at a time.
 PLANNED = 1 << 14
 
 
-def shares(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]:
-    """Whole slots of a period for each source, by largest remainder, one at least."""
-    named = sorted((s, w) for s, w in weights.items() if w > 0)
-    if len(named) > period:
-        raise ValueError(f"more than {period} sources")
-    if not named:
-        return {}
-    total = sum(Fraction(w) for _, w in named)
-    exact = {s: Fraction(w) / total * period for s, w in named}
-    slots = {s: max(1, int(x)) for s, x in exact.items()}
-    by_rest = sorted(exact, key=lambda s: (slots[s] - exact[s], s))
-    while sum(slots.values()) < period:
-        for s in by_rest:
-            if sum(slots.values()) < period:
-                slots[s] += 1
-    while sum(slots.values()) > period:
-        most = max((s for s in slots if slots[s] > 1), key=lambda s: (slots[s] - exact[s], s))
-        slots[most] -= 1
-    return slots
-
-
-def schedule(slots: Mapping[str, int]) -> list[tuple[str, int, int]]:
-    """(source, block of the period, slot) of one period, earliest deadline first.
-
-    Block k of a source with a of the period's p slots is released at floor(k * p / a) and due
-    at ceil((k + 1) * p / a). Each slot takes the released block that is due first, ties by
-    name. All deadlines are met, so after any slot each source is within one block of its
-    weight, and the schedule repeats from period to period.
-    """
-    period = sum(slots.values())
-    waiting = [(0, s, 0) for s in sorted(slots)]
-    heapq.heapify(waiting)
-    ready: list[tuple[int, str, int]] = []
-    plan = []
-    for slot in range(period):
-        while waiting and waiting[0][0] <= slot:
-            _, s, k = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(k + 1) * period // slots[s]), s, k))
-        due, s, k = heapq.heappop(ready)
-        if due < slot + 1:
-            raise AssertionError("a deadline is missed")
-        plan.append((s, k, slot))
-        if k + 1 < slots[s]:
-            heapq.heappush(waiting, ((k + 1) * period // slots[s], s, k + 1))
-    return plan
-
-
-def tempered(counts: Mapping[str, int], power: float = 0.5) -> dict[str, float]:
-    """Target weights that lift small sources: counts to a power below one."""
-    return {s: float(n) ** power for s, n in counts.items()}
-
-
-def source_counts(docs: DataFrame, limit: int = MAX_SOURCES) -> dict[str, int]:
-    rows = docs.groupBy(F.coalesce("source", F.lit("")).alias("source")).agg(F.count("*").alias("n"))
-    found = rows.limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} sources")
-    return {r.source: r.n for r in found}
-
-
-def slots_of(classes: Iterable[tuple[float, int, int]]) -> Iterator[tuple[int, int, int, int]]:
-    """(class, member, block, slot) of all blocks, slot by slot, earliest deadline first.
-
-    A class (weight, blocks, members) is sources with equal weights and numbers of blocks.
-    With w the exact share of one source, its block k is released at floor(k / w) and due at
+class Schedule:
+    """Earliest deadline first over Pfair windows, from any slot on.
+
+    A class (weight, blocks, members) is sources with equal weights and numbers of blocks. With
+    w the exact share of one source, its block k is released at floor(k / w) and due at
     ceil((k + 1) / w); nothing is rounded to slots of a period. Each slot takes the released
-    block that is due first, ties by class and member, so all deadlines are met and each source
-    is within one block of its weight while it has blocks. A slot with no released block stays
-    empty. What is held is a few numbers per class.
+    block that is due first, ties by class and member, so all deadlines are met and after every
+    slot each source is less than a block off its share.
+
+    The slots are cut into periods that are planned apart. What period j begins from follows
+    from its first slot t alone: a source has had floor(w t) blocks, and one more if it is
+    ahead. Which are ahead is found by taking the open blocks in order of their deadlines, as
+    long as all that are taken, and the blocks wholly before t, fit into the slots between their
+    releases and t. Such a choice meets every later deadline if any does, and the exact shares
+    show that one does; so each period, with blocks due by its end where the next begins with
+    them done, can be planned without the others.
+
+    Sources go on for ever in this reckoning; blocks that a source does not have are left out,
+    and a slot in which no block is released stays empty.
     """
-    exact = [(Fraction(w), blocks, members) for w, blocks, members in classes]
-    scale = max((w.denominator for w, _, _ in exact), default=1)  # all are powers of two
-    shares = [int(w * scale) for w, _, _ in exact]
-    total = sum(w * members for w, (_, _, members) in zip(shares, exact))
-    waiting = [(0, c, 0) for c in range(len(exact))]
-    ready: list[tuple[int, int, int, int]] = []
-    slot = 0
-    while waiting or ready:
-        if not ready and waiting[0][0] > slot:
-            slot = max(slot, min(waiting[0][0], FAR))
-        while waiting and (waiting[0][0] <= slot or (slot >= FAR and not ready)):
-            _, c, k = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(k + 1) * total // shares[c]), c, k, 0))
-            if k + 1 < exact[c][1]:
-                heapq.heappush(waiting, ((k + 1) * total // shares[c], c, k + 1))
-        due, c, k, member = ready[0]
-        if due < slot + 1:
-            raise AssertionError("a deadline is missed")
-        if member + 1 < exact[c][2]:
-            heapq.heapreplace(ready, (due, c, k, member + 1))
+
+    def __init__(self, classes: Iterable[tuple[float, int, int]]):
+        exact = [(Fraction(w), blocks, members) for w, blocks, members in classes]
+        scale = max((w.denominator for w, _, _ in exact), default=1)  # all are powers of two
+        self.share = [int(w * scale) for w, _, _ in exact]
+        self.blocks = [n for _, n, _ in exact]
+        self.members = [m for _, _, m in exact]
+        self.total = sum(w * m for w, m in zip(self.share, self.members))
+        self.classes = range(len(exact))
+        # A block's window is shorter than a period, so none spans one.
+        longest = -(-self.total // min(self.share)) if exact else 1
+        self.period = max(PERIOD, 1 << (2 * longest + 2).bit_length()) if longest <= LONGEST else None
+
+    def periods(self) -> int:
+        """Periods until the last block of all sources is due."""
+        slots = max((self.due(c, n - 1) for c, n in enumerate(self.blocks) if n), default=0)
+        return min(1, slots) if self.period is None else -(-slots // self.period)
+
+    def released(self, c: int, k: int) -> int:
+        return k * self.total // self.share[c]
+
+    def due(self, c: int, k: int) -> int:
+        return -(-(k + 1) * self.total // self.share[c])
+
+    def begun(self, t: int) -> list[tuple[int, int]]:
+        """Per class, how many blocks each member has had before slot t, and how many members one more."""
+        whole = [self.share[c] * t // self.total for c in self.classes]
+        left = t - sum(n * m for n, m in zip(whole, self.members))
+        ahead = [0] * len(whole)
+        if left:
+            free = [c for c in self.classes if self.share[c] * t % self.total]
+            release = np.array([self.released(c, whole[c]) for c in free], np.int64)
+            marks = np.unique(release)
+            room = self._room(t, whole, marks)
+            for at in sorted(range(len(free)), key=lambda i: (self.due(free[i], whole[free[i]]), free[i])):
+                c = free[at]
+                upto = int(np.searchsorted(marks, release[at], "right"))
+                ahead[c] = min(self.members[c], left, int(room[:upto].min()))
+                room[:upto] -= ahead[c]
+                left -= ahead[c]
+            if left:
+                raise AssertionError("slots before a period are not filled")
+        return list(zip(whole, ahead))
+
+    def _room(self, t: int, whole: list[int], marks: np.ndarray) -> np.ndarray:
+        """Per release in ``marks``, the fewest slots left over between it, or a release up to
+        the mark before, and t, by blocks that are wholly before t."""
+        room = np.full(len(marks), np.iinfo(np.int64).max)
+        taken, end = 0, t
+        while end > int(marks[0]):
+            begin = max(int(marks[0]), end - LOOK)
+            released = np.zeros(end - begin, np.int64)
+            for c in self.classes:
+                first = -(-begin * self.share[c] // self.total)
+                last = min(whole[c], -(-end * self.share[c] // self.total))
+                at = np.array([self.released(c, k) for k in range(first, last)], np.int64) - begin
+                np.add.at(released, at, self.members[c])
+            slots = np.arange(begin, end)
+            left = (t - slots) - taken - np.cumsum(released[::-1])[::-1]
+            np.minimum.at(room, np.searchsorted(marks, slots, "left").clip(max=len(marks) - 1), np.where(slots <= marks[-1], left, room[-1]))
+            taken += int(released.sum())
+            end = begin
+        return room
+
+    def planned(self, j: int) -> Iterator[tuple[int, int, int, int]]:
+        """(class, member, block, slot) of the blocks of period j, slot by slot."""
+        if self.period is None:
+            begin, end = 0, None
+            had, will = [(0, 0) for _ in self.classes], [(n, 0) for n in self.blocks]
         else:
-            heapq.heappop(ready)
-        yield c, member, k, slot
-        slot += 1
+            begin, end = j * self.period, (j + 1) * self.period
+            had, will = self.begun(begin), self.begun(end)
+        waiting: list[tuple[int, int, int, int, int]] = []
+
+        def open_block(c: int, k: int) -> None:
+            """Queue the members' block k, if it is one of this period's and there is such a block."""
+            if k >= self.blocks[c] or k > will[c][0]:
+                return
+            first = had[c][1] if k == had[c][0] else 0
+            last = will[c][1] if k == will[c][0] else self.members[c]
+            if first < last:
+                heapq.heappush(waiting, (max(begin, self.released(c, k)), c, k, first, last))
+            else:
+                open_block(c, k + 1)
+
+        for c in self.classes:
+            open_block(c, had[c][0])
+        ready: list[tuple[int, int, int, int, int]] = []
+        slot = begin
+        while waiting or ready:
+            if not ready:
+                slot = max(slot, min(waiting[0][0], FAR))
+            while waiting and (waiting[0][0] <= slot or (slot >= FAR and not ready)):
+                _, c, k, first, last = heapq.heappop(waiting)
+                due = self.due(c, k)
+                heapq.heappush(ready, (due if end is None else min(end, due), c, k, first, last))
+                open_block(c, k + 1)
+            due, c, k, member, last = ready[0]
+            if due < slot + 1:
+                raise AssertionError("a deadline is missed")
+            if member + 1 < last:
+                heapq.heapreplace(ready, (due, c, k, member + 1, last))
+            else:
+                heapq.heappop(ready)
+            yield c, member, k, slot
+            slot += 1
 
 
 _PLAN = pa.schema(
@@ -126,20 +165,18 @@ _PLAN = pa.schema(
 )
 
 
-def _planned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    classes = sorted(row for b in batches for row in zip(*[c.to_pylist() for c in b.columns]))
-    held: list[tuple] = []
-
-    def full() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), _PLAN.types)], schema=_PLAN)
+def _planned(classes: list[tuple[float, int, int]]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schedule = Schedule(classes)
+        for batch in batches:
+            for j in batch.column(0).to_pylist():
+                slots = schedule.planned(j)
+                while held := list(islice(slots, PLANNED)):
+                    rows = [(*classes[c][:2], member, k, slot) for c, member, k, slot in held]
+                    columns = [pa.array(x, t) for x, t in zip(zip(*rows), _PLAN.types)]
+                    yield pa.RecordBatch.from_arrays(columns, schema=_PLAN)
 
-    for c, member, k, slot in slots_of(classes):
-        held.append((*classes[c][:2], member, k, slot))
-        if len(held) == PLANNED:
-            yield full()
-            held = []
-    if held:
-        yield full()
+    return run
 
 
 def targets(docs: DataFrame) -> DataFrame:
@@ -148,34 +185,44 @@ def targets(docs: DataFrame) -> DataFrame:
     return counts.select("source", F.sqrt("n").alias("weight"))
 
 
-def _numbered(df: DataFrame, group: list[str], order: list[str], small: bool = False) -> DataFrame:
+def _numbered(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     """Adds ``at``: the number of a row in its group, by ``cut`` and ``order``, from 0 on."""
     sizes = df.groupBy(*group, "cut").agg(F.count("*").alias("n"))
     ahead = Window.partitionBy(*group).orderBy("cut").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select(*group, "cut", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("base"))
     inside = Window.partitionBy(*group, "cut").orderBy(*order)
     counted = df.withColumn("at", F.row_number().over(inside) - 1)
-    joined = counted.join(F.broadcast(bases) if small else bases, [*group, "cut"])
-    return joined.withColumn("at", F.col("base") + F.col("at")).drop("base")
+    return counted.join(bases, [*group, "cut"]).withColumn("at", F.col("base") + F.col("at")).drop("base")
+
 
+def _cut(column: str, rows: int) -> Column:
+    """The range of a hexadecimal key, one of as many as ``rows`` rows call for; order is kept."""
+    cuts = min(MOST_CUTS, 1 << max(0, (rows // CUT_ROWS).bit_length()))
+    bits = F.conv(F.substring(column, 1, 4), 16, 10).cast("int")
+    return F.shiftright(bits, 16 - (cuts.bit_length() - 1))
 
-def _exact_slots(rows: DataFrame, weights: DataFrame, block: int) -> DataFrame:
+
+def _exact_slots(rows: DataFrame, weights: DataFrame, block: int, n_rows: int) -> DataFrame:
     """(of_source, of_block, mix_slot) of every block of a source with a positive weight."""
+    spark = rows.sparkSession
     given = weights.select(F.coalesce("source", F.lit("")).alias("source"), F.col("weight").cast("double").alias("weight"))
     counts = rows.groupBy("source").agg(F.ceil(F.count("*") / F.lit(block)).alias("blocks"))
-    sources = counts.join(given.filter("weight > 0"), "source").withColumn("cut", F.pmod(F.xxhash64("source"), F.lit(CUTS)))
-    members = _numbered(sources, ["weight", "blocks"], ["source"])
-    classes = sources.groupBy("weight", "blocks").agg(F.count("*").alias("members"))
-    plan = classes.coalesce(1).mapInArrow(
-        _planned, "of_weight double, of_blocks long, of_member long, of_block long, mix_slot long"
+    sources = counts.join(given.filter("weight > 0"), "source").withColumn("hash", F.md5(F.col("source").cast("binary")))
+    # Sources of a class may stand in any order that is the same in every run.
+    members = _numbered(sources.withColumn("cut", _cut("hash", n_rows)), ["weight", "blocks"], ["hash", "source"])
+    found = sources.groupBy("weight", "blocks").agg(F.count("*").alias("members")).collect()
+    classes = sorted((r.weight, r.blocks, r.members) for r in found)
+    schedule = Schedule(classes)
+    periods = schedule.periods()
+    numbers = spark.range(0, periods, 1, max(1, min(periods, partitions(spark))))
+    plan = numbers.mapInArrow(
+        _planned(classes), "of_weight double, of_blocks long, of_member long, of_block long, mix_slot long"
     )
     same = (F.col("weight") == F.col("of_weight")) & (F.col("blocks") == F.col("of_blocks")) & (F.col("at") == F.col("of_member"))
     return plan.join(members, same).select(F.col("source").alias("of_source"), "of_block", "mix_slot")
 
 
-def mix(
-    docs: DataFrame, weights: Mapping[str, float] | DataFrame, block: int = BLOCK, period: int | None = None
-) -> DataFrame:
+def mix(docs: DataFrame, weights: Mapping[str, float] | DataFrame, block: int = BLOCK) -> DataFrame:
     """Every row of ``docs`` (doc_id, source, ...) with where it stands in the mixture.
 
     (row, source, key, mix_block, mix_slot, mix_place): ``row`` is the whole row as a struct,
@@ -185,66 +232,41 @@ def mix(
     row; equal rows are alike in any order. A null source is the source named "".
 
     ``weights`` is a mapping or a table (source, weight), one row a source. They are held
-    exactly over the whole run (see ``slots_of``), and any number of sources is taken. One task
-    plans all blocks one after the other; it holds a few numbers for each distinct pair of a
-    weight and a number of blocks. With a ``period`` weights are instead rounded to whole slots
-    of it, one at least, and its schedule repeats, which is off by up to a slot a source and
-    period; at most MAX_SOURCES sources, as a mapping.
-
-    No row is lost: when a source runs dry its slots are left to blocks that are released, or
-    stay empty, and with a period they stay empty; rows of sources without a positive weight
-    have no slot and no place and belong after all others. An empty table gives no rows. Input
-    columns may have any names.
-
-    Sources are numbered by way of hash ranges, so that a source which holds a third of the
-    rows is spread over tasks.
+    exactly over the whole run (see ``Schedule``), any number of sources is taken, and periods
+    of the schedule are planned in tasks of their own. What comes to the driver and goes to
+    each task is a row for each distinct pair of a weight and a number of blocks: with weights
+    that follow from counts never more than the root of twice the rows.
+
+    No row is lost: when a source runs dry its slots stay empty; rows of sources without a
+    positive weight have no slot and no place and belong after all others. An empty table gives
+    no rows. Input columns may have any names.
+
+    Sources are numbered by way of ranges of their keys, as many as the rows call for, so that
+    a source which holds a third of the rows is spread over tasks; rows with one and the same
+    id are in one range.
     """
     spark = docs.sparkSession
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    n_rows = docs.count()
     rows = docs.select(
         F.struct(*docs.columns).alias("row"),
         F.coalesce("source", F.lit("")).alias("source"),
         F.col("doc_id").alias("id"),
         key.alias("key"),
-        F.conv(F.substring(key, 1, 2), 16, 10).cast("int").alias("cut"),
         F.xxhash64(*docs.columns).alias("tie"),
-    )
-    # With a period at most MAX_SOURCES * CUTS rows of counts.
-    numbered = _numbered(rows, ["source"], ["key", "id", "tie"], small=period is not None)
+    ).withColumn("cut", _cut("key", n_rows))
+    numbered = _numbered(rows, ["source"], ["key", "id", "tie"])
     numbered = numbered.withColumns({"mix_block": F.floor(F.col("at") / F.lit(block)), "inner": F.col("at") % F.lit(block)})
-    if period is None:
-        if not isinstance(weights, DataFrame):
-            named = [(s, float(w)) for s, w in sorted(weights.items())]
-            weights = spark.createDataFrame(named, "source string, weight double")
-        slots = _exact_slots(rows, weights, block)
-        own = (F.col("source") == F.col("of_source")) & (F.col("mix_block") == F.col("of_block"))
-        placed = numbered.join(slots, own, "left")
-    else:
-        share = shares(weights, period)
-        plan = spark.createDataFrame(schedule(share), "source string, k long, offset long")
-        taken = spark.createDataFrame(sorted(share.items()), "source string, share long")
-        shared = numbered.join(F.broadcast(taken), "source", "left").withColumn("k", F.col("mix_block") % F.col("share"))
-        slot = F.floor(F.col("mix_block") / F.col("share")) * F.lit(sum(share.values())) + F.col("offset")
-        placed = shared.join(F.broadcast(plan), ["source", "k"], "left").withColumn("mix_slot", slot)
-    return placed.select(
+    if not isinstance(weights, DataFrame):
+        named = [(s, float(w)) for s, w in sorted(weights.items())]
+        weights = spark.createDataFrame(named, "source string, weight double")
+    slots = _exact_slots(rows, weights, block, n_rows)
+    own = (F.col("source") == F.col("of_source")) & (F.col("mix_block") == F.col("of_block"))
+    return numbered.join(slots, own, "left").select(
         "row", "source", "key", "mix_block", "mix_slot", (F.col("mix_slot") * F.lit(block) + F.col("inner")).alias("mix_place")
     )
 
 
-def mix_as_stated(docs: DataFrame) -> DataFrame:
-    """``mix`` by the roots of the sources' sizes, in the period that MIX_SQL states.
-
-    With more sources than a period or a broadcast can take, or where one slot at least for
-    each leaves too few for the others, there is no such period: then weights are held exactly.
-    """
-    weights = targets(docs)
-    found = weights.limit(MAX_SOURCES + 1).collect()
-    total = sum(Fraction(r.weight) for r in found)
-    if len(found) <= MAX_SOURCES and sum(max(1, int(Fraction(r.weight) / total * PERIOD)) for r in found) <= PERIOD:
-        return mix(docs, {r.source: r.weight for r in found}, period=PERIOD)
-    return mix(docs, weights)
-
-
 def in_order(docs: DataFrame, weights: Mapping[str, float] | DataFrame) -> DataFrame:
     """The same rows, sorted into the order of the mixture."""
     mixed = mix(docs, weights)
@@ -252,40 +274,36 @@ def in_order(docs: DataFrame, weights: Mapping[str, float] | DataFrame) -> DataF
     return mixed.orderBy(*order).select("row.*")
 
 
+#: Weights in whole numbers: a double of 1 or more times 2 ** 52 is one. Blocks of the same slot
+#: are ordered by deadline, weight, number of blocks, and the md5 of the source.
 MIX_SQL = f"""
 with recursive counted as (
     select coalesce(source, '') as source, count(*) as n from documents group by 1
-), exact as (
-    select source, round(sqrt(n) / sum(sqrt(n)) over () * {PERIOD}, 9) as x from counted
-), given as (
-    select source, greatest(1, floor(x))::bigint as a, x, row_number() over (order by greatest(1, floor(x)) - x, source) as r
-    from exact
-), slots as (
-    select source, a + case when r <= {PERIOD} - sum(a) over () then 1 else 0 end as a from given
 ), listed as (
-    select list(source order by source) as names, list(a order by source) as share from slots
+    select list(source order by n, md5(source)) as names,
+        list((sqrt(n) * 4503599627370496)::hugeint order by n, md5(source)) as share,
+        list(((n + {BLOCK} - 1) // {BLOCK})::hugeint order by n, md5(source)) as blocks from counted
+), summed as (
+    select names, share, blocks, list_reduce(share, lambda a, b: a + b) as total from listed
 ), steps as (
-    select 0::bigint as slot, list_transform(share, lambda s: 0::bigint) as done, null::bigint as pick, names, share from listed
+    select 0::bigint as slot, list_transform(share, lambda s: 0::hugeint) as done, null::bigint as pick, names, share, blocks, total
+    from summed
     union all
-    select slot + 1, list_transform(done, lambda k, i: case when i = pick_now then k + 1 else k end), pick_now, names, share
+    select slot + 1, list_transform(done, lambda k, i: case when i = pick_now then k + 1 else k end), pick_now,
+        names, share, blocks, total
     from (
-        select slot, done, names, share, list_min(list_transform(range(1, len(share) + 1), lambda i:
-            case when done[i] < share[i] and done[i] * {PERIOD} // share[i] <= slot
-            then (((done[i] + 1) * {PERIOD} + share[i] - 1) // share[i]) * 100000 + i end)) % 100000 as pick_now
-        from steps where slot < {PERIOD}
+        select slot, done, names, share, blocks, total, list_min(list_transform(range(1, len(share) + 1), lambda i:
+            case when done[i] < blocks[i] and done[i] * total // share[i] <= slot
+            then (((done[i] + 1) * total + share[i] - 1) // share[i]) * 100000 + i end)) % 100000 as pick_now
+        from steps where list_sum(list_transform(done, lambda k: k::bigint)) < list_sum(list_transform(blocks, lambda k: k::bigint))
     )
 ), plan as (
-    select names[pick] as source, share[pick] as share, done[pick] - 1 as k, slot - 1 as off from steps where pick is not null
+    select names[pick] as source, (done[pick] - 1)::bigint as mix_block, slot - 1 as mix_slot from steps where pick is not null
 ), numbered as (
     select doc_id, coalesce(source, '') as source,
         row_number() over (partition by coalesce(source, '') order by md5(coalesce(doc_id::varchar, '')), doc_id) - 1 as row
     from documents
-), blocks as (
-    select n.doc_id, n.source, row // {BLOCK} as mix_block, row % {BLOCK} as inner_row, s.a as share
-    from numbered n join slots s using (source)
 )
-select b.doc_id, b.source, b.mix_block::bigint as mix_block,
-    ((b.mix_block // b.share) * {PERIOD} + p.off)::bigint as mix_slot,
-    (((b.mix_block // b.share) * {PERIOD} + p.off) * {BLOCK} + b.inner_row)::bigint as mix_place
-from blocks b join plan p on b.source = p.source and b.mix_block % b.share = p.k
+select n.doc_id, n.source, p.mix_block, p.mix_slot::bigint as mix_slot, (p.mix_slot * {BLOCK} + n.row % {BLOCK})::bigint as mix_place
+from numbered n join plan p on n.source = p.source and n.row // {BLOCK} = p.mix_block
 """

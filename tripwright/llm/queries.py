@@ -45,7 +45,7 @@ def op5_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source")
-    mixed = mixing.mix_as_stated(docs)
+    mixed = mixing.mix(docs, mixing.targets(docs))
     return mixed.select("row.doc_id", "source", "mix_block", "mix_slot", "mix_place")
 
 
