@@ -31,17 +31,18 @@ def brute_hits(rows, items, window):
     return out
 
 
-def test_hits_are_those_of_brute_force(spark, make_docs):
+@pytest.mark.parametrize("group_words", [decontaminate.GROUP_WORDS, 17, 5])
+def test_hits_are_those_of_brute_force(spark, make_docs, group_words):
     draw = random.Random(4)
     vocabulary = ["a", "b", "c", "é", "7"]
     text = lambda n: "".join(draw.choice(vocabulary) + draw.choice([" ", "-", "\n", ". "]) for _ in range(n))
     items = [(k, text(draw.choice([0, 2, 3, 4, 6, 9]))) for k in range(12)] + [(12, None)]
     rows = [(k, text(draw.randint(0, 60)).upper()) for k in range(40)] + [(99, None)]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
-    found = decontaminate.find_passages(make_docs(rows, extra={"items": 1}), benchmark, 4)
+    found = decontaminate.find_passages(make_docs(rows, extra={"items": 1, "at": 2}), benchmark, 4, group_words)
     assert by_id(found, "n_words", "n_hit", "items") == brute_hits(rows, items, 4)
     clean = {d for d, r in brute_hits(rows, items, 4).items() if not r[1]}
-    assert {r.doc_id for r in decontaminate.without_passages(make_docs(rows), benchmark, 4).collect()} == clean
+    assert {r.doc_id for r in decontaminate.without_passages(make_docs(rows), benchmark, 4, group_words).collect()} == clean
 
 
 def test_spans_are_characters_of_the_original(spark, make_docs):
@@ -51,12 +52,22 @@ def test_spans_are_characters_of_the_original(spark, make_docs):
     assert [text[a:b] for a, b in row.spans] == ["Über -- DEN Wolken"]
 
 
-def test_benchmarks_that_are_empty_or_too_large(spark, make_docs):
+def test_benchmarks_that_are_empty(spark, make_docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_passages(make_docs([(1, "a b")]), none).first().n_hit == 0
     assert decontaminate.find_passages(make_docs([]), none).count() == 0
-    with pytest.raises(ValueError, match="exceeds 3"):
-        decontaminate.find_passages(make_docs([]), spark.createDataFrame([(1, "abcd")], "item_id long, text string"), limit=3)
+
+
+def test_a_long_benchmark_is_cut_so_that_no_window_is_lost():
+    """More than a million different words, and one item longer than a group."""
+    long = " ".join(f"w{k}" for k in range(1_200_000))
+    groups = list(decontaminate.groups_of([("a", "x y z"), ("long", long), ("b", "y z")], 10, 200_000))
+    assert max(sum(len(t.split()) for _, t in g) for g in groups) <= 200_000
+    starts = [int(t.split()[0][1:]) for g in groups for n, t in g if n == "long"]
+    ends = [int(t.split()[-1][1:]) for g in groups for n, t in g if n == "long"]
+    assert starts[0] == 0 and ends[-1] == 1_199_999
+    assert all(b - a == 9 - 1 for a, b in zip(starts[1:], ends))
+    assert groups[0][0] == ("a", "x y z") and groups[-1][-1] == ("b", "y z")
 
 
 def brute_lines(rows):

@@ -5,18 +5,22 @@ from __future__ import annotations
 import re
 import sys
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
+from functools import partial
+from itertools import chain
 
 import ahocorasick
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripwright.llm.tables import per_batch, pieces, texts
+from tripwright.llm.tables import per_batch, pieces, texts, written
 
 WINDOW = 10
-#: The automaton stands in every Python worker, so the benchmark must be small.
-BENCHMARK_BYTES = 64 << 20
+#: Words of the items that one automaton takes: it stands in every Python worker and has a node
+#: for each word of each window at most. A longer benchmark is scanned for in groups.
+GROUP_WORDS = 200_000
 #: Words are runs of ASCII letters, digits and anything beyond ASCII.
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _NORMAL = bytes(
@@ -88,23 +92,79 @@ def original(text: str, spans: list[list[int]]) -> list[list[int]]:
     return [[at[a][0], at[b - 1][1]] for a, b in spans]
 
 
-def _windows(benchmark: DataFrame, window: int, limit: int) -> Callable[[], Windows]:
-    """What gives a task the windows: they are built once in each Python worker."""
-    size = benchmark.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    if size > limit:
-        raise ValueError(f"a benchmark of {size} bytes exceeds {limit}")
-    rows = benchmark.filter("text is not null").select(F.col("item_id").cast("string"), "text").collect()
-    items = benchmark.sparkSession.sparkContext.broadcast([(r[0] or "", r[1]) for r in rows])
-    name = uuid.uuid4().hex
+def groups_of(items: Iterable[tuple[str, str]], window: int, limit: int) -> Iterator[list[tuple[str, str]]]:
+    """Items in groups of ``limit`` words, about; an item of more is cut so that no window is lost."""
+    held: list[tuple[str, str]] = []
+    size = 0
+    for name, text in items:
+        words = normal_words(text)
+        step = max(1, limit - window + 1)
+        for at in range(0, max(1, len(words) - window + 1), step):
+            part = words[at : at + step + window - 1]
+            if held and size + len(part) > limit:
+                yield held
+                held, size = [], 0
+            held.append((name, b" ".join(part).decode("utf-8", "surrogatepass")))
+            size += len(part)
+    if held:
+        yield held
+
+
+def _automata(benchmark: DataFrame, window: int, limit: int) -> Iterator[Callable[[], Windows]]:
+    """Per group of items, what gives a task its windows: they are built once in each Python worker.
+
+    One group at a time is on the driver and, by broadcast, in the tasks.
+    """
+    named = benchmark.filter("text is not null").select(F.col("item_id").cast("string").alias("name"), "text")
+    items = ((r.name or "", r.text) for r in named.toLocalIterator())
+    for group in groups_of(items, window, limit):
+        parcel = benchmark.sparkSession.sparkContext.broadcast(group)
+        yield partial(_built, uuid.uuid4().hex, parcel, window)
+
+
+def _built(name: str, parcel: Broadcast, window: int) -> Windows:
+    kept = sys.modules.setdefault("_tripwright_windows", {})
+    if name not in kept:
+        kept.clear()
+        kept[name] = Windows(parcel.value, window)
+    return kept[name]
+
+
+def merged(spans: list[list[int]]) -> list[list[int]]:
+    """Spans in order, those that meet or overlap as one."""
+    out: list[list[int]] = []
+    for first, end in sorted(spans):
+        if out and first <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], end)
+        else:
+            out.append([first, end])
+    return out
+
+
+_MARKED = pa.schema(
+    [("doc_id", pa.int64()), ("text", pa.string()), ("found", pa.list_(pa.string())), ("at", pa.list_(pa.list_(pa.int64())))]
+)
+_MARKED_DDL = "doc_id long, text string, found array<string>, at array<array<long>>"
+
+
+def _mark(windows_of: Callable[[], Windows]):
+    """Adds what the items of one group hit, in words, to what earlier groups did."""
+
+    def make():
+        windows = windows_of()
+
+        def work(piece: pa.RecordBatch) -> dict:
+            out: dict = {"doc_id": piece.column("doc_id"), "text": piece.column("text"), "found": [], "at": []}
+            before = zip(texts(piece.column("text")), piece.column("found").to_pylist(), piece.column("at").to_pylist())
+            for text, names, spans in before:
+                more, own = windows.scan(normal_words(text))
+                out["found"].append(sorted({*names, *(windows.names[k] for k in own)}))
+                out["at"].append(merged(spans + more))
+            return out
 
-    def build() -> Windows:
-        kept = sys.modules.setdefault("_tripwright_windows", {})
-        if name not in kept:
-            kept.clear()
-            kept[name] = Windows(items.value, window)
-        return kept[name]
+        return work
 
-    return build
+    return per_batch(make, _MARKED)
 
 
 _SCHEMA = pa.schema(
@@ -113,8 +173,21 @@ _SCHEMA = pa.schema(
 )
 
 
+def _counted(marked: pa.RecordBatch) -> dict:
+    out: dict = {c: [] for c in _SCHEMA.names}
+    out["doc_id"], out["items"] = marked.column("doc_id"), marked.column("found")
+    for text, spans in zip(texts(marked.column("text")), marked.column("at").to_pylist()):
+        out["n_words"].append(len(normal_words(text)))
+        out["n_hit"].append(sum(b - a for a, b in spans))
+        out["spans"].append(original(text, spans))
+    return out
+
+
+_DDL = "doc_id long, n_words long, n_hit long, items array<string>, spans array<array<long>>"
+
+
 def find_passages(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: int = BENCHMARK_BYTES
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, group_words: int = GROUP_WORDS
 ) -> DataFrame:
     """(doc_id, n_words, n_hit, items, spans) per row of ``docs`` (doc_id, text).
 
@@ -125,10 +198,20 @@ def find_passages(
 
     Null and empty texts have no words, on either side; items with equal ids are one, a null
     item id is named as an empty text. Equal documents and ids are separate rows. An empty
-    benchmark hits nothing. A benchmark of more than ``limit`` bytes is an error: it would not
-    fit each worker. The documents are read once and nothing is shuffled.
+    benchmark hits nothing. The documents are read once and nothing is shuffled. A benchmark of
+    more than ``group_words`` words is scanned for in groups, each with an automaton of its
+    own; documents are written between groups, with what was found so far.
     """
-    windows_of = _windows(benchmark, window, limit)
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    automata = _automata(benchmark, window, group_words)
+    first, second = next(automata, None), next(automata, None)
+    if second is not None:
+        nothing = {"found": F.array().cast("array<string>"), "at": F.array().cast("array<array<long>>")}
+        marked = chosen.withColumns(nothing)
+        for windows_of in chain((first, second), automata):
+            marked = written(marked.mapInArrow(_mark(windows_of), _MARKED_DDL), "marked")
+        return marked.mapInArrow(per_batch(lambda: _counted, _SCHEMA), _DDL)
+    windows_of = first or partial(Windows, [], window)
 
     def make():
         windows = windows_of()
@@ -147,23 +230,26 @@ def find_passages(
 
         return work
 
-    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return chosen.mapInArrow(
-        per_batch(make, _SCHEMA), "doc_id long, n_words long, n_hit long, items array<string>, spans array<array<long>>"
-    )
+    return chosen.mapInArrow(per_batch(make, _SCHEMA), _DDL)
 
 
-def without_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: int = BENCHMARK_BYTES) -> DataFrame:
+def without_passages(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, group_words: int = GROUP_WORDS
+) -> DataFrame:
     """The rows of ``docs`` that hold no window of the benchmark, with all their columns."""
-    windows_of = _windows(benchmark, window, limit)
 
-    def run(batches):
-        windows = windows_of()
-        for piece in pieces(batches):
-            clean = [not windows.scan(normal_words(t))[0] for t in texts(piece.column("text"))]
-            yield piece.filter(pa.array(clean, pa.bool_()))
+    def keep(windows_of: Callable[[], Windows]):
+        def run(batches):
+            windows = windows_of()
+            for piece in pieces(batches):
+                clean = [not windows.scan(normal_words(t))[0] for t in texts(piece.column("text"))]
+                yield piece.filter(pa.array(clean, pa.bool_()))
+
+        return run
 
-    return docs.mapInArrow(run, docs.schema)
+    for n, windows_of in enumerate(_automata(benchmark, window, group_words)):
+        docs = (written(docs, "decontaminated") if n else docs).mapInArrow(keep(windows_of), docs.schema)
+    return docs
 
 
 DECONTAMINATE_SQL = """
