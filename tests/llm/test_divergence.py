@@ -73,7 +73,7 @@ def test_equals_plain_counting(make_docs, seed, min_docs):
 def test_blocks_tiles_and_flushes_change_nothing(make_docs, monkeypatch):
     draw = random.Random(5)
     rows = [(d, " ".join(f"t{chr(97 + draw.randrange(26))}" for _ in range(9)), "en", f"s{draw.randrange(9)}") for d in range(200)]
-    for name, value in {"SOURCE_BLOCK": 2, "TERM_TILE": 5, "HELD": 8, "WAITING": 9, "FIRST_LEVEL": 1}.items():
+    for name, value in {"SOURCE_BLOCK": 2, "TERM_TILE": 5, "HELD": 8, "WAITING": 9, "GIVEN": 3, "DEEPER": 2}.items():
         monkeypatch.setattr(divergence, name, value)
     assert audited(make_docs(rows), min_docs=3) == brute(rows, 3)
 
@@ -121,6 +121,21 @@ def test_terms_of_many_texts_at_once(monkeypatch):
         assert cut == [Counter(t if len(t) <= 9 else t[:9] + b"+" for t in x) for x in whole]
 
 
+def test_short_prefixes_of_many_texts(monkeypatch):
+    texts = ["abcdef abcdefg ab AB", None, "é日本語 x1y", "abcdefg " * 3, "z" * 50 + " abcdef"]
+    want = Counter()
+    for t in texts:
+        own = {w.encode() for w in words(t)}
+        want.update({(w[:6], len(w) > 6) for w in own})
+    for size in (1 << 20, 30):
+        monkeypatch.setattr(terms, "STRETCH", size)
+        got = Counter()
+        for codes, counts in terms.short_prefixes(pa.array(texts)):
+            for prefix, more, n in zip(*terms.spelled(codes), counts.tolist()):
+                got[prefix, bool(more)] += n
+        assert got == want
+
+
 def test_empty_table_and_one_long_term(make_docs):
     assert audited(make_docs([])) == []
     rows = [(d, "q" * 3_000_000 + " w", "en", f"s{d}") for d in range(2)]

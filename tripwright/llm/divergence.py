@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 
 from tripwright.llm.bloom import filter_of, holds
 from tripwright.llm.tables import carried, pieces, unpacked, written
-from tripwright.llm.terms import MORE, letter_terms, term_keys
+from tripwright.llm.terms import MORE, SHORT, letter_terms, short_prefixes, spelled, term_keys
 
 MIN_DOCS = 30
 TOP_TERMS = 50
 #: Rows handled at a time, if their texts are short.
 ROWS = 1024
-#: Bytes of a prefix on the first level; each level doubles them.
-FIRST_LEVEL = 6
+#: On the first level prefixes have SHORT bytes; each level has so many times those of the one before.
+DEEPER = 4
 #: Different terms, and (source, term) counters, that a task holds before it passes them on.
 HELD, WAITING = 1 << 18, 1 << 20
 #: Rows that a task passes on at a time.
@@ -52,10 +52,8 @@ def _filter(prefixes: DataFrame) -> Broadcast:
     return carried(prefixes.sparkSession, filter_of(keys, prefixes.count()))
 
 
-def _passing(bits: np.ndarray | None, lang: str, length: int | None) -> Callable | None:
+def _passing(bits: np.ndarray, lang: str, length: int | None) -> Callable:
     """Which terms of a text the filter lets through, by their first ``length`` bytes or whole."""
-    if bits is None:
-        return None
     salt = _salt(lang)
 
     def passing(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -83,7 +81,7 @@ class _Numbers(dict):
 class _Language:
     """What a task holds of one language: numbered terms or prefixes, and counts of them."""
 
-    def __init__(self, passing: Callable | None):
+    def __init__(self, passing: Callable):
         self.passing = passing
         self.terms = _Numbers()
         self.counts = np.zeros(0, np.int64)
@@ -97,7 +95,38 @@ def _by_language(piece: pa.RecordBatch) -> Iterator[tuple[str, pa.RecordBatch]]:
 _LEVEL = pa.schema([("lang", pa.string()), ("prefix", pa.binary()), ("open", pa.bool_()), ("n", pa.int64())])
 
 
-def _extend(length: int, before: int, parcel: Broadcast | None):
+def _first_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per task and language, the documents that hold each prefix of SHORT bytes."""
+    held: dict[str, tuple[list, list]] = {}
+    waiting = 0
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for lang, parts in held.items():
+            codes, counts = _summed(*parts)
+            for at in range(0, len(codes), GIVEN):
+                prefixes, more = spelled(codes[at : at + GIVEN])
+                columns = [[lang] * len(prefixes), prefixes, more, counts[at : at + GIVEN]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _LEVEL.types)], schema=_LEVEL)
+
+    for piece in pieces(batches, ROWS):
+        for lang, rows in _by_language(piece):
+            mine = held.setdefault(lang, ([], []))
+            for codes, counts in short_prefixes(rows.column("text")):
+                mine[0].append(codes)
+                mine[1].append(counts)
+                waiting += len(codes)
+        if waiting >= WAITING:
+            for lang, parts in held.items():
+                codes, counts = _summed(*parts)
+                held[lang] = [codes], [counts]
+            waiting = sum(len(codes[0]) for codes, _ in held.values())
+            if waiting >= WAITING // 2:
+                yield from flush()
+                held, waiting = {}, 0
+    yield from flush()
+
+
+def _extend(length: int, before: int, parcel: Broadcast):
     """Per task and language, the documents that hold each prefix of ``length`` bytes.
 
     Terms of up to ``before`` bytes were settled on an earlier level. A longer one counts if
@@ -105,7 +134,7 @@ def _extend(length: int, before: int, parcel: Broadcast | None):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = unpacked(parcel) if parcel is not None else None
+        bits = unpacked(parcel)
         languages: dict[str, _Language] = {}
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -137,18 +166,17 @@ def _extend(length: int, before: int, parcel: Broadcast | None):
 def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(lang, term): the terms, as bytes, that ``min_docs`` documents of a language hold.
 
-    Byte prefixes are extended level by level, to 6, 12, 24 ... bytes. On every level each task
+    Byte prefixes are extended level by level, to 6, 24, 96 ... bytes. On every level each task
     counts a document once for each of its prefixes and passes one number per prefix; those
     found in too few documents go, and none of their extensions is counted again. What goes on
     is held in a Bloom filter of bounded size, which lets some prefixes through that are
     already out; their own counts put them out again. Levels end when no prefix is left open.
     """
     found: DataFrame | None = None
-    parcel, before, length = None, 0, FIRST_LEVEL
+    parcel, before, length = None, 0, SHORT
     while True:
-        counted = docs.select("lang", "text").mapInArrow(
-            _extend(length, before, parcel), "lang string, prefix binary, open boolean, n long"
-        )
+        level = _first_level if parcel is None else _extend(length, before, parcel)
+        counted = docs.select("lang", "text").mapInArrow(level, "lang string, prefix binary, open boolean, n long")
         sums = counted.groupBy("lang", "prefix", "open").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_docs)
         level = written(sums.select("lang", "prefix", "open"), "prefixes")
         complete = level.filter(~F.col("open")).select("lang", F.col("prefix").alias("term"))
@@ -157,14 +185,14 @@ def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         if still_open.isEmpty():
             return found
         parcel = _filter(still_open)
-        before, length = length, 2 * length
+        before, length = length, DEEPER * length
 
 
 _COUNTS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.binary()), ("n", pa.int64())])
 
 
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    flat, number = np.concatenate(keys), np.concatenate(counts)
+    flat, number = np.concatenate([np.zeros(0, np.int64), *keys]), np.concatenate([np.zeros(0, np.int64), *counts])
     order = np.argsort(flat, kind="stable")
     flat, number = flat[order], number[order]
     starts = np.flatnonzero(np.diff(flat, prepend=-1))

@@ -94,7 +94,7 @@ def letter_terms(
         wanted = ends - starts > longer_than
         starts, ends, row = starts[wanted], ends[wanted], row[wanted]
     if passing is not None:
-        wanted = passing(raw, starts, ends)
+        wanted = np.flatnonzero(passing(raw, starts, ends))
         starts, ends, row = starts[wanted], ends[wanted], row[wanted]
     more = np.zeros(len(starts), np.uint64)
     if cut is not None:
@@ -110,3 +110,39 @@ def letter_terms(
     marks = [b"", MORE]
     distinct = [data[a:b] + marks[m] for a, b, m in zip(starts[at].tolist(), ends[at].tolist(), more[at].tolist())]
     yield distinct, which, row
+
+
+#: Bytes of a prefix that a code holds as they are: six, then whether the term goes on.
+SHORT = 6
+_GOES_ON = 1 << 8 * SHORT
+
+
+def short_prefixes(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The first SHORT bytes of all terms of many texts, as codes, each once for a text: codes
+    and their numbers of texts."""
+    raw, offsets = text_bytes(column)
+    sizes = np.diff(offsets)
+    large = np.flatnonzero(sizes > STRETCH)
+    if len(large):
+        yield from short_prefixes(column.take(pa.array(np.flatnonzero(sizes <= STRETCH))))
+        for k in large.tolist():
+            seen: set[int] = set()
+            for own in stretches(column[k].as_py(), LETTERS):
+                seen.update(int.from_bytes(t[:SHORT], "little") | (_GOES_ON if len(t) > SHORT else 0) for t in own)
+            yield np.array(sorted(seen), np.int64), np.ones(len(seen), np.int64)
+        return
+    raw = LOWER[raw]
+    starts, ends = spans(raw, offsets, IS_LETTER)
+    row = np.repeat(np.arange(len(sizes)), per_row(starts, offsets))
+    eight = np.ndarray((len(raw) + 1,), "<u8", np.concatenate((raw, np.zeros(8, np.uint8))).data, strides=(1,))
+    n = ends - starts
+    codes = (eight[starts] & _FIRST_BYTES[np.minimum(n, SHORT)]).astype(np.int64) | np.where(n > SHORT, _GOES_ON, 0)
+    # Rows of a piece are few: row and code are one number.
+    once = np.unique((row << (8 * SHORT + 1)) | codes) & (2 * _GOES_ON - 1)
+    yield np.unique(once, return_counts=True)
+
+
+def spelled(codes: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The prefixes behind codes, and whether their terms go on."""
+    raw = (codes & (_GOES_ON - 1)).astype("<u8").tobytes()
+    return [raw[k : k + 8].rstrip(b"\0") for k in range(0, len(raw), 8)], codes >= _GOES_ON
