@@ -17,8 +17,9 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def per_label(labelled: DataFrame, rows: int) -> DataFrame:
     """``rows`` rows (doc_id, label) of each label, chosen by the hash of the id.
 
-    Rows without id or label are left out, repeated rows count once. Each map task passes on
-    ``rows`` rows of a label at most, so that a label held by most rows is no burden.
+    Rows without id or label are left out, repeated rows count once; of rows that repeat an id
+    with different labels any one counts. Up to 1,000 ``rows`` Spark cuts a label to that many
+    in each task before it ranks them; beyond, all ids of a label are ranked in one task.
     """
     known = labelled.filter("doc_id is not null and label is not null").select("doc_id", "label")
     order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
