@@ -281,6 +281,26 @@ def test_metrics_documents_in_both_layouts(spark, tmp_path):
     assert len(mixed) == 2 and mixed["c"].extra == {"row_groups": "7"} and mixed["b"].extra == {}
 
 
+def test_a_large_file_of_documents_is_read_in_many_tasks(spark, tmp_path):
+    """Beside it a file that is one document over many lines, and a blank one."""
+    line = '{"run_id": "r%d", "framework": "x", "input_rows": %d, "note": "' + "n" * 400 + '"}\n'
+    with open(tmp_path / "many.json", "w") as out:
+        out.write("\n  \n")
+        out.writelines(line % (k, k) for k in range(40_000))
+    (tmp_path / "one.json").write_text('\r\n{\r\n "run_id": "alone",\n\n "input_rows":\n 7\n}\n')
+    (tmp_path / "blank.json").write_text(" \n\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        df = records.read_run_metrics(spark, str(tmp_path))
+        tasks = df.filter("run_id <> 'alone'").groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in tasks) == 40_000
+        assert len(tasks) >= 8 and max(r["count"] for r in tasks) < 12_000
+        assert df.agg(F.sum("input_rows")).head()[0] == sum(range(40_000)) + 7
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_a_malformed_metrics_document_is_an_error(spark, tmp_path):
     from pyspark.errors import PySparkException
 

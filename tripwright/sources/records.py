@@ -23,15 +23,27 @@ _OBJECT = "map<string, string>"
 def read_run_metrics(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Read metrics documents: one per line, or one spread over the lines of each file.
 
-    A file whose first line is a whole document has one on every line, any other file is one
-    document. Fields beyond METRICS_SCHEMA are kept as text in ``extra``. A document that
-    cannot be read is an error, whichever columns are asked for.
+    A file whose first line that is not blank is a whole document has one on every line, any
+    other file is one document; blank files hold none. Files are read line by line, so a large
+    one of many documents is split between tasks, and only the lines of a file that is one
+    document are put together. Fields beyond METRICS_SCHEMA are kept as text in ``extra``. A
+    document that cannot be read is an error, whichever columns are asked for.
     """
-    files = spark.read.text(paths, wholetext=True).select("value", "_metadata.file_path")
-    whole = F.regexp_replace("value", r"^\s+|\s+$", "")
-    lines = F.filter(F.split(whole, r"\r?\n"), lambda line: F.trim(line) != "")
-    by_line = F.from_json(F.get(lines, F.lit(0)), _OBJECT).isNotNull()
-    docs = files.select("file_path", F.explode(F.when(by_line, lines).otherwise(F.array(whole))).alias("doc"))
+    lines = spark.read.text(paths).select(
+        "value", "_metadata.file_path", F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("at")
+    )
+    lines = lines.filter(F.trim(F.regexp_replace("value", r"\s", " ")) != "")
+    first = lines.groupBy("file_path").agg(F.min_by("value", "at").alias("first"))
+    layout = first.select(F.col("file_path").alias("file"), F.from_json("first", _OBJECT).isNotNull().alias("by_line"))
+    known = lines.join(layout, F.col("file_path") == F.col("file"))
+    ordered = F.array_sort(F.collect_list(F.struct("at", "value")))
+    spread = known.filter("not by_line").groupBy("file_path").agg(
+        F.array_join(F.transform(ordered, lambda x: x["value"]), "\n").alias("doc")
+    )
+    # Told by both sides of the join, so that the test of documents below stays above it: before
+    # it, lines of other files would be taken for malformed documents.
+    line = F.when(F.col("by_line"), F.col("value")).alias("doc")
+    docs = known.filter("by_line").select("file_path", line).unionByName(spread)
     docs = docs.withColumns({"fields": F.from_json("doc", _OBJECT), "read": F.from_json("doc", METRICS_SCHEMA)})
     stop = F.raise_error(F.concat(F.lit("malformed metrics document in "), "file_path")).cast("boolean")
     return docs.filter(F.when(F.col("fields").isNull(), stop).otherwise(True)).select(
