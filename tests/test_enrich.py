@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from plans_of import final, formatted
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tripwright.functions.speed import speed_mph, speed_mph_by_batch, speed_mph_by_row
@@ -41,6 +44,31 @@ def test_only_matched_trips_stay_and_only_two_zone_columns_come(trips, zones):
     assert out.filter("Borough is null").count() == trips.filter("PULocationID = 3").count()
 
 
+@pytest.fixture
+def counting(spark):
+    """A counter to hand to a join, and what it counted."""
+    counter = Observation()
+    yield lambda rows, once: rows.observe(counter, F.count_if(once).alias("n")), counter
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_a_counter_in_a_join_sees_every_trip_once(trips, zones, counting, repeated):
+    tell, counter = counting
+    dim = zones.union(zones) if repeated else zones
+    joined = enrich.join_zone(trips, dim, 0, tell=tell)
+    assert "LeftOuter" in formatted(joined)
+    assert rows(joined) == rows(enrich.join_zone(trips, dim))
+    assert counter.get["n"] == trips.count()
+
+
+def test_a_unique_key_is_not_numbered(trips, zones):
+    def plan(dim):
+        return formatted(enrich.join_zone(trips, dim, 0, tell=lambda rows, once: rows.withColumn("once", once)))
+
+    assert "Window" not in plan(zones)
+    assert "Window" in plan(zones.union(zones))
+
+
 @pytest.mark.parametrize("salts", [None, 1, 3, 50])
 def test_merge_form_gives_the_same_rows(trips, zones, salts):
     merged = enrich.join_zone_merge(trips, zones, salts=salts)
@@ -94,7 +122,9 @@ def test_large_zones_are_merged(trips, zones):
     for join in (enrich.join_zone, enrich.look_up_zone):
         plan = formatted(join(trips, zones, 0))
         assert "SortMergeJoin" in plan
-        assert "BroadcastHashJoin" not in plan
+        # The one table broadcast is that of the hot zones and their parts.
+        assert set(re.findall(r"BroadcastHashJoin (\w+) BuildRight", plan)) <= {"LeftOuter"}
+        assert set(re.findall(r"Right keys \[1\]: \[(\w+)#\d+L?\]", plan)) == {"_zone"}
     assert "SortMergeJoin" in formatted(enrich.join_zone_merge(trips, zones))
 
 
@@ -131,6 +161,43 @@ def test_merge_form_splits_a_hot_zone(settings, trips, zones):
     assert largest_task(16) < hot / 2
 
 
+def test_of_a_million_zones_only_the_hot_one_is_split(settings, spark):
+    settings("spark.sql.adaptive.enabled", "false")
+    settings("spark.sql.shuffle.partitions", "32")
+    zones = spark.range(1_000_000).selectExpr(
+        "id as LocationID", "concat('b', id % 7) as Borough", "concat('z', id) as Zone"
+    )
+    trips = spark.range(0, 300_000, 1, 16).selectExpr(
+        "id", "if(id % 3 = 0, 77L, xxhash64(id) % 1000000) as PULocationID"
+    )
+    hot = enrich.hot_zones(trips, 32)
+    assert list(hot) == [77] and 40 <= hot[77] <= 46
+    joined = enrich.join_zone_merge(trips, zones)
+    tasks = joined.groupBy(F.spark_partition_id().alias("task")).count()
+    sizes = sorted(r["count"] for r in tasks.collect())
+    assert len(sizes) == 32 and sizes[-1] <= 4 * sizes[16]
+    assert sum(sizes) == trips.filter("PULocationID >= 0").count()
+    one_part = enrich.join_zone_merge(trips, zones, salts=1)
+    whole = one_part.groupBy(F.spark_partition_id().alias("task")).count()
+    assert whole.agg(F.max("count")).head()[0] > 8 * sizes[16]
+
+
+def test_hot_zones_are_told_from_other_rows_of_one_column(trips, zones, spark):
+    like = spark.range(1000).selectExpr("if(id < 900, 2L, null) as PULocationID")
+    assert enrich.hot_zones(like, 8) == {2: 32}
+    joined = enrich.join_zone_merge(trips, zones, like=like)
+    assert rows(joined) == rows(enrich.join_zone(trips, zones))
+
+
+def test_hot_zones_of_nothing_and_of_even_rows(spark):
+    none = spark.range(0).selectExpr("id as PULocationID")
+    assert enrich.hot_zones(none, 8) == {}
+    even = spark.range(10_000).selectExpr("id % 1000 as PULocationID")
+    assert enrich.hot_zones(even, 8) == {}
+    few = spark.range(10_000).selectExpr("id % 4 as PULocationID")
+    assert enrich.hot_zones(few, 8) == {0: 8, 1: 8, 2: 8, 3: 8}
+
+
 def test_merge_form_splits_copies_of_one_trip(settings, spark, zones):
     settings("spark.sql.adaptive.coalescePartitions.enabled", "false")
     copies = spark.range(0, 8_000, 1, 64).selectExpr("7L as id", "1L as PULocationID")

@@ -3,6 +3,7 @@ from __future__ import annotations
 import csv
 import json
 from dataclasses import replace
+from functools import partial
 
 import pytest
 from given import TESTDATA
@@ -13,7 +14,6 @@ from tripwright.operators.enrich import join_zone_merge
 from tripwright.operators.funnel import recorded_funnel, row_funnel
 from tripwright.operators.runs import phases_long
 from tripwright.plans import derive
-from tripwright.plans import pipeline as pipelines
 from tripwright.plans.pipeline import KEYED, STRICT, run, time_stages
 from tripwright.sinks import files as sinks
 from tripwright.sources.records import read_run_metrics
@@ -45,8 +45,36 @@ def test_run_writes_rows_summary_and_metrics(spark, inputs, tmp_path, pipeline,
     assert list(doc.phases) == ["total_s"] and doc.phases["total_s"] > 0
 
 
-def test_cleaned_rows_are_counted_apart_from_a_shuffle_join(spark, inputs, tmp_path, monkeypatch):
-    monkeypatch.setattr(pipelines, "BROADCAST_LIMIT_BYTES", 0)
+@pytest.mark.parametrize("copies", [1, 2])
+@pytest.mark.parametrize("pipeline", [STRICT, KEYED])
+def test_a_merge_join_is_counted_without_a_second_cleaning(
+    spark, inputs, tmp_path, pipeline, copies
+):
+    if copies == 2 and pipeline is KEYED:
+        pytest.skip("refuses repeated zones")
+    zones = spark.read.option("header", True).csv(inputs[1]).filter("LocationID != 3")
+    for _ in range(copies):
+        zones.coalesce(1).write.mode("append").option("header", True).csv(f"{tmp_path}/zones")
+    cleanings = []
+
+    def clean(trips):
+        cleanings.append(trips)
+        return pipeline.clean(trips)
+
+    merged = replace(pipeline, clean=clean, join=partial(pipeline.join, broadcast_limit=0))
+    rows, summary, metrics = (f"{tmp_path}/{n}" for n in ("rows", "summary", "metrics"))
+    out = run(spark, inputs[0], f"{tmp_path}/zones", rows, summary, metrics, merged)
+    assert len(cleanings) == 1
+    (doc,) = read_run_metrics(spark, metrics).collect()
+    joined = pipeline.joined(derive.trips(spark, SMALL), read_zones(spark, f"{tmp_path}/zones"))
+    cleaned = pipeline.clean(derive.trips(spark, SMALL)).count()
+    assert 0 < joined.count() != cleaned
+    assert (doc.cleaned_rows, doc.joined_rows, doc.agg_rows) == (
+        cleaned, joined.count(), out.count()
+    )
+
+
+def test_a_merge_join_given_as_it_is_counts_too(spark, inputs, tmp_path):
     merged = replace(STRICT, join=join_zone_merge)
     rows, summary, metrics = (f"{tmp_path}/{n}" for n in ("rows", "summary", "metrics"))
     run(spark, *inputs, rows, summary, metrics, merged)

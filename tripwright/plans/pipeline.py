@@ -12,9 +12,10 @@ from functools import partial
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tripwright.contract import EXPORT_COLUMNS, TRIPS
 from tripwright.operators import reconcile
 from tripwright.operators.clean import clean, clean_by_key
 from tripwright.operators.enrich import (
@@ -41,11 +42,12 @@ class Pipeline:
 
     name: str
     clean: Callable[[DataFrame], DataFrame]
-    join: Callable[[DataFrame, DataFrame], DataFrame]
+    join: Callable[..., DataFrame]
     named_zones_only: bool = False
 
     def joined(self, trips: DataFrame, zones: DataFrame) -> DataFrame:
-        return self.join(self.clean(trips), zones)
+        # Hot zones, where they matter, are told from the trips as read: cleaning runs once.
+        return self.join(self.clean(trips), zones, like=trips)
 
     def enriched(self, trips: DataFrame, zones: DataFrame) -> DataFrame:
         joined = self.joined(trips, zones)
@@ -106,7 +108,7 @@ def time_stages(pipeline: Pipeline, trips: DataFrame, zones: DataFrame) -> Stage
     timer = StageTimer()
     timer.run("ingestion_s", trips)
     cleaned = timer.run("cleansing_s", pipeline.clean(trips))
-    joined = timer.run("join_s", pipeline.join(cleaned, zones))
+    joined = timer.run("join_s", pipeline.join(cleaned, zones, like=trips))
     timer.run("udf_s", joined.transform(add_speed).transform(add_hour).transform(export_rows))
     return timer
 
@@ -139,12 +141,12 @@ def run(
     The trips go through the heavy part once: the summary is taken from the rows as written,
     of which it reads three columns, so nothing large is cached and a lost executor costs
     only its own tasks. With a metrics path the row counts are recorded as well, from the
-    written results and from a counter placed on the cleaned rows. The counter is exact only
-    where no shuffle follows it (a map task that is run again counts twice), so with zones
-    too large to broadcast the cleaned rows are counted in a job of their own. So they are
-    where the optimizer has removed the counter, as it may if nothing can come out. ``timed``
-    adds seconds per stage and runs the stages again to get them, after the total is taken.
-    Returns the summary as written.
+    written results and from a counter on the cleaned rows. A counter is exact only in the
+    stage that writes (a map task that is run again counts twice), so it stands before a
+    broadcast join and behind a merge join, whichever the zones call for. Only where the
+    optimizer has removed the counter, as it may if nothing can come out, are the cleaned
+    rows counted in a job of their own. ``timed`` adds seconds per stage and runs the stages
+    again to get them, after the total is taken. Returns the summary as written.
     """
     start = time.perf_counter()
     use_utc(spark)
@@ -152,11 +154,8 @@ def run(
     zones = read_zones(spark, zones_path)
     counter, counted = None, pipeline
     if metrics_path is not None:
-        used = zones.filter(F.col("Borough").isNotNull()) if pipeline.named_zones_only else zones
-        facts = measure_zones(used)
-        if facts.keys and facts.bytes <= BROADCAST_LIMIT_BYTES:
-            counter = Observation("cleaned")
-            counted = replace(pipeline, clean=partial(_clean_counted, pipeline.clean, counter))
+        counter = Observation("cleaned")
+        counted = replace(pipeline, join=partial(pipeline.join, tell=partial(_count, counter)))
     before_export = time.perf_counter()
     write_rows(counted.enriched(trips, zones), rows_path)
     written = spark.read.parquet(rows_path)
@@ -203,25 +202,19 @@ def run_published(
     return published.publish(spark, own, append)
 
 
-def _observed(counter: Observation | None) -> int | None:
-    """What the counter counted, or None if there is none or it was not part of the plan."""
-    if counter is None:
-        return None
+def _observed(counter: Observation) -> int | None:
+    """What the counter counted, or None if it was not part of the plan."""
     try:
         return counter.get["n"]
     except (Py4JError, PySparkException):
         return None
 
 
-def _clean_counted(
-    clean_step: Callable[[DataFrame], DataFrame], counter: Observation, trips: DataFrame
-) -> DataFrame:
-    # Nothing filters after this point, so the counter holds back no pushed-down filter; the
+def _count(counter: Observation, rows: DataFrame, once: Column) -> DataFrame:
+    # Cleaning is done where this stands, so the counter holds back no pushed-down filter; the
     # columns the export drops are dropped here because pruning does not pass a counter.
-    kept = clean_step(trips).select(
-        "pickup_ts", "dropoff_ts", "trip_distance", "trip_duration_s", "PULocationID"
-    )
-    return kept.observe(counter, F.count("*").alias("n"))
+    unused = set(TRIPS.names) - set(EXPORT_COLUMNS)
+    return rows.drop(*unused).observe(counter, F.count_if(once).alias("n"))
 
 
 def run_document(

@@ -269,8 +269,8 @@ def join_zone_inner(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def join_zone_merge(spark: SparkSession, folder: str) -> DataFrame:
-    cleaned = clean.clean(derive.trips(spark, folder))
-    return enrich.join_zone_merge(cleaned, derive.zones(spark, folder))
+    trips = derive.trips(spark, folder)
+    return enrich.join_zone_merge(clean.clean(trips), derive.zones(spark, folder), like=trips)
 
 
 @query
