@@ -39,7 +39,14 @@ def arguments(given: list[str] | None) -> argparse.Namespace:
     for name in ("rows", "summary", "metrics"):
         c.add_argument(f"--{name}")
     c.add_argument("--pipeline", choices=sorted(PIPELINES), default=STRICT.name)
-    c.add_argument("--timed", action="store_true", help="also record seconds per stage")
+    c.add_argument(
+        "--timed",
+        nargs="?",
+        const="repeat",
+        default=False,
+        choices=("log", "repeat"),
+        help="also record seconds per phase: from the session's event log, or by running steps again",
+    )
 
     c = commands.add_parser("reconcile")
     for name in ("left", "right"):

@@ -28,10 +28,12 @@ from tripwright.operators.enrich import (
     refuse_repeated,
     zone_columns,
 )
+from tripwright.operators.stages import PLAN, ROWS, step_seconds
 from tripwright.operators.summarise import export_rows, speed_by_group
 from tripwright.session import use_utc
 from tripwright.sinks import published
 from tripwright.sinks.files import write_rows, write_run_metrics, write_summary
+from tripwright.sources import events
 from tripwright.sources.records import METRICS_SCHEMA
 from tripwright.sources.tables import read_normalized, read_zones
 
@@ -126,6 +128,14 @@ def stage_seconds(
     return timer.seconds | {"export_s": export}
 
 
+def logged_seconds(spark: SparkSession, run_id: str, since: float) -> dict[str, float]:
+    """Seconds per phase of a run just ended, from the event log; none if it lags too far."""
+    stages = events.written_stages(spark, run_id, since)
+    if stages is None:
+        return {}
+    return {r.phase: r.seconds for r in step_seconds(stages).collect()}
+
+
 def run(
     spark: SparkSession,
     trips_path: str,
@@ -134,7 +144,7 @@ def run(
     summary_path: str,
     metrics_path: str | None = None,
     pipeline: Pipeline = STRICT,
-    timed: bool = False,
+    timed: str | bool = False,
 ) -> DataFrame:
     """Read, clean, join, enrich and write one pipeline's rows and summary.
 
@@ -145,27 +155,44 @@ def run(
     stage that writes (a map task that is run again counts twice), so it stands before a
     broadcast join and behind a merge join, whichever the zones call for. Only where the
     optimizer has removed the counter, as it may if nothing can come out, are the cleaned
-    rows counted in a job of their own. ``timed`` adds seconds per stage and runs the stages
-    again to get them, after the total is taken. Returns the summary as written.
+    rows counted in a job of their own. Returns the summary as written.
+
+    ``timed`` adds seconds per phase after the total is taken. ``"log"`` reads them from the
+    session's event log, which has to be kept uncompressed, and repeats nothing: phases are
+    those of ``step_seconds``, without one for the speed, which is fused into the export.
+    ``"repeat"`` (or True) runs the steps again, each to its end.
     """
-    start = time.perf_counter()
+    if timed not in (False, True, "log", "repeat"):
+        raise ValueError(f"timed is 'log', 'repeat' or false, not {timed!r}")
+    if timed == "log":
+        events.log_path(spark)  # refused before any work is done
+    run_id, began, start = uuid.uuid4().hex, time.time(), time.perf_counter()
     use_utc(spark)
     trips = read_normalized(spark, trips_path)
     zones = read_zones(spark, zones_path)
+    read_s = time.perf_counter() - start
     counter, counted = None, pipeline
     if metrics_path is not None:
         counter = Observation("cleaned")
         counted = replace(pipeline, join=partial(pipeline.join, tell=partial(_count, counter)))
     before_export = time.perf_counter()
-    write_rows(counted.enriched(trips, zones), rows_path)
+    with events.span(spark, run_id, PLAN):
+        enriched = counted.enriched(trips, zones)
+    with events.span(spark, run_id, ROWS):
+        write_rows(enriched, rows_path)
     written = spark.read.parquet(rows_path)
+    before_summary = time.perf_counter()
     write_summary(speed_by_group(written), summary_path)
-    spent = time.perf_counter() - before_export
+    ended = time.perf_counter()
     summary = spark.read.parquet(summary_path)
     if metrics_path is not None:
         phases = {"total_s": time.perf_counter() - start}
-        if timed:
-            phases |= stage_seconds(pipeline, trips, zones, written, spent)
+        if timed == "log":
+            phases |= logged_seconds(spark, run_id, began)
+            phases["aggregate_s"] = ended - before_summary
+            phases["ingestion_s"] = phases.get("ingestion_s", 0.0) + read_s
+        elif timed:
+            phases |= stage_seconds(pipeline, trips, zones, written, ended - before_export)
         cleaned = _observed(counter)
         counts = {
             "input_rows": trips.count(),
@@ -173,7 +200,7 @@ def run(
             "joined_rows": written.count(),
             "agg_rows": summary.count(),
         }
-        document = run_document(spark, pipeline.name, counts, phases)
+        document = run_document(spark, pipeline.name, counts, phases, run_id)
         write_run_metrics(document, metrics_path)
     return summary
 
@@ -184,7 +211,7 @@ def run_published(
     zones_path: str,
     result: str,
     pipeline: Pipeline = STRICT,
-    timed: bool = False,
+    timed: str | bool = False,
     append: bool = False,
 ) -> published.Version:
     """``run`` into a result folder, where rows, summary and metrics appear together or not at all.
@@ -218,12 +245,16 @@ def _count(counter: Observation, rows: DataFrame, once: Column) -> DataFrame:
 
 
 def run_document(
-    spark: SparkSession, variant: str, counts: dict[str, int], phases: dict[str, float]
+    spark: SparkSession,
+    variant: str,
+    counts: dict[str, int],
+    phases: dict[str, float],
+    run_id: str | None = None,
 ) -> DataFrame:
     """One run's metrics as a one-row table."""
     context = spark.sparkContext
     values = {
-        "run_id": uuid.uuid4().hex,
+        "run_id": run_id or uuid.uuid4().hex,
         "framework": variant,
         "hostname": socket.gethostname(),
         "platform": platform.platform(),
