@@ -1,6 +1,7 @@
-"""A process of its own that keeps an event log: runs a pipeline untimed and timed by the log.
+"""A process of its own that keeps an event log: runs pipelines timed by the log.
 
-python log_run.py FOLDER TRIPS ZONES ROLLING prints one JSON line.
+python log_run.py FOLDER TRIPS ZONES ROLLING [RUNS] prints one JSON line. RUNS repeats untimed
+and timed runs by turns, to compare what they take.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from tripwright.sources import events  # noqa: E402
 from tripwright.sources.records import read_run_metrics  # noqa: E402
 
 
-def main(folder: str, trips: str, zones: str, rolling: str, runs: str = "1") -> None:
+def main(folder: str, trips: str, zones: str, rolling: str, runs: str = "0") -> None:
     Path(folder, "log").mkdir()
     spark = (
         SparkSession.builder.master("local[8]")
@@ -39,7 +40,7 @@ def main(folder: str, trips: str, zones: str, rolling: str, runs: str = "1") ->
     said = {}
     for p in (STRICT, KEYED, merged):
         spent = {}
-        for timed in (False, *[False, "log"] * int(runs)):
+        for timed in (False, *[False, "log"] * int(runs)) if int(runs) else ("log",):
             start = time.perf_counter()
             paths = [f"{folder}/{p.name}/{timed}/{n}" for n in ("rows", "summary", "metrics")]
             run(spark, trips, zones, *paths, p, timed=timed)

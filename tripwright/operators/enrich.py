@@ -86,19 +86,32 @@ def salts_for(keys: float, partitions: int) -> int:
 def hot_zones(like: DataFrame, partitions: int) -> dict[int, int]:
     """The pickup zones that hold more than a shuffle partition's share, with their parts.
 
-    A heavy-hitter sketch of the one column tells them, in a job that shuffles a sketch per
-    task. At most ``partitions`` zones can hold so much, so that many rows come to the driver
-    and the sketch, ten times as wide, finds each of them (up to 100,000 partitions; beyond
-    that, the largest 100,000). Its counts are close, not exact: that bears on the split
-    only. ``like`` are any rows with about the same pickup zones as the trips to be joined,
-    such as the trips before they were cleaned, of which only that column is read.
+    A heavy-hitter sketch of the one column tells them. Every map task passes on one sketch,
+    those are combined in groups and the groups' in one task, so that none gets a sketch
+    from each map task. At most ``partitions`` zones can hold so much: that many rows come
+    to the driver at most, and the sketch, four times as wide, cannot miss one of them (up to
+    250,000 partitions; beyond that, the largest zones). Its counts are close, not exact:
+    that bears on the split only. ``like`` are any rows with about the same pickup zones as
+    the trips to be joined, such as the trips before they were cleaned, of which only that
+    column is read.
     """
-    kept = min(partitions, SKETCHED_ZONES // 10)
-    top = f"approx_top_k(PULocationID, {kept}, {10 * kept})"
-    found = like.filter(F.col("PULocationID").isNotNull()).agg(
-        F.count("*").alias("rows"), F.expr(top).alias("top")
+    kept = min(partitions, SKETCHED_ZONES // 4)
+    groups = math.isqrt(partitions) + 1
+    sketches = (
+        like.filter(F.col("PULocationID").isNotNull())
+        .groupBy((F.spark_partition_id() % groups).alias("group"))
+        .agg(
+            F.count("*").alias("rows"),
+            F.expr(f"approx_top_k_accumulate(PULocationID, {4 * kept})").alias("sketch"),
+        )
     )
-    shares = found.select("rows", F.inline("top").alias("zone", "n")).collect()
+    # Grouped by nothing in particular: there is no combining no sketches.
+    found = sketches.groupBy(F.lit("all").alias("group")).agg(
+        F.sum("rows").alias("rows"),
+        F.expr(f"approx_top_k_combine(sketch, {4 * kept})").alias("sketch"),
+    )
+    top = found.select("rows", F.expr(f"approx_top_k_estimate(sketch, {kept})").alias("top"))
+    shares = top.select("rows", F.inline("top").alias("zone", "n")).collect()
     parts = {r.zone: salts_for(r.rows / r.n, partitions) for r in shares if r.n * partitions > r.rows}
     return {zone: n for zone, n in parts.items() if n > 1}
 
