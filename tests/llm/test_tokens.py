@@ -9,6 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
+from tokenizers.models import BPE
 
 from tests.llm.conftest import by_id
 from tripwright.llm import rangecoder
@@ -43,6 +44,61 @@ def test_one_block_is_decoded_alone_and_damage_is_found():
         rangecoder.decode(bytes(data[:10]))
 
 
+def test_what_one_part_of_a_block_has_seen_shortens_the_others():
+    ids = np.tile(np.random.default_rng(6).integers(0, 3000, 5000), 24)
+    data = rangecoder.encode(ids)
+    assert (rangecoder.decode(data) == ids).all()
+    assert len(data) < len(ids) * 0.75
+
+
+def test_many_different_ids_come_back():
+    ids = np.random.default_rng(7).permutation(np.repeat(np.arange(200_000), 2)) * 20_000 + 5
+    assert (rangecoder.decode(rangecoder.encode(ids)) == ids).all()
+
+
+class Counted:
+    """A tokenizer that counts the characters it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.n = tokenizer, 0
+
+    def encode(self, text, **options):
+        self.n += len(text)
+        return self.tokenizer.encode(text, **options)
+
+    def encode_batch_fast(self, texts, **options):
+        self.n += sum(map(len, texts))
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_a_word_is_tokenized_once_whatever_mark_follows_it():
+    tokens = Tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [f"It is extraordinarily{mark} extraordinarily{mark}\nso\t \n" for mark in ",.;:!?)1"]
+    whole = [w.ids for w in tokens.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    tokens.tokenizer = Counted(tokens.tokenizer)
+    assert [x.tolist() for x in tokens.encode(texts)] == whole
+    assert tokens.tokenizer.n < 60
+
+
+def test_stretches_hold_white_space_of_every_kind():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokens, untouched = Tokens(path), Tokenizer.from_file(path)
+    draw = random.Random(8)
+    parts = [*" \n\t\r\x0b\x0c\x1c\x00\x7f\x85\xa0\u1680\u2003\u2028\u202f\u3000\u200b", " ", " ", "a", "Wo", "é", "дом", "中", "😀"]
+    parts += ["\u0301", "'s", "don't", "1", ",", "-", "’", "\u0fff", "\u4000", "<|endoftext|>"]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 14))) for _ in range(6000)]
+    assert [x.tolist() for x in tokens.encode(texts)] == [untouched.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_a_tokenizer_with_another_rule_gets_whole_texts(tmp_path):
+    vocabulary = {c: i for i, c in enumerate("ab .")} | {"a ": 4, "a b": 5}
+    other = Tokenizer(BPE(vocabulary, [("a", " "), ("a ", "b")]))
+    path = str(tmp_path / "other.json")
+    other.save(path)
+    texts = ["a b.a b", "b a", "", ". a b"]
+    assert [x.tolist() for x in Tokens(path).encode(texts)] == [other.encode(t).ids for t in texts]
+
+
 def test_stretches_give_the_same_ids_as_whole_texts():
     tokens = Tokens(public_tokenizers.path("byte_bpe_50k.json"))
     draw = random.Random(3)

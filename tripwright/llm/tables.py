@@ -36,8 +36,10 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def pieces(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
-    """Slices of ``rows`` rows or PIECE_BYTES of text at most, of one row at least."""
+def pieces(
+    batches: Iterator[pa.RecordBatch], rows: int = ROWS, size: int = PIECE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Slices of ``rows`` rows or ``size`` bytes of text at most, of one row at least."""
     for batch in batches:
         at, n = 0, batch.num_rows
         sizes = np.zeros(n, np.int64)
@@ -45,7 +47,7 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.R
             sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes)
         while at < n:
-            full = ends[at] - sizes[at] + PIECE_BYTES
+            full = ends[at] - sizes[at] + size
             stop = min(at + rows, max(at + 1, int(np.searchsorted(ends, full, "right"))))
             yield batch.slice(at, stop - at)
             at = stop
