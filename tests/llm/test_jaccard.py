@@ -110,3 +110,90 @@ def test_a_long_word_and_a_long_text(make_docs):
     long = "z" * 1_300_000
     rows = [(1, long), (2, long), (3, "a " * 400_000), (4, "a " * 5)]
     assert by_id(jaccard.jaccard_join(make_docs(rows)), "component_id") == {1: 1, 2: 1, 3: 3, 4: 3}
+
+
+def quoting(n, own=60, seed=5):
+    """Texts of their own that all quote one passage and are else unlike."""
+    draw = random.Random(seed)
+    passage = " ".join(f"p{k}" for k in range(20))
+    return [(k, " ".join(f"w{draw.randrange(10**6)}" for _ in range(own)) + " " + passage) for k in range(n)]
+
+
+def test_sketches_differ_in_no_more_cells_than_sets_in_shingles():
+    draw = np.random.default_rng(2)
+    for n in (1, 2, 63, 64, 65, 300, 1000):
+        one = np.unique(draw.integers(0, 1 << 63, n, dtype=np.uint64))
+        other = np.unique(np.concatenate((one[: 9 * n // 10], draw.integers(0, 1 << 63, n // 4, dtype=np.uint64))))
+        a, b = (np.frombuffer(jaccard.sketch(s), np.uint8) for s in (one, other))
+        while len(a) != len(b):
+            a, b = (x if len(x) == min(len(a), len(b)) else x[: len(x) // 2] ^ x[len(x) // 2 :] for x in (a, b))
+        assert np.bitwise_count(a ^ b).sum() <= len(np.setxor1d(one, other))
+        assert 64 <= 8 * len(jaccard.sketch(one)) < max(65, 2 * n)
+
+
+@pytest.mark.parametrize("percent", [40, 80])
+def test_sketches_leave_no_link_out_and_part_what_is_unlike(percent):
+    draw = np.random.default_rng(4)
+    sets = []
+    for size in (1, 3, 60, 120, 130, 500):
+        base = draw.integers(0, 1 << 63, size, dtype=np.uint64)
+        for _ in range(6):
+            own = base.copy()
+            own[draw.integers(0, size, draw.integers(0, 1 + size // 8))] = draw.integers(0, 1 << 63, dtype=np.uint64)
+            sets.append(np.unique(own[: size - draw.integers(0, 1 + size // 6)]))
+    sets.sort(key=len)
+    sizes = np.array([len(s) for s in sets])
+    sketches = [jaccard.sketch(s) for s in sets]
+    alone = np.full(len(sets), -1)
+    label = jaccard._hang_together(sizes, sketches, alone, percent)
+    sides = np.arange(len(sets)) % 2
+    across = jaccard._hang_together(sizes, sketches, sides, percent)
+    for (a, one), (b, two) in combinations(enumerate(sets), 2):
+        if 100 * len(np.intersect1d(one, two)) >= percent * len(np.union1d(one, two)):
+            assert label[a] == label[b]
+            assert sides[a] == sides[b] or across[a] == across[b]
+    assert percent < 80 or len(set(label[sizes > 40].tolist())) >= 4
+
+
+@pytest.mark.parametrize(("seed", "cells"), [(11, (6, 1 << 23)), (12, (1 << 13, 90)), (13, (2, 1 << 23))])
+def test_crowds_are_compared_in_cells(make_docs, monkeypatch, seed, cells):
+    monkeypatch.setattr(jaccard, "CELL_CLASSES", cells[0])
+    monkeypatch.setattr(jaccard, "CELL_BYTES", cells[1])
+    rows = corpus(seed) + [(9000 + k, text) for k, text in quoting(30)]
+    rows += [(9500 + k, " ".join([*map(str, range(40)), f"x{k}", *map(str, range(41, 60 + k % 9))])) for k in range(20)]
+    found = jaccard.jaccard_join(make_docs(rows), frequent_limit=0)
+    assert by_id(found, "n_shingles", "component_id", "n_links") == brute(rows)
+
+
+def test_texts_that_only_quote_each_other_are_no_large_block(make_docs, monkeypatch):
+    loaded = []
+    sets_of = jaccard._sets_of
+    monkeypatch.setattr(jaccard, "_sets_of", lambda rows, members, size: loaded.append(members.count()) or sets_of(rows, members, size))
+    monkeypatch.setattr(jaccard, "_large", lambda *_: pytest.fail("sets of unlike texts repeated in cells"))
+    rows = quoting(60) + [(100, quoting(1)[0][1] + " end")]
+    found = jaccard.jaccard_join(make_docs(rows), frequent_limit=0, block_classes=8)
+    assert by_id(found, "n_shingles", "component_id", "n_links") == brute(rows)
+    assert loaded == [2]
+
+
+def test_disk_is_given_back(spark, make_docs):
+    import time
+
+    from tripwright.llm import tables
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(k).getName() for k in range(files.size())} if files.size() else set()
+
+    before = {f for f in shuffled() if f.startswith("shuffle_")}
+    rows = tables.written(make_docs(quoting(20)).repartition(3, "doc_id"), "given-back")
+    until = time.time() + 20
+    while left := {f for f in shuffled() if f.startswith("shuffle_")} - before:
+        assert time.time() < until, left
+        time.sleep(0.2)
+    assert rows.count() == 20
+    path = spark._jvm.org.apache.hadoop.fs.Path(rows.inputFiles()[0]).getParent()
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert files.exists(path)
+    tables.discard(rows)
+    assert not files.exists(path)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tripwright.llm import words
 from tripwright.llm.graph import components
-from tripwright.llm.tables import partitions, pieces, spread, written
+from tripwright.llm.tables import discard, partitions, pieces, spread, written
 
 SIZE = 5
 PERCENT = 80
@@ -21,6 +21,8 @@ PERCENT = 80
 FREQUENT_LIMIT = 1 << 22
 #: Bits of the filter that finds the documents of candidate classes again; broadcast.
 FILTER_BITS = 1 << 26
+#: Classes, and bytes of their sketches, that one task compares at a time.
+CELL_CLASSES, CELL_BYTES = 1 << 13, 1 << 23
 #: What one task joins at a time: classes, and shingles in their sets.
 BLOCK_CLASSES, BLOCK_SHINGLES = 1 << 12, 1 << 21
 #: Pivots of one step of the local join, and classes that are joined without a further step.
@@ -46,6 +48,17 @@ def digest(own: np.ndarray) -> bytes:
     return hashlib.blake2b(own.tobytes(), digest_size=16).digest()
 
 
+def sketch(own: np.ndarray) -> bytes:
+    """The parity of the shingles in each of 64 or more cells, as many as the set at least.
+
+    Two sketches differ in no more cells than their sets in shingles. One of twice the cells
+    becomes one of fewer when its halves are put over each other.
+    """
+    cells = 1 << max(6, (len(own) - 1).bit_length())
+    at = (own & np.uint64(cells - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=cells) & 1).astype(np.uint8)).tobytes()
+
+
 def needed(n: int, percent: int) -> int:
     """Shingles that a set of n shares with any set it links to, at least."""
     return -(-percent * n // 100)
@@ -71,13 +84,13 @@ def _unpack(data: bytes) -> np.ndarray:
 _SURVEY = pa.schema(
     [
         ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("cls", pa.binary()),
-        ("bucket", pa.int32()), ("payload", pa.binary()),
+        ("sketch", pa.binary()), ("bucket", pa.int32()), ("payload", pa.binary()),
     ]
 )
 
 
 def _survey(size: int, buckets: int):
-    """Each document's class, and packed shingle keys of all of them for the counts."""
+    """Each document's class and sketch, and packed shingle keys of all of them for the counts."""
 
     def keys_out(kept: list[np.ndarray]) -> pa.RecordBatch:
         keys = np.sort(np.concatenate(kept))
@@ -86,7 +99,7 @@ def _survey(size: int, buckets: int):
         none = [None] * len(filled)
         packed = [_pack(keys[cuts[k] : cuts[k + 1]]) for k in filled]
         return pa.RecordBatch.from_arrays(
-            [pa.array(x, t) for x, t in zip((none, none, none, none, filled, packed), _SURVEY.types)],
+            [pa.array(x, t) for x, t in zip((none, none, none, none, none, filled, packed), _SURVEY.types)],
             schema=_SURVEY,
         )
 
@@ -102,6 +115,7 @@ def _survey(size: int, buckets: int):
                     piece.column("text_hash"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([digest(s) for s in sets], pa.binary()),
+                    pa.array([sketch(s) if len(s) else None for s in sets], pa.binary()),
                     pa.nulls(n, pa.int32()),
                     pa.nulls(n, pa.binary()),
                 ],
@@ -168,6 +182,7 @@ def _frequent(survey: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray]:
             break
         lowest = level
     rows = counted.filter(F.col("level") >= lowest).select("level", "keys").collect()
+    discard(counted)
     keys = [np.frombuffer(r["keys"], np.uint32) for r in rows]
     levels = [np.full(len(k), r.level, np.uint8) for k, r in zip(keys, rows)]
     if not keys:
@@ -608,15 +623,18 @@ def jaccard_join(
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     survey = written(
         rows.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
-            _survey(size, buckets), "doc_id long, text_hash long, n long, cls binary, bucket int, payload binary"
+            _survey(size, buckets),
+            "doc_id long, text_hash long, n long, cls binary, sketch binary, bucket int, payload binary",
         ),
         "survey",
     )
     frequent = spark.sparkContext.broadcast(_frequent(survey, frequent_limit))
+    classes = written(survey.filter("bucket is null").drop("bucket", "payload"), "classes")
+    discard(survey)
     postings = rows.select("text").mapInArrow(_post(size, percent, buckets, frequent), _POSTINGS_DDL)
     blocks = components(_candidates(postings, percent), "blocks").withColumnsRenamed({"v": "id", "root": "block"})
-    classes = survey.filter("bucket is null").select("doc_id", "text_hash", "n", "cls")
-    members = _members(classes, blocks)
+    members = _nearer(_members(classes, blocks), percent)
+    classes = classes.drop("sketch")
     total = members.groupBy("block").agg(F.count("*").alias("classes"), F.sum("n").alias("shingles"))
     too_large = (F.col("classes") > block_classes) | (F.col("shingles") > block_shingles)
     # At most one in so many classes, or in so many shingles.
@@ -629,6 +647,7 @@ def jaccard_join(
         small = sets.join(F.broadcast(large), "block", "left_anti").withColumn("side", F.lit(-1))
         rest = sets.join(F.broadcast(large), "block").dropDuplicates(["cls"])
         joined = written(_local_join(small, percent).union(_large(rest, percent)), "joined")
+        discard(sets)
         merged = components(joined.select(F.col("cls").alias("a"), F.col("root").alias("b")), "links")
         links = joined.groupBy("cls").agg(F.sum("links").alias("links"))
         found = merged.withColumnRenamed("v", "cls").join(links, "cls")
@@ -646,11 +665,138 @@ def jaccard_join(
 
 
 def _members(classes: DataFrame, blocks: DataFrame) -> DataFrame:
-    """(block, cls, n, doc_id) of every class in a block, with one of its documents; written."""
+    """(block, id, cls, n, doc_id, sketch) of every class in a block, with one of its documents; written."""
     short = F.conv(F.substring(F.hex("cls"), 1, 16), 16, -10).cast("long")
     named = classes.filter("n > 0").withColumn("id", short).join(blocks, "id")
-    one = named.groupBy("block", "cls").agg(F.first("n").alias("n"), F.min("doc_id").alias("doc_id"))
-    return written(one, "members")
+    first = [F.first(c).alias(c) for c in ("id", "n", "sketch")]
+    return written(named.groupBy("block", "cls").agg(*first, F.min("doc_id").alias("doc_id")), "members")
+
+
+def _hang_together(sizes: np.ndarray, sketches: list[bytes], sides: np.ndarray, percent: int) -> np.ndarray:
+    """For each class the first one that it hangs together with, by size, if sketches allow a link.
+
+    Sets link only if they differ in (100 - percent) / (100 + percent) of their summed sizes
+    at most, and sketches differ in no more. Sizes ascend; of two sides, only pairs across count.
+    """
+    label = np.arange(len(sizes))
+    widths = np.array([len(s) for s in sketches])
+    stops = np.searchsorted(sizes * percent, sizes * 100, "right")
+    for width in np.unique(widths):
+        low, high = np.searchsorted(widths, [width, width + 1])
+        parts = []
+        for wide in np.unique(widths[low : stops[high - 1]]):
+            a, b = np.searchsorted(widths, [wide, wide + 1])
+            cells = np.frombuffer(b"".join(sketches[a : min(b, stops[high - 1])]), np.uint64).reshape(-1, wide // 8)
+            while cells.shape[1] > width // 8:
+                half = cells.shape[1] // 2
+                cells = cells[:, :half] ^ cells[:, half:]
+            parts.append(cells)
+        cells = np.concatenate(parts)
+        for i in range(low, high):
+            others = slice(i + 1, stops[i])
+            new = label[others] != label[i]
+            if sides[i] >= 0:
+                new &= sides[others] != sides[i]
+            at = i + 1 + np.flatnonzero(new)
+            if not len(at):
+                continue
+            differ = np.bitwise_count(cells[at - low] ^ cells[i - low]).sum(1, dtype=np.int64)
+            near = at[differ * (100 + percent) <= (sizes[at] + sizes[i]) * (100 - percent)]
+            if len(near):
+                one = np.unique(np.append(label[near], label[i]))
+                label[np.isin(label, one)] = one[0]
+    return label
+
+
+_NEAR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _compare(percent: int):
+    """Edges (a, b) over rows (block, side, id, n, sketch) that come sorted by block; classes without any are left out."""
+
+    def work(rows: list[tuple]) -> pa.RecordBatch:
+        rows.sort(key=lambda r: r[3])
+        ids = np.array([r[2] for r in rows], np.int64)
+        sizes = np.array([r[3] for r in rows], np.int64)
+        label = _hang_together(sizes, [r[4] for r in rows], np.array([r[1] for r in rows]), percent)
+        among = np.bincount(label, minlength=len(label))[label] > 1
+        return pa.RecordBatch.from_arrays([pa.array(ids[among]), pa.array(ids[label[among]])], schema=_NEAR)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, rows = None, []
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("block", "side", "id", "n", "sketch"))):
+                if row[0] != block and rows:
+                    yield work(rows)
+                    rows = []
+                block = row[0]
+                rows.append(row)
+        if rows:
+            yield work(rows)
+
+    return run
+
+
+def _compared(rows: DataFrame, percent: int) -> DataFrame:
+    ready = spread(rows, "block").sortWithinPartitions("block")
+    return ready.select("block", "side", "id", "n", "sketch").mapInArrow(_compare(percent), "a long, b long")
+
+
+def _cells(members: DataFrame, percent: int) -> DataFrame:
+    """Rows of blocks that no task could compare, once for each two cells that may hold a link.
+
+    Cells are cut by size, and where a size is frequent by hash; only sketches are repeated.
+    """
+    banded = members.withColumn("band", F.floor(3 * F.log2("n")))
+    bands = banded.groupBy("block", "band").agg(
+        F.min("n").alias("least"),
+        F.max("n").alias("most"),
+        F.greatest(
+            F.ceil(F.count("*") / F.lit(CELL_CLASSES // 2)),
+            F.ceil(F.sum(F.length("sketch")) / F.lit(CELL_BYTES // 2)),
+        ).alias("parts"),
+    )
+    sized = banded.join(bands.select("block", "band", "parts"), ["block", "band"])
+    sized = sized.withColumn("part", F.pmod(F.xxhash64("cls"), "parts"))
+    cells = bands.select("block", "band", "least", "most", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    other = cells.select("block", F.col("band").alias("band2"), F.col("least").alias("least2"), F.col("part").alias("part2"))
+    met = cells.join(other, "block").filter(
+        ((F.col("band") < F.col("band2")) | ((F.col("band") == F.col("band2")) & (F.col("part") <= F.col("part2"))))
+        & (F.col("least2") * percent <= F.col("most") * 100)
+    )
+    pair = F.xxhash64("block", "band", "part", "band2", "part2")
+    alone = (F.col("band") == F.col("band2")) & (F.col("part") == F.col("part2"))
+    sides = met.select(
+        F.col("block").alias("of"), pair.alias("block"), "band", "part",
+        F.when(alone, -1).otherwise(0).alias("side"),
+    ).union(
+        met.filter(~alone).select(
+            F.col("block").alias("of"), pair.alias("block"), F.col("band2").alias("band"),
+            F.col("part2").alias("part"), F.lit(1).alias("side"),
+        )
+    )
+    placed = sized.select(F.col("block").alias("of"), "band", "part", "id", "n", "sketch")
+    return placed.join(sides, ["of", "band", "part"])
+
+
+def _nearer(members: DataFrame, percent: int) -> DataFrame:
+    """(block, cls, n, doc_id) of the classes that sketches let link, in the blocks these make; written.
+
+    Classes that only quote the same passages fall apart here, before any set is loaded or
+    repeated. Sketches leave no link out.
+    """
+    total = members.groupBy("block").agg(F.count("*").alias("classes"), F.sum(F.length("sketch")).alias("bytes"))
+    too_large = (F.col("classes") > CELL_CLASSES) | (F.col("bytes") > CELL_BYTES)
+    large = written(total.filter(too_large).select("block"), "crowds")
+    small = members.join(F.broadcast(large), "block", "left_anti")
+    near = _compared(small.withColumn("side", F.lit(-1)), percent)
+    if not large.isEmpty():
+        edges = _compared(_cells(members.join(F.broadcast(large), "block"), percent), percent)
+        near = near.union(components(edges, "near").select(F.col("v").alias("a"), F.col("root").alias("b")))
+    named = near.withColumnsRenamed({"a": "id", "b": "block"})
+    nearer = written(members.drop("block").join(named, "id").select("block", "cls", "n", "doc_id"), "near")
+    discard(members)
+    return nearer
 
 
 def _sets_of(rows: DataFrame, members: DataFrame, size: int) -> DataFrame:

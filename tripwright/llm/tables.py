@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pickle
+import weakref
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,6 +19,9 @@ from tripwright.session import work_dir
 #: Rows handled at a time inside a task, so that its arrays follow the texts of these rows only.
 ROWS = 256
 PIECE_BYTES = 1 << 20
+#: Removes the shuffle files of a query when it ends; else they stay until the driver collects garbage.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -25,11 +29,31 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """The same rows read back from the shared folder: lineage ends, no executor is needed."""
+    """The same rows read back from the shared folder: lineage ends, no executor is needed.
+
+    What was shuffled for them is removed at once.
+    """
     spark = df.sparkSession
     path = f"{work_dir(spark, label)}/rows"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEAN)
+        else:
+            spark.conf.set(_CLEAN, before)
+    rows = spark.read.schema(df.schema).parquet(path)
+    _PATHS[rows] = path
+    return rows
+
+
+def discard(rows: DataFrame) -> None:
+    """Delete what ``written`` gave back, once nothing reads it any more."""
+    jvm = rows.sparkSession.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_PATHS.pop(rows))
+    path.getFileSystem(rows.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def partitions(spark: SparkSession) -> int:
